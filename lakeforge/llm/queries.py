@@ -5,8 +5,9 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeforge.llm import packing, token_counts
+from lakeforge.llm import line_dedup, packing, token_counts
 from lakeforge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +33,26 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")).drop("ids")
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op2_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, E' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+marked AS (
+  SELECT k.doc_id, k.n, k.line, r.keeper IS NOT NULL AND r.keeper <> k.doc_id AS gone FROM keyed k LEFT JOIN repeated r USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
