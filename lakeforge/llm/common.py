@@ -8,6 +8,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
         text = batch.column(column)
         if not len(text):
             continue
-        ends = np.cumsum(np.asarray(pa.compute.binary_length(text).fill_null(0), dtype=np.int64) + 8)
+        ends = np.cumsum(np.asarray(pc.binary_length(text).fill_null(0), dtype=np.int64) + 8)
         lo = 0
         while lo < len(text):
             hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right")))
@@ -65,7 +66,7 @@ def text_bytes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 of all rows one after another, each followed by one newline, and where each row starts (n + 1 places).
     A null is an empty text."""
     kind = pa.large_string()
-    joined = pa.compute.binary_join_element_wise(text.cast(kind).fill_null(""), pa.scalar("", kind), pa.scalar("\n", kind))
+    joined = pc.binary_join_element_wise(text.cast(kind).fill_null(""), pa.scalar("", kind), pa.scalar("\n", kind))
     joined = joined.combine_chunks() if isinstance(joined, pa.ChunkedArray) else joined
     offsets = np.frombuffer(joined.buffers()[1], dtype=np.int64)[joined.offset : joined.offset + len(joined) + 1]
     data = np.frombuffer(joined.buffers()[2], dtype=np.uint8) if joined.buffers()[2] else np.zeros(0, np.uint8)

@@ -85,7 +85,7 @@ def log_odds(model: dict, x: np.ndarray) -> np.ndarray:
     return density[1] - density[0]
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, to_pooled: float = 0.05, to_identity: float = 0.01) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, to_pooled: float = 0.3, to_identity: float = 0.03) -> DataFrame:
     """doc_id, score, predicted for every row of docs(doc_id, text, ...), learnt from labels(doc_id, quality).
 
     All label rows teach whose quality is 0 or 1 and whose doc_id occurs in docs. A null text counts as empty, which

@@ -15,6 +15,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -121,7 +122,7 @@ def count_tokens(docs: DataFrame, model: bytes, *, kind: str = "model", limit: i
         for batch in batches:
             text = batch.column("text").fill_null("")
             n = pa.array([tokens(x) for x in text.to_pylist()], pa.int64())
-            size = pa.compute.binary_length(text).cast(pa.int64())
-            yield pa.record_batch([batch.column("doc_id"), size, n, pa.compute.greater(n, limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+            size = pc.binary_length(text).cast(pa.int64())
+            yield pa.record_batch([batch.column("doc_id"), size, n, pc.greater(n, limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
