@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import cut, gram_hashes, lower_ascii, mix, once_per_worker, parts, slices, text_bytes, word_hashes, word_spans
+from lakeforge.llm.common import cut, dealt, gathered, gram_hashes, lower_ascii, mix, once_per_worker, parts, slices, text_bytes, word_hashes, word_spans
 
 SKETCH = 1 << 22  # counters of the sketch, whatever the input
 CELLS = 1 << 16  # of them in one row
@@ -109,22 +109,6 @@ def nodes_and_prefixes(docs: DataFrame, levels: np.ndarray, width: int, percent:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, c long, prefix binary")
 
 
-def dealt(token: np.ndarray, columns: dict[str, np.ndarray], deal: int) -> pa.RecordBatch:
-    """One row for each of `deal` partitions: the shingles that hash to it, and their columns, as bytes."""
-    part = (token >> np.uint64(24)) % np.uint64(deal)
-    order = np.argsort(part, kind="stable")
-    ends = np.searchsorted(part[order], np.arange(deal + 1, dtype=np.uint64))
-    full = np.flatnonzero(np.diff(ends)).tolist()
-    cells = {k: [v[order[ends[i] : ends[i + 1]]].tobytes() for i in full] for k, v in ({"t": token} | columns).items()}
-    return pa.record_batch([pa.array(full, pa.int32()), *(pa.array(x, pa.binary()) for x in cells.values())], ["p", *cells])
-
-
-def gathered(batches: Iterator[pa.RecordBatch], kinds: dict[str, str]) -> dict[str, np.ndarray]:
-    """The columns of all rows that reached this partition."""
-    rows = list(batches)
-    return {k: np.frombuffer(b"".join(x for b in rows for x in b.column(k).to_pylist()), kind) for k, kind in kinds.items()}
-
-
 def shared_prefixes(nodes: DataFrame, percent: int) -> DataFrame:
     """t, c, n, leader: the places where nodes of like size share a shingle of their prefixes. leader is the least of
     the nodes that meet there through a chain of like sizes."""
