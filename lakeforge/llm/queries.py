@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.llm import language_id, line_dedup, ngram_join, packing, quality, substring_dedup, token_counts
+from lakeforge.llm import fingerprints, language_id, line_dedup, ngram_join, packing, quality, substring_dedup, token_counts
 from lakeforge.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,9 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fingerprints.fingerprint_edited(table(spark, sf_dir, "documents"))
+    return out.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
