@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.llm import fingerprints, language_id, line_dedup, ngram_join, packing, quality, substring_dedup, token_counts
+from lakeforge.llm import fingerprints, language_id, line_dedup, ngram_join, packing, quality, secret_scan, substring_dedup, token_counts
 from lakeforge.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,9 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fingerprints.fingerprint_edited(table(spark, sf_dir, "documents"))
     return out.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return out.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
