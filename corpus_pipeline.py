@@ -1,16 +1,58 @@
-"""The training-data pipeline: documents in, packed sequences out."""
+"""The training-data pipeline: documents in, packed sequences out.
+
+STAGES are applied in order; each gets what the one before kept. All but the last return the columns of documents.
+Rows that share a doc_id stay or go together; a row with a null doc_id is kept by every stage that picks by doc_id.
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from lakeforge.llm import decontaminate, language_id, line_dedup, ngram_join, packing, queries
+from lakeforge.llm.common import cut, held_out, table, without
 
 #: The first stage is a learnt classifier, which SQL can't express; tests hold the run against a brute-force version.
 ORACLE_SQL = None
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can't be told, for want of text or of letters, go."""
+    told = language_id.identify(docs, docs.where(~held_out()))
+    return without(docs, told.where("lang_pred = 'und'"))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that five documents or more have go, but from the last one of them; n_chars follows."""
+    kept = line_dedup.drop_repeated_lines(docs, carry=True).select("doc_id", F.col("kept").alias("text"), "carried.*")
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of the documents that n-gram Jaccard links connect, the one with the smallest doc_id stays."""
+    return without(docs, ngram_join.jaccard_components(docs).where("doc_id <> component_id"))
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return without(docs, decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of sequences of 1024 tokens at most, mixed by source."""
+    return packing.pack(docs, queries.vocabulary("byte_bpe_50k.json")).drop("ids")
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("ngram_jaccard_join", keep_one_of_each_group),
+    ("decontamination", decontaminate_benchmark),
+    ("packing", pack_sequences),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -35,6 +35,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def without(docs: DataFrame, ids: DataFrame, *, broadcast_rows: int = 1_000_000) -> DataFrame:
+    """docs without the rows whose doc_id is among ids(doc_id), which are broadcast where there are at most
+    broadcast_rows (8 bytes each), else shuffled. A null doc_id is never among them."""
+    ids = cut(ids.select("doc_id").distinct())
+    return docs.join(F.broadcast(ids) if ids.count() <= broadcast_rows else ids, "doc_id", "left_anti").select(docs.columns)
+
+
 def parts(df: DataFrame) -> int:
     """How many partitions to deal rows of numpy arrays to: as many as the session's shuffles have."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeforge.llm.common import cut, once_per_worker, parts
 
@@ -120,7 +121,7 @@ def rewritten(text: bytes, drop, least: int) -> tuple[int, int, str]:
     return len(lines), len(lines) - len(keep), b"\n".join(keep).decode()
 
 
-def drop_repeated_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int = 5, bits: int = 1 << 27, broadcast_bytes: int = 16 << 20) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int = 5, bits: int = 1 << 27, broadcast_bytes: int = 16 << 20, carry: bool = False) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept (text) for every row of docs(doc_id, text, ...).
 
     A key of min_chars code points or more that at least min_docs documents (distinct doc_ids) hold loses all its
@@ -128,16 +129,17 @@ def drop_repeated_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int =
     one empty line. Rows with a null doc_id are returned as they are and count for nothing; rows that repeat are each
     returned; other columns are ignored; an empty table gives none. Whole texts are read, however long.
 
-    The confirmed keys are broadcast where they take at most broadcast_bytes, else joined.
+    With carry, the struct `carried` holds the row's other columns. The confirmed keys are broadcast where they take at most broadcast_bytes, else joined.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] if carry else []
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*others or [F.lit(0).alias("none")]).alias("carried"))
     found = suspected(rows, min_chars, bits)
     # distinct pairs first, then counts: no task gets all documents of a frequent key
     pairs = found.distinct()
     confirmed = cut(pairs.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs).select("key", "keeper"))
-    schema = "doc_id long, n_lines long, n_dropped long, kept string"
-    names = ["doc_id", "n_lines", "n_dropped", "kept"]
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "n_lines", "n_dropped")] + [T.StructField("kept", T.StringType()), rows.schema["carried"]])
+    names = schema.names
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
     size = confirmed.agg(F.sum(F.length("key") + 64).alias("n")).first()["n"] or 0
 
@@ -151,9 +153,10 @@ def drop_repeated_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int =
                 for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist()):
                     drop = (lambda k: False) if doc is None else (lambda k: keeper.get(k, doc) != doc)
                     out.append((doc, *rewritten(text or b"", drop, min_chars)))
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, kinds)], names)
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, kinds)] + [batch.column("carried")], names)
 
-        return rows.mapInArrow(by_table, schema)
+        done = rows.mapInArrow(by_table, schema)
+        return done if carry else done.drop("carried")
 
     lost = found.distinct().join(confirmed, "key").where("doc_id <> keeper").groupBy("doc_id").agg(F.collect_list("key").alias("lost"))
 
@@ -162,6 +165,7 @@ def drop_repeated_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int =
             out = []
             for doc, text, gone in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("lost").to_pylist()):
                 out.append((doc, *rewritten(text or b"", set(gone or ()).__contains__, min_chars)))
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, kinds)], names)
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, kinds)] + [batch.column("carried")], names)
 
-    return rows.join(lost, "doc_id", "left").mapInArrow(by_list, schema)
+    done = rows.join(lost, "doc_id", "left").mapInArrow(by_list, schema)
+    return done if carry else done.drop("carried")
