@@ -277,16 +277,22 @@ def jaccard_components(docs: DataFrame, *, width: int = 5, percent: int = 80) ->
 
     # groups: by the leader that a node meets most often, and by size to a tenth
     best = meetings.groupBy("c", "n", "leader").count().groupBy("c", "n").agg(F.max_by("leader", F.struct("count", "leader")).alias("leader"))
+    grouped = best.select("c", F.xxhash64("leader", F.floor(F.log("n") / F.log(F.lit(1.1)))).alias("own"))
+
+    # candidate groups: of the set whose prefix ends first, what it has there and the other one lacks is bounded, so
+    # two sets meet at least overlap - least_overlap(larger) + 1 times; one less allows for rounding between sizes
+    here = meetings.join(grouped, "c")
+    there = here.groupBy("t", "leader", F.col("own").alias("g")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("others"))
+    fitting = (F.col("high") * 100 >= F.col("n") * percent) & (F.col("low") * percent <= F.col("n") * 100)
+    met = here.join(there, ["t", "leader"]).where(fitting & ((F.col("g") != F.col("own")) | (F.col("others") > 1)))
+    met = met.groupBy("c", "n", "own", "g").agg(F.count("*").alias("times"), F.greatest(F.min("low"), F.ceil(F.col("n") * percent / 100)).alias("low"), F.least(F.max("high"), F.floor(F.col("n") * 100 / percent)).alias("high"))
+    times = lambda m: F.ceil((F.col("n") + m) * percent / (100 + percent) - 1e-6) - F.ceil(F.greatest("n", m) * percent / 100 - 1e-6)
+    met = cut(met.where(F.col("times") >= F.least(times(F.col("low")), times(F.col("high")))).select("c", "n", "own", "g"))
     reps = nodes.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("rep"))
-    grouped = best.select("c", "n", F.xxhash64("leader", F.floor(F.log("n") / F.log(F.lit(1.1)))).alias("own")).join(reps, "c")
-    sets = cut(fetched_sets(docs, grouped, width))  # rep, c, tokens, n, own
+    sets = cut(fetched_sets(docs, met.select("c", "n", "own").distinct().join(reps, "c"), width))  # rep, c, tokens, n, own
     members = sets.select("c", "n", "own")
-
-    # candidate groups of each node: those it meets at a shingle; its own among them
-    here = meetings.select("t", "leader", "c", "n").join(members.select("c", "own"), "c")
-    there = here.groupBy("t", "leader", F.col("own").alias("g")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    met = here.select("t", "leader", "c", "n").join(there, ["t", "leader"]).where((F.col("high") * 100 >= F.col("n") * percent) & (F.col("low") * percent <= F.col("n") * 100)).select("c", "g").distinct()
-    queries = met.join(sets.select("c", "tokens", "own"), "c").select("c", "g", (F.col("own") == F.col("g")).alias("own"), "tokens")
+    asked = met.where("g <> own").select("c", "g", F.lit(False).alias("own")).union(members.select("c", "own", F.lit(True)))
+    queries = asked.join(sets.select("c", "tokens"), "c")
 
     # the bound: what c shares with the union of g, against what it must share with g's smallest fitting member
     sizes = members.groupBy(F.col("own").alias("g")).agg(F.min("n").alias("low"))
