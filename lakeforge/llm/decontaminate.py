@@ -45,6 +45,10 @@ def windows(width) -> Column:
     return F.transform(starts, lambda i: F.struct(F.xxhash64(F.slice("t", i, width)).alias("h"), i.alias("at"), F.array_join(F.slice("v", i, width), " ").alias("v")))
 
 
+def sized_windows(width: int) -> Column:
+    return F.transform(windows(width), lambda x: F.struct(F.lit(width).alias("size"), x["h"].alias("h"), x["at"].alias("at"), x["v"].alias("v")))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = 8, literal: int = 4, coverage: float = 0.5, broadcast_rows: int = 500_000) -> DataFrame:
     """doc_id, item_id, n_windows, coverage, reworded of each pair of a document and a benchmark item that it holds.
 
@@ -71,11 +75,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = 8, liter
     if known.count() <= broadcast_rows:
         known = F.broadcast(known)
     rows = with_templates(docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text")
-    each = F.concat(*(F.transform(windows(n), lambda x, n=n: F.struct(F.lit(n).alias("size"), x["h"].alias("h"), x["at"].alias("at"), x["v"].alias("v"))) for n in lengths)) if len(lengths) > 1 else None
-    if each is None:
+    if len(lengths) == 1:
         found = rows.select("doc_id", F.explode(windows(lengths[0])).alias("x")).select("doc_id", F.lit(lengths[0]).alias("size"), "x.*")
     else:
-        found = rows.select("doc_id", F.explode(each).alias("x")).select("doc_id", "x.*")
+        found = rows.select("doc_id", F.explode(F.concat(*map(sized_windows, lengths))).alias("x")).select("doc_id", "x.*")
     hits = found.join(known, ["h", "size"]).select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "total", "item_v", "v").distinct()
     # one document, item and offset: no more rows than the item has windows (times the row's repeats)
     pairs = F.arrays_zip(F.split(F.coalesce("item_v", F.lit("")), " ").alias("a"), F.split(F.coalesce("v", F.lit("")), " ").alias("b"))

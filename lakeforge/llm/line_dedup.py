@@ -93,7 +93,7 @@ def suspected(docs: DataFrame, least: int, bits: int) -> DataFrame:
     tag = ("twice", shared._jbroadcast.id())
 
     def unpacked() -> np.ndarray:
-        out = np.zeros(bits // 8, np.uint8)
+        out = np.zeros(-(-bits // SHARD) * (SHARD // 8), np.uint8)
         for s, x in shared.value.items():
             out[s * (SHARD // 8) : (s + 1) * (SHARD // 8)] = np.frombuffer(zlib.decompress(x), np.uint8)
         return out
