@@ -130,9 +130,10 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def dealt(token: np.ndarray, columns: dict[str, np.ndarray], deal: int) -> pa.RecordBatch:
-    """One row for each of `deal` partitions: the shingles that hash to it, and their columns, as bytes."""
-    part = (token >> np.uint64(24)) % np.uint64(deal)
+def dealt(token: np.ndarray, columns: dict[str, np.ndarray], deal: int, key: np.ndarray | None = None) -> pa.RecordBatch:
+    """One row for each of `deal` partitions: the hashes that belong to it, by themselves or by a key beside them, and
+    their columns, as bytes."""
+    part = ((token if key is None else key) >> np.uint64(24)) % np.uint64(deal)
     order = np.argsort(part, kind="stable")
     ends = np.searchsorted(part[order], np.arange(deal + 1, dtype=np.uint64))
     full = np.flatnonzero(np.diff(ends)).tolist()

@@ -200,8 +200,9 @@ def fetched_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def group_hits(queries: DataFrame) -> DataFrame:
-    """c, g, hits: how many of node c's shingles another member of group g has, from queries(c, g, own, tokens); a row
-    with own is a member's row of its own group."""
+    """c, g, hits: how many of node c's shingles another member of group g has, from queries(c, g, own, tokens, ways); a
+    row with own is a member's row of its own group. A group's shingles go to `ways` partitions at most, so that small
+    groups give few counts and large ones aren't matched in one task."""
     deal = parts(queries)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +210,8 @@ def group_hits(queries: DataFrame) -> DataFrame:
             tokens = batch.column("tokens").to_pylist()
             length = np.array([len(x) // 8 for x in tokens], np.int64)
             cols = {k: np.repeat(np.asarray(batch.column(k).cast(pa.int8()) if k == "own" else batch.column(k)), length) for k in ("c", "g", "own")}
-            yield dealt(np.frombuffer(b"".join(tokens), np.uint64), cols, deal)
+            token, ways = np.frombuffer(b"".join(tokens), np.uint64), np.repeat(np.asarray(batch.column("ways")), length).astype(np.uint64)
+            yield dealt(token, cols, deal, mix(mix(cols["g"].view(np.uint64)) + (token >> np.uint64(8)) % ways))
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = gathered(batches, {"t": "<u8", "c": "<i8", "g": "<i8", "own": "i1"})
@@ -292,7 +294,8 @@ def jaccard_components(docs: DataFrame, *, width: int = 5, percent: int = 80) ->
     sets = cut(fetched_sets(docs, met.select("c", "n", "own").distinct().join(reps, "c"), width))  # rep, c, tokens, n, own
     members = sets.select("c", "n", "own")
     asked = met.where("g <> own").select("c", "g", F.lit(False).alias("own")).union(members.select("c", "own", F.lit(True)))
-    queries = asked.join(sets.select("c", "tokens"), "c")
+    ways = asked.groupBy("g").agg(F.ceil(F.count("*") / 32).alias("ways"))
+    queries = asked.join(ways, "g").join(sets.select("c", "tokens"), "c")
 
     # the bound: what c shares with the union of g, against what it must share with g's smallest fitting member
     sizes = members.groupBy(F.col("own").alias("g")).agg(F.min("n").alias("low"))
