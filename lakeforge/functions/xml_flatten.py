@@ -69,6 +69,12 @@ def lineage(nodes: DataFrame, keys: Sequence[str] = (), *, most: int = 64, separ
     raise ValueError(f"deeper than {most} levels")
 
 
+def items_with_lineage(tables: dict[str, DataFrame]) -> DataFrame:
+    """Line items with the lineage of the group that they are in; an item of no known group has an empty one."""
+    tree = lineage(tables["group"], ["source_file", "claim"]).select("source_file", "claim", F.col("id").alias("group"), "lineage", "depth")
+    return tables["item"].join(tree, ["source_file", "claim", "group"], "left").withColumn("lineage", F.coalesce("lineage", F.lit("")))
+
+
 def run_summary(parsed: DataFrame) -> DataFrame:
     """One row: documents, and how many of them couldn't be parsed."""
     return parsed.agg(F.count("*").alias("documents"), F.count("_corrupt_record").alias("failures"))

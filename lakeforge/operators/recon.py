@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +42,33 @@ def year_to_date(df: DataFrame, entity: str, amount: str, at: str, as_of: Column
     return as_of_sum(df.where(same_year(F.col(at), as_of)), entity, amount, at, as_of)
 
 
+@dataclass(frozen=True)
+class Metric:
+    """A metric of one table: kind is distinct, sum, mtd or ytd; where is a condition in SQL."""
+
+    entity: str
+    kind: str
+    column: str
+    at: str
+    where: str = "true"
+
+
+def metrics(df: DataFrame, specs: Sequence[Metric], as_of: Column, scale: int = 2) -> DataFrame:
+    """auditentity, value of all metrics of a table, in one scan."""
+
+    def one(m: Metric) -> Column:
+        at = F.col(m.at)
+        rows = (at <= as_of) & F.expr(m.where)
+        if m.kind == "distinct":
+            return F.countDistinct(F.when(rows, F.col(m.column))).cast("double")
+        rows = rows & {"sum": F.lit(True), "mtd": same_month(at, as_of), "ytd": same_year(at, as_of)}[m.kind]
+        return F.coalesce(F.sum(F.when(rows, F.coalesce(F.col(m.column), F.lit(0)).cast(f"decimal(20,{scale})"))), F.lit(0)).cast("double")
+
+    wide = df.agg(*(one(m).alias(f"m{k}") for k, m in enumerate(specs)))
+    each = F.explode(F.array(*(F.struct(F.lit(m.entity).alias("auditentity"), F.col(f"m{k}").alias("value")) for k, m in enumerate(specs))))
+    return wide.select(each.alias("x")).select("x.*")
+
+
 def together(metrics: Sequence[DataFrame], *, distinct: bool = False) -> DataFrame:
     out = reduce(DataFrame.unionByName, metrics)
     return out.distinct() if distinct else out

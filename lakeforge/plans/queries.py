@@ -548,6 +548,15 @@ def recon_ytd(spark, d):
     return source_metrics(spark, d)[3]
 
 
+CUSTOMERS_SQL = ONE("CUSTOMERS", "count(DISTINCT o_custkey)", f"orders WHERE o_orderdate <= TIMESTAMP '{AS_OF}'")
+
+
+@query(f"{DISTINCT_SQL} UNION ALL {CUSTOMERS_SQL} UNION ALL {SUM_SQL} UNION ALL {MTD_SQL} UNION ALL {YTD_SQL}")
+def recon_metrics_one_scan(spark, d):
+    m = [recon.Metric(*x, "o_orderdate") for x in (("CUSTOMERS", "distinct", "o_custkey"), ("ORDERS_TOTAL", "sum", "o_totalprice"), ("MTD_TOTAL", "mtd", "o_totalprice"), ("YTD_TOTAL", "ytd", "o_totalprice"))]
+    return recon.metrics(t(spark, d, "orders"), [*m, recon.Metric("ORDERS_OPEN", "distinct", "o_custkey", "o_orderdate", "o_orderstatus = 'O'")], at(AS_OF))
+
+
 @query(f"{DISTINCT_SQL} UNION ALL {SUM_SQL} UNION ALL {MTD_SQL} UNION ALL {YTD_SQL} UNION ALL {MTD_SQL}")
 def recon_union_all(spark, d):
     m = source_metrics(spark, d)
@@ -719,6 +728,27 @@ def xml_run_summary(spark, d):
     return xml_flatten.run_summary(notifications(spark, d))
 
 
+def estimates(spark, d):
+    """An estimate for each nation, as XML lines: a group for its region, in it one for itself, an item for each supplier."""
+    path = sinks.scratch(spark)
+    s = t(spark, d, "supplier").groupBy("s_nationkey").agg(F.array_sort(F.collect_list(F.format_string('<item group="n%d" text="%s" amount="%d"/>', "s_nationkey", "s_name", "s_suppkey"))).alias("items"))
+    n = t(spark, d, "nation").join(t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).join(s, F.col("n_nationkey") == F.col("s_nationkey"), "left")
+    groups = F.format_string('<groups><node id="r" name="%s"/><node id="n%d" parent="r" name="%s"/></groups>', "r_name", "n_nationkey", "n_name")
+    items = F.concat(F.lit("<items>"), F.coalesce(F.array_join("items", ""), F.lit("")), F.lit("</items>"))
+    n.select(F.concat(F.format_string("<estimate><claim>%d</claim>", "n_nationkey"), groups, items, F.lit("</estimate>")).alias("value")).write.mode("overwrite").text(path)
+    return xml_flatten.estimate_tables(files.xml_lines(spark, path, xml_flatten.ESTIMATE))
+
+
+@query("""SELECT n_nationkey::VARCHAR AS claim, s_name AS text, s_suppkey::VARCHAR AS amount, r_name || ' || ' || n_name AS lineage FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def xml_estimate_items(spark, d):
+    return xml_flatten.items_with_lineage(estimates(spark, d)).select("claim", "text", "amount", "lineage")
+
+
+@query("SELECT n_nationkey::VARCHAR AS claim, '' AS total FROM nation")
+def xml_estimate_header(spark, d):
+    return estimates(spark, d)["header"].select("claim", "total")
+
+
 @query(f"""WITH old AS (SELECT o_orderkey AS row_id, o_orderdate FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'), last AS (SELECT coalesce(max(row_id), 0) AS m FROM old)
 SELECT o_orderkey, m + row_number() OVER (ORDER BY strftime(date_trunc('month', o_orderdate), '%Y-%m-%d'), o_orderkey) AS row_id FROM orders, last WHERE o_orderdate >= TIMESTAMP '1996-01-01'""")
 def reserve_row_ids(spark, d):
