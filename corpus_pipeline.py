@@ -52,7 +52,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = queries.documents(spark, sf_dir)
     for _, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

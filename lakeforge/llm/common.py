@@ -1,6 +1,7 @@
 """Small helpers that several operators share."""
 from __future__ import annotations
 
+import ctypes
 import sys
 import tempfile
 from collections.abc import Callable, Iterator
@@ -55,8 +56,17 @@ def once_per_worker(key: tuple, make: Callable[[], Any]) -> Any:
     return held[key[0]][1]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces of about `most` bytes of text at most (one row at least), to bound numpy's memory."""
+def tidy() -> None:
+    """Gives freed memory back to the system, as workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # only this C library has it
+        pass
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of about `most` bytes of text at most (one row at least), to bound a worker's memory."""
     for batch in batches:
         text = batch.column(column)
         if not len(text):
@@ -67,6 +77,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
             hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right")))
             yield batch.slice(lo, hi - lo)
             lo = hi
+        tidy()
 
 
 def text_bytes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:

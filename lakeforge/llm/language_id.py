@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import once_per_worker
+from lakeforge.llm.common import once_per_worker, slices
 
 CODES = 128  # 0: between words; 1-26: a-z; the other letters share the rest
 
@@ -71,7 +71,7 @@ def learn_prototypes(learn: DataFrame, *, size: int, seed: int) -> tuple[list[st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = once_per_worker(("letters", size, seed), lambda: letter_vectors(size, seed))
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches, "text"):
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
                 sums[lang] = sums.get(lang, 0) + bundle(text, letters).astype(np.float64)
         yield pa.record_batch([pa.array(list(sums), pa.string()), pa.array([np.round(v * 2**20).astype(np.int64).tolist() for v in sums.values()], pa.list_(pa.int64()))], ["lang", "v"])
@@ -99,7 +99,7 @@ def identify(docs: DataFrame, learn: DataFrame, *, size: int = 1024, seed: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = once_per_worker(("letters", size, seed), lambda: letter_vectors(size, seed))
-        for batch in batches:
+        for batch in slices(batches, "text"):
             langs, scores = [], []
             for text in batch.column("text").to_pylist():
                 lang, score = "und", 0.0

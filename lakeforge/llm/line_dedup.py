@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeforge.llm.common import cut, once_per_worker, parts
+from lakeforge.llm.common import cut, once_per_worker, parts, slices
 
 SHARD = 1 << 19  # bits of one shard of a filter: 64 KB
 
@@ -54,7 +54,7 @@ def twice_seen(docs: DataFrame, least: int, bits: int) -> dict[int, bytes]:
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
+        for batch in slices(batches, "text"):
             for text in batch.column(0).cast(pa.large_binary()).to_pylist():
                 keys = set(text_keys(text or b"", least)) - {None}
                 if not keys:
@@ -100,7 +100,7 @@ def suspected(docs: DataFrame, least: int, bits: int) -> DataFrame:
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = once_per_worker(tag, unpacked)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             ids: list[int] = []
             found: list[bytes] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist()):
@@ -148,7 +148,7 @@ def drop_repeated_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int =
 
         def by_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keeper = known.value
-            for batch in batches:
+            for batch in slices(batches, "text"):
                 out = []
                 for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist()):
                     drop = (lambda k: False) if doc is None else (lambda k: keeper.get(k, doc) != doc)
@@ -161,7 +161,7 @@ def drop_repeated_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int =
     lost = found.distinct().join(confirmed, "key").where("doc_id <> keeper").groupBy("doc_id").agg(F.collect_list("key").alias("lost"))
 
     def by_list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             out = []
             for doc, text, gone in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("lost").to_pylist()):
                 out.append((doc, *rewritten(text or b"", set(gone or ()).__contains__, min_chars)))

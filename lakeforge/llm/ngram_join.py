@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import cut, dealt, gathered, gram_hashes, lower_ascii, mix, once_per_worker, parts, slices, text_bytes, word_hashes, word_spans
+from lakeforge.llm.common import cut, dealt, gathered, gram_hashes, lower_ascii, mix, once_per_worker, parts, slices, text_bytes, tidy, word_hashes, word_spans
 
 SKETCH = 1 << 22  # counters of the sketch, whatever the input
 CELLS = 1 << 16  # of them in one row
@@ -137,6 +137,8 @@ def shared_prefixes(nodes: DataFrame, percent: int) -> DataFrame:
         if len(t):
             begin = np.flatnonzero(np.concatenate(([True], chain[1:] != chain[:-1])))
             leader = np.repeat(np.minimum.reduceat(c, begin), np.diff(np.append(begin, len(t))))
+            del x, order, once, alike, chain, more
+            tidy()
             for lo in range(0, len(t), 100_000):
                 yield pa.record_batch([pa.array(v[lo : lo + 100_000]) for v in (t.view(np.int64), c, n, leader)], ["t", "c", "n", "leader"])
 

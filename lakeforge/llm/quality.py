@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import cut
+from lakeforge.llm.common import cut, slices
 
 STATISTICS = ("words", "word_length", "capitals", "digits", "sentence_marks", "other_marks", "lone_marks", "adjacent_repeats", "distinct_words", "words_a_line")
 MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -37,7 +37,7 @@ def statistics(text: bytes) -> list[float]:
 
 def document_statistics(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             x = [statistics(t or b"") for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
             yield pa.record_batch([batch.column("doc_id"), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "x"])
 

@@ -19,6 +19,14 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, dealt to all cores where their files have fewer splits than there are cores; a scan of no column
+    tells."""
+    docs, cores = table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism
+    splits = (docs.select(F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0] or 0) + 1
+    return docs.repartition(cores) if splits < cores else docs
+
+
 def vocabulary(name: str) -> bytes:
     import public_tokenizers
 
@@ -27,17 +35,17 @@ def vocabulary(name: str) -> bytes:
 
 @query
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    return token_counts.count_tokens(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
 
 
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")).drop("ids")
+    return packing.pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json")).drop("ids")
 
 
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
@@ -60,7 +68,7 @@ FROM marked GROUP BY doc_id
 
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     out = language_id.identify(docs, docs.where(~held_out()))
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
@@ -68,33 +76,33 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(~held_out())
-    out = quality.score_quality(table(spark, sf_dir, "documents"), labels)
+    out = quality.score_quality(documents(spark, sf_dir), labels)
     return out.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 @query
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return ngram_join.jaccard_components(documents(spark, sf_dir))
 
 
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    out = substring_dedup.remove_repeats(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @query
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = fingerprints.fingerprint_edited(table(spark, sf_dir, "documents"))
+    out = fingerprints.fingerprint_edited(documents(spark, sf_dir))
     return out.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
 
 
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = secret_scan.scan(table(spark, sf_dir, "documents"))
+    out = secret_scan.scan(documents(spark, sf_dir))
     return out.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
 
 
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))

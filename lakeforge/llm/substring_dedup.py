@@ -1,49 +1,159 @@
 """Substring dedup: words covered by windows that also start in a document with a smaller doc_id.
 
 Every window of 13 words has an anchor, the least hash of its 7-word grams, so equal windows have equal anchors. About
-a quarter of the places are anchors; those are dealt to partitions by hash, and a map of bits of bounded size keeps
-which of them two documents have. Only windows with such an anchor are then dealt, by their own hash, to find the
-least doc_id of each. A document gets back the hashes of its repeated windows and loses the words they cover.
+a quarter of the places are anchors; those are dealt to partitions by hash, which shows which of them two documents
+have, and which of them most documents have.
+
+The passages around the most frequent anchors, in the first document that has each, are the reference. Its shards'
+suffix automata are broadcast (as their words, of bounded number; each worker builds them once), and documents are
+streamed through them: the matching statistics give every window that the reference holds the first document that has
+it, and maximal spans of such windows go. These are the windows that would make hot keys; they are never shuffled.
+
+The reference can't hold all that repeats: automata of all of it would grow with the input, and every document would
+have to be streamed through every shard. So the windows with rarer repeated anchors, which a map of bits of bounded size
+tells, are dealt by their own hash to find the least doc_id of each, and a document gets back the hashes of those that
+it loses.
 
 Windows are compared by 64-bit hashes. Beyond the map's size more windows are dealt, results stay the same.
 """
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import dealt, gathered, gram_hashes, mix, once_per_worker, parts, slices, text_bytes, word_hashes, word_spans
+from lakeforge.llm.common import cut, dealt, gathered, gram_hashes, mix, once_per_worker, parts, slices, text_bytes, word_hashes, word_spans
+
+
+class Automaton:
+    """Suffix automaton of sequences of words, each of a document: for every window of `width` words of a text, the
+    least document that has it."""
+
+    NONE = np.iinfo(np.int64).max
+
+    def __init__(self, segments: list[tuple[int, list[int]]], width: int):
+        self.next, self.link, self.size, self.first = [{}], [-1], [0], [self.NONE]
+        for doc, words in segments:
+            last = 0
+            for w in words:
+                last = self.added(last, w)
+                self.first[last] = min(self.first[last], doc)
+        order = sorted(range(1, len(self.size)), key=self.size.__getitem__)
+        for v in reversed(order):
+            self.first[self.link[v]] = min(self.first[self.link[v]], self.first[v])
+        # of each state, the first document with its suffix of `width` words
+        self.width, self.held, top = width, [self.NONE] * len(self.size), list(range(len(self.size)))
+        for v in order:
+            if self.size[self.link[v]] >= width:
+                top[v] = top[self.link[v]]
+            self.held[v] = self.first[top[v]]
+
+    def state(self, size: int, link: int, following: dict) -> int:
+        self.next.append(following)
+        self.link.append(link)
+        self.size.append(size)
+        self.first.append(self.NONE)
+        return len(self.size) - 1
+
+    def split(self, p: int, w: int) -> int:
+        """The state that follows p by w, cut so that its longest sequence is p's with w."""
+        q = self.next[p][w]
+        if self.size[q] == self.size[p] + 1:
+            return q
+        copy = self.state(self.size[p] + 1, self.link[q], dict(self.next[q]))
+        self.link[q] = copy
+        while p >= 0 and self.next[p].get(w) == q:
+            self.next[p][w] = copy
+            p = self.link[p]
+        return copy
+
+    def added(self, last: int, w: int) -> int:
+        if w in self.next[last]:
+            return self.split(last, w)
+        new, p = self.state(self.size[last] + 1, 0, {}), last
+        while p >= 0 and w not in self.next[p]:
+            self.next[p][w] = new
+            p = self.link[p]
+        if p >= 0:
+            self.link[new] = self.split(p, w)
+        return new
+
+    def least(self, words: list[int]) -> list[int]:
+        """By window: the least document that has it, or NONE."""
+        following, link, size, held, width = self.next, self.link, self.size, self.held, self.width
+        v = length = 0
+        out = []
+        for w in words:
+            while w not in following[v] and v:
+                v = link[v]
+                length = size[v]
+            to = following[v].get(w)
+            v, length = (0, 0) if to is None else (to, length + 1)
+            out.append(held[v] if length >= width else self.NONE)
+        return out[width - 1 :]
+
+
+class Reference:
+    """Automata of the reference's shards, and the frequent anchors with the first document of each."""
+
+    def __init__(self, anchors: np.ndarray, first: np.ndarray, segments: list[tuple[int, bytes]], width: int, shard: int = 1 << 16):
+        order = np.argsort(anchors)
+        self.anchors, self.first, self.width, self.automata = anchors[order], first[order], width, []
+        held: list[tuple[int, list[int]]] = []
+        for doc, words in segments:
+            held.append((doc, np.frombuffer(words, np.uint64).tolist()))
+            if sum(len(w) for _, w in held) >= shard:
+                self.automata.append(Automaton(held, width))
+                held = []
+        if held:
+            self.automata.append(Automaton(held, width))
 
+    def index(self, least: np.ndarray) -> np.ndarray:
+        """The number of each window's anchor among the frequent ones, or -1."""
+        if not len(self.anchors):
+            return np.full(len(least), -1)
+        at = np.minimum(np.searchsorted(self.anchors, least), len(self.anchors) - 1)
+        return np.where(self.anchors[at] == least, at, -1)
 
-def windows(text: pa.Array, width: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, anchor and row of every window of `width` words of one text, in order."""
+    def known(self, words: np.ndarray, at: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """By window: the least document of the reference that has it, or NONE; for windows with a frequent anchor."""
+        out = np.full(len(at), Automaton.NONE, np.int64)
+        hot = np.flatnonzero(number >= 0)
+        for run in np.split(hot, np.flatnonzero(np.diff(at[hot]) != 1) + 1) if len(hot) and self.automata else ():
+            part = words[at[run[0]] : at[run[-1]] + self.width].tolist()
+            out[run] = np.minimum.reduce([x.least(part) for x in self.automata])
+        return out
+
+
+def windows(text: pa.Array, width: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, anchor, row and first word's place of every window of `width` words of one text, in order; all words."""
     data, offsets = text_bytes(text)
     start, end = word_spans(data)
     words = word_hashes(data, start, end)
     doc = np.repeat(np.arange(len(text)), np.diff(np.searchsorted(start, offsets)))
     if len(words) < width:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), words
     whole = doc[: len(doc) - width + 1] == doc[width - 1 :]
     grams = gram_hashes(words, anchor)
     least = grams[: len(words) - width + 1].copy()
     for k in range(1, width - anchor + 1):
         np.minimum(least, grams[k : k + len(least)], out=least)
-    return gram_hashes(words, width)[whole], least[whole], doc[: len(doc) - width + 1][whole]
+    return gram_hashes(words, width)[whole], least[whole], doc[: len(doc) - width + 1][whole], np.flatnonzero(whole), words
 
 
-def repeated_anchors(docs: DataFrame, width: int, anchor: int, bits: int) -> tuple[int, dict[int, bytes]]:
-    """How many partitions anchors were dealt to, and for each the bits of the anchors that two documents have."""
+def repeated_anchors(docs: DataFrame, width: int, anchor: int, bits: int, frequent: int, most: int) -> tuple[int, dict[int, bytes], np.ndarray, np.ndarray]:
+    """Bits for each partition that anchors are dealt to, and by partition those of the anchors that two documents
+    have; the `most` anchors or so that most documents have, `frequent` at least, and the first document of each."""
     deal = parts(docs)
     side = max(bits // deal, 64)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            _, least, doc = windows(batch.column("text"), width, anchor)
+            _, least, doc, _, _ = windows(batch.column("text"), width, anchor)
             new = np.ones(len(least), bool)
             new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
             yield dealt(least[new], {"d": np.asarray(batch.column("doc_id"))[doc[new]]}, deal)
@@ -56,20 +166,55 @@ def repeated_anchors(docs: DataFrame, width: int, anchor: int, bits: int) -> tup
         x = gathered(iter(rows), {"t": "<u8", "d": "<i8"})
         order = np.lexsort((x["d"], x["t"]))
         t, d = x["t"][order], x["d"][order]
-        again = (t[1:] == t[:-1]) & (d[1:] != d[:-1])
+        new = np.ones(len(t), bool)
+        new[1:] = (t[1:] != t[:-1]) | (d[1:] != d[:-1])
+        t, d = t[new], d[new]
+        begin = np.flatnonzero(np.concatenate((np.ones(min(len(t), 1), bool), t[1:] != t[:-1])))
+        count = np.diff(np.append(begin, len(t)))
+        begin, count = begin[count > 1], count[count > 1]
         held = np.zeros(side, bool)
-        held[(mix(t[1:][again]) % np.uint64(side)).astype(np.int64)] = True
-        if again.any():
-            yield pa.record_batch([pa.array([part], pa.int32()), pa.array([zlib.compress(np.packbits(held).tobytes(), 1)], pa.binary())], ["p", "bits"])
+        held[(mix(t[begin]) % np.uint64(side)).astype(np.int64)] = True
+        hot = begin[np.argsort(-count, kind="stable")[: min(-(-most // deal), int((count >= frequent).sum()))]]
+        if len(begin):
+            bits_of = zlib.compress(np.packbits(held).tobytes(), 1)
+            yield pa.record_batch([pa.array([part], pa.int32()), *(pa.array([x], pa.binary()) for x in (bits_of, t[hot].tobytes(), d[hot].tobytes()))], ["p", "bits", "anchors", "first"])
 
     dealt_rows = docs.mapInArrow(spread, "p int, t binary, d binary").repartitionById(deal, "p")
-    return side, {r["p"]: bytes(r["bits"]) for r in dealt_rows.mapInArrow(match, "p int, bits binary").collect()}
+    found = dealt_rows.mapInArrow(match, "p int, bits binary, anchors binary, first binary").collect()
+    join = lambda name, kind: np.frombuffer(b"".join(bytes(r[name]) for r in found), kind)
+    return side, {r["p"]: bytes(r["bits"]) for r in found}, join("anchors", "<u8"), join("first", "<i8")
+
+
+def reference_segments(docs: DataFrame, width: int, anchor: int, anchors: np.ndarray, first: np.ndarray, most_words: int) -> list[tuple[int, bytes]]:
+    """(doc_id, words) of the passages around frequent anchors in each anchor's first document, each window once; none
+    where they have over most_words words, so that what is broadcast is bounded."""
+    shared = docs.sparkSession.sparkContext.broadcast((anchors, first))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ref = Reference(*shared.value, [], width)
+        wanted = np.unique(ref.first)
+
+        def picked() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(np.isin(np.asarray(batch.column("doc_id")), wanted)))
+
+        for batch in slices(picked(), "text"):
+            own, least, doc, at, words = windows(batch.column("text"), width, anchor)
+            number, ids = ref.index(least), np.asarray(batch.column("doc_id"))[doc]
+            keep = np.flatnonzero((number >= 0) & (ref.first[number] == ids))
+            keep = np.sort(keep[np.unique(np.stack((ids[keep].view(np.uint64), own[keep])), axis=1, return_index=True)[1]])
+            runs = np.split(keep, np.flatnonzero(np.diff(at[keep]) != 1) + 1) if len(keep) else []
+            yield pa.record_batch([pa.array([int(ids[r[0]]) for r in runs], pa.int64()), pa.array([words[at[r[0]] : at[r[-1]] + width].tobytes() for r in runs], pa.binary())], ["doc_id", "words"])
+
+    found = cut(docs.mapInArrow(run, "doc_id long, words binary").distinct())
+    if (found.agg(F.sum(F.octet_length("words"))).first()[0] or 0) > 8 * most_words:
+        return []
+    return sorted((r["doc_id"], bytes(r["words"])) for r in found.collect())
 
 
-def repeated_windows(docs: DataFrame, width: int, anchor: int, bits: int) -> DataFrame:
-    """doc_id, hashes (bytes) of its windows that a smaller doc_id has too."""
+def repeated_windows(docs: DataFrame, width: int, anchor: int, side: int, found: dict[int, bytes], reference: Callable[[], Reference]) -> DataFrame:
+    """doc_id, hashes (bytes) of its windows that a smaller doc_id has too and that the reference doesn't tell."""
     deal = parts(docs)
-    side, found = repeated_anchors(docs, width, anchor, bits)
     shared = docs.sparkSession.sparkContext.broadcast(found)
     tag = ("anchors", shared._jbroadcast.id())
 
@@ -81,13 +226,18 @@ def repeated_windows(docs: DataFrame, width: int, anchor: int, bits: int) -> Dat
         return out
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = once_per_worker(tag, unpacked)
+        held, ref = once_per_worker(tag, unpacked), reference()
         for batch in slices(batches, "text"):
-            own, least, doc = windows(batch.column("text"), width, anchor)
+            own, least, doc, at, words = windows(batch.column("text"), width, anchor)
+            ids, number = np.asarray(batch.column("doc_id"))[doc], ref.index(least)
+            known = ref.known(words, at, number)
+            # told: a smaller document of the reference has it, or this is the first document that has the anchor
+            told = (ids > known) | ((number >= 0) & (known == ids) & (ref.first[number] == ids) if len(ref.first) else False)
             slot = (mix(least) % np.uint64(side)).astype(np.int64)
             part = ((least >> np.uint64(24)) % np.uint64(deal)).astype(np.int64)
             keep = (held[part, slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
-            yield dealt(own[keep], {"d": np.asarray(batch.column("doc_id"))[doc[keep]]}, deal)
+            keep &= ~told
+            yield dealt(own[keep], {"d": ids[keep]}, deal)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = gathered(batches, {"t": "<u8", "d": "<i8"})
@@ -117,7 +267,7 @@ def repeated_windows(docs: DataFrame, width: int, anchor: int, bits: int) -> Dat
     return met.repartitionById(deal, "p").mapInArrow(by_document, "doc_id long, hashes binary")
 
 
-def remove_repeats(docs: DataFrame, *, width: int = 13, bits: int | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, width: int = 13, bits: int | None = None, frequent: int = 8, anchors: int = 4096, reference_words: int = 1 << 17) -> DataFrame:
     """doc_id, n_words, n_removed, kept (text) for every row of docs(doc_id, text, ...).
 
     Words are runs without white space, unchanged. A word goes if a window of `width` consecutive words covers it
@@ -126,38 +276,51 @@ def remove_repeats(docs: DataFrame, *, width: int = 13, bits: int | None = None)
     nothing and count for nothing; rows that share a doc_id are one document to others and are each returned; other
     columns are ignored; an empty table gives no rows. Texts are read whole.
 
-    bits: size of the map of repeated anchors; by default 512 for each row, from 2^24 to 2^30 (128 MB).
+    bits: size of the map of repeated anchors; by default 512 for each row, from 2^24 to 2^30 (128 MB). frequent,
+    anchors, reference_words: how many documents an anchor of the reference has at least, and how many anchors and words
+    the reference has at most.
     """
     anchor = width // 2 + 1
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = docs.where("doc_id is not null")
     if bits is None:
         bits = 1 << min(30, max(24, int(512 * max(docs.count(), 1)).bit_length()))
-    repeats = repeated_windows(known, width, anchor, bits)
+    side, found, hot, first = repeated_anchors(known, width, anchor, bits, frequent, anchors)
+    segments = reference_segments(known, width, anchor, hot, first, reference_words) if len(hot) else []
+    if not segments:
+        hot, first = hot[:0], first[:0]
+    shared = docs.sparkSession.sparkContext.broadcast((hot, first, segments))
+    tag = ("reference", shared._jbroadcast.id())
+    reference = lambda: once_per_worker(tag, lambda: Reference(*shared.value, width))
+    repeats = repeated_windows(known, width, anchor, side, found, reference)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ref = reference()
         for batch in slices(batches, "text"):
             text = batch.column("text")
             data, offsets = text_bytes(text)
             start, end = word_spans(data)
             at = np.searchsorted(start, offsets)
             rows, raw, gone_of = batch.column("hashes").to_pylist(), data.tobytes(), {}
-            if any(rows):
-                own, _, doc = windows(text, width, anchor)
-                lo = np.searchsorted(doc, np.arange(len(text) + 1))
-                for i, x in enumerate(rows):
-                    if x:
-                        hit = np.flatnonzero(np.isin(own[lo[i] : lo[i + 1]], np.frombuffer(x, np.uint64)))
-                        cover = np.zeros(at[i + 1] - at[i] + 1, np.int32)
-                        np.add.at(cover, hit, 1)
-                        np.add.at(cover, hit + width, -1)
-                        gone_of[i] = np.cumsum(cover)[:-1] > 0
+            own, least, doc, place, words = windows(text, width, anchor)
+            ids, no_id = np.asarray(batch.column("doc_id").fill_null(0)), np.asarray(batch.column("doc_id").is_null())
+            hit = (ids[doc] > ref.known(words, place, ref.index(least))) & ~no_id[doc]
+            lo = np.searchsorted(doc, np.arange(len(text) + 1))
+            for i, x in enumerate(rows):
+                if x:
+                    hit[lo[i] : lo[i + 1]] |= np.isin(own[lo[i] : lo[i + 1]], np.frombuffer(x, np.uint64))
+            for i in np.unique(doc[hit]).tolist():
+                cover = np.zeros(at[i + 1] - at[i] + 1, np.int32)
+                begin = place[lo[i] : lo[i + 1]][hit[lo[i] : lo[i + 1]]] - at[i]
+                np.add.at(cover, begin, 1)
+                np.add.at(cover, begin + width, -1)
+                gone_of[i] = np.cumsum(cover)[:-1] > 0
             n, removed, kept = np.diff(at), [], []
             for i in range(len(text)):
-                words = raw[offsets[i] : offsets[i + 1]].split()
+                spelt = raw[offsets[i] : offsets[i + 1]].split()
                 gone = gone_of.get(i)
                 removed.append(0 if gone is None else int(gone.sum()))
-                kept.append(b" ".join(words if gone is None else [w for w, g in zip(words, gone.tolist()) if not g]).decode())
+                kept.append(b" ".join(spelt if gone is None else [w for w, g in zip(spelt, gone.tolist()) if not g]).decode())
             yield pa.record_batch([batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
     return docs.join(repeats, "doc_id", "left").mapInArrow(finish, "doc_id long, n_words long, n_removed long, kept string")

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import once_per_worker
+from lakeforge.llm.common import once_per_worker, slices
 
 MARK = "▁"  # a space, in this library's pieces
 
@@ -75,7 +75,7 @@ def heavy_pre_tokens(docs: DataFrame, per_task: int, table_size: int) -> list[st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in slices(batches, "text"):
             for text in batch.column(0).to_pylist():
                 seen.update(pre_tokens(text or ""))
                 if len(seen) > 64 * per_task:
@@ -119,7 +119,7 @@ def count_tokens(docs: DataFrame, model: bytes, *, kind: str = "model", limit: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = once_per_worker(tag, counter)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             text = batch.column("text").fill_null("")
             n = pa.array([tokens(x) for x in text.to_pylist()], pa.int64())
             size = pc.binary_length(text).cast(pa.int64())

@@ -196,9 +196,9 @@ def test_decontamination_query(spark, small):
 # --- 6 substring dedup ---
 
 
-@pytest.mark.parametrize("bits", [None, 256])
-def test_substring_dedup(docs, rows, bits):
-    out = substring_dedup.remove_repeats(docs, bits=bits).withColumn("sha", F.sha2("kept", 256))
+@pytest.mark.parametrize("how", [{}, {"bits": 256}, {"frequent": 2}, {"frequent": 3, "anchors": 4}, {"reference_words": 0}])
+def test_substring_dedup(docs, rows, how):
+    out = substring_dedup.remove_repeats(docs, **how).withColumn("sha", F.sha2("kept", 256))
     assert got(out, "doc_id", "n_words", "n_removed", "sha") == brute.multiset(brute.repeats(rows))
 
 
@@ -206,6 +206,16 @@ def test_substring_query(spark, small):
     assert got(queries.op6_substring_dedup(spark, SF), "doc_id", "n_words", "n_removed", "kept_sha256") == brute.multiset(brute.repeats(small))
 
 
+def test_automaton():
+    """Least documents of all windows, against plain search."""
+    r = random.Random(6)
+    for _ in range(100):
+        segments = [(r.randrange(9), [r.randrange(3) for _ in range(r.randrange(30))]) for _ in range(r.randrange(6))]
+        built, text = substring_dedup.Automaton(segments, 4), [r.randrange(3) for _ in range(60)]
+        has = lambda w: min((d for d, x in segments if any(x[k : k + 4] == w for k in range(len(x)))), default=built.NONE)
+        assert built.least(text) == [has(text[k : k + 4]) for k in range(57)]
+
+
 def test_word_hashes():
     text = b" a bb  a " + b"q" * 70 + b"\tbb\x0b" + b"q" * 71 + b" abcdefgh abcdefg"
     start, end = word_spans(np.frombuffer(text, np.uint8))
