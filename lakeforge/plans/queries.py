@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeforge.functions import xml_flatten
 from lakeforge.operators import audit, cdc, lookup, merge, pii, recon, reserve, schema, stamp
-from lakeforge.plans import ingest
+from lakeforge.plans import ingest, recon_suites
 from lakeforge.sources import files, sinks
 from lakeforge.spec import LookupSpec, TableSpec, lookup_specs, table_specs
 from lakeforge.streaming import audit_stream
@@ -775,3 +775,197 @@ def table_spec_kinds(spark, d):
     return spark.createDataFrame([(s.table, s.cdc_kind) for s in table_specs(text)], "name string, kind string")
 
 
+# --- suites of metrics -----------------------------------------------------------------------------------------------
+
+
+def policy_tables(spark, d) -> recon_suites.PolicyTables:
+    """orders as policy periods, customers as policies, orders as jobs of their own, with type lists."""
+    o = t(spark, d, "orders").withColumn("n", F.col("o_orderkey"))
+    code = lambda *names: spark.createDataFrame(list(enumerate(names)), "id long, typecode string")
+    period = o.select(
+        F.col("n").alias("id"), F.col("o_custkey").alias("policyid"), F.col("n").alias("jobid"), (F.col("n") % 4).alias("status"), F.concat(F.lit("P"), (F.col("n") % 900).cast("string")).alias("policynumber"),
+        F.col("o_orderdate").alias("periodstart"), (F.col("o_orderdate") + F.expr("INTERVAL 365 DAYS")).alias("periodend"), F.col("o_orderdate").alias("cancellationdate"), (F.col("n") % 7 == 0).cast("int").alias("retired"),
+    )
+    return recon_suites.PolicyTables(
+        period, t(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("productcode")), o.select(F.col("n").alias("id"), (F.col("n") % 3).alias("subtype"), F.col("o_orderdate").alias("closedate")),
+        code("Bound", "Quoted", "Draft", "AuditComplete"), code("Submission", "Cancellation", "Audit"),
+    )
+
+
+PERIODS_SQL = f"""SELECT o_orderkey AS id, c_mktsegment AS productcode, 'P' || o_orderkey % 900 AS policynumber, ['Bound', 'Quoted', 'Draft', 'AuditComplete'][o_orderkey % 4 + 1] AS state, ['Submission', 'Cancellation', 'Audit'][o_orderkey % 3 + 1] AS job,
+o_orderdate AS starts, o_orderdate + INTERVAL 365 DAYS AS ends FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate <= TIMESTAMP '{AS_OF}'"""
+LIVE_SQL = f"SELECT * FROM ({PERIODS_SQL}) WHERE id % 7 <> 0 AND productcode <> 'BUILDING'"
+
+
+@query(f"""WITH p AS ({LIVE_SQL}), x AS (
+SELECT 'TOTAL_INFORCE_' || productcode AS auditentity, policynumber FROM p WHERE state = 'Bound' AND job <> 'Cancellation' AND TIMESTAMP '{AS_OF}' BETWEEN starts AND ends
+UNION ALL SELECT 'TOTAL_EXPIRED', policynumber FROM p WHERE state IN ('Bound', 'Quoted') AND job IN ('Submission', 'Cancellation') AND ends <= TIMESTAMP '{AS_OF}'
+UNION ALL SELECT 'TOTAL_CANCELLED', policynumber FROM p WHERE state = 'Bound' AND job = 'Cancellation')
+SELECT auditentity, CAST(count(DISTINCT policynumber) AS DOUBLE) AS value FROM x GROUP BY 1""")
+def recon_policy_counts(spark, d):
+    return recon_suites.policy_counts(policy_tables(spark, d), at(AS_OF), all_but=["BUILDING"])
+
+
+PREMIUM_SQL = f"""SELECT {DEC('l_extendedprice')} AS amount, l_shipdate AS written FROM lineitem JOIN ({PERIODS_SQL}) ON l_orderkey = id WHERE state IN ('Bound', 'AuditComplete') AND l_linenumber % 3 <> 0 AND l_partkey % 5 <> 0"""
+
+
+@query(f"""SELECT 'YTD_PA_PREM' AS auditentity, CAST(coalesce(sum(amount), 0) AS DOUBLE) AS value FROM ({PREMIUM_SQL}) WHERE year(written) = 1996 AND month(written) <= 6
+UNION ALL SELECT 'ALL_PA_PREM', CAST(coalesce(sum(amount), 0) AS DOUBLE) FROM ({PREMIUM_SQL})""")
+def recon_policy_premiums(spark, d):
+    l = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("branchid"), F.concat_ws("-", (F.col("l_linenumber") % 3).cast("string"), (F.col("l_partkey") % 5).cast("string")).alias("cost"), F.col("l_extendedprice").alias("amountbilling"), F.col("l_shipdate").alias("writtendate"))
+    costs = spark.createDataFrame([(f"{a}-{b}", a, None if b else "fee") for a in range(3) for b in range(5)], "id string, chargepattern long, feename string")
+    charges = spark.createDataFrame([(0, "Tax"), (1, "Premium"), (2, "MCCA")], "id long, typecode string")
+    return recon_suites.policy_premiums(policy_tables(spark, d), l, costs, charges, "PA", at(AS_OF))
+
+
+CLAIM_SQL = f"SELECT DISTINCT c_custkey AS id, c_name AS nbr FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderdate <= TIMESTAMP '{AS_OF}' AND o_orderkey % 9 = 8"
+LOSS_SQL = f"SELECT {DEC('l_extendedprice')} AS amount, coalesce(CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate + INTERVAL 20 DAYS END, o_orderdate) AS lossdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < TIMESTAMP '{AS_OF}'"
+LOSS = lambda kind, since: ONE(f"{kind}_LOSSAMT", "coalesce(sum(amount), 0)", f"({LOSS_SQL}) WHERE lossdate < TIMESTAMP '{AS_OF}' AND lossdate >= TIMESTAMP '{since}'")
+
+
+@query(f"""{ONE('CLAIM_ID_CNT', 'count(DISTINCT id)', f'({CLAIM_SQL})')} UNION ALL {ONE('CLAIM_NBR_CNT', 'count(DISTINCT nbr)', f'({CLAIM_SQL})')}
+UNION ALL {LOSS('MTD', '1996-06-01')} UNION ALL {LOSS('YTD', '1996-01-01')} UNION ALL {LOSS('ALL', '1900-01-01')}""")
+def recon_claims(spark, d):
+    claim = t(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("claimnumber"), at("1990-01-01 00:00:00").alias("createtime"))
+    o, day = t(spark, d, "orders"), F.col("o_orderdate")
+    trans = o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("claimid"), day.alias("createtime"), day.alias("updatetime"), (F.col("o_orderkey") % 9).alias("lifecyclestate"), F.when(F.col("o_orderkey") % 2 == 0, day + F.expr("INTERVAL 20 DAYS")).alias("originalcreatedate"))
+    item = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("transactionid"), F.col("l_extendedprice").alias("transactionamount"), F.col("l_shipdate").alias("createtime"))
+    return recon_suites.claim_metrics(claim, trans, item, at(AS_OF))
+
+
+@query(" UNION ALL ".join([
+    ONE("TOTAL_BILL_INV_ITM_CNT", "count(DISTINCT l_orderkey)", f"lineitem WHERE l_shipdate <= TIMESTAMP '{AS_OF}'"), ONE("TOTAL_BILL_INV_ITM_AMT", f"coalesce(sum({DEC('l_extendedprice')}), 0)", f"lineitem WHERE l_shipdate <= TIMESTAMP '{AS_OF}'"),
+    ONE("TOTAL_BILL_WO_CNT", "count(DISTINCT o_orderkey)", f"orders WHERE o_orderdate <= TIMESTAMP '{AS_OF}'"), ONE("TOTAL_REVERSED_AMT", f"coalesce(sum({DEC("o_totalprice * 2")}), 0)", f"orders WHERE o_orderdate <= TIMESTAMP '{AS_OF}'"), SUM_SQL.replace("ORDERS_TOTAL", "TOTAL_WO_AMT"),
+    SUM_SQL.replace("ORDERS_TOTAL", "TOTAL_DISB_AMT"),
+]))
+def recon_billing_totals(spark, d):
+    o = t(spark, d, "orders").select(F.col("o_orderkey").alias("publicid"), F.col("o_totalprice").alias("amount"), (F.col("o_totalprice") * 2).alias("reversedamount"), F.col("o_orderdate").alias("createtime"))
+    l = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("publicid"), F.col("l_extendedprice").alias("amount"), F.col("l_shipdate").alias("createtime"))
+    return recon_suites.billing_totals({"invoiceitem": l, "writeoff": o, "disbursement": o}, at(AS_OF))
+
+
+PERIOD = lambda p, kind, k, since: ONE(f"{p}_BILL_{kind}_TRANS_AMT", f"coalesce(sum({DEC('o_totalprice')}), 0)", f"orders WHERE o_orderdate <= TIMESTAMP '{AS_OF}' AND o_orderdate >= TIMESTAMP '{since}' AND o_orderkey % 8 = {k}")
+
+
+@query(" UNION ALL ".join(PERIOD(p, kind, k, since) for k, kind in enumerate(recon_suites.BILLING_PERIODS) for p, since in (("MTD", "1996-06-01"), ("YTD", "1996-01-01"))))
+def recon_billing_periods(spark, d):
+    o = t(spark, d, "orders")
+    contexts = {kind: o.where(F.col("o_orderkey") % 8 == k).select(F.col("o_orderkey").alias("transactionid")) for k, kind in enumerate(recon_suites.BILLING_PERIODS)}
+    return recon_suites.billing_periods(contexts, o.select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount"), F.col("o_orderdate").alias("transactiondate")), at(AS_OF))
+
+
+# --- whole documents -------------------------------------------------------------------------------------------------
+
+
+def rough_drafts(spark, d) -> dict[str, DataFrame]:
+    """A rough draft for each nation: its region as outer group, itself within, a room with an item for each supplier."""
+    path = sinks.scratch(spark)
+    s = t(spark, d, "supplier").groupBy("s_nationkey").agg(F.array_sort(F.collect_list(F.format_string('<group name="%s"><items><item line="%d" total="1"/></items><room walls="%d"/></group>', "s_name", "s_suppkey", "s_suppkey"))).alias("rooms"))
+    n = t(spark, d, "nation").join(t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).join(s, F.col("n_nationkey") == F.col("s_nationkey"), "left")
+    rooms = F.coalesce(F.array_join("rooms", ""), F.lit(""))
+    head = F.format_string('<draft><claim>%d</claim><contacts><contact id="k" name="%s"><phones><phone number="1"/><phone number="2"/></phones></contact></contacts>', "n_nationkey", "n_name")
+    groups = F.concat(F.format_string('<groups><group name="%s"><totals total="9"/><group name="%s">', "r_name", "n_name"), rooms, F.lit("</group></group></groups>"))
+    recap = F.format_string('<recap><group name="%s" subtotal="5"><group name="%s" subtotal="4"><coverages><coverage name="c" amount="3"/></coverages></group></group></recap></draft>', "r_name", "n_name")
+    n.select(F.concat(head, groups, recap).alias("value")).write.mode("overwrite").text(path)
+    return xml_flatten.rough_draft_tables(files.xml_lines(spark, path, xml_flatten.rough_draft_schema(4)), 4)
+
+
+PLACES_SQL = "FROM nation JOIN region ON n_regionkey = r_regionkey"
+
+
+@query(f"SELECT n_nationkey::VARCHAR AS claim, r_name || ' || ' || n_name || ' || ' || s_name AS lineage, '3' AS depth, s_suppkey::VARCHAR AS line, '' AS text, '1' AS total {PLACES_SQL} JOIN supplier ON s_nationkey = n_nationkey")
+def xml_rough_draft_items(spark, d):
+    return rough_drafts(spark, d)["item"].select("claim", "lineage", "depth", "line", "text", "total")
+
+
+@query(f"SELECT n_nationkey::VARCHAR AS claim, r_name || ' || ' || n_name || ' || ' || s_name AS lineage, s_suppkey::VARCHAR AS walls, '' AS floor {PLACES_SQL} JOIN supplier ON s_nationkey = n_nationkey")
+def xml_rough_draft_rooms(spark, d):
+    return rough_drafts(spark, d)["room"].select("claim", "lineage", "walls", "floor")
+
+
+@query(f"SELECT n_nationkey::VARCHAR AS claim, r_name AS lineage, '9' AS total {PLACES_SQL}")
+def xml_rough_draft_totals(spark, d):
+    return rough_drafts(spark, d)["totals"].select("claim", "lineage", "total")
+
+
+@query(f"SELECT n_nationkey::VARCHAR AS claim, r_name AS lineage, '5' AS subtotal, '' AS coverage, '' AS amount {PLACES_SQL} UNION ALL SELECT n_nationkey::VARCHAR, r_name || ' || ' || n_name, '4', 'c', '3' {PLACES_SQL}")
+def xml_rough_draft_recap(spark, d):
+    return rough_drafts(spark, d)["recap"].select("claim", "lineage", "subtotal", "coverage", "amount")
+
+
+@query("SELECT n_nationkey::VARCHAR AS claim, 'k' AS contact_id, n::VARCHAR AS number FROM nation, (VALUES (1), (2)) v(n)")
+def xml_rough_draft_phones(spark, d):
+    return rough_drafts(spark, d)["phone"].select("claim", "contact_id", "number")
+
+
+def carrier_documents(spark, d) -> DataFrame:
+    """An estimate for each customer with two control points and a minimum; every tenth one is broken off."""
+    path = sinks.scratch(spark)
+    doc = F.format_string('<estimate><claim>%d</claim><total>5</total><contacts><contact id="c" name="%s"><emails><email address="a%d"/></emails></contact></contacts><control_points><control_point stamp="s" type="a"/><control_point stamp="s" type="b"/></control_points><minimums><minimum id="m" amount="7"/></minimums></estimate>', "c_custkey", "c_name", "c_custkey")
+    t(spark, d, "customer").select(F.when(F.col("c_custkey") % 10 == 0, F.substring(doc, 1, 40)).otherwise(doc).alias("value")).write.mode("overwrite").text(path)
+    return files.xml_lines(spark, path, xml_flatten.CARRIER_ESTIMATE)
+
+
+def carrier_tables(spark, d) -> dict[str, DataFrame]:
+    return xml_flatten.carrier_estimate_tables(carrier_documents(spark, d).where("_corrupt_record IS NULL"))
+
+
+@query("SELECT c_custkey::VARCHAR AS claim, k AS kind FROM customer, (VALUES ('a'), ('b')) v(k) WHERE c_custkey % 10 <> 0")
+def xml_carrier_control_points(spark, d):
+    return carrier_tables(spark, d)["control_point"].select("claim", "kind")
+
+
+@query("SELECT c_custkey::VARCHAR AS claim, 'm' AS id, '7' AS amount, '' AS text FROM customer WHERE c_custkey % 10 <> 0")
+def xml_carrier_minimums(spark, d):
+    return carrier_tables(spark, d)["minimum"].select("claim", "id", "amount", "text")
+
+
+@query("SELECT c_custkey::VARCHAR AS claim, 'c' AS contact_id, 'a' || c_custkey AS address FROM customer WHERE c_custkey % 10 <> 0")
+def xml_carrier_emails(spark, d):
+    return carrier_tables(spark, d)["email"].select("claim", "contact_id", "address")
+
+
+@query("SELECT '1' AS started, '2' AS ended, count(*) FILTER (c_custkey % 10 = 0) AS estimate_failures, count(*) FILTER (c_custkey % 10 <> 0) AS estimate_successes, count(*) AS documents FROM customer")
+def xml_kinds_summary(spark, d):
+    return xml_flatten.kinds_summary({"estimate": carrier_documents(spark, d)}, "1", "2")
+
+
+# --- publishing reference tables, audit files, text sources ----------------------------------------------------------
+
+
+@query(TYPES_SQL)
+def typelist_refresh(spark, d):
+    """Published lists after a refresh: only those that changed are written again."""
+    path, new = sinks.scratch(spark), lookup.consolidated(type_lists(spark, d))
+    sinks.publish_lists(spark, path, old_lists(new))
+    sinks.publish_lists(spark, path, new)
+    return spark.read.parquet(path).select("typecode", "typelistname")
+
+
+@query(f"SELECT processname, batch, tablename, count(*) AS n FROM ({AUDIT_SQL}) WHERE batch <= '1200' GROUP BY 1, 2, 3")
+def audit_restored(spark, d):
+    """Audit files compacted, then taken back to an earlier batch."""
+    path = sinks.scratch(spark)
+    rows = audit_rows(spark, d).drop("event_id").repartition(4)
+    sinks.write_partitioned(rows, path, ["processname", "ingestiondt"], "overwrite")
+    sinks.compact(spark, path, ["processname", "ingestiondt"])
+    sinks.restore_audit(spark, path, "1200", ["processname", "ingestiondt"])
+    return spark.read.parquet(path).groupBy("processname", F.col("batch").cast("string").alias("batch"), "tablename").agg(F.count("*").alias("n"))
+
+
+@query("SELECT s_suppkey, r_name AS group_name FROM supplier JOIN region ON s_suppkey % 5 = r_regionkey")
+def reserve_files_by_group(spark, d):
+    """Fixed-width reserve lines joined to a CSV of groups by group number."""
+    base = sinks.scratch(spark)
+    t(spark, d, "supplier").select(F.format_string("%08d%03d", F.col("s_suppkey"), F.col("s_suppkey") % 5).alias("value")).write.text(f"{base}/lines")
+    t(spark, d, "region").select("r_regionkey", "r_name").write.csv(f"{base}/groups")
+    lines = files.fixed_width(spark, f"{base}/lines", [("id", 1, 8), ("group", 9, 3)]).select(F.col("id").cast("long").alias("s_suppkey"), F.col("group").cast("int").alias("group"))
+    groups = spark.read.csv(f"{base}/groups", schema="group int, group_name string")
+    return lines.join(lookup.sized(groups), "group").select("s_suppkey", "group_name")
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def sink_csv(spark, d):
+    path = sinks.scratch(spark)
+    written = sinks.write_csv(t(spark, d, "customer").select("c_custkey", "c_name"), path, "customers", "20240101000000")
+    return spark.read.csv(written, header=True, schema="c_custkey long, c_name string")

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import html
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 from typing import Protocol
@@ -161,3 +162,55 @@ def create_statements(table: str, path: str, df: DataFrame, by: Sequence[str]) -
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     out = [f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet" + (f" PARTITIONED BY ({', '.join(by)})" if by else "") + f" LOCATION '{path}'"]
     return out + ([f"MSCK REPAIR TABLE {table}"] if by else [])
+
+
+def publish_lists(spark: SparkSession, path: str, new: DataFrame) -> None:
+    """Consolidated reference tables by their name, of which only the changed ones are written again."""
+    from lakeforge.operators.lookup import changed_lists
+
+    fs, where = filesystem(spark, path)
+    if fs.exists(where):
+        new = new.join(changed_lists(new, spark.read.schema(new.schema).parquet(path)), "typelistname", "left_semi")
+        aside = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
+        write_partitioned(new, aside, ["typelistname"], "overwrite")
+        write_partitioned(spark.read.schema(new.schema).parquet(aside), path, ["typelistname"], "overwrite", dynamic=True)
+        remove(spark, aside)
+    else:
+        write_partitioned(new, path, ["typelistname"], "overwrite")
+
+
+def rewritten(spark: SparkSession, path: str, by: Sequence[str], rows: DataFrame, max_records: int) -> None:
+    """rows, which come from the table at path, in the table's place; dealt by partition so that files are few."""
+    aside, backup = (f"{path.rstrip('/')}__{uuid.uuid4().hex}" for _ in range(2))
+    write_partitioned(rows.repartition(*by), aside, by, "overwrite", max_records=max_records)
+    promote(spark, aside, path, backup)
+    remove(spark, backup)
+
+
+def compact(spark: SparkSession, path: str, by: Sequence[str], max_records: int = 5_000_000) -> None:
+    """The same rows in few files for each partition."""
+    rewritten(spark, path, by, spark.read.parquet(path), max_records)
+
+
+def restore_audit(spark: SparkSession, path: str, batch: str, by: Sequence[str], max_records: int = 5_000_000) -> None:
+    """Audit rows of batches after `batch` go, as when a table is restored to it."""
+    rows = spark.read.parquet(path)
+    rewritten(spark, path, by, rows.where(F.col("batch").cast("decimal(38,0)") <= F.lit(batch).cast("decimal(38,0)")), max_records)
+
+
+def write_csv(df: DataFrame, path: str, name: str, stamp: str) -> str:
+    """Quoted CSV files with a header under a name with the run's stamp; returns where."""
+    to = f"{path.rstrip('/')}/{name}_{stamp}"
+    df.write.mode("overwrite").csv(to, header=True, quoteAll=True)
+    return to
+
+
+def connected(connect: Callable[[], object], *, tries: int = 3, pause: float = 300, sleep: Callable[[float], None] = time.sleep):
+    """connect()'s value, after a few tries; the last error goes on to the caller."""
+    for k in range(tries):
+        try:
+            return connect()
+        except Exception:  # noqa: BLE001  tried again, then raised
+            if k == tries - 1:
+                raise
+            sleep(pause)

@@ -2,11 +2,12 @@ import glob
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from lakeforge.functions.text import shifted, unshifted
-from lakeforge.functions.xml_flatten import ESTIMATE, estimate_tables, lineage
+from lakeforge.functions.xml_flatten import ESTIMATE, estimate_tables, lineage, parse_failures, rough_draft_schema, walked
 from lakeforge.operators import audit, merge
 from lakeforge.plans import ingest
 from lakeforge.sources import files, jdbc, sinks
@@ -153,3 +154,32 @@ def test_malformed_lines_are_dropped(spark, tmp_path):
 @given(st.text(), st.integers(-200, 200))
 def test_shift_round_trip(text, by):
     assert unshifted(shifted(text, by), by) == text
+
+
+def test_deeper_drafts_raise(spark):
+    draft = "<draft><claim>1</claim><groups><group name='a'><group name='b'><group name='c'/></group></group></groups></draft>"
+    parsed = lambda n: spark.createDataFrame([(draft, "f")], "value string, source_file string").select(F.from_xml("value", rough_draft_schema(n)).alias("d"), "source_file").select("d.*", "source_file")
+    names = lambda n: sorted(r.lineage for r in walked(parsed(n), "groups.group", [], {"claim": "claim"}, levels=n).collect())
+    assert names(3) == names(5) == ["a", "a || b", "a || b || c"]
+    with pytest.raises(Exception, match="deeper than 2 levels"):
+        names(2)
+
+
+def test_parse_failures(spark):
+    rows = spark.createDataFrame([("<a", "f1"), (None, "f2")], "_corrupt_record string, source_file string")
+    assert [tuple(r) for r in parse_failures(rows, "estimate", "t").collect()] == [("t", "estimate", "f1")]
+
+
+def test_connected():
+    waits, left = [], [OSError(), OSError(), 7]
+
+    def connect():
+        x = left.pop(0)
+        if isinstance(x, OSError):
+            raise x
+        return x
+
+    assert sinks.connected(connect, sleep=waits.append) == 7 and waits == [300, 300]
+    left[:] = [OSError(), OSError()]
+    with pytest.raises(OSError):
+        sinks.connected(connect, tries=2, sleep=waits.append)
