@@ -59,15 +59,19 @@ def scan(docs: DataFrame, *, scope: int = 200) -> DataFrame:
     whole, however long; a text's matches, not its words, are sorted together.
     """
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("row", F.monotonically_increasing_id())
-    found = rows.select("doc_id", "row", F.explode_outer(F.concat(*(parts_of(F.col("text"), k) for k in KINDS))).alias("m")).select("doc_id", "row", "m.*")
-    own = Window.partitionBy("row", "kind").orderBy("i")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    found = rows.select("doc_id", F.xxhash64("text").alias("hash"), F.explode_outer(F.concat(*(parts_of(F.col("text"), k) for k in KINDS))).alias("m")).select("doc_id", "hash", "m.*")
+    # rows that repeat have the same matches, which are taken once and given back as often; a row is known by what it
+    # holds and not by a running number, which a task that runs again would give anew
+    row = ["doc_id", "hash"]
+    found = found.groupBy(*row, "kind", "i", "gap", "size", "good").agg(F.count("*").alias("copies"))
+    own = Window.partitionBy(*row, "kind").orderBy("i")
     before = F.coalesce(F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = found.repartition("row").withColumn("start", F.sum("gap").over(own.rowsBetween(Window.unboundedPreceding, 0)) + before)
+    placed = found.repartition(*row).withColumn("start", F.sum("gap").over(own.rowsBetween(Window.unboundedPreceding, 0)) + before)
     placed = placed.withColumn("end", F.col("start") + F.col("size")).withColumn("strong", F.coalesce(F.col("kind").isin(*STRONG), F.lit(False)))
     # a match that fails its test counts for nothing, but its row stays for its document
     placed = placed.withColumn("kind", F.when(F.col("good"), F.col("kind")))
-    by_start = Window.partitionBy("row").orderBy("start")
+    by_start = Window.partitionBy(*row).orderBy("start")
     near = by_start.rangeBetween(-scope, scope)
     has = lambda *kinds: F.max(F.col("kind").isin(*kinds)).over(near)
     strong = F.col("strong") & F.col("kind").isNotNull()
@@ -81,5 +85,5 @@ def scan(docs: DataFrame, *, scope: int = 200) -> DataFrame:
     span = F.struct("start", order.alias("order"), "end", F.concat_ws(":", "kind", "start", "end").alias("s"))
     spans = lambda which: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(which, span))), lambda x: x["s"]), ",")
     counts = [F.count(F.when(F.col("base") & (F.col("kind") == k), 1)).alias(f"n_{k}") for k in STRONG]
-    out = linked.groupBy("row", "doc_id").agg(*counts, F.count(F.when(F.col("weak"), 1)).alias("n_linked"), spans(F.col("base")).alias("base"), spans(F.col("base") | F.col("weak")).alias("spans"))
-    return out.drop("row")
+    out = linked.groupBy(*row).agg(F.max("copies").alias("copies"), *counts, F.count(F.when(F.col("weak"), 1)).alias("n_linked"), spans(F.col("base")).alias("base"), spans(F.col("base") | F.col("weak")).alias("spans"))
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("hash", "copies", "copy")
