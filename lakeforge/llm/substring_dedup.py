@@ -323,4 +323,6 @@ def remove_repeats(docs: DataFrame, *, width: int = 13, bits: int | None = None,
                 kept.append(b" ".join(spelt if gone is None else [w for w, g in zip(spelt, gone.tolist()) if not g]).decode())
             yield pa.record_batch([batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    return docs.join(repeats, "doc_id", "left").mapInArrow(finish, "doc_id long, n_words long, n_removed long, kept string")
+    # rows without a doc_id lose nothing, and aren't dealt by it
+    without_id = docs.where("doc_id IS NULL").withColumn("hashes", F.lit(None).cast("binary"))
+    return known.join(repeats, "doc_id", "left").unionByName(without_id).mapInArrow(finish, "doc_id long, n_words long, n_removed long, kept string")
