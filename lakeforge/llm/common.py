@@ -40,7 +40,10 @@ def without(docs: DataFrame, ids: DataFrame, *, broadcast_rows: int = 1_000_000)
     """docs without the rows whose doc_id is among ids(doc_id), which are broadcast where there are at most
     broadcast_rows (8 bytes each), else shuffled. A null doc_id is never among them."""
     ids = cut(ids.select("doc_id").distinct())
-    return docs.join(F.broadcast(ids) if ids.count() <= broadcast_rows else ids, "doc_id", "left_anti").select(docs.columns)
+    if ids.count() <= broadcast_rows:
+        return docs.join(F.broadcast(ids), "doc_id", "left_anti").select(docs.columns)
+    kept = docs.where("doc_id IS NOT NULL").join(ids, "doc_id", "left_anti").select(docs.columns)
+    return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def parts(df: DataFrame) -> int:

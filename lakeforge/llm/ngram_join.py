@@ -115,8 +115,13 @@ def shared_prefixes(nodes: DataFrame, percent: int) -> DataFrame:
     deal = parts(nodes)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()  # nodes that this task has dealt, so that a node of many copies is dealt once
         for batch in batches:
             c, first = np.unique(np.asarray(batch.column("c")), return_index=True)
+            new = np.array([x not in sent for x in c.tolist()], bool)
+            c, first = c[new], first[new]
+            sent = sent if len(sent) < 1_000_000 else set()
+            sent.update(c.tolist())
             prefix, n = batch.column("prefix").take(pa.array(first)).to_pylist(), np.asarray(batch.column("n"))[first]
             length = np.array([len(x) // 8 for x in prefix], np.int64)
             yield dealt(np.frombuffer(b"".join(prefix), np.uint64), {"c": np.repeat(c, length), "n": np.repeat(n, length).astype("<i8")}, deal)
@@ -266,6 +271,21 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def labelled(nodes: DataFrame, label: DataFrame, *, hot_rows: int = 100_000, most_hot: int = 10_000) -> DataFrame:
+    """doc_id, n_shingles, component_id from label(c, component_id). Nodes with over hot_rows copies are dealt to several
+    partitions; at most most_hot nodes are taken as such, so that their list can be broadcast. Rows without a node
+    aren't dealt at all."""
+    rows = nodes.select("doc_id", F.col("n").alias("n_shingles"), "c")
+    sizes = rows.where("c IS NOT NULL").groupBy("c").count()
+    least = max(hot_rows, nodes.count() // most_hot)
+    hot = F.broadcast(cut(sizes.where(F.col("count") > least).select("c", F.ceil(F.col("count") / least).alias("ways"))))
+    ways = F.coalesce("ways", F.lit(1).cast("long"))
+    dealt_rows = rows.where("c IS NOT NULL").join(hot, "c", "left").withColumn("way", F.pmod(F.xxhash64("doc_id"), ways)).drop("ways")
+    copies = label.join(hot, "c", "left").select("c", "component_id", F.explode(F.sequence(F.lit(0).cast("long"), ways - 1)).alias("way"))
+    found = dealt_rows.join(copies, ["c", "way"]).select("doc_id", "n_shingles", "component_id")
+    return found.unionByName(rows.where("c IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
 def jaccard_components(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of docs(doc_id, text, ...).
 
@@ -332,5 +352,4 @@ def jaccard_components(docs: DataFrame, *, width: int = 5, percent: int = 80) ->
     least = known.groupBy("root").agg(F.min("rep").alias("least"))
     linked = known.join(least, "root").select("c", "least")
     label = cut(reps.join(linked, "c", "left").select("c", F.coalesce("least", "rep").alias("component_id")))
-    out = nodes.select("doc_id", F.col("n").alias("n_shingles"), "c").join(label, "c", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return labelled(nodes, label)

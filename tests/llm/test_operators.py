@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeforge.llm import decontaminate, fingerprints, language_id, line_dedup, ngram_join, packing, quality, queries, secret_scan, substring_dedup, token_counts
-from lakeforge.llm.common import mix, word_hashes, word_spans
+from lakeforge.llm.common import mix, without, word_hashes, word_spans
 from tests.llm import brute
 from tests.oracle import connect, spark_rows, sql_rows
 
@@ -126,6 +126,20 @@ def test_jaccard_join_of_near_threshold_groups(spark):
     assert got(ngram_join.jaccard_components(frame(spark, rows)), *NAMES3) == brute.multiset(brute.jaccard(rows))
 
 
+def test_hot_nodes(spark):
+    """Nodes of many copies are dealt to several partitions and keep all their rows."""
+    rows = [(k, "the same words in every one of these" if k % 3 else f"others {k % 4}") for k in range(60)] + [(None, "x"), (70, None)]
+    nodes = ngram_join.nodes_and_prefixes(frame(spark, rows), np.zeros(ngram_join.SKETCH, np.uint8), 5, 80)
+    label = nodes.where("c IS NOT NULL").groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    assert got(ngram_join.labelled(nodes, label, hot_rows=4), *NAMES3) == brute.multiset(brute.jaccard(rows))
+
+
+def test_without(spark, docs, rows):
+    ids = spark.createDataFrame([(1,), (7,), (None,)], "doc_id long")
+    for limit in (10, 0):
+        assert got(without(docs, ids, broadcast_rows=limit), "doc_id", "text") == brute.multiset(x for x in rows if x[0] not in (1, 7))
+
+
 def test_jaccard_query(spark, small):
     assert got(queries.op3_ngram_jaccard_join(spark, SF), *NAMES3) == brute.multiset(brute.jaccard(small))
 
