@@ -1,11 +1,12 @@
 """Mixture-controlled packing by deficit round-robin over source queues.
 
-Documents become token ids plus an end id and wait in one queue for each source. Time runs in rounds of `mixture`
-tokens; in round r a queue may have sent floor(r * mixture * share) tokens in all, so what rounding kept from it in
-one round it gets in a later one, whichever task or partition holds the next document. The sent tokens of all
-rounds, one after another, are cut every `window` tokens. The place of a token follows from its number in its queue
-alone, so tasks place their documents independently: they need the queues' totals and the number of tokens that
-tasks before them put in each queue.
+Documents become token ids plus an end id and wait in one queue for each source. Time runs in rounds; a round is a
+sequence, of `window` tokens, unless `mixture` asks for another size. Each token is due at a time that its number in
+its queue and the queue's share tell; a round sends those due first, exactly as many as it holds, each queue's in one
+run. So every sequence has the shares, and what rounding kept from a queue in one round it gets in a later one,
+whichever task or partition holds the next document. The place of a token follows from its number in its queue alone,
+so tasks place their documents independently: they need the queues' totals and the number of tokens that tasks before
+them put in each queue.
 
 By default each source's share is its share of all tokens; all queues then end together. With other targets a
 queue that ends leaves its share to those that remain.
@@ -86,49 +87,98 @@ def id_encoder(file: bytes, kind: str, cache: int):
     return run
 
 
-def phases(totals: list[int], weights: list[int], mixture: int) -> list[dict]:
-    """Runs of rounds in which the same queues are served: {base: tokens sent before, sent: by queue before, left:
-    by queue, weight: by queue, sum: of the weights, rounds}."""
-    sent, base, out = [0] * len(totals), 0, []
-    while base < sum(totals):
-        left = [t - s for t, s in zip(totals, sent)]
-        weight = [w if n else 0 for w, n in zip(weights, left)]
-        if not any(weight):  # what has no target comes last, as it is
-            weight = left
-        total = sum(weight)
-        rounds = min(-(-n * total // (w * mixture)) for n, w in zip(left, weight) if w)
-        out.append({"base": base, "sent": sent, "left": left, "weight": weight, "sum": total, "rounds": rounds})
-        got = allotted(out[-1], rounds, mixture)
-        sent, base = [s + g for s, g in zip(sent, got)], base + sum(got)
-    return out
-
-
-def allotted(phase: dict, r: int, mixture: int) -> list[int]:
-    """Tokens of each queue that rounds before r of this phase send."""
-    return [min(n, r * mixture * w // phase["sum"]) for n, w in zip(phase["left"], phase["weight"])]
+def phases(totals: list[int], weights: list[int], mixture: int) -> dict:
+    """How the queues are served: {n: tokens by queue, rate: tokens by unit of time, start: time of the first one, early:
+    by queue, what its tokens are ahead, so that equal queues don't all wait for the same moment; at, served: tokens
+    that have been due by a time, between these times in proportion; mixture}. Queues without a weight follow the
+    others, in proportion to what they hold; a queue that ends leaves its share to those that remain."""
+    n, w = np.array(totals, np.int64), np.array([w if t else 0 for t, w in zip(totals, weights)], np.float64)
+    late = (w == 0) & (n > 0)
+    end = (n[w > 0] / w[w > 0]).max(initial=0.0)
+    rate, start = np.where(w > 0, w, np.maximum(n, 1)), np.where(late, end, 0.0)
+    stop = start + n / rate
+    at, slope, place = [0.0], float(rate[(n > 0) & ~late].sum()), [0.0]
+    order = np.argsort(stop, kind="stable")
+    for q in order[n[order] > 0].tolist():
+        if late[q]:
+            break
+        place.append(place[-1] + slope * (stop[q] - at[-1]))
+        at.append(float(stop[q]))
+        slope = max(slope - float(rate[q]), 0.0)
+    if late.any():
+        at.append(float(end) + 1.0)
+        place.append(float(n.sum()))
+    return {"n": n, "rate": rate, "start": start, "early": (np.arange(len(n)) + 0.5) / max(len(n), 1), "at": np.array(at), "served": np.array(place), "mixture": mixture}
+
+
+def due(plan: dict, time: np.ndarray) -> np.ndarray:
+    """Tokens of each queue (column) that are due before each time (row)."""
+    x = np.ceil((time[:, None] - plan["start"]) * plan["rate"] - plan["early"])
+    return np.clip(x, 0, plan["n"]).astype(np.int64)
+
+
+def quotas(plan: dict, rounds: np.ndarray) -> np.ndarray:
+    """Tokens of each queue (column) that the rounds before each of `rounds` (row) send: those due first, of tokens due
+    at once those of lower queues. All but the last round send exactly `mixture` tokens."""
+    want, room = np.minimum(rounds * plan["mixture"], plan["n"].sum()), len(plan["n"]) + 1
+    when = lambda x: np.interp(x, plan["served"], plan["at"])
+    lo, hi = when(want - room), when(want + room)
+    lo[due(plan, lo).sum(1) > want] = 0.0
+    hi[due(plan, hi).sum(1) < want] = 2 * plan["at"][-1] + 1
+    sent = due(plan, lo)
+    todo = np.flatnonzero(sent.sum(1) < want)
+    while len(todo):
+        mid = (lo[todo] + hi[todo]) / 2
+        todo, mid = todo[fresh := (mid > lo[todo]) & (mid < hi[todo])], mid[fresh]
+        got = due(plan, mid)
+        fits = got.sum(1) <= want[todo]
+        lo[todo[fits]], hi[todo[~fits]], sent[todo[fits]] = mid[fits], mid[~fits], got[fits]
+        todo = todo[~fits | (got.sum(1) < want[todo])]
+    tied = np.flatnonzero(sent.sum(1) < want)
+    if len(tied):
+        more = due(plan, hi[tied]) - sent[tied]
+        sent[tied] += np.clip((want[tied] - sent[tied].sum(1))[:, None] - (np.cumsum(more, 1) - more), 0, more)
+    return sent
+
+
+def runs(plan: dict, queue: np.ndarray, first: np.ndarray, n: np.ndarray, cells: int = 1 << 20) -> Iterator[tuple[np.ndarray, ...]]:
+    """(document, start in it, length, place among all tokens) of the runs of documents whose first tokens are their
+    queues' tokens number `first`; at most about `cells` counts of queues are held at a time."""
+    mixture, slack = plan["mixture"], 2 * len(plan["n"]) // plan["mixture"] + 2
+    near = lambda x: (np.interp(plan["start"][queue] + x / plan["rate"][queue], plan["at"], plan["served"]) // mixture).astype(np.int64)
+    last = max(-(-int(plan["n"].sum()) // mixture) - 1, 0)
+    lo, hi = np.maximum(near(first) - slack, 0), np.minimum(near(first + n) + slack, last)
+    size = np.maximum(hi - lo + 1, 0)
+    doc = np.repeat(np.arange(len(n)), size)
+    rounds = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size) + lo[doc]
+    order = np.argsort(rounds, kind="stable")
+    doc, rounds = doc[order], rounds[order]
+    each, begin = np.unique(rounds, return_index=True)
+    begin, step = np.append(begin, len(rounds)), max(cells // max(len(plan["n"]), 1), 1)
+    for k in range(0, len(each), step):
+        some = each[k : k + step]
+        edges = np.unique(np.concatenate((some, some + 1)))
+        sent = quotas(plan, edges)
+        at = np.searchsorted(edges, some)
+        low, high = sent[at], sent[at + 1]
+        ahead = np.cumsum(high - low, 1) - (high - low)
+        here = slice(begin[k], begin[min(k + step, len(each))])
+        d, row = doc[here], np.searchsorted(some, rounds[here])
+        q = queue[d]
+        a, b = np.maximum(low[row, q], first[d]), np.minimum(high[row, q], first[d] + n[d])
+        kept = b > a
+        place = rounds[here] * mixture + ahead[row, q] + a - low[row, q]
+        yield d[kept], (a - first[d])[kept], (b - a)[kept], place[kept]
+
+
+def places(plan: dict, mixture: int, queue: int, start: int, n: int) -> Iterator[tuple[int, int, int]]:
+    """(start in the document, length, place among all tokens) of the runs of a document whose first token is the
+    queue's token number `start`; mixture is the plan's."""
+    for _, at, length, place in runs(plan | {"mixture": mixture}, np.array([queue]), np.array([start]), np.array([n])):
+        yield from zip(at.tolist(), length.tolist(), place.tolist())
 
 
-def places(plan: list[dict], mixture: int, queue: int, start: int, n: int) -> Iterator[tuple[int, int, int]]:
-    """(start in the document, length, place among all tokens) of the runs of a document whose first token is the
-    queue's token number `start`."""
-    done = 0
-    while done < n:
-        phase = next(p for p in reversed(plan) if p["sent"][queue] <= start + done and p["weight"][queue])
-        x = start + done - phase["sent"][queue]
-        r = min(((x + 1) * phase["sum"] - 1) // (mixture * phase["weight"][queue]), phase["rounds"] - 1)
-        kept = phase.setdefault("kept", {})
-        if r not in kept:
-            if len(kept) > 64:
-                kept.clear()
-            kept[r] = (allotted(phase, r, mixture), allotted(phase, r + 1, mixture))
-        lo, hi = kept[r]
-        place = phase["base"] + sum(lo) + sum(hi[:queue]) - sum(lo[:queue]) + x - lo[queue]
-        length = min(n - done, hi[queue] - x)
-        yield done, length, place
-        done += length
-
-
-def pack(docs: DataFrame, tokenizer: bytes, *, window: int = 1024, mixture: int = 65536, end_id: int = 0, targets: dict[str, int] | None = None, max_queues: int = 1024, cache: int = 300_000, broadcast_rows: int = 100_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: bytes, *, window: int = 1024, mixture: int | None = None, end_id: int = 0, targets: dict[str, int] | None = None, max_queues: int = 1024, cache: int = 300_000, broadcast_rows: int = 100_000) -> DataFrame:
     """Pieces of the packed sequences: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (binary,
     little-endian, of 2 bytes for vocabularies up to 65,536, else of 4).
 
@@ -166,7 +216,7 @@ def pack(docs: DataFrame, tokenizer: bytes, *, window: int = 1024, mixture: int
     totals = {r["queue"]: r["n"] for r in by_task.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
     names = sorted(totals)
     weights = [totals[q] if targets is None else int(targets.get(q[1:], 0)) for q in names]
-    plan, number = phases([totals[q] for q in names], weights, mixture), {q: k for k, q in enumerate(names)}
+    plan, number = phases([totals[q] for q in names], weights, mixture or window), {q: k for k, q in enumerate(names)}
     ahead = Window.partitionBy("queue").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     starts = by_task.withColumn("first", F.coalesce(F.sum("n").over(ahead), F.lit(0))).drop("n")
     if by_task.count() <= broadcast_rows:
@@ -175,15 +225,20 @@ def pack(docs: DataFrame, tokenizer: bytes, *, window: int = 1024, mixture: int
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = int(kind[-1])
         for batch in slices(batches, "ids"):
-            out: list[tuple] = []
-            for doc, q, first, n, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "queue", "first", "n", "ids"))):
-                wide = np.frombuffer(ids, kind).astype("<u4")
-                for at, length, place in places(plan, mixture, number[q], first, n):
-                    while length:
-                        part = min(length, window - place % window)
-                        out.append((doc, at, part, zlib.crc32(wide[at : at + part].tobytes()), n, place // window, place % window, ids[at * width : (at + part) * width]))
-                        at, place, length = at + part, place + part, length - part
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 8, [pa.int64()] * 7 + [pa.binary()])], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
+            doc, ids = batch.column("doc_id"), batch.column("ids").to_pylist()
+            n, queue = np.asarray(batch.column("n")), np.array([number[q] for q in batch.column("queue").to_pylist()], np.int64)
+            for d, at, length, place in runs(plan, queue, np.asarray(batch.column("first")), n):
+                times = (place + length - 1) // window - place // window + 1  # a run may cross windows where rounds aren't windows
+                d, at, length, place = (np.repeat(x, times) for x in (d, at, length, place))
+                cuts = (np.arange(len(d)) - np.repeat(np.cumsum(times) - times, times) + place // window) * window
+                begin, end = np.maximum(place, cuts), np.minimum(place + length, cuts + window)
+                at, length, place = at + begin - place, end - begin, begin
+                for lo in range(0, len(d), 50_000):
+                    p = slice(lo, lo + 50_000)
+                    parts = [ids[k][x * width : y * width] for k, x, y in zip(d[p].tolist(), at[p].tolist(), (at[p] + length[p]).tolist())]
+                    sums = [zlib.crc32(x) for x in parts] if width == 4 else [zlib.crc32(np.frombuffer(x, kind).astype("<u4").tobytes()) for x in parts]
+                    cols = [doc.take(pa.array(d[p])), pa.array(at[p]), pa.array(length[p]), pa.array(sums, pa.int64()), pa.array(n[d[p]]), pa.array(place[p] // window), pa.array(place[p] % window), pa.array(parts, pa.binary())]
+                    yield pa.record_batch(cols, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
 
     joined = tokens.join(starts, ["queue", "task"]).select("doc_id", "queue", (F.col("first") + F.col("before")).alias("first"), "n", "ids")
     return joined.mapInArrow(packed, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")

@@ -351,6 +351,42 @@ def test_packing_keeps_proportions():
         assert starts == sorted(starts) and all(abs(s - want) <= 1 for s in sizes[:-1])
 
 
+def test_packing_mixes_every_sequence(spark):
+    """Each full sequence has each source's share to a token or two, also of sources with less than one token in it."""
+    text = " ".join(f"w{k}" for k in range(40))
+    many = {"a": 300, "b": 200, "c": 100, "d": 2}
+    docs = spark.createDataFrame([(k, text, s) for s, n in many.items() for k in range(n)], "doc_id long, text string, source string").withColumn("doc_id", F.monotonically_increasing_id())
+    of, total = {r.doc_id: r.source for r in docs.collect()}, sum(many.values())
+    got = {}
+    for p in packing.pack(docs, queries.vocabulary("byte_bpe_50k.json"), window=256).collect():
+        got.setdefault(p.sequence_id, dict.fromkeys(many, 0))[of[p.doc_id]] += p.length
+    assert sorted(got) == list(range(len(got)))
+    for k in range(len(got) - 1):
+        assert sum(got[k].values()) == 256 and all(abs(got[k][s] - 256 * n / total) <= 2 for s, n in many.items())
+    for s, n in many.items():  # what rounding keeps comes later
+        assert abs(sum(got[k][s] for k in range(len(got) // 2)) - 256 * (len(got) // 2) * n / total) <= 2
+
+
+def test_packing_places_are_whole():
+    """Every place is taken once, in the queues' order, whatever the sizes, the shares and the documents' bounds."""
+    r = random.Random(9)
+    for _ in range(40):
+        k, mixture = r.choice([1, 2, 5, 12]), r.choice([7, 64])
+        totals = [r.choice([0, 1, 30, r.randrange(300)]) for _ in range(k)]
+        weights = r.choice([totals, [1] * k, [r.choice([0, 1, 5, 10**6]) for _ in range(k)]])
+        plan, seen = packing.phases(totals, weights, mixture), []
+        for q, n in enumerate(totals):
+            before = -1
+            for lo in range(0, n, 61):
+                size = min(61, n - lo)
+                for d, at, length, place in packing.runs(plan, np.array([q]), np.array([lo]), np.array([size]), 100):
+                    for a, m, p in sorted(zip(at.tolist(), length.tolist(), place.tolist())):
+                        assert p > before
+                        before = p + m - 1
+                        seen.extend(range(p, p + m))
+        assert sorted(seen) == list(range(sum(totals)))
+
+
 def test_chunks_encode_like_whole_texts():
     from tokenizers import Tokenizer
 
