@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import re
+import warnings
 import zlib
 from collections.abc import Iterator
 
@@ -183,8 +184,9 @@ def pack(docs: DataFrame, tokenizer: bytes, *, window: int = 1024, mixture: int
     little-endian, of 2 bytes for vocabularies up to 65,536, else of 4).
 
     docs has doc_id, text and source. tokenizer: the bytes of a tokenizers file. A null text counts as empty: its
-    piece has the end id alone. Documents with a null source share a queue; where there are more than max_queues
-    sources, sources share max_queues queues by hash. Null doc_ids are kept; rows that repeat are packed as often;
+    piece has the end id alone. Each source has a queue of its own, however many there are, and documents with a null
+    source share one; beyond max_queues a warning tells that CPU grows with their number. targets(source -> share; ""
+    is the null source's) raise where no document has the source. Null doc_ids are kept; rows that repeat are packed as often;
     other columns are ignored; an empty table gives no pieces. A long text fills as many sequences as it needs.
     """
     spark = docs.sparkSession
@@ -193,8 +195,6 @@ def pack(docs: DataFrame, tokenizer: bytes, *, window: int = 1024, mixture: int
     shared = spark.sparkContext.broadcast(tokenizer)
     tag = ("ids", shared._jbroadcast.id(), kind, cache)
     queue = F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), F.col("source").cast("string")))
-    if docs.select("source").distinct().limit(max_queues + 1).count() > max_queues:
-        queue = F.concat(F.lit("#"), F.pmod(F.xxhash64("source"), F.lit(max_queues)).cast("string"))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = once_per_worker(tag, lambda: id_encoder(shared.value, kind, cache))
@@ -213,12 +213,22 @@ def pack(docs: DataFrame, tokenizer: bytes, *, window: int = 1024, mixture: int
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), queue.alias("queue"), "text")
     tokens = cut(rows.mapInArrow(encoded, "doc_id long, queue string, task int, before long, n long, ids binary"))
     by_task = tokens.groupBy("queue", "task").agg(F.sum("n").alias("n"))
-    totals = {r["queue"]: r["n"] for r in by_task.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
-    names = sorted(totals)
-    weights = [totals[q] if targets is None else int(targets.get(q[1:], 0)) for q in names]
-    plan, number = phases([totals[q] for q in names], weights, mixture or window), {q: k for k, q in enumerate(names)}
+    sizes = cut(by_task.groupBy("queue").agg(F.sum("n").alias("total")).withColumn("number", F.row_number().over(Window.orderBy("queue")) - 1))
+    totals = np.asarray(sizes.orderBy("number").select("total").toArrow().column("total")).tolist()
+    if len(totals) > max_queues:
+        warnings.warn(f"{len(totals)} sources are mixed: CPU seconds a sequence grow with their number")
+    weights = totals
+    if targets is not None:
+        asked = sizes.where(F.substring("queue", 2, 1 << 30).isin(list(targets))).select("queue", "number").collect()
+        lost = set(targets) - {r["queue"][1:] for r in asked}
+        if totals and lost:
+            raise ValueError(f"no document has the sources {sorted(lost)} of targets")
+        weights = [0] * len(totals)
+        for r in asked:
+            weights[r["number"]] = int(targets[r["queue"][1:]])
+    plan = spark.sparkContext.broadcast(phases(totals, weights, mixture or window))
     ahead = Window.partitionBy("queue").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = by_task.withColumn("first", F.coalesce(F.sum("n").over(ahead), F.lit(0))).drop("n")
+    starts = by_task.withColumn("first", F.coalesce(F.sum("n").over(ahead), F.lit(0))).drop("n").join(sizes.select("queue", "number"), "queue")
     if by_task.count() <= broadcast_rows:
         starts = F.broadcast(starts)
 
@@ -226,8 +236,8 @@ def pack(docs: DataFrame, tokenizer: bytes, *, window: int = 1024, mixture: int
         width = int(kind[-1])
         for batch in slices(batches, "ids"):
             doc, ids = batch.column("doc_id"), batch.column("ids").to_pylist()
-            n, queue = np.asarray(batch.column("n")), np.array([number[q] for q in batch.column("queue").to_pylist()], np.int64)
-            for d, at, length, place in runs(plan, queue, np.asarray(batch.column("first")), n):
+            n, queue = np.asarray(batch.column("n")), np.asarray(batch.column("number")).astype(np.int64)
+            for d, at, length, place in runs(plan.value, queue, np.asarray(batch.column("first")), n):
                 times = (place + length - 1) // window - place // window + 1  # a run may cross windows where rounds aren't windows
                 d, at, length, place = (np.repeat(x, times) for x in (d, at, length, place))
                 cuts = (np.arange(len(d)) - np.repeat(np.cumsum(times) - times, times) + place // window) * window
@@ -240,5 +250,5 @@ def pack(docs: DataFrame, tokenizer: bytes, *, window: int = 1024, mixture: int
                     cols = [doc.take(pa.array(d[p])), pa.array(at[p]), pa.array(length[p]), pa.array(sums, pa.int64()), pa.array(n[d[p]]), pa.array(place[p] // window), pa.array(place[p] % window), pa.array(parts, pa.binary())]
                     yield pa.record_batch(cols, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
 
-    joined = tokens.join(starts, ["queue", "task"]).select("doc_id", "queue", (F.col("first") + F.col("before")).alias("first"), "n", "ids")
+    joined = tokens.join(starts, ["queue", "task"]).select("doc_id", "number", (F.col("first") + F.col("before")).alias("first"), "n", "ids")
     return joined.mapInArrow(packed, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")

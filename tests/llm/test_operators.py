@@ -387,6 +387,20 @@ def test_packing_places_are_whole():
         assert sorted(seen) == list(range(sum(totals)))
 
 
+def test_packing_keeps_sources_and_targets_beyond_max_queues(spark):
+    """Neither the number of sources nor max_queues changes the mixture; targets of no source raise."""
+    docs = spark.createDataFrame([(k, "a few words of text", f"s{k % 7}") for k in range(210)], "doc_id long, text string, source string")
+    file, targets = queries.vocabulary("byte_bpe_50k.json"), {"s0": 3, "s1": 1}
+    for how in (None, targets):
+        one, other = (packing.pack(docs, file, window=32, targets=how, max_queues=m, broadcast_rows=b).drop("ids") for m, b in ((1, 0), (1024, 100_000)))
+        mix = lambda df: df.groupBy("sequence_id", F.col("doc_id") % 7).agg(F.sum("length")).collect()
+        assert brute.multiset(map(tuple, mix(one))) == brute.multiset(map(tuple, mix(other)))
+    served = packing.pack(docs, file, window=32, targets=targets, max_queues=1).where("sequence_id < 5").groupBy((F.col("doc_id") % 7).alias("s")).agg(F.sum("length").alias("n")).collect()
+    assert {r.s: r.n for r in served} == {0: 120, 1: 40}
+    with pytest.raises(ValueError, match="s9"):
+        packing.pack(docs, file, targets={"s0": 1, "s9": 1})
+
+
 def test_chunks_encode_like_whole_texts():
     from tokenizers import Tokenizer
 
