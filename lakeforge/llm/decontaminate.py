@@ -1,8 +1,9 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame functions only.
 
 Numbers, units after numbers and names (capitalised words inside a sentence) become typed placeholders. Windows of the
-resulting templates are matched by hash; matches of one document and item at one offset are put together, and the
-values that their placeholders stand for must agree: one value of the item always with the same value of the document.
+resulting templates are matched by hash; matches of one document and item at one offset, and at offsets close to each
+other, are put together in order, and the values that their placeholders stand for must agree: windows with a value of
+the item that stands for several values of the document count for nothing.
 So a question whose numbers or names were exchanged is caught, and two texts that share a pattern by chance aren't.
 """
 from __future__ import annotations
@@ -39,23 +40,26 @@ def with_templates(df: DataFrame) -> DataFrame:
     return df.withColumn("v", value).drop("w")
 
 
-def windows(width) -> Column:
-    """(h, at, v) of each window of `width` template words; v is null where the text has no placeholder."""
+def windows(width: int, literal: int) -> Column:
+    """(h, at, v) of each window of `width` template words; v is null where the text has no placeholder. A window with
+    fewer than `literal` words that aren't placeholders is known by its values too."""
+    low = lambda i: F.col("v").isNotNull() & (F.size(F.array_remove(F.slice("v", i, width), "")) > width - min(literal, width))
+    h = lambda i: F.when(low(i), F.xxhash64(F.slice("t", i, width), F.slice("v", i, width))).otherwise(F.xxhash64(F.slice("t", i, width)))
     starts = F.when(F.size("t") >= width, F.sequence(F.lit(1), F.size("t") - width + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.struct(F.xxhash64(F.slice("t", i, width)).alias("h"), i.alias("at"), F.array_join(F.slice("v", i, width), " ").alias("v")))
+    return F.transform(starts, lambda i: F.struct(h(i).alias("h"), i.alias("at"), F.array_join(F.slice("v", i, width), " ").alias("v")))
 
 
-def sized_windows(width: int) -> Column:
-    return F.transform(windows(width), lambda x: F.struct(F.lit(width).alias("size"), x["h"].alias("h"), x["at"].alias("at"), x["v"].alias("v")))
+def sized_windows(width: int, literal: int) -> Column:
+    return F.transform(windows(width, literal), lambda x: F.struct(F.lit(width).alias("size"), x["h"].alias("h"), x["at"].alias("at"), x["v"].alias("v")))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = 8, literal: int = 4, coverage: float = 0.5, broadcast_rows: int = 500_000) -> DataFrame:
     """doc_id, item_id, n_windows, coverage, reworded of each pair of a document and a benchmark item that it holds.
 
-    docs(doc_id, text, ...), benchmark(item_id, text, ...). A document holds an item when at one offset at least
-    `coverage` of the item's windows of `width` template words match with consistent values; windows with fewer than
-    `literal` words that aren't placeholders count for nothing, an item with fewer words is one window. reworded says
-    that some value differs. Null or empty texts hold and match nothing, nor do rows with a null id; rows that repeat
+    docs(doc_id, text, ...), benchmark(item_id, text, ...). A document holds an item when at least `coverage` of the
+    item's windows of `width` template words match in the item's order with consistent values, at one offset or, where
+    words came in or went, at offsets that differ by less than the item's length. Windows with fewer than `literal`
+    words that aren't placeholders match by their values too; an item with fewer words is one window. reworded says that some value differs. Null or empty texts hold and match nothing, nor do rows with a null id; rows that repeat
     give one pair; other columns are ignored; empty tables give no pairs. Texts are read whole, however long.
 
     Item windows are broadcast where there are at most broadcast_rows, else both sides are shuffled by hash.
@@ -65,9 +69,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = 8, liter
     lengths = [r["size"] for r in items.select("size").distinct().collect()]  # width of them at most
     known = None
     for n in lengths:
-        own = items.where(F.col("size") == n).withColumn("x", F.explode(windows(n))).select("item_id", "size", "x.*", F.slice("t", F.col("x.at"), n).alias("part"))
-        own = own.where(F.size(F.filter("part", lambda c: ~c.isin(NUMBER, NAME, UNIT))) >= F.least(F.lit(literal), F.lit(n)))
-        known = own.drop("part") if known is None else known.union(own.drop("part"))
+        own = items.where(F.col("size") == n).withColumn("x", F.explode(windows(n, literal))).select("item_id", "size", "x.*")
+        known = own if known is None else known.union(own)
     if known is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_windows long, coverage double, reworded boolean")
     total = known.groupBy("item_id").agg(F.count("*").alias("total"))
@@ -76,14 +79,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = 8, liter
         known = F.broadcast(known)
     rows = with_templates(docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text")
     if len(lengths) == 1:
-        found = rows.select("doc_id", F.explode(windows(lengths[0])).alias("x")).select("doc_id", F.lit(lengths[0]).alias("size"), "x.*")
+        found = rows.select("doc_id", F.explode(windows(lengths[0], literal)).alias("x")).select("doc_id", F.lit(lengths[0]).alias("size"), "x.*")
     else:
-        found = rows.select("doc_id", F.explode(F.concat(*map(sized_windows, lengths))).alias("x")).select("doc_id", "x.*")
-    hits = found.join(known, ["h", "size"]).select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "total", "item_v", "v").distinct()
-    # one document, item and offset: no more rows than the item has windows (times the row's repeats)
+        found = rows.select("doc_id", F.explode(F.concat(*(sized_windows(n, literal) for n in lengths))).alias("x")).select("doc_id", "x.*")
     pairs = F.arrays_zip(F.split(F.coalesce("item_v", F.lit("")), " ").alias("a"), F.split(F.coalesce("v", F.lit("")), " ").alias("b"))
-    held = hits.groupBy("doc_id", "item_id", "shift").agg(F.countDistinct("item_at").alias("n_windows"), F.max("total").alias("total"), F.flatten(F.collect_set(pairs)).alias("p"))
-    held = held.withColumn("p", F.array_distinct(F.filter("p", lambda x: F.coalesce(x["a"], F.lit("")) != "")))
-    held = held.where(F.size(F.array_distinct(F.transform("p", lambda x: x["a"]))) == F.size("p")).withColumn("share", F.col("n_windows") / F.col("total")).where(F.col("share") >= coverage)
-    held = held.withColumn("reworded", F.exists("p", lambda x: ~x["a"].eqNullSafe(x["b"])))
+    hit = F.struct("item_at", (-F.col("at")).alias("back"), F.filter(pairs, lambda x: F.coalesce(x["a"], F.lit("")) != "").alias("p"))
+    hits = found.join(known, ["h", "size"]).select("doc_id", "item_id", "total", (F.col("at") - F.col("item_at")).alias("shift"), (F.col("total") + F.col("size")).alias("span"), hit.alias("hit"))
+
+    # alignments: each offset, and offsets in ranges of twice the item's length that overlap by half; the latter hold an
+    # item with words put in or left out, the former whole copies that lie side by side with other values
+    near = F.floor(F.col("shift") / F.col("span"))
+    ways = F.array(*(F.struct(F.lit(one).alias("one"), x.cast("long").alias("way")) for one, x in ((True, F.col("shift")), (False, near), (False, near - 1))))
+    held = hits.withColumn("x", F.explode(ways)).groupBy("doc_id", "item_id", "x").agg(F.collect_set("hit").alias("hits"), F.max("total").alias("total"))
+    held = held.where(F.size(F.array_distinct("hits.item_at")) >= F.col("total") * coverage)
+    held = held.withColumn("p", F.array_distinct(F.flatten("hits.p"))).withColumn("p", F.transform("p", lambda x: x["a"]))
+    held = held.withColumn("odd", F.filter(F.array_distinct("p"), lambda a: F.size(F.filter("p", lambda x: x == a)) > 1)).drop("p")
+    held = held.withColumn("hits", F.array_sort(F.filter("hits", lambda x: ~F.exists(x["p"], lambda y: F.array_contains("odd", y["a"])))))
+    # the longest run of windows in the order of both: last places of runs of 1, 2, ... windows, the least possible each
+    put = lambda acc, at, k: F.concat(F.slice(acc, 1, k), F.array(at), F.slice(acc, k + 2, F.size(acc)))
+    runs = F.aggregate("hits", F.array().cast("array<int>"), lambda acc, x: put(acc, -x["back"], F.size(F.filter(acc, lambda y: y < -x["back"]))))
+    held = held.withColumn("n_windows", F.size(runs).cast("long")).withColumn("share", F.col("n_windows") / F.col("total")).where(F.col("share") >= coverage)
+    held = held.withColumn("reworded", F.exists(F.flatten("hits.p"), lambda x: ~x["a"].eqNullSafe(x["b"])))
     return held.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max("share").alias("coverage"), F.min("reworded").alias("reworded"))

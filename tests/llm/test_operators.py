@@ -201,6 +201,21 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(frame(spark, docs), items.limit(0)).count() == 0
 
 
+def test_decontamination_of_edited_items(spark):
+    """A word put in or left out, a value changed once, items of numbers alone and of few plain words."""
+    r = random.Random(5)
+    plain = [f"{a}{b}" for a in "klmnprst" for b in ("ab", "eb", "ib", "ob", "ub")]
+    item = r.sample(plain, 38)
+    long = r.sample(plain, 40) + r.sample(plain, 20)
+    long[5] = long[11] = "77"
+    changed = [*long[:11], "78", *long[12:]]
+    numbers, play = "3 + 4 = 7 and 12 / 5 12 13 14 15 16 17", "Who wrote Hamlet?"
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(long)), (3, numbers), (4, play)], "item_id long, text string")
+    docs = [(1, item[:19] + ["inserted"] + item[19:]), (2, item[:19] + item[20:]), (3, item[:10] + ["x"] * 3 + item[10:]), (4, changed), (5, ["so", *numbers.split(), "end"]), (6, ["x.", *play.split(), "is asked"]), (7, ["x.", "Who", "wrote", "Faust?"]), (8, numbers.replace("1", "2").split()), (9, item[19:] + item[:5]), (10, item[25:] + item[12:25] + item[:12]), (11, item[:19] + ["far"] * 500 + item[19:])]
+    out = decontaminate.contaminated(frame(spark, [(k, " ".join(x)) for k, x in docs]), items)
+    assert {(x.doc_id, x.item_id): x.n_windows for x in out.collect()} == {(1, 1): 24, (2, 1): 23, (3, 1): 24, (4, 2): 53 - 12, (5, 3): 8, (6, 4): 1}
+
+
 def test_decontamination_query(spark, small):
     items = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
     want = {(i, k) for i, t in small for k, x in items if x in (t or "")}
