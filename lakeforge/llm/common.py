@@ -4,7 +4,7 @@ from __future__ import annotations
 import ctypes
 import sys
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import numpy as np
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: What counts as white space in all word and line rules here: space and \t \n \v \f \r.
 SPACE = b" \t\n\x0b\x0c\r"
+PART_BYTES = 64 << 20  # bytes of text for each partition of dealt arrays, at most on average
+HELD_BYTES = 8 << 20  # of arrays that a task gathers before it deals them
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +30,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def cut(df: DataFrame) -> DataFrame:
     """The same rows from a reliable checkpoint in the cluster's shared folder; a temporary folder only where
-    the session names none."""
+    the session names none and all of it runs on this machine."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="lakeforge-"))
     return df.checkpoint(eager=True)
 
@@ -46,17 +50,27 @@ def without(docs: DataFrame, ids: DataFrame, *, broadcast_rows: int = 1_000_000)
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
-def parts(df: DataFrame) -> int:
-    """How many partitions to deal rows of numpy arrays to: as many as the session's shuffles have."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def parts(df: DataFrame, size: int = 0) -> int:
+    """How many partitions to deal rows of numpy arrays to: as many as the session's shuffles have, and more where
+    `size` bytes of input would give one more than PART_BYTES."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+
+
+def text_size(docs: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of text, from a scan of the one column inside the JVM; filters and partitions are sized by them."""
+    r = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size")).first()
+    return int(r["n"]), int(r["size"])
 
 
 def once_per_worker(key: tuple, make: Callable[[], Any]) -> Any:
-    """make()'s value, kept in the Python worker for its later tasks; one value per kind (key[0])."""
+    """make()'s value, kept in the Python worker for its later tasks. A worker holds one value: another key's goes
+    before the new one is made, so that what stages before needed doesn't add up."""
     held = sys.__dict__.setdefault("_lakeforge_held", {})
-    if held.get(key[0], (None, None))[0] != key:
-        held[key[0]] = (key, make())
-    return held[key[0]][1]
+    if key not in held:
+        held.clear()
+        tidy()
+        held[key] = make()
+    return held[key]
 
 
 def tidy() -> None:
@@ -155,7 +169,33 @@ def dealt(token: np.ndarray, columns: dict[str, np.ndarray], deal: int, key: np.
     return pa.record_batch([pa.array(full, pa.int32()), *(pa.array(x, pa.binary()) for x in cells.values())], ["p", *cells])
 
 
+def dealt_out(pieces: Iterable[dict[str, np.ndarray]], deal: int) -> Iterator[pa.RecordBatch]:
+    """dealt() of arrays (t and its columns) that come in pieces: they are gathered up to HELD_BYTES first, so that the
+    rows are few and long however many partitions there are."""
+    held: list[dict[str, np.ndarray]] = []
+    size = 0
+
+    def flushed() -> Iterator[pa.RecordBatch]:
+        if held:
+            all_of = {k: np.concatenate([x[k] for x in held]) for k in held[0]}
+            held.clear()
+            yield dealt(all_of.pop("t"), all_of, deal)
+            tidy()
+
+    for piece in pieces:
+        if len(piece["t"]):
+            held.append(piece)
+            size += sum(v.nbytes for v in piece.values())
+        if size >= HELD_BYTES:
+            yield from flushed()
+            size = 0
+    yield from flushed()
+
+
 def gathered(batches: Iterator[pa.RecordBatch], kinds: dict[str, str]) -> dict[str, np.ndarray]:
     """The columns of all rows that reached this partition."""
-    rows = list(batches)
-    return {k: np.frombuffer(b"".join(x for b in rows for x in b.column(k).to_pylist()), kind) for k, kind in kinds.items()}
+    cells: dict[str, list[bytes]] = {k: [] for k in kinds}
+    for b in batches:
+        for k in kinds:
+            cells[k] += b.column(k).to_pylist()
+    return {k: np.frombuffer(b"".join(cells.pop(k)), kind) for k, kind in kinds.items()}

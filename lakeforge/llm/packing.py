@@ -13,6 +13,7 @@ queue that ends leaves its share to those that remain.
 """
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import warnings
@@ -59,11 +60,18 @@ def byte_ranks(spec: dict) -> dict[bytes, int] | None:
 def id_encoder(file: bytes, kind: str, cache: int):
     """text -> ids as bytes. Byte-level BPE is encoded by chunks that a space begins, through a cache: its rule for
     pre-tokens always begins one at a space that no white space follows. All else is encoded whole."""
-    from tokenizers import Tokenizer
+    held: list = []
 
-    whole = Tokenizer.from_str(file.decode())
-    whole.no_padding(), whole.no_truncation()
-    encode = lambda text: np.array(whole.encode(text, add_special_tokens=False).ids, kind).tobytes()
+    def whole():
+        """The library's own tokenizer, made when a text asks for it."""
+        if not held:
+            from tokenizers import Tokenizer
+
+            held.append(Tokenizer.from_str(file.decode()))
+            held[0].no_padding(), held[0].no_truncation()
+        return held[0]
+
+    encode = lambda text: np.array(whole().encode(text, add_special_tokens=False).ids, kind).tobytes()
     spec = json.loads(file)
     pre = spec.get("pre_tokenizer") or {}
     if spec["model"]["type"] != "BPE" or spec.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
@@ -179,7 +187,7 @@ def places(plan: dict, mixture: int, queue: int, start: int, n: int) -> Iterator
         yield from zip(at.tolist(), length.tolist(), place.tolist())
 
 
-def pack(docs: DataFrame, tokenizer: bytes, *, window: int = 1024, mixture: int | None = None, end_id: int = 0, targets: dict[str, int] | None = None, max_queues: int = 1024, cache: int = 300_000, broadcast_rows: int = 100_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: bytes, *, window: int = 1024, mixture: int | None = None, end_id: int = 0, targets: dict[str, int] | None = None, max_queues: int = 1024, cache: int = 1 << 16, broadcast_rows: int = 100_000) -> DataFrame:
     """Pieces of the packed sequences: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (binary,
     little-endian, of 2 bytes for vocabularies up to 65,536, else of 4).
 
@@ -193,7 +201,7 @@ def pack(docs: DataFrame, tokenizer: bytes, *, window: int = 1024, mixture: int
     most = max([*json.loads(tokenizer)["model"]["vocab"].values(), end_id])
     kind = "<u2" if most < 65536 else "<u4"
     shared = spark.sparkContext.broadcast(tokenizer)
-    tag = ("ids", shared._jbroadcast.id(), kind, cache)
+    tag = ("ids", hashlib.sha256(tokenizer).hexdigest(), kind, cache)
     queue = F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), F.col("source").cast("string")))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

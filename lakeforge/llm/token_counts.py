@@ -1,8 +1,9 @@
 """Token counts of whole texts by a map-side two-tier lookup.
 
-Tier one is a compact table of the most frequent pre-tokens and their token counts, broadcast to all tasks. Tier
-two is a cache in each Python worker; a miss there is encoded by the tokenizer's own library. Pre-tokens are never
-shuffled: only each task's short list of heavy pre-tokens is, to choose the broadcast table.
+Tier one is a compact table of frequent pre-tokens and their token counts, broadcast to all tasks: those that the model
+has as whole pieces, as its training gave pieces to what is frequent. So the table is known without a scan of the
+documents, and its size is the vocabulary's at most. Tier two is a cache in each Python worker; a miss there is encoded
+by the tokenizer's own library. No pre-token is ever shuffled; the documents are read once.
 
 A pre-token is a run of spaces and the non-spaces after it. No piece of the vocabulary has a space after a
 non-space, so merges never cross such a place and counts of pre-tokens add up to the count of the text. The driver
@@ -10,8 +11,8 @@ checks this of the model; a model for which it doesn't hold has whole texts enco
 """
 from __future__ import annotations
 
+import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -68,40 +69,29 @@ def piece_counter(model):
     return lambda word: len(model.encode(word)) if word else lone
 
 
-def heavy_pre_tokens(docs: DataFrame, per_task: int, table_size: int) -> list[str]:
-    """The most frequent pre-tokens over all documents, from each task's `per_task` most frequent ones. A task's
-    counter is cut back to its upper half when it outgrows 64 times that, so its memory is bounded; the list
-    decides about speed only."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for batch in slices(batches, "text"):
-            for text in batch.column(0).to_pylist():
-                seen.update(pre_tokens(text or ""))
-                if len(seen) > 64 * per_task:
-                    seen = Counter(dict(seen.most_common(32 * per_task)))
-        top = [(w, n) for w, n in seen.most_common(per_task) if len(w) <= 64]
-        yield pa.record_batch([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["word", "n"])
-
-    top = docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in top.orderBy(F.desc("n"), "word").limit(table_size).collect()]
+def known_words(model) -> list[str]:
+    """The pre-tokens that the model holds as whole pieces: those frequent enough to have got a piece of their own."""
+    pieces = (model.id_to_piece(i) for i in range(model.vocab_size()))
+    return [p[1:] for p in pieces if p[:1] == MARK and MARK not in p[1:] and 1 < len(p) <= 64]
 
 
-def count_tokens(docs: DataFrame, model: bytes, *, kind: str = "model", limit: int = 4096, table_size: int = 32768, per_task: int = 4096, cache: int = 400_000) -> DataFrame:
+def count_tokens(docs: DataFrame, model: bytes, *, kind: str = "model", limit: int = 4096, table_size: int = 32768, cache: int = 1 << 17) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row of docs(doc_id, text, ...).
 
     model: the bytes of a sentencepiece file (kind "model") or of a tokenizers file (kind "json", encoded text by
-    text). A null text counts as empty: 0 bytes, 0 tokens. A null doc_id stays null; rows that repeat are each
+    text). table_size: entries of tier one at most, in the order of the model's ids; cache: entries that a worker adds.
+    Both decide about speed only. A null text counts as empty: 0 bytes, 0 tokens. A null doc_id stays null; rows that repeat are each
     returned; other columns are ignored; of an empty table nothing is returned. A very long text is encoded whole.
     """
     sc = docs.sparkSession.sparkContext
     split = kind == "model" and separable(model)
     table = {}
     if split:
-        count = piece_counter(piece_model(model))
-        table = {w: count(w) for w in heavy_pre_tokens(docs, per_task, table_size)}
+        one = piece_model(model)
+        count = piece_counter(one)
+        table = {w: count(w) for w in known_words(one)[:table_size]}
     shared = sc.broadcast((model, table))
-    tag = ("lengths", len(model), shared._jbroadcast.id(), cache)
+    tag = ("lengths", hashlib.sha256(model).hexdigest(), kind, table_size, cache)
 
     def counter():
         proto, known = shared.value

@@ -66,7 +66,7 @@ NAMES1 = ("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
 def test_token_counts(spark, docs, rows, small):
-    assert got(token_counts.count_tokens(docs, queries.vocabulary("piece_bpe_32k.model"), table_size=50, per_task=20, cache=100), *NAMES1) == piece_counts(rows)
+    assert got(token_counts.count_tokens(docs, queries.vocabulary("piece_bpe_32k.model"), table_size=50, cache=100), *NAMES1) == piece_counts(rows)
     assert got(queries.op1_token_counts(spark, SF), *NAMES1) == piece_counts(small)
 
 
