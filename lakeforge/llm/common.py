@@ -170,8 +170,8 @@ def dealt(token: np.ndarray, columns: dict[str, np.ndarray], deal: int, key: np.
 
 
 def dealt_out(pieces: Iterable[dict[str, np.ndarray]], deal: int) -> Iterator[pa.RecordBatch]:
-    """dealt() of arrays (t and its columns) that come in pieces: they are gathered up to HELD_BYTES first, so that the
-    rows are few and long however many partitions there are."""
+    """dealt() of arrays (t, its columns and, if they are dealt by another hash, key) that come in pieces: they are
+    gathered up to HELD_BYTES first, so that the rows are few and long however many partitions there are."""
     held: list[dict[str, np.ndarray]] = []
     size = 0
 
@@ -179,7 +179,7 @@ def dealt_out(pieces: Iterable[dict[str, np.ndarray]], deal: int) -> Iterator[pa
         if held:
             all_of = {k: np.concatenate([x[k] for x in held]) for k in held[0]}
             held.clear()
-            yield dealt(all_of.pop("t"), all_of, deal)
+            yield dealt(all_of.pop("t"), all_of, deal, all_of.pop("key", None))
             tidy()
 
     for piece in pieces:

@@ -3,8 +3,10 @@
 Documents with equal shingle sets are one node. Nodes that share rare shingles and are of like size form groups; the
 matrix holds, for each group and shingle, whether one or more members have it (the group's token union). A query
 node's overlap with a group's union bounds its overlap with every member, so only groups whose bound reaches the
-threshold are opened. Links to each opened group's most typical member are verified first; members that these links
-connect already needn't be compared with each other, so a group of thousands of near copies never makes all pairs.
+threshold are opened. In an opened group all members are compared: sets become rows of a 0/1 matrix, whose product with
+its transpose has every overlap. Large groups are cut into blocks of bounded rows and shingles, each block against each,
+which go to tasks of their own. A block gives each node's number of links and a spanning forest of them, never the
+pairs; so no link is lost and what is written grows with the nodes.
 
 Which groups a query meets at all follows from prefix filtering: two sets of Jaccard `percent` share one of each
 other's n - ceil(n * percent / 100) + 1 first shingles in any common order. The order puts shingles last that many
@@ -23,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import cut, dealt, gathered, gram_hashes, lower_ascii, mix, once_per_worker, parts, slices, text_bytes, tidy, word_hashes, word_spans
+from lakeforge.llm.common import cut, dealt_out, gathered, gram_hashes, lower_ascii, mix, once_per_worker, parts, slices, text_bytes, text_size, tidy, word_hashes, word_spans
 
 SKETCH = 1 << 22  # counters of the sketch, whatever the input
 CELLS = 1 << 16  # of them in one row
 SLOTS = 1 << 24  # bits of the map that picks the documents whose sets are fetched
+BLOCK_NODES, BLOCK_SHINGLES = 512, 1 << 20  # of each side of a block of comparisons, about
+COLUMNS = 4096  # of a block's matrix that are made at a time
 
 
 def least_overlap(n, percent: int):
@@ -68,9 +72,10 @@ def frequency_levels(docs: DataFrame, width: int) -> np.ndarray:
     """For each cell of the sketch, twice the binary logarithm of the number of documents' shingles in it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(SKETCH, np.int64)
+        cells = np.zeros(SKETCH, np.int32)
         for batch in slices(batches, "text"):
-            cells += np.bincount((document_sets(batch.column("text"), width)[0] % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+            cell, n = np.unique((document_sets(batch.column("text"), width)[0] % np.uint64(SKETCH)).astype(np.int32), return_counts=True)
+            cells[cell] += n.astype(np.int32)
         packed = np.minimum(cells, 65535).astype("<u2").reshape(-1, CELLS)
         full = np.flatnonzero(packed.any(1)).tolist()
         yield pa.record_batch([pa.array(full, pa.int32()), pa.array([zlib.compress(packed[i].tobytes(), 1) for i in full], pa.binary())], ["part", "cells"])
@@ -109,45 +114,68 @@ def nodes_and_prefixes(docs: DataFrame, levels: np.ndarray, width: int, percent:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, c long, prefix binary")
 
 
-def shared_prefixes(nodes: DataFrame, percent: int) -> DataFrame:
+def shared_prefixes(nodes: DataFrame, levels: np.ndarray, percent: int, deal: int, hot_docs: int) -> DataFrame:
     """t, c, n, leader: the places where nodes of like size share a shingle of their prefixes. leader is the least of
-    the nodes that meet there through a chain of like sizes."""
-    deal = parts(nodes)
+    the nodes that meet there through a chain of like sizes.
+
+    Nodes of a shingle that about hot_docs documents or more have don't meet in one task: they are dealt by shingle and
+    node, all of them are kept, and their leader is the least node with the shingle, from partial minima."""
+    met = cut(met_by_shingle(nodes, levels, percent, deal, hot_docs))
+    hot = met.where("leader IS NULL").drop("leader")
+    return met.where("leader IS NOT NULL").unionByName(hot.join(hot.groupBy("t").agg(F.min("c").alias("leader")), "t"))
+
+
+def met_by_shingle(nodes: DataFrame, levels: np.ndarray, percent: int, deal: int, hot_docs: int) -> DataFrame:
+    """The rows of shared_prefixes(), as the tasks give them; of hot shingles without a leader."""
+    shared, least = nodes.sparkSession.sparkContext.broadcast(levels), int(2 * np.log2(hot_docs + 1))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()  # nodes that this task has dealt, so that a node of many copies is dealt once
-        for batch in batches:
-            c, first = np.unique(np.asarray(batch.column("c")), return_index=True)
-            new = np.array([x not in sent for x in c.tolist()], bool)
-            c, first = c[new], first[new]
-            sent = sent if len(sent) < 1_000_000 else set()
-            sent.update(c.tolist())
-            prefix, n = batch.column("prefix").take(pa.array(first)).to_pylist(), np.asarray(batch.column("n"))[first]
-            length = np.array([len(x) // 8 for x in prefix], np.int64)
-            yield dealt(np.frombuffer(b"".join(prefix), np.uint64), {"c": np.repeat(c, length), "n": np.repeat(n, length).astype("<i8")}, deal)
+        level = shared.value
+
+        def pieces() -> Iterator[dict[str, np.ndarray]]:
+            sent: set[int] = set()  # nodes that this task has dealt, so that a node of many copies is dealt once
+            for batch in batches:
+                c, first = np.unique(np.asarray(batch.column("c")), return_index=True)
+                new = np.array([x not in sent for x in c.tolist()], bool)
+                c, first = c[new], first[new]
+                if len(sent) > 1_000_000:
+                    sent.clear()
+                sent.update(c.tolist())
+                prefix, n = batch.column("prefix").take(pa.array(first)).to_pylist(), np.asarray(batch.column("n"))[first]
+                length = np.array([len(x) // 8 for x in prefix], np.int64)
+                token, node = np.frombuffer(b"".join(prefix), np.uint64), np.repeat(c, length)
+                # a hot shingle's copies of itself, one for about hot_docs / 2 documents, take a share of the nodes each
+                over = level[(token % np.uint64(SKETCH)).astype(np.int64)].astype(np.int64)
+                hot = over >= least
+                ways = np.where(hot, np.exp2(over / 2) * 2 / hot_docs, 1).astype(np.uint64) + np.uint64(1)
+                key = np.where(hot, mix(token + mix(node.view(np.uint64)) % ways), token)
+                yield {"t": token, "c": node, "n": np.repeat(n, length).astype("<i8"), "h": hot.astype("i1"), "key": key}
+
+        yield from dealt_out(pieces(), deal)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = gathered(batches, {"t": "<u8", "c": "<i8", "n": "<i8"})
+        x = gathered(batches, {"t": "<u8", "c": "<i8", "n": "<i8", "h": "i1"})
         order = np.lexsort((x["c"], x["n"], x["t"]))
-        t, c, n = (x[k][order] for k in ("t", "c", "n"))
+        t, c, n, h = (x.pop(k)[order] for k in ("t", "c", "n", "h"))
         once = np.ones(len(t), bool)
         once[1:] = (t[1:] != t[:-1]) | (c[1:] != c[:-1])
-        t, c, n = t[once], c[once], n[once]
+        t, c, n, h = t[once], c[once], n[once], h[once].astype(bool)
         alike = (t[1:] == t[:-1]) & (100 * n[:-1] >= percent * n[1:])
         chain = np.cumsum(np.concatenate(([True], ~alike))[: len(t)])
-        more = np.zeros(len(t), bool)
+        more = h.copy()
         more[1:] |= alike
         more[:-1] |= alike
-        t, c, n, chain = t[more], c[more], n[more], chain[more]
+        t, c, n, h, chain = t[more], c[more], n[more], h[more], chain[more]
         if len(t):
             begin = np.flatnonzero(np.concatenate(([True], chain[1:] != chain[:-1])))
             leader = np.repeat(np.minimum.reduceat(c, begin), np.diff(np.append(begin, len(t))))
-            del x, order, once, alike, chain, more
+            del order, once, alike, chain, more
             tidy()
             for lo in range(0, len(t), 100_000):
-                yield pa.record_batch([pa.array(v[lo : lo + 100_000]) for v in (t.view(np.int64), c, n, leader)], ["t", "c", "n", "leader"])
+                p = slice(lo, lo + 100_000)
+                yield pa.record_batch([pa.array(t[p].view(np.int64)), pa.array(c[p]), pa.array(n[p]), pa.array(leader[p], mask=h[p])], ["t", "c", "n", "leader"])
 
-    rows = nodes.where("c is not null").select("c", "n", "prefix").mapInArrow(spread, "p int, t binary, c binary, n binary")
+    rows = nodes.where("c is not null").select("c", "n", "prefix").mapInArrow(spread, "p int, t binary, c binary, n binary, h binary")
     return rows.repartitionById(deal, "p").mapInArrow(meet, "t long, c long, n long, leader long")
 
 
@@ -206,19 +234,21 @@ def fetched_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return found.dropDuplicates(["rep", "c"]).join(wanted, ["rep", "c"])
 
 
-def group_hits(queries: DataFrame) -> DataFrame:
+def group_hits(queries: DataFrame, deal: int) -> DataFrame:
     """c, g, hits: how many of node c's shingles another member of group g has, from queries(c, g, own, tokens, ways); a
     row with own is a member's row of its own group. A group's shingles go to `ways` partitions at most, so that small
     groups give few counts and large ones aren't matched in one task."""
-    deal = parts(queries)
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "tokens", 8 << 20):
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+        for batch in slices(batches, "tokens"):
             tokens = batch.column("tokens").to_pylist()
             length = np.array([len(x) // 8 for x in tokens], np.int64)
             cols = {k: np.repeat(np.asarray(batch.column(k).cast(pa.int8()) if k == "own" else batch.column(k)), length) for k in ("c", "g", "own")}
             token, ways = np.frombuffer(b"".join(tokens), np.uint64), np.repeat(np.asarray(batch.column("ways")), length).astype(np.uint64)
-            yield dealt(token, cols, deal, mix(mix(cols["g"].view(np.uint64)) + (token >> np.uint64(8)) % ways))
+            yield {"t": token} | cols | {"key": mix(mix(cols["g"].view(np.uint64)) + (token >> np.uint64(8)) % ways)}
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return dealt_out(pieces(batches), deal)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = gathered(batches, {"t": "<u8", "c": "<i8", "g": "<i8", "own": "i1"})
@@ -239,26 +269,87 @@ def group_hits(queries: DataFrame) -> DataFrame:
     return rows.mapInArrow(match, "c long, g long, hits long").groupBy("c", "g").agg(F.sum("hits").alias("hits"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs(a, b) whose sets have the Jaccard similarity."""
+def linked(sets: list[bytes], n: np.ndarray, weight: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a block's sets: how many documents link to each one, by the partners' weights, and the first of the block that
+    links reach from it. Those of `left` are compared with those of `right` (places in the block, in order)."""
+    token, owner = np.frombuffer(b"".join(sets), np.uint64), np.repeat(np.arange(len(n), dtype=np.int32), n)
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], owner[order]
+    begin = np.flatnonzero(np.concatenate((np.ones(min(len(token), 1), bool), token[1:] != token[:-1])))
+    count = np.diff(np.append(begin, len(token)))
+    shared = np.repeat(count > 1, count)
+    owner, column = owner[shared], np.repeat(np.arange((count > 1).sum()), count[count > 1])
+    both = np.zeros((len(left), len(right)), np.float64)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [lo, lo + COLUMNS])
+        part = np.zeros((len(n), min(COLUMNS, int(column[-1]) + 1 - lo)), np.float32)
+        part[owner[a:b], column[a:b] - lo] = 1
+        both += part[left] @ part[right].T
+    link = 100 * both >= percent * (n[left][:, None] + n[right][None, :] - both)
+    same = left[:, None] == right[None, :]
+    link &= ~same
+    degree, first = np.zeros(len(n), np.int64), np.arange(len(n))
+    np.add.at(degree, left, link @ weight[right])
+    if not same.any():
+        np.add.at(degree, right, link.T @ weight[left])
+    while link.any():
+        before = first.copy()
+        first[left] = np.minimum(first[left], np.where(link, first[right][None, :], len(n)).min(1))
+        first[right] = np.minimum(first[right], np.where(link, first[left][:, None], len(n)).min(0))
+        if (first == before).all():
+            break
+    return degree, first
+
+
+def compared(opened: DataFrame, sets: DataFrame, percent: int, deal: int, most_nodes: int, most_shingles: int) -> DataFrame:
+    """c, links, other: for each node and block in which it has links, how many documents they lead to, and the block's
+    first node that they reach. A link between two groups is counted once, in the pair of groups, where both nodes have
+    opened the other's group; nodes of a group are compared in the group's pair with itself."""
+    pair = opened.select("c", "n", F.least("own", "g").alias("lo"), F.greatest("own", "g").alias("hi"), (F.col("own") == F.greatest("own", "g")).alias("high"))
+    of = lambda side, x: F.sum(F.when(F.col("high") == side, x).otherwise(0))
+    ways = lambda side: F.ceil(F.greatest(of(side, F.lit(1)) / most_nodes, of(side, F.col("n")) / most_shingles)).cast("int")
+    blocks = pair.groupBy("lo", "hi").agg(ways(False).alias("lows"), ways(True).alias("highs"))
+    blocks = blocks.where("lo = hi or lows > 0")  # a group's own pair has one side, the high one
+    rows = pair.join(blocks.where("highs > 0"), ["lo", "hi"])
+    block = F.pmod(F.xxhash64("c"), F.when(F.col("high"), F.col("highs")).otherwise(F.col("lows"))).cast("int")
+    others = F.sequence(F.lit(0), F.when((F.col("lo") == F.col("hi")) | ~F.col("high"), F.col("highs")).otherwise(F.col("lows")) - 1)
+    rows = rows.withColumn("x", block).withColumn("y", F.explode(others))
+    one, two = F.when(F.col("lo") == F.col("hi"), F.least("x", "y")).when(F.col("high"), F.col("y")).otherwise(F.col("x")), F.when(F.col("lo") == F.col("hi"), F.greatest("x", "y")).when(F.col("high"), F.col("x")).otherwise(F.col("y"))
+    # side: 0 and 1 are compared with each other, 2 among themselves
+    side = F.when((F.col("lo") == F.col("hi")) & (F.col("x") == F.col("y")), 2).when(F.when(F.col("lo") == F.col("hi"), F.col("x") > F.col("y")).otherwise(F.col("high")), 1).otherwise(0)
+    rows = rows.select("c", F.xxhash64("lo", "hi").alias("pair"), one.alias("i"), two.alias("j"), side.alias("side")).join(sets.select("c", "n", "weight", "tokens"), "c")
+    key = ["pair", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-
-    one = sets.select(F.col("c").alias("a"), F.col("tokens").alias("x"))
-    other = sets.select(F.col("c").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+        held: list[dict] = []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            rows = sorted(held, key=lambda r: r["c"])
+            held.clear()
+            n, weight, side = (np.array([r[k] for r in rows], np.int64) for k in ("n", "weight", "side"))
+            degree, first = linked([r["tokens"] for r in rows], n, weight, np.flatnonzero(side != 1), np.flatnonzero(side > 0), percent)
+            c, some = np.array([r["c"] for r in rows], np.int64), degree > 0
+            if some.any():
+                yield pa.record_batch([pa.array(c[some]), pa.array(degree[some]), pa.array(c[first[some]])], ["c", "links", "other"])
+
+        at = None
+        for batch in slices(batches, "tokens"):
+            for r in batch.to_pylist():
+                if at != (at := (r["pair"], r["i"], r["j"])) and held:
+                    yield from done()
+                held.append(r)
+        if held:
+            yield from done()
+
+    sorted_rows = rows.repartition(deal, *key).sortWithinPartitions(*key)
+    return sorted_rows.mapInArrow(run, "c long, links long, other long")
 
 
 def components(links: DataFrame) -> DataFrame:
     """c, root for every node of links(a, b): the least node it reaches. Labels go along links and then jump to their
-    label's label, so a component takes about as many rounds as the logarithm of its diameter."""
+    label's label, so a component takes about as many rounds as the logarithm of its diameter. Minima are taken in parts
+    first; the joins are by hub and by label, whose many rows are on one side only, where Spark splits skewed
+    partitions."""
     edges = cut(links.select("a", "b").union(links.select("b", "a")).distinct().toDF("a", "b"))
     labels = cut(edges.groupBy(F.col("a").alias("c")).agg(F.least(F.col("a"), F.min("b")).alias("root")))
     while True:
@@ -272,32 +363,40 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def labelled(nodes: DataFrame, label: DataFrame, *, hot_rows: int = 100_000, most_hot: int = 10_000) -> DataFrame:
-    """doc_id, n_shingles, component_id from label(c, component_id). Nodes with over hot_rows copies are dealt to several
-    partitions; at most most_hot nodes are taken as such, so that their list can be broadcast. Rows without a node
-    aren't dealt at all."""
+    """doc_id, n_shingles, component_id, n_links from label(c, component_id, n_links). Nodes with over hot_rows copies are
+    dealt to several partitions; at most most_hot nodes are taken as such, so that their list can be broadcast. Rows
+    without a node aren't dealt at all."""
     rows = nodes.select("doc_id", F.col("n").alias("n_shingles"), "c")
     sizes = rows.where("c IS NOT NULL").groupBy("c").count()
     least = max(hot_rows, nodes.count() // most_hot)
     hot = F.broadcast(cut(sizes.where(F.col("count") > least).select("c", F.ceil(F.col("count") / least).alias("ways"))))
     ways = F.coalesce("ways", F.lit(1).cast("long"))
     dealt_rows = rows.where("c IS NOT NULL").join(hot, "c", "left").withColumn("way", F.pmod(F.xxhash64("doc_id"), ways)).drop("ways")
-    copies = label.join(hot, "c", "left").select("c", "component_id", F.explode(F.sequence(F.lit(0).cast("long"), ways - 1)).alias("way"))
-    found = dealt_rows.join(copies, ["c", "way"]).select("doc_id", "n_shingles", "component_id")
-    return found.unionByName(rows.where("c IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    copies = label.join(hot, "c", "left").select("c", "component_id", "n_links", F.explode(F.sequence(F.lit(0).cast("long"), ways - 1)).alias("way"))
+    found = dealt_rows.join(copies, ["c", "way"]).select("doc_id", "n_shingles", "component_id", "n_links")
+    return found.unionByName(rows.where("c IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")))
 
 
-def jaccard_components(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of docs(doc_id, text, ...).
+def jaccard_components(docs: DataFrame, *, width: int = 5, percent: int = 80, hot_docs: int = 256, block_nodes: int = BLOCK_NODES, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links for every row of docs(doc_id, text, ...).
 
     A-Z are lower-cased, words are runs without white space; a set holds the distinct shingles of `width` words, or
     the whole sequence where there are fewer words. Documents link whose sets have a Jaccard similarity of percent/100
-    or more; component_id is the smallest doc_id that links reach. A text that is null or has no words has an empty
-    set and its own doc_id. A row with a null doc_id links with nothing and has a null component; rows that repeat
-    are each returned, in one component; other columns are ignored; an empty table gives no rows. Texts are read whole.
+    or more; component_id is the smallest doc_id that links reach, n_links the number of other rows that a row links
+    with, copies included. A text that is null or has no words has an empty set, its own doc_id and no links. A row
+    with a null doc_id links with nothing and has a null component; rows that repeat link with each other and are each
+    returned, in one component; other columns are ignored; an empty table gives no rows. Texts are read whole.
+
+    Ties: of shingles of one frequency level, those with smaller hashes come first; of leaders that a node meets as
+    often, the larger one counts. They decide what is compared where, not the result. All nodes of an opened pair of
+    groups are compared, in blocks of about block_nodes nodes and block_shingles shingles: a group of m nodes of
+    different texts takes (m / block_nodes)^2 / 2 blocks, as each of its links is counted; copies are one node.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    nodes = cut(nodes_and_prefixes(docs, frequency_levels(docs, width), width, percent))
-    meetings = cut(shared_prefixes(nodes, percent))
+    deal = parts(docs, text_size(docs)[1])
+    levels = frequency_levels(docs, width)
+    nodes = cut(nodes_and_prefixes(docs, levels, width, percent))
+    meetings = cut(shared_prefixes(nodes, levels, percent, deal, hot_docs))
 
     # groups: by the leader that a node meets most often, and by size to a tenth
     best = meetings.groupBy("c", "n", "leader").count().groupBy("c", "n").agg(F.max_by("leader", F.struct("count", "leader")).alias("leader"))
@@ -312,8 +411,8 @@ def jaccard_components(docs: DataFrame, *, width: int = 5, percent: int = 80) ->
     met = met.groupBy("c", "n", "own", "g").agg(F.count("*").alias("times"), F.greatest(F.min("low"), F.ceil(F.col("n") * percent / 100)).alias("low"), F.least(F.max("high"), F.floor(F.col("n") * 100 / percent)).alias("high"))
     times = lambda m: F.ceil((F.col("n") + m) * percent / (100 + percent) - 1e-6) - F.ceil(F.greatest("n", m) * percent / 100 - 1e-6)
     met = cut(met.where(F.col("times") >= F.least(times(F.col("low")), times(F.col("high")))).select("c", "n", "own", "g"))
-    reps = nodes.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("rep"))
-    sets = cut(fetched_sets(docs, met.select("c", "n", "own").distinct().join(reps, "c"), width))  # rep, c, tokens, n, own
+    reps = nodes.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight"))
+    sets = cut(fetched_sets(docs, met.select("c", "n", "own").distinct().join(reps, "c"), width))  # rep, c, tokens, n, own, weight
     members = sets.select("c", "n", "own")
     asked = met.where("g <> own").select("c", "g", F.lit(False).alias("own")).union(members.select("c", "own", F.lit(True)))
     ways = asked.groupBy("g").agg(F.ceil(F.count("*") / 32).alias("ways"))
@@ -323,33 +422,12 @@ def jaccard_components(docs: DataFrame, *, width: int = 5, percent: int = 80) ->
     sizes = members.groupBy(F.col("own").alias("g")).agg(F.min("n").alias("low"))
     smallest = F.greatest(F.col("low"), F.ceil(F.col("n") * percent / 100))
     needed = F.ceil((F.col("n") + smallest) * F.lit(percent) / F.lit(100 + percent) - F.lit(1e-6))
-    opened = cut(group_hits(queries).join(members, "c").join(sizes, "g").where(F.col("hits") >= needed).select("c", "g", "hits", "n", "own"))
-
-    # links to each group's most typical member
-    own_hits = opened.where("own = g").select("c", "hits")
-    most = F.struct(F.coalesce("hits", F.lit(0)), "c")
-    typical = members.join(own_hits, "c", "left").groupBy(F.col("own").alias("g")).agg(F.max_by("c", most).alias("b"), F.max_by("n", most).alias("m"))
-    fits = lambda n, m: (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
-    stars = opened.join(typical, "g").where(F.col("c") != F.col("b")).where(fits(F.col("n"), F.col("m"))).select(F.col("c").alias("a"), "b").distinct()
-    near = cut(verified(stars, sets, percent))
-    first = components(near)
-
-    # what is left: members of opened groups that aren't connected yet; the smaller component asks the larger one
-    placed = members.join(first, "c", "left").withColumn("root", F.coalesce("root", "c"))
-    weights = placed.groupBy("root").agg(F.count("*").alias("weight"))
-    placed = cut(placed.join(weights, "root"))
-    inside = placed.select(F.col("own").alias("g"), F.col("root").alias("root2"), F.col("weight").alias("weight2")).distinct()
-    asks = opened.join(placed.select("c", "root", "weight"), "c").join(inside, "g").where("root <> root2 and struct(weight, root) < struct(weight2, root2)").select("c", "n", "own", "hits", "g", "root2")
-    target = placed.select(F.col("own").alias("g"), F.col("root").alias("root2"), F.col("c").alias("b"), F.col("n").alias("m"))
-    pairs = asks.join(target, ["g", "root2"]).where(fits(F.col("n"), F.col("m")))
-    enough = F.col("hits") * (100 + percent) >= (F.col("n") + F.col("m")) * percent
-    back = opened.select(F.col("c").alias("b"), F.col("g").alias("own"), F.col("hits").alias("hits2"))  # b must have opened a's group too
-    pairs = pairs.where(enough).join(back, ["b", "own"]).where(F.col("hits2") * (100 + percent) >= (F.col("n") + F.col("m")) * percent)
-    rest = verified(cut(pairs.select(F.col("c").alias("a"), "b").distinct()), sets, percent)
-
-    roots = components(near.union(rest))
+    opened = cut(group_hits(queries, deal).join(members, "c").join(sizes, "g").where(F.col("hits") >= needed).select("c", "g", "n", "own"))
+
+    found = cut(compared(opened, sets, percent, deal, block_nodes, block_shingles))
+    roots = components(found.where("c <> other").select(F.col("c").alias("a"), F.col("other").alias("b")))
     known = cut(reps.join(roots, "c").select("c", "rep", "root"))
     least = known.groupBy("root").agg(F.min("rep").alias("least"))
-    linked = known.join(least, "root").select("c", "least")
-    label = cut(reps.join(linked, "c", "left").select("c", F.coalesce("least", "rep").alias("component_id")))
-    return labelled(nodes, label)
+    reached = known.join(least, "root").select("c", "least").join(found.groupBy("c").agg(F.sum("links").alias("links")), "c", "left")
+    label = reps.join(reached, "c", "left").select("c", F.coalesce("least", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    return labelled(nodes, cut(label))

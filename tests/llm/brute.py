@@ -38,7 +38,7 @@ def shingles(t, n=5):
 
 def jaccard(docs, percent=80):
     sets = [shingles(t) for _, t in docs]
-    up = list(range(len(docs)))
+    up, links = list(range(len(docs))), [0] * len(docs)
 
     def find(x):
         while up[x] != x:
@@ -50,11 +50,13 @@ def jaccard(docs, percent=80):
             both = len(sets[a] & sets[b])
             if sets[a] and sets[b] and docs[a][0] is not None and docs[b][0] is not None and 100 * both >= percent * len(sets[a] | sets[b]):
                 up[find(a)] = find(b)
+                links[a] += 1
+                links[b] += 1
     least = {}
     for a, (i, _) in enumerate(docs):
         if i is not None:
             least[find(a)] = min(least.get(find(a), i), i)
-    return [(i, len(s), None if i is None else least[find(a)]) for a, ((i, _), s) in enumerate(zip(docs, sets))]
+    return [(i, len(s), None if i is None else least[find(a)], links[a]) for a, ((i, _), s) in enumerate(zip(docs, sets))]
 
 
 def secrets(t):

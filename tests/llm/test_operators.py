@@ -109,7 +109,7 @@ def test_sql(spark, name):
 
 # --- 3 n-gram Jaccard join ---
 
-NAMES3 = ("doc_id", "n_shingles", "component_id")
+NAMES3 = ("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def test_jaccard_join(docs, rows):
@@ -126,11 +126,34 @@ def test_jaccard_join_of_near_threshold_groups(spark):
     assert got(ngram_join.jaccard_components(frame(spark, rows)), *NAMES3) == brute.multiset(brute.jaccard(rows))
 
 
+def test_jaccard_join_in_small_blocks(spark):
+    """Blocks of a few nodes and salted shingles: every link is counted once, also between groups."""
+    r = random.Random(8)
+    base = [f"b{k}" for k in range(70)]
+    edit = lambda n: " ".join(x if r.random() > n else f"e{r.random()}" for x in base[: r.choice([56, 60, 70])])
+    rows = [(k, edit(r.choice([0, 0.005, 0.01, 0.02]))) for k in range(90)] + [(200 + k, " ".join(base)) for k in range(5)]
+    want = brute.multiset(brute.jaccard(rows))
+    for how in ({"block_nodes": 7}, {"block_shingles": 300, "hot_docs": 8}, {"hot_docs": 1 << 30}):
+        assert got(ngram_join.jaccard_components(frame(spark, rows), **how), *NAMES3) == want
+
+
+def test_hot_shingles_are_dealt_to_several_tasks(spark):
+    """700 near copies share the shingles of their prefixes: no task gets a large share of the rows that meet."""
+    r = random.Random(2)
+    base = [f"b{k}" for k in range(60)]
+    rows = [(k, " ".join(x if r.random() > 0.02 else f"e{r.random()}" for x in base)) for k in range(700)]
+    docs = frame(spark, rows).select("doc_id", "text").repartition(8)
+    levels = ngram_join.frequency_levels(docs, 5)
+    nodes = ngram_join.nodes_and_prefixes(docs, levels, 5, 80)
+    largest = lambda hot: max(x["count"] for x in ngram_join.met_by_shingle(nodes, levels, 80, 64, hot).groupBy(F.spark_partition_id()).count().collect())
+    assert 3 * largest(64) < largest(1 << 30)
+
+
 def test_hot_nodes(spark):
     """Nodes of many copies are dealt to several partitions and keep all their rows."""
     rows = [(k, "the same words in every one of these" if k % 3 else f"others {k % 4}") for k in range(60)] + [(None, "x"), (70, None)]
     nodes = ngram_join.nodes_and_prefixes(frame(spark, rows), np.zeros(ngram_join.SKETCH, np.uint8), 5, 80)
-    label = nodes.where("c IS NOT NULL").groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    label = nodes.where("c IS NOT NULL").groupBy("c").agg(F.min("doc_id").alias("component_id"), (F.count("*") - 1).alias("n_links"))
     assert got(ngram_join.labelled(nodes, label, hot_rows=4), *NAMES3) == brute.multiset(brute.jaccard(rows))
 
 

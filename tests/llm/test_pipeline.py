@@ -32,7 +32,7 @@ def test_stages(spark, tmp_path):
             assert {i: brute.sha(t) for i, t in after} == want and len(after) == len(before)
             assert all(r.n_chars == len(r.text) for r in docs.collect())
         elif k == 2:
-            stay = {i for i, _, c in brute.jaccard(before) if i == c}
+            stay = {i for i, _, c, _ in brute.jaccard(before) if i == c}
             assert {i for i, _ in after} == stay
         else:
             assert {i for i, _ in after} == {i for i, t in before if not any(x in t for x in items)}
