@@ -158,20 +158,27 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def dealt(token: np.ndarray, columns: dict[str, np.ndarray], deal: int, key: np.ndarray | None = None) -> pa.RecordBatch:
+def dealt(token: np.ndarray, columns: dict[str, np.ndarray], deal: int, key: np.ndarray | None = None, runs: dict[str, np.ndarray] | None = None) -> pa.RecordBatch:
     """One row for each of `deal` partitions: the hashes that belong to it, by themselves or by a key beside them, and
-    their columns, as bytes."""
+    their columns, as bytes. runs: arrays that have, for each hash, as many values as its column n says (none below 0)."""
     part = ((token if key is None else key) >> np.uint64(24)) % np.uint64(deal)
     order = np.argsort(part, kind="stable")
     ends = np.searchsorted(part[order], np.arange(deal + 1, dtype=np.uint64))
     full = np.flatnonzero(np.diff(ends)).tolist()
     cells = {k: [v[order[ends[i] : ends[i + 1]]].tobytes() for i in full] for k, v in ({"t": token} | columns).items()}
+    if runs:
+        size = np.maximum(columns["n"].astype(np.int64), 0)
+        begin, own = (np.cumsum(size) - size)[order], size[order]
+        stop = np.cumsum(own)
+        at = np.arange(stop[-1] if len(stop) else 0) + np.repeat(begin - (stop - own), own)
+        edge = np.concatenate(([0], stop))[ends]
+        cells |= {k: [v[at[edge[i] : edge[i + 1]]].tobytes() for i in full] for k, v in runs.items()}
     return pa.record_batch([pa.array(full, pa.int32()), *(pa.array(x, pa.binary()) for x in cells.values())], ["p", *cells])
 
 
-def dealt_out(pieces: Iterable[dict[str, np.ndarray]], deal: int) -> Iterator[pa.RecordBatch]:
-    """dealt() of arrays (t, its columns and, if they are dealt by another hash, key) that come in pieces: they are
-    gathered up to HELD_BYTES first, so that the rows are few and long however many partitions there are."""
+def dealt_out(pieces: Iterable[dict[str, np.ndarray]], deal: int, runs: tuple[str, ...] = ()) -> Iterator[pa.RecordBatch]:
+    """dealt() of arrays (t, its columns, runs and, if they are dealt by another hash, key) that come in pieces:
+    they are gathered up to HELD_BYTES first, so that the rows are few and long however many partitions there are."""
     held: list[dict[str, np.ndarray]] = []
     size = 0
 
@@ -179,7 +186,7 @@ def dealt_out(pieces: Iterable[dict[str, np.ndarray]], deal: int) -> Iterator[pa
         if held:
             all_of = {k: np.concatenate([x[k] for x in held]) for k in held[0]}
             held.clear()
-            yield dealt(all_of.pop("t"), all_of, deal, all_of.pop("key", None))
+            yield dealt(all_of.pop("t"), all_of, deal, all_of.pop("key", None), {k: all_of.pop(k) for k in runs})
             tidy()
 
     for piece in pieces:

@@ -85,12 +85,45 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, sf_dir))
 
 
+ORACLES["op3_ngram_jaccard_join"] = r"""
+WITH RECURSIVE listed AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM listed),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.t = b.t AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reached AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce((SELECT min(y) FROM reached WHERE x = doc_id), doc_id)) AS component_id,
+       (SELECT count(*) FROM links WHERE x = doc_id) AS n_links
+FROM sets
+"""
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLES["op6_substring_dedup"] = r"""
+WITH listed AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM listed WHERE len(w) >= 13)),
+firsts AS (SELECT g, min(doc_id) AS first FROM windows GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM windows JOIN firsts USING (g) WHERE first < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM listed),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM listed LEFT JOIN kept USING (doc_id)
+"""
+
+
 @query
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fingerprints.fingerprint_edited(documents(spark, sf_dir))

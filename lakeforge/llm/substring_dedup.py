@@ -1,32 +1,38 @@
-"""Substring dedup: words covered by windows that also start in a document with a smaller doc_id.
+"""Substring dedup by suffix automata: words covered by windows that also start in a document with a smaller doc_id.
 
 Every window of 13 words has an anchor, the least hash of its 7-word grams, so equal windows have equal anchors. About
-a quarter of the places are anchors; those are dealt to partitions by hash, which shows which of them two documents
-have, and which of them most documents have.
-
-The passages around the most frequent anchors, in the first document that has each, are the reference. Its shards'
-suffix automata are broadcast (as their words, of bounded number; each worker builds them once), and documents are
-streamed through them: the matching statistics give every window that the reference holds the first document that has
-it, and maximal spans of such windows go. These are the windows that would make hot keys; they are never shuffled.
-
-The reference can't hold all that repeats: automata of all of it would grow with the input, and every document would
-have to be streamed through every shard. So the windows with rarer repeated anchors, which a map of bits of bounded size
-tells, are dealt by their own hash to find the least doc_id of each, and a document gets back the hashes of those that
-it loses.
-
-Windows are compared by 64-bit hashes. Beyond the map's size more windows are dealt, results stay the same.
+a quarter of the places are anchors. Those are dealt to partitions by hash, which tells the anchors that two documents
+have (a map of bits, broadcast) and the most frequent ones.
+
+What can't repeat is let go at once; the rest is streamed through suffix automata of reference shards, in two tiers:
+
+* Broadcast: the passages around the most frequent anchors, in the first document that has each, up to a bounded number
+  of words. Each worker builds their automata and streams the documents' passages with such anchors through them; what
+  matches goes. These would be hot keys; they are never shuffled.
+* Dealt: automata of everything else that repeats would grow with the input, and every document would have to be
+  streamed through every shard. So each passage (the words of consecutive windows with one anchor) goes to the one shard
+  of its anchor. A shard streams its passages in order of doc_id through an automaton of what smaller documents have
+  there: matching statistics of 13 words or more give the maximal spans to remove, and the words of windows that are new
+  are added. Passages of an anchor that is frequent, but not in the reference, are dealt by longer grams.
+
+Passages that are the same word for word are streamed once, in a slice of documents and in a shard. Spans go back to
+their documents. Words are compared by 48 bits of their hashes, within equal 64-bit anchors or shards; beyond the map's
+size more passages are dealt, results stay the same.
 """
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import cut, dealt, gathered, gram_hashes, mix, once_per_worker, parts, slices, text_bytes, word_hashes, word_spans
+from lakeforge.llm.common import cut, dealt_out, gathered, gram_hashes, mix, once_per_worker, parts, slices, text_bytes, text_size, word_hashes, word_spans
+
+SHARD_WORDS = 1 << 14  # words of passages that one automaton is made for, about
+PASSAGE = {"t": "<u8", "d": "<i8", "r": "<i8", "s": "<u4", "n": "<i4"}
 
 
 class Automaton:
@@ -82,6 +88,26 @@ class Automaton:
             self.link[new] = self.split(p, w)
         return new
 
+    def add(self, words: list[int]) -> None:
+        """One more sequence, of no document; least() isn't for such automata."""
+        last = 0
+        for w in words:
+            last = self.added(last, w)
+
+    def matched(self, words: list[int]) -> list[int]:
+        """Matching statistics: for each place, how many words that end there the automaton has in a row, at most."""
+        following, link, size = self.next, self.link, self.size
+        v = length = 0
+        out = []
+        for w in words:
+            while w not in following[v] and v:
+                v = link[v]
+                length = size[v]
+            to = following[v].get(w)
+            v, length = (0, 0) if to is None else (to, length + 1)
+            out.append(length)
+        return out
+
     def least(self, words: list[int]) -> list[int]:
         """By window: the least document that has it, or NONE."""
         following, link, size, held, width = self.next, self.link, self.size, self.held, self.width
@@ -98,231 +124,354 @@ class Automaton:
 
 
 class Reference:
-    """Automata of the reference's shards, and the frequent anchors with the first document of each."""
+    """Automata of the broadcast shards, and the frequent anchors."""
 
-    def __init__(self, anchors: np.ndarray, first: np.ndarray, segments: list[tuple[int, bytes]], width: int, shard: int = 1 << 16):
-        order = np.argsort(anchors)
-        self.anchors, self.first, self.width, self.automata = anchors[order], first[order], width, []
+    def __init__(self, anchors: np.ndarray, segments: list[tuple[int, list[bytes]]], width: int, shard: int = 1 << 14):
+        self.anchors, self.width, self.automata = np.sort(anchors), width, []
         held: list[tuple[int, list[int]]] = []
-        for doc, words in segments:
-            held.append((doc, np.frombuffer(words, np.uint64).tolist()))
-            if sum(len(w) for _, w in held) >= shard:
+        size = 0
+        for doc, runs in segments:
+            for words in runs:
+                held.append((doc, np.frombuffer(words, np.uint64).tolist()))
+                size += len(held[-1][1])
+            if size >= shard:
                 self.automata.append(Automaton(held, width))
-                held = []
+                held, size = [], 0
         if held:
             self.automata.append(Automaton(held, width))
 
-    def index(self, least: np.ndarray) -> np.ndarray:
-        """The number of each window's anchor among the frequent ones, or -1."""
+    def frequent(self, least: np.ndarray) -> np.ndarray:
+        """Whether each window's anchor is among the frequent ones."""
         if not len(self.anchors):
-            return np.full(len(least), -1)
-        at = np.minimum(np.searchsorted(self.anchors, least), len(self.anchors) - 1)
-        return np.where(self.anchors[at] == least, at, -1)
+            return np.zeros(len(least), bool)
+        return self.anchors[np.minimum(np.searchsorted(self.anchors, least), len(self.anchors) - 1)] == least
 
-    def known(self, words: np.ndarray, at: np.ndarray, number: np.ndarray) -> np.ndarray:
-        """By window: the least document of the reference that has it, or NONE; for windows with a frequent anchor."""
+    def known(self, words: np.ndarray, at: np.ndarray, hot: np.ndarray) -> np.ndarray:
+        """By window: the least document of the reference that has it, or NONE; for the windows that are hot."""
         out = np.full(len(at), Automaton.NONE, np.int64)
-        hot = np.flatnonzero(number >= 0)
+        hot = np.flatnonzero(hot)
         for run in np.split(hot, np.flatnonzero(np.diff(at[hot]) != 1) + 1) if len(hot) and self.automata else ():
             part = words[at[run[0]] : at[run[-1]] + self.width].tolist()
             out[run] = np.minimum.reduce([x.least(part) for x in self.automata])
         return out
 
 
-def windows(text: pa.Array, width: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, anchor, row and first word's place of every window of `width` words of one text, in order; all words."""
+def windows(text: pa.Array, width: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Hash, anchor, row and first word's place of every window of `width` words of one text, in order; all words; the
+    place of each row's first word."""
     data, offsets = text_bytes(text)
     start, end = word_spans(data)
     words = word_hashes(data, start, end)
-    doc = np.repeat(np.arange(len(text)), np.diff(np.searchsorted(start, offsets)))
+    bounds = np.searchsorted(start, offsets)
+    doc = np.repeat(np.arange(len(text)), np.diff(bounds))
     if len(words) < width:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), words
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), words, bounds
     whole = doc[: len(doc) - width + 1] == doc[width - 1 :]
-    grams = gram_hashes(words, anchor)
+    return gram_hashes(words, width)[whole], least_grams(words, width, anchor)[whole], doc[: len(doc) - width + 1][whole], np.flatnonzero(whole), words, bounds
+
+
+def least_grams(words: np.ndarray, width: int, n: int) -> np.ndarray:
+    """The least hash of n words in a row, in each window of `width` words."""
+    grams = gram_hashes(words, n)
     least = grams[: len(words) - width + 1].copy()
-    for k in range(1, width - anchor + 1):
+    for k in range(1, width - n + 1):
         np.minimum(least, grams[k : k + len(least)], out=least)
-    return gram_hashes(words, width)[whole], least[whole], doc[: len(doc) - width + 1][whole], np.flatnonzero(whole), words
+    return least
 
 
-def repeated_anchors(docs: DataFrame, width: int, anchor: int, bits: int, frequent: int, most: int) -> tuple[int, dict[int, bytes], np.ndarray, np.ndarray]:
+def repeated_anchors(docs: DataFrame, deal: int, width: int, anchor: int, bits: int, frequent: int, most: int) -> tuple[int, dict[int, bytes], np.ndarray]:
     """Bits for each partition that anchors are dealt to, and by partition those of the anchors that two documents
-    have; the `most` anchors or so that most documents have, `frequent` at least, and the first document of each."""
-    deal = parts(docs)
+    have; the anchors that most documents have, `most` of them at most, with the most frequent first."""
     side = max(bits // deal, 64)
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
         for batch in slices(batches, "text"):
-            _, least, doc, _, _ = windows(batch.column("text"), width, anchor)
+            _, least, doc, _, _, _ = windows(batch.column("text"), width, anchor)
+            ids = np.asarray(batch.column("doc_id"))[doc]
+            order = np.lexsort((ids, least))
+            least, ids = least[order], ids[order]
             new = np.ones(len(least), bool)
-            new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
-            yield dealt(least[new], {"d": np.asarray(batch.column("doc_id"))[doc[new]]}, deal)
+            new[1:] = least[1:] != least[:-1]
+            other = new.copy()
+            other[1:] |= ids[1:] != ids[:-1]
+            begin = np.flatnonzero(new)
+            count = np.add.reduceat(other.astype(np.int64), begin) if len(begin) else begin
+            # an anchor once for each slice of documents, with the number of documents there
+            yield {"t": least[begin], "n": np.minimum(count, 65535).astype("<u2")}
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return dealt_out(pieces(batches), deal)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = list(batches)
-        if not rows:
-            return
-        part = rows[0].column("p")[0].as_py()
-        x = gathered(iter(rows), {"t": "<u8", "d": "<i8"})
-        order = np.lexsort((x["d"], x["t"]))
-        t, d = x["t"][order], x["d"][order]
-        new = np.ones(len(t), bool)
-        new[1:] = (t[1:] != t[:-1]) | (d[1:] != d[:-1])
-        t, d = t[new], d[new]
+        part = 0
+
+        def seen() -> Iterator[pa.RecordBatch]:
+            nonlocal part
+            for batch in batches:
+                part = batch.column("p")[0].as_py() if len(batch) else part
+                yield batch
+
+        x = gathered(seen(), {"t": "<u8", "n": "<u2"})
+        order = np.argsort(x["t"], kind="stable")
+        t, n = x["t"][order], x["n"][order].astype(np.int64)
         begin = np.flatnonzero(np.concatenate((np.ones(min(len(t), 1), bool), t[1:] != t[:-1])))
-        count = np.diff(np.append(begin, len(t)))
+        count = np.add.reduceat(n, begin) if len(begin) else begin
         begin, count = begin[count > 1], count[count > 1]
         held = np.zeros(side, bool)
         held[(mix(t[begin]) % np.uint64(side)).astype(np.int64)] = True
-        hot = begin[np.argsort(-count, kind="stable")[: min(-(-most // deal), int((count >= frequent).sum()))]]
+        hot = np.argsort(-count, kind="stable")[: min(-(-most // deal) * 4, int((count >= frequent).sum()))]
         if len(begin):
-            bits_of = zlib.compress(np.packbits(held).tobytes(), 1)
-            yield pa.record_batch([pa.array([part], pa.int32()), *(pa.array([x], pa.binary()) for x in (bits_of, t[hot].tobytes(), d[hot].tobytes()))], ["p", "bits", "anchors", "first"])
+            cells = zlib.compress(np.packbits(held).tobytes(), 1), t[begin[hot]].tobytes(), count[hot].astype("<i8").tobytes()
+            yield pa.record_batch([pa.array([part], pa.int32()), *(pa.array([x], pa.binary()) for x in cells)], ["p", "bits", "anchors", "docs"])
 
-    dealt_rows = docs.mapInArrow(spread, "p int, t binary, d binary").repartitionById(deal, "p")
-    found = dealt_rows.mapInArrow(match, "p int, bits binary, anchors binary, first binary").collect()
+    dealt_rows = docs.mapInArrow(spread, "p int, t binary, n binary").repartitionById(deal, "p")
+    found = dealt_rows.mapInArrow(match, "p int, bits binary, anchors binary, docs binary").collect()
     join = lambda name, kind: np.frombuffer(b"".join(bytes(r[name]) for r in found), kind)
-    return side, {r["p"]: bytes(r["bits"]) for r in found}, join("anchors", "<u8"), join("first", "<i8")
+    anchors, count = join("anchors", "<u8"), join("docs", "<i8")
+    return side, {r["p"]: bytes(r["bits"]) for r in found}, anchors[np.lexsort((anchors, -count))[:most]]
 
 
-def reference_segments(docs: DataFrame, width: int, anchor: int, anchors: np.ndarray, first: np.ndarray, most_words: int) -> list[tuple[int, bytes]]:
-    """(doc_id, words) of the passages around frequent anchors in each anchor's first document, each window once; none
-    where they have over most_words words, so that what is broadcast is bounded."""
-    shared = docs.sparkSession.sparkContext.broadcast((anchors, first))
+def reference_segments(docs: DataFrame, width: int, anchor: int, anchors: np.ndarray, most_words: int) -> list[tuple[int, list[bytes]]]:
+    """(doc_id, runs of words) of the passages around frequent anchors in each anchor's first document; of the most
+    frequent ones that have most_words words together, so that what is broadcast is bounded."""
+    order = np.argsort(anchors)
+    ranked = anchors[order]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ref = Reference(*shared.value, [], width)
-        wanted = np.unique(ref.first)
-
-        def picked() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array(np.isin(np.asarray(batch.column("doc_id")), wanted)))
-
-        for batch in slices(picked(), "text"):
-            own, least, doc, at, words = windows(batch.column("text"), width, anchor)
-            number, ids = ref.index(least), np.asarray(batch.column("doc_id"))[doc]
-            keep = np.flatnonzero((number >= 0) & (ref.first[number] == ids))
-            keep = np.sort(keep[np.unique(np.stack((ids[keep].view(np.uint64), own[keep])), axis=1, return_index=True)[1]])
-            runs = np.split(keep, np.flatnonzero(np.diff(at[keep]) != 1) + 1) if len(keep) else []
-            yield pa.record_batch([pa.array([int(ids[r[0]]) for r in runs], pa.int64()), pa.array([words[at[r[0]] : at[r[-1]] + width].tobytes() for r in runs], pa.binary())], ["doc_id", "words"])
-
-    found = cut(docs.mapInArrow(run, "doc_id long, words binary").distinct())
-    if (found.agg(F.sum(F.octet_length("words"))).first()[0] or 0) > 8 * most_words:
-        return []
-    return sorted((r["doc_id"], bytes(r["words"])) for r in found.collect())
-
-
-def repeated_windows(docs: DataFrame, width: int, anchor: int, side: int, found: dict[int, bytes], reference: Callable[[], Reference]) -> DataFrame:
-    """doc_id, hashes (bytes) of its windows that a smaller doc_id has too and that the reference doesn't tell."""
-    deal = parts(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(found)
+        first: dict[int, tuple[int, list[bytes]]] = {}
+        for batch in slices(batches, "text"):
+            _, least, doc, at, words, _ = windows(batch.column("text"), width, anchor)
+            number = np.minimum(np.searchsorted(ranked, least), len(ranked) - 1)
+            keep = np.flatnonzero(ranked[number] == least)
+            ids, number = np.asarray(batch.column("doc_id"))[doc[keep]], order[number[keep]]
+            edge = np.ones(len(keep), bool)
+            edge[1:] = (np.diff(at[keep]) != 1) | (np.diff(number) != 0) | (np.diff(ids) != 0)
+            begin = np.flatnonzero(edge)
+            for a, b in zip(begin.tolist(), np.append(begin[1:], len(keep)).tolist()):
+                k, d = int(number[a]), int(ids[a])
+                if k not in first or d < first[k][0]:
+                    first[k] = (d, [])
+                if d == first[k][0]:
+                    first[k][1].append(words[at[keep[a]] : at[keep[b - 1]] + width].tobytes())
+        yield pa.record_batch([pa.array(list(first), pa.int64()), pa.array([d for d, _ in first.values()], pa.int64()), pa.array([sorted(set(x)) for _, x in first.values()], pa.list_(pa.binary()))], ["number", "doc_id", "runs"])
+
+    rows = docs.mapInArrow(run, "number long, doc_id long, runs array<binary>")
+    found = cut(rows.groupBy("number").agg(F.min("doc_id").alias("doc_id"), F.min_by("runs", "doc_id").alias("runs")))
+    size = F.aggregate("runs", F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x))
+    sizes = sorted((r["number"], r["size"]) for r in found.select("number", size.alias("size")).collect())
+    fitting = [k for (k, _), total in zip(sizes, np.cumsum([n for _, n in sizes]).tolist()) if total <= 8 * most_words]
+    return [(r["doc_id"], [bytes(x) for x in r["runs"]]) for r in found.where(F.col("number") <= max(fitting, default=-1)).orderBy("number").collect()]
+
+
+def edges_of(*columns: np.ndarray) -> np.ndarray:
+    """Where a new run begins: at the first of rows whose places (the first column) go on and whose others are equal."""
+    edge = np.ones(len(columns[0]), bool)
+    edge[1:] = np.diff(columns[0]) != 1
+    for x in columns[1:]:
+        edge[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(edge)
+
+
+def passages(docs: DataFrame, deal: int, width: int, anchor: int, side: int, found: dict[int, bytes], reference: tuple) -> DataFrame:
+    """Rows of dealt passages: t (what they are dealt by), d (doc_id), r (the row's text), s (first word's place), n (words),
+    lo and hi (the words). n below 0: -n words that the reference, or a smaller document of the same slice, has."""
+    shared = docs.sparkSession.sparkContext.broadcast((found, reference))
     tag = ("anchors", shared._jbroadcast.id())
 
-    def unpacked() -> np.ndarray:
-        size = -(-side // 8)
-        out = np.zeros((deal, size), np.uint8)
-        for p, x in shared.value.items():
+    def made() -> tuple[np.ndarray, Reference]:
+        held, ref = shared.value
+        out = np.zeros((deal, -(-side // 8)), np.uint8)
+        for p, x in held.items():
             out[p] = np.frombuffer(zlib.decompress(x), np.uint8)
-        return out
+        return out, Reference(*ref, width)
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, ref = once_per_worker(tag, unpacked), reference()
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+        held, ref = once_per_worker(tag, made)
         for batch in slices(batches, "text"):
-            own, least, doc, at, words = windows(batch.column("text"), width, anchor)
-            ids, number = np.asarray(batch.column("doc_id"))[doc], ref.index(least)
-            known = ref.known(words, at, number)
-            # told: a smaller document of the reference has it, or this is the first document that has the anchor
-            told = (ids > known) | ((number >= 0) & (known == ids) & (ref.first[number] == ids) if len(ref.first) else False)
-            slot = (mix(least) % np.uint64(side)).astype(np.int64)
-            part = ((least >> np.uint64(24)) % np.uint64(deal)).astype(np.int64)
+            own, least, doc, at, words, first_word = windows(batch.column("text"), width, anchor)
+            if not len(own):
+                continue
+            ids, rows = np.asarray(batch.column("doc_id")), np.asarray(batch.column("r"))
+            slot, part = (mix(least) % np.uint64(side)).astype(np.int64), ((least >> np.uint64(24)) % np.uint64(deal)).astype(np.int64)
             keep = (held[part, slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
-            keep &= ~told
-            yield dealt(own[keep], {"d": ids[keep]}, deal)
+            hot = ref.frequent(least)
+            known = ref.known(words, at, hot)
+            row = lambda k: {"d": ids[doc[k]], "r": rows[doc[k]], "s": (at[k] - first_word[doc[k]]).astype("<u4")}
+            none = {"lo": np.zeros(0, "<u4"), "hi": np.zeros(0, "<u2")}
+            gone = np.flatnonzero(known < ids[doc])
+            begin = edges_of(at[gone], doc[gone])
+            length = np.diff(np.append(begin, len(gone))) + width - 1
+            yield {"t": mix(ids[doc[gone[begin]]].view(np.uint64)), "n": -length.astype("<i4")} | row(gone[begin]) | none
+
+            key = least.copy()
+            if hot.any():
+                finer = np.zeros(len(words) - width + 1, np.uint64)
+                finer[:] = least_grams(words, width, (width + anchor + 1) // 2)
+                key[hot] = mix(finer[at[hot]])
+            rest = np.flatnonzero(keep & (known > ids[doc]))
+            begin = edges_of(at[rest], doc[rest], key[rest])
+            if not len(begin):
+                continue
+            windows_in = np.diff(np.append(begin, len(rest)))
+            nth = np.arange(len(rest)) - np.repeat(begin, windows_in)
+            same = np.add.reduceat(mix(own[rest] + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), begin) + windows_in.astype(np.uint64)
+            start, length = rest[begin], windows_in + width - 1
+            order = np.lexsort((ids[doc[start]], same))
+            lead = np.concatenate(([True], same[order][1:] != same[order][:-1]))
+            smallest = np.empty(len(start), np.int64)
+            smallest[order] = ids[doc[start]][order][lead][np.cumsum(lead) - 1]
+            later = ids[doc[start]] > smallest
+            taken = np.where(later, 0, length)
+            ends = np.cumsum(taken)
+            places = np.arange(ends[-1]) + np.repeat(at[start] - (ends - taken), taken)
+            codes = words[places] >> np.uint64(16)
+            yield {"t": key[start], "n": np.where(later, -length, length).astype("<i4"), "lo": codes.astype("<u4"), "hi": (codes >> np.uint64(32)).astype("<u2")} | row(start)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return dealt_out(pieces(batches), deal, ("lo", "hi"))
+
+    return docs.mapInArrow(spread, "p int, t binary, n binary, d binary, r binary, s binary, lo binary, hi binary")
+
+
+def streamed(docs: np.ndarray, size: np.ndarray, codes: np.ndarray, width: int) -> list[tuple[int, int, int]]:
+    """(passage, start in it, end) of the maximal spans whose windows smaller documents have, of passages in order of
+    their documents; size: words of each, which lie one after another in codes."""
+    automaton, out, new = Automaton([], width), [], []
+    ends, before = np.cumsum(size).tolist(), None
+    for k, (doc, n, end) in enumerate(zip(docs.tolist(), size.tolist(), ends)):
+        if doc != before:  # what a document adds counts for larger ones
+            for x in new:
+                automaton.add(x)
+            new, before = [], doc
+        words = codes[end - n : end].tolist()
+        fresh = None  # where a run of new windows began
+        span = None
+        for place, length in enumerate(automaton.matched(words)):
+            if place < width - 1:
+                continue
+            first = place - width + 1
+            if length >= width:
+                if span and first <= span[1]:
+                    span = (span[0], place + 1)
+                else:
+                    if span:
+                        out.append((k, *span))
+                    span = (first, place + 1)
+                if fresh is not None:
+                    new.append(words[fresh : place])
+                    fresh = None
+            elif fresh is None:
+                fresh = first
+        if span:
+            out.append((k, *span))
+        if fresh is not None:
+            new.append(words[fresh:])
+    return out
+
+
+def spans(dealt_rows: DataFrame, deal: int, width: int, shard_words: int) -> DataFrame:
+    """doc_id, r, spans (bytes: first place and end of each) of the words that go, from passages()."""
+
+    def found(x: dict[str, np.ndarray]) -> Iterator[dict[str, np.ndarray]]:
+        answer = lambda k, a, b: {"t": mix(x["d"][k].view(np.uint64)), "d": x["d"][k], "r": x["r"][k], "a": a.astype("<u4"), "b": b.astype("<u4")}
+        told = np.flatnonzero(x["n"] < 0)
+        yield answer(told, x["s"][told], x["s"][told] - x["n"][told].astype(np.int64))
+        asked = np.flatnonzero(x["n"] > 0)
+        size = np.maximum(x["n"], 0).astype(np.int64)
+        begin = np.cumsum(size) - size
+        codes = x["lo"].astype(np.uint64) | x["hi"].astype(np.uint64) << np.uint64(32)
+        # passages that are the same word for word, by key and document
+        nth = np.arange(len(codes)) - np.repeat(begin, size)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(codes + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))))
+        same = sums[begin + size] - sums[begin] + size.astype(np.uint64)
+        asked = asked[np.lexsort((x["d"][asked], same[asked], x["t"][asked]))]
+        t, h, d = x["t"][asked], same[asked], x["d"][asked]
+        lead = np.ones(len(asked), bool)
+        lead[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
+        leader = np.flatnonzero(lead)[np.cumsum(lead) - 1] if len(asked) else np.zeros(0, np.int64)
+        later = asked[d > d[leader]]
+        yield answer(later, x["s"][later], x["s"][later] + size[later])
+        # shards: anchors one after another, until their passages have so many words
+        one = asked[lead]
+        group = np.cumsum(size[one]) // shard_words
+        key = x["t"][one]
+        starts = np.concatenate(([True], key[1:] != key[:-1])) if len(one) else np.zeros(0, bool)
+        group = group[np.flatnonzero(starts)[np.cumsum(starts) - 1]] if len(one) else group
+        spans_of: dict[int, list[tuple[int, int]]] = {}
+        for part in np.split(one, np.flatnonzero(np.diff(group)) + 1) if len(one) else ():
+            part = part[np.argsort(x["d"][part], kind="stable")]
+            own = size[part]
+            ends = np.cumsum(own)
+            words = codes[np.arange(ends[-1]) + np.repeat(begin[part] - (ends - own), own)]
+            for k, a, b in streamed(x["d"][part], own, words, width):
+                spans_of.setdefault(int(part[k]), []).append((a, b))
+        # equal passages of the leader's own document get what the leader gets
+        own = np.flatnonzero(d == d[leader]) if len(asked) else np.zeros(0, np.int64)
+        got = [(k, a, b) for k, of in zip(asked[own].tolist(), asked[leader[own]].tolist()) for a, b in spans_of.get(of, ())]
+        k, a, b = np.array(got, np.int64).reshape(-1, 3).T
+        yield answer(k, x["s"][k] + a, x["s"][k] + b)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = gathered(batches, {"t": "<u8", "d": "<i8"})
-        order = np.lexsort((x["d"], x["t"]))
-        t, d = x["t"][order], x["d"][order]
-        new = np.ones(len(t), bool)
-        new[1:] = (t[1:] != t[:-1]) | (d[1:] != d[:-1])
-        t, d = t[new], d[new]
-        first = np.ones(len(t), bool)
-        first[1:] = t[1:] != t[:-1]
-        t, d = t[~first], d[~first]
-        # on to the partition of the document
-        rows = dealt(mix(d.view(np.uint64)), {"w": t, "d": d}, deal)
-        yield rows.select(["p", "w", "d"])
+        return dealt_out(found(gathered(batches, PASSAGE | {"lo": "<u4", "hi": "<u2"})), deal)
 
     def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = gathered(batches, {"w": "<u8", "d": "<i8"})
-        order = np.argsort(x["d"], kind="stable")
-        w, d = x["w"][order], x["d"][order]
-        begin = np.flatnonzero(np.concatenate((np.ones(min(len(d), 1), bool), d[1:] != d[:-1])))
+        x = gathered(batches, {"d": "<i8", "r": "<i8", "a": "<u4", "b": "<u4"})
+        order = np.lexsort((x["a"], x["r"], x["d"]))
+        d, r, both = x["d"][order], x["r"][order], np.stack((x["a"][order], x["b"][order]), 1)
+        begin = np.flatnonzero(np.concatenate((np.ones(min(len(d), 1), bool), (d[1:] != d[:-1]) | (r[1:] != r[:-1]))))
         ends = np.append(begin[1:], len(d))
         for lo in range(0, len(begin), 2000):
             few = slice(lo, lo + 2000)
-            yield pa.record_batch([pa.array(d[begin[few]]), pa.array([w[a:b].tobytes() for a, b in zip(begin[few], ends[few])], pa.binary())], ["doc_id", "hashes"])
+            yield pa.record_batch([pa.array(d[begin[few]]), pa.array(r[begin[few]]), pa.array([both[a:b].tobytes() for a, b in zip(begin[few], ends[few])], pa.binary())], ["doc_id", "r", "spans"])
 
-    met = docs.mapInArrow(spread, "p int, t binary, d binary").repartitionById(deal, "p").mapInArrow(match, "p int, w binary, d binary")
-    return met.repartitionById(deal, "p").mapInArrow(by_document, "doc_id long, hashes binary")
+    met = dealt_rows.repartitionById(deal, "p").mapInArrow(match, "p int, t binary, d binary, r binary, a binary, b binary")
+    return met.select("p", "d", "r", "a", "b").repartitionById(deal, "p").mapInArrow(by_document, "doc_id long, r long, spans binary")
 
 
-def remove_repeats(docs: DataFrame, *, width: int = 13, bits: int | None = None, frequent: int = 8, anchors: int = 4096, reference_words: int = 1 << 17) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, width: int = 13, bits: int | None = None, frequent: int = 8, anchors: int = 2048, reference_words: int = 1 << 15, shard_words: int = SHARD_WORDS) -> DataFrame:
     """doc_id, n_words, n_removed, kept (text) for every row of docs(doc_id, text, ...).
 
     Words are runs without white space, unchanged. A word goes if a window of `width` consecutive words covers it
     whose words also start, in the same order, in a document with a smaller doc_id; all windows are judged on the
     input. kept joins the other words by one space. A null or empty text has no words. Rows with a null doc_id lose
-    nothing and count for nothing; rows that share a doc_id are one document to others and are each returned; other
-    columns are ignored; an empty table gives no rows. Texts are read whole.
+    nothing and count for nothing; rows that share a doc_id are one document to others and are each returned, judged by
+    their own text; other columns are ignored; an empty table gives no rows. Texts are read whole. There are no ties: the
+    smallest doc_id that has a window keeps it, at all its places.
 
-    bits: size of the map of repeated anchors; by default 512 for each row, from 2^24 to 2^30 (128 MB). frequent,
-    anchors, reference_words: how many documents an anchor of the reference has at least, and how many anchors and words
-    the reference has at most.
+    bits: size of the map of repeated anchors; by default 512 for each row, from 2^24 to 2^29 (64 MB). frequent,
+    anchors, reference_words: how many documents an anchor of the broadcast reference has at least, and how many anchors
+    and words the reference has at most. shard_words: words of passages that one automaton is made for, about.
     """
     anchor = width // 2 + 1
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("r"))
     known = docs.where("doc_id is not null")
+    n, size = text_size(docs)
+    deal = parts(docs, size)
     if bits is None:
-        bits = 1 << min(30, max(24, int(512 * max(docs.count(), 1)).bit_length()))
-    side, found, hot, first = repeated_anchors(known, width, anchor, bits, frequent, anchors)
-    segments = reference_segments(known, width, anchor, hot, first, reference_words) if len(hot) else []
-    if not segments:
-        hot, first = hot[:0], first[:0]
-    shared = docs.sparkSession.sparkContext.broadcast((hot, first, segments))
-    tag = ("reference", shared._jbroadcast.id())
-    reference = lambda: once_per_worker(tag, lambda: Reference(*shared.value, width))
-    repeats = repeated_windows(known, width, anchor, side, found, reference)
+        bits = 1 << min(29, max(24, int(512 * max(n, 1)).bit_length()))
+    side, found, hot = repeated_anchors(known, deal, width, anchor, bits, frequent, anchors)
+    segments = reference_segments(known, width, anchor, hot, reference_words) if len(hot) else []
+    repeats = spans(passages(known, deal, width, anchor, side, found, (hot, segments)), deal, width, shard_words)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ref = reference()
         for batch in slices(batches, "text"):
-            text = batch.column("text")
-            data, offsets = text_bytes(text)
-            start, end = word_spans(data)
-            at = np.searchsorted(start, offsets)
-            rows, raw, gone_of = batch.column("hashes").to_pylist(), data.tobytes(), {}
-            own, least, doc, place, words = windows(text, width, anchor)
-            ids, no_id = np.asarray(batch.column("doc_id").fill_null(0)), np.asarray(batch.column("doc_id").is_null())
-            hit = (ids[doc] > ref.known(words, place, ref.index(least))) & ~no_id[doc]
-            lo = np.searchsorted(doc, np.arange(len(text) + 1))
-            for i, x in enumerate(rows):
-                if x:
-                    hit[lo[i] : lo[i + 1]] |= np.isin(own[lo[i] : lo[i + 1]], np.frombuffer(x, np.uint64))
-            for i in np.unique(doc[hit]).tolist():
-                cover = np.zeros(at[i + 1] - at[i] + 1, np.int32)
-                begin = place[lo[i] : lo[i + 1]][hit[lo[i] : lo[i + 1]]] - at[i]
-                np.add.at(cover, begin, 1)
-                np.add.at(cover, begin + width, -1)
-                gone_of[i] = np.cumsum(cover)[:-1] > 0
-            n, removed, kept = np.diff(at), [], []
-            for i in range(len(text)):
-                spelt = raw[offsets[i] : offsets[i + 1]].split()
-                gone = gone_of.get(i)
-                removed.append(0 if gone is None else int(gone.sum()))
-                kept.append(b" ".join(spelt if gone is None else [w for w, g in zip(spelt, gone.tolist()) if not g]).decode())
-            yield pa.record_batch([batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+            n, removed, kept = [], [], []
+            for text, gone in zip(batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("spans").to_pylist()):
+                spelt = (text or b"").split()
+                n.append(len(spelt))
+                if gone:
+                    cover = np.zeros(len(spelt) + 1, np.int32)
+                    both = np.frombuffer(gone, "<u4").reshape(-1, 2)
+                    np.add.at(cover, both[:, 0], 1)
+                    np.add.at(cover, both[:, 1], -1)
+                    stay = (np.cumsum(cover)[:-1] == 0).tolist()
+                    removed.append(len(stay) - sum(stay))
+                    kept.append(b" ".join([w for w, x in zip(spelt, stay) if x]).decode())
+                else:
+                    removed.append(0)
+                    kept.append(b" ".join(spelt).decode())
+            yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
     # rows without a doc_id lose nothing, and aren't dealt by it
-    without_id = docs.where("doc_id IS NULL").withColumn("hashes", F.lit(None).cast("binary"))
-    return known.join(repeats, "doc_id", "left").unionByName(without_id).mapInArrow(finish, "doc_id long, n_words long, n_removed long, kept string")
+    without_id = docs.where("doc_id IS NULL").withColumn("spans", F.lit(None).cast("binary"))
+    return known.join(repeats, ["doc_id", "r"], "left").unionByName(without_id).mapInArrow(finish, "doc_id long, n_words long, n_removed long, kept string")
