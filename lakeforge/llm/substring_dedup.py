@@ -15,9 +15,10 @@ What can't repeat is let go at once; the rest is streamed through suffix automat
   there: matching statistics of 13 words or more give the maximal spans to remove, and the words of windows that are new
   are added. Passages of an anchor that is frequent, but not in the reference, are dealt by longer grams.
 
-Passages that are the same word for word are streamed once, in a slice of documents and in a shard. Spans go back to
-their documents. Words are compared by 48 bits of their hashes, within equal 64-bit anchors or shards; beyond the map's
-size more passages are dealt, results stay the same.
+Dealt passages are spelt in 7-word grams, 40 bits of hash each, so that a window of 13 words is 7 letters in a row, one
+of them its anchor; they are shorter than words that way. Passages that are the same throughout are streamed once, in a
+slice of documents and in a shard. Spans go back to their documents. Beyond the map's size more passages are dealt,
+results stay the same.
 """
 from __future__ import annotations
 
@@ -158,22 +159,22 @@ class Reference:
 
 def windows(text: pa.Array, width: int, anchor: int) -> tuple[np.ndarray, ...]:
     """Hash, anchor, row and first word's place of every window of `width` words of one text, in order; all words; the
-    place of each row's first word."""
+    place of each row's first word; the hash of the `anchor` words from each place on."""
     data, offsets = text_bytes(text)
     start, end = word_spans(data)
     words = word_hashes(data, start, end)
     bounds = np.searchsorted(start, offsets)
     doc = np.repeat(np.arange(len(text)), np.diff(bounds))
     if len(words) < width:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), words, bounds
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), words, bounds, words[:0]
     whole = doc[: len(doc) - width + 1] == doc[width - 1 :]
-    return gram_hashes(words, width)[whole], least_grams(words, width, anchor)[whole], doc[: len(doc) - width + 1][whole], np.flatnonzero(whole), words, bounds
+    grams = gram_hashes(words, anchor)
+    return gram_hashes(words, width)[whole], least_grams(grams, len(words), width, anchor)[whole], doc[: len(doc) - width + 1][whole], np.flatnonzero(whole), words, bounds, grams
 
 
-def least_grams(words: np.ndarray, width: int, n: int) -> np.ndarray:
-    """The least hash of n words in a row, in each window of `width` words."""
-    grams = gram_hashes(words, n)
-    least = grams[: len(words) - width + 1].copy()
+def least_grams(grams: np.ndarray, words: int, width: int, n: int) -> np.ndarray:
+    """The least hash of n words in a row, in each window of `width` of so many words."""
+    least = grams[: words - width + 1].copy()
     for k in range(1, width - n + 1):
         np.minimum(least, grams[k : k + len(least)], out=least)
     return least
@@ -186,7 +187,7 @@ def repeated_anchors(docs: DataFrame, deal: int, width: int, anchor: int, bits:
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
         for batch in slices(batches, "text"):
-            _, least, doc, _, _, _ = windows(batch.column("text"), width, anchor)
+            _, least, doc, *_ = windows(batch.column("text"), width, anchor)
             ids = np.asarray(batch.column("doc_id"))[doc]
             order = np.lexsort((ids, least))
             least, ids = least[order], ids[order]
@@ -240,7 +241,7 @@ def reference_segments(docs: DataFrame, width: int, anchor: int, anchors: np.nda
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first: dict[int, tuple[int, list[bytes]]] = {}
         for batch in slices(batches, "text"):
-            _, least, doc, at, words, _ = windows(batch.column("text"), width, anchor)
+            _, least, doc, at, words, *_ = windows(batch.column("text"), width, anchor)
             number = np.minimum(np.searchsorted(ranked, least), len(ranked) - 1)
             keep = np.flatnonzero(ranked[number] == least)
             ids, number = np.asarray(batch.column("doc_id"))[doc[keep]], order[number[keep]]
@@ -273,10 +274,10 @@ def edges_of(*columns: np.ndarray) -> np.ndarray:
 
 
 def passages(docs: DataFrame, deal: int, width: int, anchor: int, side: int, found: dict[int, bytes], reference: tuple) -> DataFrame:
-    """Rows of dealt passages: t (what they are dealt by), d (doc_id), r (the row's text), s (first word's place), n (words),
-    lo and hi (the words). n below 0: -n words that the reference, or a smaller document of the same slice, has."""
+    """Rows of dealt passages: t (what they are dealt by), d (doc_id), r (the row's text), s (first word's place), n (grams),
+    lo and hi (the grams). n below 0: -n grams that the reference, or a smaller document of the same slice, has."""
     shared = docs.sparkSession.sparkContext.broadcast((found, reference))
-    tag = ("anchors", shared._jbroadcast.id())
+    tag, longer = ("anchors", shared._jbroadcast.id()), (width + anchor + 1) // 2
 
     def made() -> tuple[np.ndarray, Reference]:
         held, ref = shared.value
@@ -288,7 +289,7 @@ def passages(docs: DataFrame, deal: int, width: int, anchor: int, side: int, fou
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
         held, ref = once_per_worker(tag, made)
         for batch in slices(batches, "text"):
-            own, least, doc, at, words, first_word = windows(batch.column("text"), width, anchor)
+            own, least, doc, at, words, first_word, grams = windows(batch.column("text"), width, anchor)
             if not len(own):
                 continue
             ids, rows = np.asarray(batch.column("doc_id")), np.asarray(batch.column("r"))
@@ -297,16 +298,16 @@ def passages(docs: DataFrame, deal: int, width: int, anchor: int, side: int, fou
             hot = ref.frequent(least)
             known = ref.known(words, at, hot)
             row = lambda k: {"d": ids[doc[k]], "r": rows[doc[k]], "s": (at[k] - first_word[doc[k]]).astype("<u4")}
-            none = {"lo": np.zeros(0, "<u4"), "hi": np.zeros(0, "<u2")}
+            none = {"lo": np.zeros(0, "<u4"), "hi": np.zeros(0, "u1")}
             gone = np.flatnonzero(known < ids[doc])
             begin = edges_of(at[gone], doc[gone])
-            length = np.diff(np.append(begin, len(gone))) + width - 1
+            length = np.diff(np.append(begin, len(gone))) + width - anchor
             yield {"t": mix(ids[doc[gone[begin]]].view(np.uint64)), "n": -length.astype("<i4")} | row(gone[begin]) | none
 
             key = least.copy()
             if hot.any():
                 finer = np.zeros(len(words) - width + 1, np.uint64)
-                finer[:] = least_grams(words, width, (width + anchor + 1) // 2)
+                finer[:] = least_grams(gram_hashes(words, longer), len(words), width, longer)
                 key[hot] = mix(finer[at[hot]])
             rest = np.flatnonzero(keep & (known > ids[doc]))
             begin = edges_of(at[rest], doc[rest], key[rest])
@@ -315,7 +316,7 @@ def passages(docs: DataFrame, deal: int, width: int, anchor: int, side: int, fou
             windows_in = np.diff(np.append(begin, len(rest)))
             nth = np.arange(len(rest)) - np.repeat(begin, windows_in)
             same = np.add.reduceat(mix(own[rest] + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), begin) + windows_in.astype(np.uint64)
-            start, length = rest[begin], windows_in + width - 1
+            start, length = rest[begin], windows_in + width - anchor
             order = np.lexsort((ids[doc[start]], same))
             lead = np.concatenate(([True], same[order][1:] != same[order][:-1]))
             smallest = np.empty(len(start), np.int64)
@@ -324,8 +325,8 @@ def passages(docs: DataFrame, deal: int, width: int, anchor: int, side: int, fou
             taken = np.where(later, 0, length)
             ends = np.cumsum(taken)
             places = np.arange(ends[-1]) + np.repeat(at[start] - (ends - taken), taken)
-            codes = words[places] >> np.uint64(16)
-            yield {"t": key[start], "n": np.where(later, -length, length).astype("<i4"), "lo": codes.astype("<u4"), "hi": (codes >> np.uint64(32)).astype("<u2")} | row(start)
+            codes = grams[places] >> np.uint64(24)
+            yield {"t": key[start], "n": np.where(later, -length, length).astype("<i4"), "lo": codes.astype("<u4"), "hi": (codes >> np.uint64(32)).astype("u1")} | row(start)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return dealt_out(pieces(batches), deal, ("lo", "hi"))
@@ -334,8 +335,8 @@ def passages(docs: DataFrame, deal: int, width: int, anchor: int, side: int, fou
 
 
 def streamed(docs: np.ndarray, size: np.ndarray, codes: np.ndarray, width: int) -> list[tuple[int, int, int]]:
-    """(passage, start in it, end) of the maximal spans whose windows smaller documents have, of passages in order of
-    their documents; size: words of each, which lie one after another in codes."""
+    """(passage, start in it, end) of the maximal spans whose windows of `width` letters smaller documents have, of
+    passages in order of their documents; size: letters of each, which lie one after another in codes."""
     automaton, out, new = Automaton([], width), [], []
     ends, before = np.cumsum(size).tolist(), None
     for k, (doc, n, end) in enumerate(zip(docs.tolist(), size.tolist(), ends)):
@@ -369,18 +370,18 @@ def streamed(docs: np.ndarray, size: np.ndarray, codes: np.ndarray, width: int)
     return out
 
 
-def spans(dealt_rows: DataFrame, deal: int, width: int, shard_words: int) -> DataFrame:
+def spans(dealt_rows: DataFrame, deal: int, width: int, anchor: int, shard_words: int) -> DataFrame:
     """doc_id, r, spans (bytes: first place and end of each) of the words that go, from passages()."""
 
     def found(x: dict[str, np.ndarray]) -> Iterator[dict[str, np.ndarray]]:
-        answer = lambda k, a, b: {"t": mix(x["d"][k].view(np.uint64)), "d": x["d"][k], "r": x["r"][k], "a": a.astype("<u4"), "b": b.astype("<u4")}
+        answer = lambda k, a, b: {"t": mix(x["d"][k].view(np.uint64)), "d": x["d"][k], "r": x["r"][k], "a": a.astype("<u4"), "b": (b + anchor - 1).astype("<u4")}
         told = np.flatnonzero(x["n"] < 0)
-        yield answer(told, x["s"][told], x["s"][told] - x["n"][told].astype(np.int64))
+        yield answer(told, x["s"][told], x["s"][told].astype(np.int64) - x["n"][told])
         asked = np.flatnonzero(x["n"] > 0)
         size = np.maximum(x["n"], 0).astype(np.int64)
         begin = np.cumsum(size) - size
         codes = x["lo"].astype(np.uint64) | x["hi"].astype(np.uint64) << np.uint64(32)
-        # passages that are the same word for word, by key and document
+        # passages that are the same throughout, by key and document
         nth = np.arange(len(codes)) - np.repeat(begin, size)
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(codes + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))))
         same = sums[begin + size] - sums[begin] + size.astype(np.uint64)
@@ -403,7 +404,7 @@ def spans(dealt_rows: DataFrame, deal: int, width: int, shard_words: int) -> Dat
             own = size[part]
             ends = np.cumsum(own)
             words = codes[np.arange(ends[-1]) + np.repeat(begin[part] - (ends - own), own)]
-            for k, a, b in streamed(x["d"][part], own, words, width):
+            for k, a, b in streamed(x["d"][part], own, words, width - anchor + 1):
                 spans_of.setdefault(int(part[k]), []).append((a, b))
         # equal passages of the leader's own document get what the leader gets
         own = np.flatnonzero(d == d[leader]) if len(asked) else np.zeros(0, np.int64)
@@ -412,7 +413,7 @@ def spans(dealt_rows: DataFrame, deal: int, width: int, shard_words: int) -> Dat
         yield answer(k, x["s"][k] + a, x["s"][k] + b)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return dealt_out(found(gathered(batches, PASSAGE | {"lo": "<u4", "hi": "<u2"})), deal)
+        return dealt_out(found(gathered(batches, PASSAGE | {"lo": "<u4", "hi": "u1"})), deal)
 
     def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = gathered(batches, {"d": "<i8", "r": "<i8", "a": "<u4", "b": "<u4"})
@@ -451,7 +452,7 @@ def remove_repeats(docs: DataFrame, *, width: int = 13, bits: int | None = None,
         bits = 1 << min(29, max(24, int(512 * max(n, 1)).bit_length()))
     side, found, hot = repeated_anchors(known, deal, width, anchor, bits, frequent, anchors)
     segments = reference_segments(known, width, anchor, hot, reference_words) if len(hot) else []
-    repeats = spans(passages(known, deal, width, anchor, side, found, (hot, segments)), deal, width, shard_words)
+    repeats = spans(passages(known, deal, width, anchor, side, found, (hot, segments)), deal, width, anchor, shard_words)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
