@@ -74,15 +74,18 @@ def once_per_worker(key: tuple, make: Callable[[], Any]) -> Any:
 
 
 def tidy() -> None:
-    """Gives freed memory back to the system, as workers live on between tasks."""
+    """Gives freed memory back to the system, as workers live on between tasks; arrays of over 1 MB are from now on given
+    back when they are freed."""
     pa.default_memory_pool().release_unused()
     try:
-        ctypes.CDLL(None).malloc_trim(0)
+        c = ctypes.CDLL(None)
+        c.mallopt(-3, 1 << 20)
+        c.malloc_trim(0)
     except (AttributeError, OSError):  # only this C library has it
         pass
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of about `most` bytes of text at most (one row at least), to bound a worker's memory."""
     for batch in batches:
         text = batch.column(column)

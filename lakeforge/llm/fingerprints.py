@@ -1,40 +1,70 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-Every run of k words is hashed; of each `window` runs in a row the least hash is kept, the rightmost of equal ones,
-with its place. Two texts that share k + window - 1 words in a row share a fingerprint.
+Words are runs without white space, except that letters of scripts that are written without blanks stand alone and longer
+runs are cut every LONGEST characters. Every run of k words has a rolling hash: the words' hashes, each rotated by one
+bit more than the one after it, put together by exclusive or. Of each `window` runs in a row the least hash is kept, the
+rightmost of equal ones, with its place. Two texts that share k + window - 1 words in a row share a fingerprint.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import parts
+from lakeforge.llm.common import parts, text_size
 
-PLACE = (1 << 24) - 1  # the low bits of a packed hash: the place, counted down, so that the rightmost one is least
+#: Scripts that are written without blanks.
+UNSPACED = "Han Hiragana Katakana Thai Lao Khmer Myanmar"
+LONGEST = 32
+PLACE_BITS = 30  # an array has fewer than 2^31 / 2 words, so a place fits
 
 
-def with_winnowed(df: DataFrame, text: str, out: str, k: int, window: int) -> DataFrame:
-    """Adds array<long> `out`: the packed hashes that winnowing keeps of column `text`; empty without words.
-
-    A packed hash has 39 bits of hash above 24 bits of place. Fewer than k words are one run; fewer runs than
-    `window` are one window."""
-    words, runs = f"{out}__words", f"{out}__runs"
-    packed = lambda i: F.shiftleft(F.shiftrightunsigned(F.xxhash64(F.slice(F.col(words), i, k)), 25), 24).bitwiseOR(F.lit(PLACE) - F.pmod(i, F.lit(PLACE + 1)))
-    df = df.withColumn(words, F.array_remove(F.split(F.col(text), r"[\x20\x09-\x0D]+", -1), ""))
-    df = df.withColumn(runs, F.when(F.size(words) > 0, F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - (k - 1), F.lit(1))), packed)).otherwise(F.array().cast("array<long>")))
-    least = lambda j: F.array_min(F.slice(F.col(runs), j, window))
-    kept = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(runs) - (window - 1), F.lit(1))), least))
-    return df.withColumn(out, F.when(F.size(runs) > 0, kept).otherwise(F.array().cast("array<long>"))).drop(words, runs)
+def words(text: Column) -> Column:
+    """The text's words; a plain split unless some part needs more."""
+    alone = "".join(rf"\p{{Is{x}}}" for x in UNSPACED.split())
+    more = rf"[{alone}]|[^\x20\x09-\x0D]{{{LONGEST}}}"
+    spaced = F.when(text.rlike(more), F.regexp_replace(text, rf"([{alone}])|([^\x20\x09-\x0D{alone}]{{1,{LONGEST}}})", "$1$2 ")).otherwise(text)
+    return F.array_remove(F.split(spaced, r"[\x20\x09-\x0D]+", -1), "")
 
 
-def hashes(packed: Column) -> Column:
-    return F.array_distinct(F.transform(packed, lambda x: F.shiftright(x, 24)))
+def rotated(x: Column, bits: int) -> Column:
+    return F.shiftleft(x, bits).bitwiseOR(F.shiftrightunsigned(x, 64 - bits)) if bits else x
 
 
-def written(packed: Column) -> Column:
+def with_winnowed(df: DataFrame, text: str, out: str, k: int, window: int) -> DataFrame:
+    """Adds array<struct<h: long, at: int>> `out`: the runs that winnowing keeps of column `text`, in order, with the
+    place of their first words from 0; empty without words.
+
+    Least is a run's hash by its upper 33 bits, and of equal ones the rightmost; the hash that is given has all 64, so
+    texts are of any length that a column holds. Fewer than k words are one run, fewer runs than `window` one window."""
+    hashed, runs, kept = f"{out}__hashed", f"{out}__runs", f"{out}__kept"
+    n = F.size(hashed)
+    word = lambda i, j: F.element_at(hashed, (i + j).cast("int"))
+
+    def rolling(i: Column) -> Column:
+        x = rotated(word(i, F.lit(0)), k - 1)
+        for j in range(1, k):
+            x = x.bitwiseXOR(rotated(word(i, F.lit(j)), k - 1 - j))
+        return x
+
+    short = F.aggregate(hashed, F.lit(0).cast("long"), lambda x, w: rotated(x, 1).bitwiseXOR(w))
+    all_runs = F.when(n >= k, F.transform(F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))), rolling)).when(n > 0, F.array(short)).otherwise(F.array().cast("array<long>"))
+    last = (1 << PLACE_BITS) - 1
+    packed = F.transform(runs, lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 1 + PLACE_BITS), PLACE_BITS).bitwiseOR(F.lit(last) - i))
+    df = df.withColumn(hashed, F.transform(words(F.col(text)), lambda w: F.xxhash64(w))).withColumn(runs, all_runs).withColumn(kept, packed)
+    least = lambda j: F.array_min(F.slice(F.col(kept), j, window))
+    mins = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(kept) - (window - 1), F.lit(1))), least))
+    at = lambda x: (F.lit(last) - x.bitwiseAND(F.lit(last))).cast("int")
+    found = F.transform(mins, lambda x: F.struct(F.element_at(runs, at(x) + 1).alias("h"), at(x).alias("at")))
+    return df.withColumn(out, F.when(F.size(runs) > 0, found).otherwise(F.array().cast("array<struct<h:bigint,at:int>>"))).drop(hashed, runs, kept)
+
+
+def hashes(kept: Column) -> Column:
+    return F.array_distinct(kept["h"])
+
+
+def written(kept: Column) -> Column:
     """hash:place of each, hash in hex and place (of the run's first word, from 0) in decimal, comma-joined."""
-    place = lambda x: F.lit(PLACE) - x.bitwiseAND(F.lit(PLACE)) - 1
-    return F.array_join(F.transform(packed, lambda x: F.concat(F.lower(F.hex(F.shiftright(x, 24))), F.lit(":"), place(x).cast("string"))), ",")
+    return F.array_join(F.transform(kept, lambda x: F.concat(F.lower(F.hex(x["h"])), F.lit(":"), x["at"].cast("string"))), ",")
 
 
 def likeness(a: str, b: str) -> Column:
@@ -47,11 +77,12 @@ def neighbours(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text) dealt to ranges of doc_id, each row with its range (`bucket`) and `ghost`: a copy that the
     range above gets as its last row's next document (the whole order's first row is the last one's).
 
-    Each range ends with a doc_id that exists, from approximate percentiles, so only those rows are copied."""
-    n = parts(docs)
+    Each range ends with a doc_id that exists, from approximate percentiles, so only those rows are copied. There are as
+    many ranges as shuffle partitions, and more where the texts' bytes ask for them."""
+    n = parts(docs, text_size(docs)[1])
     at = [k / n for k in range(1, n + 1)]
     known = docs.where("doc_id is not null")
-    ends = sorted(set(known.agg(F.percentile_approx("doc_id", at, 100 * n).alias("b")).first()["b"] or []))
+    ends = sorted(set(known.agg(F.percentile_approx("doc_id", at, min(100 * n, 1_000_000)).alias("b")).first()["b"] or []))
     # two levels of bounds, so that a row is compared with about 2 * sqrt(n) of them
     step = max(1, round(len(ends) ** 0.5))
     fine = F.array(*(F.array(*map(F.lit, ends[i : i + step])) for i in range(0, len(ends), step)))
@@ -64,7 +95,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
     last = F.element_at(F.element_at(fine, (F.col("own") / step).cast("int") + 1), F.pmod(F.col("own"), F.lit(step)) + 1) == F.col("doc_id")
     above = F.struct(F.pmod(F.col("own") + 1, F.lit(len(ends))).alias("bucket"), F.lit(True).alias("ghost"))
     own = F.struct(F.col("own").alias("bucket"), F.lit(False).alias("ghost"))
-    return placed.withColumn("to", F.explode(F.when(last, F.array(own, above)).otherwise(F.array(own)))).select("doc_id", "text", "to.bucket", "to.ghost").repartition(n, "bucket")
+    return placed.withColumn("to", F.explode(F.when(last, F.array(own, above)).otherwise(F.array(own)))).select("doc_id", "text", "to.bucket", "to.ghost").repartitionById(n, "bucket")
 
 
 def fingerprint(docs: DataFrame, *, k: int = 5, window: int = 8) -> DataFrame:
@@ -80,14 +111,15 @@ def fingerprint_edited(docs: DataFrame, *, k: int = 5, window: int = 8) -> DataF
     The edited text has its last floor(n_chars / 3) code points replaced by the first as many (or all) of the next
     document's, by falling doc_id, the last one's next being the first. A null text counts as empty; an empty text has
     an empty fingerprint, and two empty fingerprints are alike (1). Rows that share a doc_id follow each other by
-    falling text. A row with a null doc_id has an empty text as its next. A row alone is its own next. Other columns
-    are ignored; an empty table gives no rows. Texts are read whole, however long.
+    falling text. A row with a null doc_id has an empty text as its next. A row alone is its own next. Of equal hashes in
+    a window the rightmost is kept. Other columns are ignored; an empty table gives no rows. Texts are read whole, of any
+    length that a column holds.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     order = Window.partitionBy("bucket").orderBy("ghost", F.desc("doc_id"), F.desc("text"))
     own = with_winnowed(neighbours(rows), "text", "own", k, window)
     own = own.withColumn("next_text", F.lead("text").over(order)).withColumn("next", F.lead("own").over(order)).where("not ghost").drop("bucket", "ghost")
-    alone = with_winnowed(rows.where("doc_id is null"), "text", "own", k, window).withColumn("next_text", F.lit("")).withColumn("next", F.array().cast("array<long>"))
+    alone = with_winnowed(rows.where("doc_id is null"), "text", "own", k, window).withColumn("next_text", F.lit("")).withColumn("next", F.array().cast("array<struct<h:bigint,at:int>>"))
     both = own.unionByName(alone).withColumn("n_chars", F.length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     both = both.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut), F.substring("next_text", F.lit(1), cut))).drop("text", "next_text")

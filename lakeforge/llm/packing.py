@@ -150,7 +150,7 @@ def quotas(plan: dict, rounds: np.ndarray) -> np.ndarray:
     return sent
 
 
-def runs(plan: dict, queue: np.ndarray, first: np.ndarray, n: np.ndarray, cells: int = 1 << 20) -> Iterator[tuple[np.ndarray, ...]]:
+def runs(plan: dict, queue: np.ndarray, first: np.ndarray, n: np.ndarray, cells: int = 1 << 17) -> Iterator[tuple[np.ndarray, ...]]:
     """(document, start in it, length, place among all tokens) of the runs of documents whose first tokens are their
     queues' tokens number `first`; at most about `cells` counts of queues are held at a time."""
     mixture, slack = plan["mixture"], 2 * len(plan["n"]) // plan["mixture"] + 2
@@ -251,8 +251,8 @@ def pack(docs: DataFrame, tokenizer: bytes, *, window: int = 1024, mixture: int
                 cuts = (np.arange(len(d)) - np.repeat(np.cumsum(times) - times, times) + place // window) * window
                 begin, end = np.maximum(place, cuts), np.minimum(place + length, cuts + window)
                 at, length, place = at + begin - place, end - begin, begin
-                for lo in range(0, len(d), 50_000):
-                    p = slice(lo, lo + 50_000)
+                for lo in range(0, len(d), 20_000):
+                    p = slice(lo, lo + 20_000)
                     parts = [ids[k][x * width : y * width] for k, x, y in zip(d[p].tolist(), at[p].tolist(), (at[p] + length[p]).tolist())]
                     sums = [zlib.crc32(x) for x in parts] if width == 4 else [zlib.crc32(np.frombuffer(x, kind).astype("<u4").tobytes()) for x in parts]
                     cols = [doc.take(pa.array(d[p])), pa.array(at[p]), pa.array(length[p]), pa.array(sums, pa.int64()), pa.array(n[d[p]]), pa.array(place[p] // window), pa.array(place[p] % window), pa.array(parts, pa.binary())]

