@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame functions only.
 
-Numbers, units after numbers and names (capitalised words inside a sentence) become typed placeholders. Windows of the
-resulting templates are matched by hash; matches of one document and item at one offset, and at offsets close to each
+Numbers (in digits or words), units after numbers and names (runs of capitalised words) become typed placeholders.
+Windows of the resulting templates are matched by hash; matches of one document and item at one offset, and at offsets close to each
 other, are put together in order, and the values that their placeholders stand for must agree: windows with a value of
 the item that stands for several values of the document count for nothing.
 So a question whose numbers or names were exchanged is caught, and two texts that share a pattern by chance aren't.
@@ -13,17 +13,25 @@ from pyspark.sql import functions as F
 
 #: Words that are units where a number comes before them.
 UNITS = "mm cm m km in ft mi mg g kg t oz lb ml l s sec second seconds min minute minutes h hour hours day days week weeks month months year years usd eur dollar dollars euro euros cent cents percent mph kmh kwh w kw v hz mb gb tb"
+#: Numbers in words.
+COUNTS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million"
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
 
 
+def with_whole_names(text: Column) -> Column:
+    """The text with \\x01 for the blank between two capitalised words, so that a name of several words is one word."""
+    return F.regexp_replace(text, rf"\x20(?=\p{{Lu}}[\p{{L}}'-])(?<=(?:^|{BLANK})\p{{Lu}}[\p{{L}}'-]{{1,30}}\x20)", "\x01")
+
+
 def canonical(text: Column) -> Column:
-    """The text's words in lower case without marks after them, each number, unit and name replaced; one word stays one
-    word."""
+    """The words of a text with whole names in lower case without marks after them, each number, unit and name replaced;
+    one word stays one word."""
     end = rf"(?=[.,;:!?)\"']*(?:{BLANK}|$))"
-    out = F.regexp_replace(text, rf"(?<=[^.!?:\x20\x09-\x0D]\x20)\p{{Lu}}[\p{{L}}'-]*{end}", NAME)
-    out = F.regexp_replace(F.lower(out), rf"(?<!{WORD})[-+$€£]?\d+(?:[.,:/]\d+)*%?{end}", NUMBER)
+    counts = COUNTS.replace(" ", "|")
+    out = F.regexp_replace(text, rf"(?<!{WORD})\p{{Lu}}[\p{{L}}\x01'-]*{end}", NAME)
+    out = F.regexp_replace(F.lower(out), rf"(?<!{WORD})(?:[-+$€£]?\d+(?:[.,:/]\d+)*%?|(?:{counts})(?:-(?:{counts}))?){end}", NUMBER)
     out = F.regexp_replace(out, rf"(?<={NUMBER}\x20)(?:{UNITS.replace(' ', '|')}){end}", UNIT)
     return F.regexp_replace(out, rf"(?<=[\p{{L}}\p{{N}}>])[.,;:!?]+(?={BLANK}|$)", "")
 
@@ -34,6 +42,7 @@ def words(text: Column) -> Column:
 
 def with_templates(df: DataFrame) -> DataFrame:
     """Adds t (template words) and v (the word where t has a placeholder, else empty) of column text."""
+    df = df.withColumn("text", with_whole_names(F.col("text")))
     df = df.withColumn("t", words(canonical(F.col("text")))).withColumn("w", words(F.col("text")))
     holder = lambda c: c.isin(NUMBER, NAME, UNIT)
     value = F.when(F.exists("t", holder), F.zip_with("w", "t", lambda w, c: F.when(holder(c), F.regexp_replace(w, r"[.,;:!?]+$", "")).otherwise("")))
@@ -59,8 +68,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = 8, liter
     docs(doc_id, text, ...), benchmark(item_id, text, ...). A document holds an item when at least `coverage` of the
     item's windows of `width` template words match in the item's order with consistent values, at one offset or, where
     words came in or went, at offsets that differ by less than the item's length. Windows with fewer than `literal`
-    words that aren't placeholders match by their values too; an item with fewer words is one window. reworded says that some value differs. Null or empty texts hold and match nothing, nor do rows with a null id; rows that repeat
-    give one pair; other columns are ignored; empty tables give no pairs. Texts are read whole, however long.
+    words that aren't placeholders match by their values too; an item with fewer words is one window. reworded says that
+    some value differs. A value of the item must stand for one value of the document; two of the item's values may stand
+    for one, as numbers may meet by chance. A capitalised word is a name wherever it stands, also at a sentence's start.
+
+    Null or empty texts hold and match nothing, nor do rows with a null id; rows that repeat give one pair; other columns
+    are ignored; empty tables give no pairs. Texts are read whole, however long. Of alignments that hold an item, the one
+    with most windows tells n_windows and coverage; reworded is false if any of them is.
 
     Item windows are broadcast where there are at most broadcast_rows, else both sides are shuffled by hash.
     """

@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import regex
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -135,5 +136,90 @@ def fingerprints(docs):
     return out
 
 
+BLANKS = r"[\x20\x09-\x0D]"
+END = rf"""(?=[.,;:!?)"']*(?:{BLANKS}|$))"""
+
+
+def template(t, units, counts):
+    """Template words and, where one stands for a value, the value (else "")."""
+    own, at, spelt = WORD.findall(t), 0, []
+    name = regex.compile(r"\p{Lu}[\p{L}'-]+")
+    while at < len(own):  # names of several words, a single blank between them
+        last = at
+        while last + 1 < len(own) and name.fullmatch(own[last]) and len(own[last]) <= 31 and name.match(own[last + 1]) and f"{own[last]} {own[last + 1]}" in t:
+            last += 1
+        spelt.append("\x01".join(own[at : last + 1]))
+        at = last + 1
+    out, before = [], ""
+    tail = r"""[.,;:!?)"']*"""
+    for w in spelt:
+        kind = ""
+        if regex.fullmatch(r"\p{Lu}[\p{L}\x01'-]*" + tail, w):
+            kind = "<name>"
+        elif regex.fullmatch(rf"(?:[-+$€£]?[0-9]+(?:[.,:/][0-9]+)*%?|(?:{counts})(?:-(?:{counts}))?)" + tail, w.lower()):
+            kind = "<num>"
+        elif before == "<num>" and regex.fullmatch(rf"(?:{units})" + tail, w.lower()):
+            kind = "<unit>"
+        if kind:
+            m = regex.search(tail + "$", w)
+            rest = m[0] if kind != "<name>" or not m[0].startswith("'") else m[0].lstrip("'")
+            t_word = regex.sub(r"[.,;:!?]+$", "", kind + rest)
+            value = regex.sub(r"[.,;:!?]+$", "", w)
+        else:
+            t_word, value = regex.sub(r"(?<=[\p{L}\p{N}>])[.,;:!?]+$", "", w.lower()), ""
+        out.append((t_word, value if t_word in ("<name>", "<num>", "<unit>") else ""))
+        before = kind if w[-1:] not in tail and kind else ""
+    return out
+
+
+def held_items(docs, items, units, counts, width=8, literal=4, coverage=0.5):
+    """{(doc_id, item_id): (n_windows, share, reworded)}, by plain loops over all pairs."""
+    def windows(t, size):
+        for at in range(len(t) - size + 1):
+            part = t[at : at + size]
+            values = tuple(v for _, v in part)
+            low = any(v for _, v in t) and sum(v != "" for v in values) > size - min(literal, size)
+            yield at, (tuple(w for w, _ in part), values if low else None), values
+
+    out = {}
+    of = [(k, template(t, units, counts)) for k, t in items if k is not None and t and WORD.search(t)]
+    for i, text in docs:
+        if i is None or not text:
+            continue
+        mine = template(text, units, counts)
+        by_size = {}
+        for k, t in of:
+            size = min(len(t), width)
+            if size not in by_size:
+                by_size[size] = defaultdict(list)
+                for at, key, values in windows(mine, size):
+                    by_size[size][key].append((at, values))
+            own = list(windows(t, size))
+            total, ways = len(own), defaultdict(set)
+            for item_at, key, values in own:
+                for at, theirs in by_size[size].get(key, ()):
+                    hit = (item_at, -at, tuple((a, b) for a, b in zip(values, theirs) if a))
+                    near = (at - item_at) // (total + size)
+                    for way in ((True, at - item_at), (False, near), (False, near - 1)):
+                        ways[way].add(hit)
+            for hits in ways.values():
+                if len({h[0] for h in hits}) < total * coverage:
+                    continue
+                stands = defaultdict(set)
+                for h in hits:
+                    for a, b in h[2]:
+                        stands[a].add(b)
+                good = sorted(h for h in hits if all(len(stands[a]) == 1 for a, _ in h[2]))
+                best = [0] * len(good)
+                for x in range(len(good)):
+                    best[x] = 1 + max((best[y] for y in range(x) if good[y][0] < good[x][0] and good[y][1] > good[x][1]), default=0)
+                n = max(best, default=0)
+                if n >= total * coverage and n:
+                    reworded = any(a != b for h in good for a, b in h[2])
+                    was = out.get((i, k), (0, 0, True))
+                    out[i, k] = (max(n, was[0]), max(n / total, was[1]), was[2] and reworded)
+    return out
+
+
 def multiset(rows):
     return Counter(map(repr, rows))

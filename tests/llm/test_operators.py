@@ -239,6 +239,35 @@ def test_decontamination_of_edited_items(spark):
     assert {(x.doc_id, x.item_id): x.n_windows for x in out.collect()} == {(1, 1): 24, (2, 1): 23, (3, 1): 24, (4, 2): 53 - 12, (5, 3): 8, (6, 4): 1}
 
 
+def plainly_held(docs, items):
+    units, counts = decontaminate.UNITS.replace(" ", "|"), decontaminate.COUNTS.replace(" ", "|")
+    return {(i, k, n, round(share, 9), reworded) for (i, k), (n, share, reworded) in brute.held_items(docs, items, units, counts).items()}
+
+
+def found_pairs(df):
+    return {(r.doc_id, r.item_id, r.n_windows, round(r.coverage, 9), r.reworded) for r in df.collect()}
+
+
+def test_decontamination_of_reparameterised_items(spark):
+    """Names of other lengths and at a sentence's start, numbers in words, units; against plain loops."""
+    text = "Anna has 12 apples and gives 5 kg of them to her brother. Anna then walks 3 miles to Paris where she buys seven pears."
+    other = text.replace("Anna", "Mary Ann").replace("12", "twenty-one").replace("5 kg", "9 lb").replace("Paris", "New York").replace("seven", "4")
+    docs = [(1, "Some words. " + text), (2, other), (3, "so it goes " * 9 + other.replace("Mary Ann", "Bob") + " The end."), (4, text.replace("apples", "plums").replace("walks", "runs").replace("pears", "figs"))]
+    docs += [(5, text.replace("Anna then", "Maria then")), (6, text[:70]), (7, "Anna Has Twelve Apples"), (8, None), (9, "")]
+    items = [(1, text), (2, "How many legs do two dogs have?"), (3, "Anna has"), (4, None)]
+    out = found_pairs(decontaminate.contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")))
+    assert out == plainly_held(docs, items)
+    assert {(1, 1), (2, 1), (3, 1)} <= {x[:2] for x in out}
+
+
+def test_decontamination_by_plain_loops(spark, small):
+    items = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
+    r = random.Random(12)
+    docs = small + [(10_000 + k, " ".join(w if r.random() > 0.02 else r.choice(["Rome", "17", "x"]) for w in items[k % len(items)][1].split())) for k in range(60)]
+    out = found_pairs(decontaminate.contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")))
+    assert len(out) > 50 and out == plainly_held(docs, items)
+
+
 def test_decontamination_query(spark, small):
     items = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
     want = {(i, k) for i, t in small for k, x in items if x in (t or "")}
