@@ -1,12 +1,11 @@
 """Line dedup with two Bloom filters, for hashes seen once and hashes seen twice.
 
-Each task puts the hashes of its lines' keys in a filter of once-seen ones; a hash whose bits are all set there goes
-to the filter of twice-seen ones too. Filters of two tasks merge as once = a | b, twice = a' | b' | (a & b), so no
-key that two documents hold can be missing from the merged twice-seen filter. Only lines in that filter are
-shuffled, with their text: exact counts of documents confirm them and choose the document that keeps them.
-
-The filters' size is a parameter and doesn't grow with the input. Beyond about as many lines as bits, more lines are
-suspected and shuffled; results stay exact.
+The hashes of lines' keys are dealt to partitions, 8 bytes for each distinct line of a slice of documents. A partition
+puts its hashes in a filter of once-seen ones, as large as they ask for; a hash whose bits are all set there goes to the
+filter of twice-seen ones. So the filters grow with the input and no key that two documents hold can be missing from the
+twice-seen one, which is broadcast, up to a bounded size. Only lines in that filter are shuffled, with their text: exact
+counts of documents confirm them and choose the document that keeps them. With a full filter more lines are suspected
+and shuffled; results stay exact.
 """
 from __future__ import annotations
 
@@ -20,9 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeforge.llm.common import cut, once_per_worker, parts, slices
+from lakeforge.llm.common import cut, dealt_out, once_per_worker, parts, slices, text_size
 
-SHARD = 1 << 19  # bits of one shard of a filter: 64 KB
+ONCE_BITS = 16  # of the once-seen filter, for each hash that a partition gets
 
 
 def key_of(line: bytes, least: int) -> bytes | None:
@@ -35,82 +34,81 @@ def text_keys(text: bytes, least: int) -> list[bytes | None]:
     return [key_of(x, least) for x in text.split(b"\n")]
 
 
-def positions(keys: set[bytes], bits: int) -> np.ndarray:
-    """Two places in the filter for each key."""
-    both = np.array([xxhash.xxh3_64_intdigest(k) for k in keys], np.uint64)
-    return np.stack((both % np.uint64(bits), (both >> np.uint64(32)) * np.uint64(0x9E3779B1) % np.uint64(bits)), 1).astype(np.int64)
+def slice_keys(batch: pa.RecordBatch, least: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct keys of each text of a slice, their 64-bit hashes and their rows."""
+    keys: list[bytes] = []
+    count = []
+    for text in batch.column("text").cast(pa.large_binary()).to_pylist():
+        own = set(text_keys(text or b"", least)) - {None}
+        keys += own
+        count.append(len(own))
+    return keys, np.array([xxhash.xxh3_64_intdigest(k) for k in keys], np.uint64), np.repeat(np.arange(len(count)), count)
 
 
-def merged(state: tuple[np.ndarray, np.ndarray] | None, once: np.ndarray, twice: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if state is None:
-        return once.copy(), twice.copy()
-    state[1][:] |= twice | (state[0] & once)
-    state[0][:] |= once
-    return state
+def places(h: np.ndarray, bits: int) -> np.ndarray:
+    """Two places in a filter for each hash."""
+    return np.stack((h % np.uint64(bits), (h >> np.uint64(32)) * np.uint64(0x9E3779B1) % np.uint64(bits)), 1).astype(np.int64)
 
 
-def twice_seen(docs: DataFrame, least: int, bits: int) -> dict[int, bytes]:
-    """The merged filter of twice-seen hashes, by shard, compressed; shards without a bit are left out."""
+def within(held: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
+    at = places(h, bits)
+    return (held[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(1)
 
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in slices(batches, "text"):
-            for text in batch.column(0).cast(pa.large_binary()).to_pylist():
-                keys = set(text_keys(text or b"", least)) - {None}
-                if not keys:
-                    continue
-                places = positions(keys, bits)
-                shard, bit = places // SHARD, places % SHARD
-                for s in np.unique(shard).tolist():
-                    if s not in held:
-                        held[s] = (np.zeros(SHARD // 8, np.uint8), np.zeros(SHARD // 8, np.uint8))
-                seen = np.array([[held[s][0][b >> 3] >> (b & 7) & 1 for s, b in zip(*row)] for row in zip(shard.tolist(), bit.tolist())], bool).all(1)
-                for s, b, again in zip(shard.tolist(), bit.tolist(), seen.tolist()):
-                    for x, y in zip(s, b):
-                        held[x][0][y >> 3] |= 1 << (y & 7)
-                        if again:
-                            held[x][1][y >> 3] |= 1 << (y & 7)
-        for s, pair in held.items():
-            yield pa.record_batch([pa.array([s], pa.int32()), pa.array([zlib.compress(pair[0].tobytes(), 1)], pa.binary()), pa.array([zlib.compress(pair[1].tobytes(), 1)], pa.binary())], ["shard", "once", "twice"])
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
-            for s, once, twice in zip(*(batch.column(c).to_pylist() for c in ("shard", "once", "twice"))):
-                held[s] = merged(held.get(s), *(np.frombuffer(zlib.decompress(x), np.uint8) for x in (once, twice)))
-        for s, (_, twice) in held.items():
-            if twice.any():
-                yield pa.record_batch([pa.array([s], pa.int32()), pa.array([zlib.compress(twice.tobytes(), 1)], pa.binary())], ["shard", "twice"])
+def put(held: np.ndarray, h: np.ndarray, bits: int) -> None:
+    at = places(h, bits).ravel()
+    np.bitwise_or.at(held, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
 
-    filters = docs.select("text").mapInArrow(local, "shard int, once binary, twice binary")
-    merged_filters = filters.repartition(parts(docs), "shard").mapInArrow(merge, "shard int, twice binary")
-    return {r["shard"]: bytes(r["twice"]) for r in merged_filters.collect()}
 
+def twice_seen(docs: DataFrame, least: int, deal: int, side: int) -> dict[int, bytes]:
+    """By partition that hashes are dealt to: its filter of twice-seen ones, of `side` bits, compressed."""
 
-def suspected(docs: DataFrame, least: int, bits: int) -> DataFrame:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+        for batch in slices(batches, "text"):
+            h, n = np.unique(slice_keys(batch, least)[1], return_counts=True)
+            yield {"t": h, "m": (n > 1).astype("u1")}
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return dealt_out(pieces(batches), deal)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, part = [], 0
+        for batch in batches:
+            part = batch.column("p")[0].as_py() if len(batch) else part
+            cells += zip(batch.column("t").to_pylist(), batch.column("m").to_pylist())
+        bits = max(64, ONCE_BITS * sum(len(t) // 8 for t, _ in cells))
+        once, twice = np.zeros(-(-bits // 8), np.uint8), np.zeros(-(-side // 8), np.uint8)
+        for t, m in cells:
+            h, back = np.unique(np.frombuffer(t, np.uint64), return_inverse=True)
+            again = within(once, h, bits) | (np.bincount(back, np.frombuffer(m, "u1").astype(float) + 1) > 1)
+            put(once, h, bits)
+            put(twice, h[again], side)
+        if twice.any():
+            yield pa.record_batch([pa.array([part], pa.int32()), pa.array([zlib.compress(twice.tobytes(), 1)], pa.binary())], ["p", "twice"])
+
+    dealt_rows = docs.select("text").mapInArrow(spread, "p int, t binary, m binary").repartitionById(deal, "p")
+    return {r["p"]: bytes(r["twice"]) for r in dealt_rows.mapInArrow(merge, "p int, twice binary").collect()}
+
+
+def suspected(docs: DataFrame, least: int, deal: int, bits: int) -> DataFrame:
     """doc_id, key of the lines whose keys may occur in two documents or more; once for each document."""
-    shared = docs.sparkSession.sparkContext.broadcast(twice_seen(docs, least, bits))
-    tag = ("twice", shared._jbroadcast.id())
+    side = max(bits // deal, 64)
+    shared = docs.sparkSession.sparkContext.broadcast(twice_seen(docs, least, deal, side))
+    tag, width = ("twice", shared._jbroadcast.id()), -(-side // 8)
 
     def unpacked() -> np.ndarray:
-        out = np.zeros(-(-bits // SHARD) * (SHARD // 8), np.uint8)
-        for s, x in shared.value.items():
-            out[s * (SHARD // 8) : (s + 1) * (SHARD // 8)] = np.frombuffer(zlib.decompress(x), np.uint8)
+        out = np.zeros((deal, width), np.uint8)
+        for p, x in shared.value.items():
+            out[p] = np.frombuffer(zlib.decompress(x), np.uint8)
         return out
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = once_per_worker(tag, unpacked)
         for batch in slices(batches, "text"):
-            ids: list[int] = []
-            found: list[bytes] = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist()):
-                keys = list(set(text_keys(text or b"", least)) - {None})
-                if keys:
-                    places = positions(keys, bits)
-                    hit = (twice[places >> 3] >> (places & 7).astype(np.uint8) & 1).all(1)
-                    found += [k for k, h in zip(keys, hit.tolist()) if h]
-                    ids += [doc] * int(hit.sum())
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(found, pa.binary())], ["doc_id", "key"])
+            keys, h, row = slice_keys(batch, least)
+            at, part = places(h, side), ((h >> np.uint64(24)) % np.uint64(deal)).astype(np.int64)
+            hit = np.flatnonzero((twice[part[:, None], at >> 3] >> (at & 7).astype(np.uint8) & 1).all(1))
+            yield pa.record_batch([batch.column("doc_id").take(pa.array(row[hit])), pa.array([keys[k] for k in hit.tolist()], pa.binary())], ["doc_id", "key"])
 
     return docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(probe, "doc_id long, key binary")
 
@@ -121,7 +119,7 @@ def rewritten(text: bytes, drop, least: int) -> tuple[int, int, str]:
     return len(lines), len(lines) - len(keep), b"\n".join(keep).decode()
 
 
-def drop_repeated_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int = 5, bits: int = 1 << 27, broadcast_bytes: int = 16 << 20, carry: bool = False) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int = 5, bits: int | None = None, broadcast_bytes: int = 16 << 20, carry: bool = False) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept (text) for every row of docs(doc_id, text, ...).
 
     A key of min_chars code points or more that at least min_docs documents (distinct doc_ids) hold loses all its
@@ -129,12 +127,16 @@ def drop_repeated_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int =
     one empty line. Rows with a null doc_id are returned as they are and count for nothing; rows that repeat are each
     returned; other columns are ignored; an empty table gives none. Whole texts are read, however long.
 
-    With carry, the struct `carried` holds the row's other columns. The confirmed keys are broadcast where they take at most broadcast_bytes, else joined.
+    There are no ties: the largest doc_id keeps its lines, at all their places. With carry, the struct `carried` holds the
+    row's other columns. The confirmed keys are broadcast where they take at most broadcast_bytes, else joined. bits: size
+    of the twice-seen filter; by default one for each byte of text, from 2^24 to 2^29 (64 MB).
     """
     spark = docs.sparkSession
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] if carry else []
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*others or [F.lit(0).alias("none")]).alias("carried"))
-    found = suspected(rows, min_chars, bits)
+    n_bytes = text_size(rows)[1]
+    bits = bits or 1 << min(29, max(24, n_bytes.bit_length()))
+    found = suspected(rows, min_chars, parts(rows, n_bytes), bits)
     # distinct pairs first, then counts: no task gets all documents of a frequent key
     pairs = found.distinct()
     confirmed = cut(pairs.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs).select("key", "keeper"))

@@ -102,6 +102,16 @@ def test_line_dedup_with_full_filters(docs, rows):
     assert got(out, "doc_id", "n_lines", "n_dropped", "sha") == brute.multiset(brute.lines(rows))
 
 
+def test_line_filters_tell_single_lines(spark):
+    """Of many lines that one document has, next to none is suspected; every repeated one is, within a task and across."""
+    r = random.Random(4)
+    single = [(k, "\n".join(f"{r.random()} a line that only one document has {j}" for j in range(50))) for k in range(200)]
+    both = [(1000 + k, f"this line is held by two documents, number {k % 40}") for k in range(80)]
+    docs = frame(spark, single + both).select("doc_id", "text").repartition(5)
+    found = [bytes(x.key).decode() for x in line_dedup.suspected(docs, 40, 4, 1 << 18).collect()]
+    assert sum(x.startswith("this line") for x in found) == 80 and len(found) - 80 < 100
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_sql(spark, name):
     assert spark_rows(queries.QUERIES[name](spark, SF)) == sql_rows(connect(SF), queries.ORACLES[name])
