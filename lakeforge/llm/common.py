@@ -19,6 +19,12 @@ PART_BYTES = 64 << 20  # bytes of text for each partition of dealt arrays, at mo
 HELD_BYTES = 8 << 20  # of arrays that a task gathers before it deals them
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once. An array stays as it was made, so that slice() takes no longer for a long
+    one: of a column's array, each slice() copies all of it first."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -11,10 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeforge.llm.common import cut, let
+
 #: Words that are units where a number comes before them.
 UNITS = "mm cm m km in ft mi mg g kg t oz lb ml l s sec second seconds min minute minutes h hour hours day days week weeks month months year years usd eur dollar dollars euro euros cent cents percent mph kmh kwh w kw v hz mb gb tb"
-#: Numbers in words.
+#: Numbers in words; two of them with a hyphen are one, too.
 COUNTS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million"
+TENS, ONES = COUNTS.split()[20:28], COUNTS.split()[1:10]
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
@@ -26,42 +29,92 @@ def with_whole_names(text: Column) -> Column:
 
 
 def canonical(text: Column) -> Column:
-    """The words of a text with whole names in lower case without marks after them, each number, unit and name replaced;
-    one word stays one word."""
+    """The words of a text with whole names in lower case without marks after them, names and numbers of digits replaced;
+    one word stays one word. Patterns begin with the character they look for, as few places have it."""
     end = rf"(?=[.,;:!?)\"']*(?:{BLANK}|$))"
-    counts = COUNTS.replace(" ", "|")
-    out = F.regexp_replace(text, rf"(?<!{WORD})\p{{Lu}}[\p{{L}}\x01'-]*{end}", NAME)
-    out = F.regexp_replace(F.lower(out), rf"(?<!{WORD})(?:[-+$€£]?\d+(?:[.,:/]\d+)*%?|(?:{counts})(?:-(?:{counts}))?){end}", NUMBER)
-    out = F.regexp_replace(out, rf"(?<={NUMBER}\x20)(?:{UNITS.replace(' ', '|')}){end}", UNIT)
-    return F.regexp_replace(out, rf"(?<=[\p{{L}}\p{{N}}>])[.,;:!?]+(?={BLANK}|$)", "")
+    out = F.regexp_replace(text, rf"\p{{Lu}}(?<!{WORD}.)[\p{{L}}\x01'-]*{end}", NAME)
+    out = F.regexp_replace(F.lower(out), rf"(?:\d|[-+$€£](?=\d))(?<!{WORD}.)\d*(?:[.,:/]\d+)*%?{end}", NUMBER)
+    return F.regexp_replace(out, rf"[.,;:!?](?<=[\p{{L}}\p{{N}}>].)[.,;:!?]*(?={BLANK}|$)", "")
 
 
 def words(text: Column) -> Column:
     return F.array_remove(F.split(text, rf"{BLANK}+", -1), "")
 
 
-def with_templates(df: DataFrame) -> DataFrame:
+def with_template(df: DataFrame) -> DataFrame:
+    """Adds t, the template's words, of column text with whole names."""
+    counts = [*COUNTS.split(), *(f"{x}-{y}" for x in TENS for y in ONES)]
+    df = df.withColumn("t", F.transform(words(canonical(F.col("text"))), lambda x: F.when(x.isin(counts), NUMBER).otherwise(x)))
+    unit = lambda x, i: x.isin(UNITS.split()) & (i > 0) & (F.element_at("t", F.greatest(i, F.lit(1))) == NUMBER)
+    return df.withColumn("t", F.transform("t", lambda x, i: F.when(unit(x, i), UNIT).otherwise(x)))
+
+
+def with_values(df: DataFrame) -> DataFrame:
     """Adds t (template words) and v (the word where t has a placeholder, else empty) of column text."""
-    df = df.withColumn("text", with_whole_names(F.col("text")))
-    df = df.withColumn("t", words(canonical(F.col("text")))).withColumn("w", words(F.col("text")))
+    df = with_template(df.withColumn("text", with_whole_names(F.col("text")))).withColumn("w", words(F.col("text")))
     holder = lambda c: c.isin(NUMBER, NAME, UNIT)
     value = F.when(F.exists("t", holder), F.zip_with("w", "t", lambda w, c: F.when(holder(c), F.regexp_replace(w, r"[.,;:!?]+$", "")).otherwise("")))
     return df.withColumn("v", value).drop("w")
 
 
+def starts(width: int) -> Column:
+    return F.when(F.size("t") >= width, F.sequence(F.lit(1), F.size("t") - width + 1)).otherwise(F.array().cast("array<int>"))
+
+
+def grams(n: int, hashed: Column) -> Column:
+    """The hashes of all windows of n words, from the words' hashes: of two halves, or of n - 1 words and the last one."""
+    if n == 1:
+        return hashed
+    half = n // 2 if n % 2 == 0 else n - 1
+    count = lambda x: F.greatest(F.size(x) - (n - half), F.lit(0))
+    other = lambda x: F.slice(x if n % 2 == 0 else hashed, half + 1, count(x))
+    return let(grams(half, hashed), lambda x: F.zip_with(F.slice(x, F.lit(1), count(x)), other(x), lambda y, z: F.xxhash64(y, z)))
+
+
+def with_grams(df: DataFrame, lengths: list[int]) -> DataFrame:
+    """Adds g, the hashes of all windows of template words of the given lengths."""
+    each = lambda words: F.concat(*(F.transform(grams(n, words), lambda x: F.xxhash64(x)) if n == 1 else grams(n, words) for n in lengths))
+    return df.withColumn("g", let(F.transform("t", lambda x: F.xxhash64(x)), each))
+
+
 def windows(width: int, literal: int) -> Column:
     """(h, at, v) of each window of `width` template words; v is null where the text has no placeholder. A window with
     fewer than `literal` words that aren't placeholders is known by its values too."""
     low = lambda i: F.col("v").isNotNull() & (F.size(F.array_remove(F.slice("v", i, width), "")) > width - min(literal, width))
     h = lambda i: F.when(low(i), F.xxhash64(F.slice("t", i, width), F.slice("v", i, width))).otherwise(F.xxhash64(F.slice("t", i, width)))
-    starts = F.when(F.size("t") >= width, F.sequence(F.lit(1), F.size("t") - width + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.struct(h(i).alias("h"), i.alias("at"), F.array_join(F.slice("v", i, width), " ").alias("v")))
+    return F.transform(starts(width), lambda i: F.struct(h(i).alias("h"), i.alias("at"), F.array_join(F.slice("v", i, width), " ").alias("v")))
 
 
 def sized_windows(width: int, literal: int) -> Column:
     return F.transform(windows(width, literal), lambda x: F.struct(F.lit(width).alias("size"), x["h"].alias("h"), x["at"].alias("at"), x["v"].alias("v")))
 
 
+def suspects(docs: DataFrame, items: DataFrame, lengths: list[int], broadcast_rows: int) -> DataFrame:
+    """The rows of docs(doc_id, text) whose doc_id has a window of an item's template, whatever its values.
+
+    explode_outer(), as Spark lets explode() be preceded by a filter on its array's size, which would make the array twice
+    and its parts once for each of their uses; a null hash meets nothing."""
+    known = None
+    for n in lengths:
+        own = with_grams(items.where(F.col("size") == n), [n]).select(F.explode_outer("g").alias("h"))
+        known = own if known is None else known.union(own)
+    known = known.distinct()
+    if known.count() <= broadcast_rows:
+        known = F.broadcast(known)
+    rows = with_grams(with_template(docs.withColumn("text", with_whole_names(F.col("text")))).select("doc_id", "t"), lengths)
+    found = rows.select("doc_id", F.explode_outer("g").alias("h")).join(known, "h", "left_semi")
+    ids = cut(found.select("doc_id").distinct())
+    return docs.join(F.broadcast(ids) if ids.count() <= broadcast_rows else ids, "doc_id", "left_semi")
+
+
+def consistent(hits: Column) -> Column:
+    """The hits, in order, that have no value of the item that stands for several values of the document."""
+    pairs = F.array_distinct(F.flatten(F.transform(hits, lambda x: x["p"])))
+    several = lambda names: F.filter(F.array_distinct(names), lambda a: F.size(F.filter(names, lambda x: x == a)) > 1)
+    odd = let(F.transform(pairs, lambda x: x["a"]), several)
+    return let(odd, lambda o: F.array_sort(F.filter(hits, lambda x: ~F.exists(x["p"], lambda y: F.array_contains(o, y["a"])))))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = 8, literal: int = 4, coverage: float = 0.5, broadcast_rows: int = 500_000) -> DataFrame:
     """doc_id, item_id, n_windows, coverage, reworded of each pair of a document and a benchmark item that it holds.
 
@@ -76,9 +129,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = 8, liter
     are ignored; empty tables give no pairs. Texts are read whole, however long. Of alignments that hold an item, the one
     with most windows tells n_windows and coverage; reworded is false if any of them is.
 
-    Item windows are broadcast where there are at most broadcast_rows, else both sides are shuffled by hash.
+    A first pass finds the documents that have a window of an item's template; values, offsets and order are judged for
+    those. Item windows (hashes, places and values of `width` words each) and the documents' ids are broadcast where there
+    are at most broadcast_rows, else both sides are shuffled.
     """
-    items = with_templates(benchmark.where("item_id is not null and text is not null").select("item_id", "text")).where(F.size("t") > 0).drop("text")
+    items = with_values(benchmark.where("item_id is not null and text is not null").select("item_id", "text")).where(F.size("t") > 0).drop("text")
     items = items.withColumn("size", F.least(F.size("t"), F.lit(width)))
     lengths = [r["size"] for r in items.select("size").distinct().collect()]  # width of them at most
     known = None
@@ -91,11 +146,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = 8, liter
     known = known.join(total, "item_id").select("h", "size", "item_id", F.col("at").alias("item_at"), F.col("v").alias("item_v"), "total")
     if known.count() <= broadcast_rows:
         known = F.broadcast(known)
-    rows = with_templates(docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text")
+    docs = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = with_values(suspects(docs, items, lengths, broadcast_rows)).drop("text")
     if len(lengths) == 1:
-        found = rows.select("doc_id", F.explode(windows(lengths[0], literal)).alias("x")).select("doc_id", F.lit(lengths[0]).alias("size"), "x.*")
+        found = rows.select("doc_id", F.explode_outer(windows(lengths[0], literal)).alias("x")).select("doc_id", F.lit(lengths[0]).alias("size"), "x.*")
     else:
-        found = rows.select("doc_id", F.explode(F.concat(*(sized_windows(n, literal) for n in lengths))).alias("x")).select("doc_id", "x.*")
+        found = rows.select("doc_id", F.explode_outer(F.concat(*(sized_windows(n, literal) for n in lengths))).alias("x")).select("doc_id", "x.*")
     pairs = F.arrays_zip(F.split(F.coalesce("item_v", F.lit("")), " ").alias("a"), F.split(F.coalesce("v", F.lit("")), " ").alias("b"))
     hit = F.struct("item_at", (-F.col("at")).alias("back"), F.filter(pairs, lambda x: F.coalesce(x["a"], F.lit("")) != "").alias("p"))
     hits = found.join(known, ["h", "size"]).select("doc_id", "item_id", "total", (F.col("at") - F.col("item_at")).alias("shift"), (F.col("total") + F.col("size")).alias("span"), hit.alias("hit"))
@@ -106,12 +162,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = 8, liter
     ways = F.array(*(F.struct(F.lit(one).alias("one"), x.cast("long").alias("way")) for one, x in ((True, F.col("shift")), (False, near), (False, near - 1))))
     held = hits.withColumn("x", F.explode(ways)).groupBy("doc_id", "item_id", "x").agg(F.collect_set("hit").alias("hits"), F.max("total").alias("total"))
     held = held.where(F.size(F.array_distinct("hits.item_at")) >= F.col("total") * coverage)
-    held = held.withColumn("p", F.array_distinct(F.flatten("hits.p"))).withColumn("p", F.transform("p", lambda x: x["a"]))
-    held = held.withColumn("odd", F.filter(F.array_distinct("p"), lambda a: F.size(F.filter("p", lambda x: x == a)) > 1)).drop("p")
-    held = held.withColumn("hits", F.array_sort(F.filter("hits", lambda x: ~F.exists(x["p"], lambda y: F.array_contains("odd", y["a"])))))
+    held = held.withColumn("hits", consistent(F.col("hits"))).where(F.size("hits") >= F.col("total") * coverage)
     # the longest run of windows in the order of both: last places of runs of 1, 2, ... windows, the least possible each
     put = lambda acc, at, k: F.concat(F.slice(acc, 1, k), F.array(at), F.slice(acc, k + 2, F.size(acc)))
-    runs = F.aggregate("hits", F.array().cast("array<int>"), lambda acc, x: put(acc, -x["back"], F.size(F.filter(acc, lambda y: y < -x["back"]))))
+    runs = F.aggregate(F.col("hits"), F.array().cast("array<int>"), lambda acc, x: put(acc, -x["back"], F.size(F.filter(acc, lambda y: y < -x["back"]))))
     held = held.withColumn("n_windows", F.size(runs).cast("long")).withColumn("share", F.col("n_windows") / F.col("total")).where(F.col("share") >= coverage)
     held = held.withColumn("reworded", F.exists(F.flatten("hits.p"), lambda x: ~x["a"].eqNullSafe(x["b"])))
     return held.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max("share").alias("coverage"), F.min("reworded").alias("reworded"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import parts, text_size
+from lakeforge.llm.common import let, parts, text_size
 
 #: Scripts that are written without blanks.
 UNSPACED = "Han Hiragana Katakana Thai Lao Khmer Myanmar"
@@ -50,11 +50,12 @@ def with_winnowed(df: DataFrame, text: str, out: str, k: int, window: int) -> Da
     all_runs = F.when(n >= k, F.transform(F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))), rolling)).when(n > 0, F.array(short)).otherwise(F.array().cast("array<long>"))
     last = (1 << PLACE_BITS) - 1
     packed = F.transform(runs, lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 1 + PLACE_BITS), PLACE_BITS).bitwiseOR(F.lit(last) - i))
-    df = df.withColumn(hashed, F.transform(words(F.col(text)), lambda w: F.xxhash64(w))).withColumn(runs, all_runs).withColumn(kept, packed)
-    least = lambda j: F.array_min(F.slice(F.col(kept), j, window))
-    mins = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(kept) - (window - 1), F.lit(1))), least))
+    df = df.withColumn(hashed, F.transform(words(F.col(text)), lambda w: F.xxhash64(w))).withColumn(runs, all_runs)
+    windows = lambda x: F.sequence(F.lit(1), F.greatest(F.size(x) - (window - 1), F.lit(1)))
+    least = lambda x: F.array_distinct(F.transform(windows(x), lambda j: F.array_min(F.slice(x, j, window))))
+    df = df.withColumn(kept, let(packed, least))
     at = lambda x: (F.lit(last) - x.bitwiseAND(F.lit(last))).cast("int")
-    found = F.transform(mins, lambda x: F.struct(F.element_at(runs, at(x) + 1).alias("h"), at(x).alias("at")))
+    found = F.transform(kept, lambda x: F.struct(F.element_at(runs, at(x) + 1).alias("h"), at(x).alias("at")))
     return df.withColumn(out, F.when(F.size(runs) > 0, found).otherwise(F.array().cast("array<struct<h:bigint,at:int>>"))).drop(hashed, runs, kept)
 
 

@@ -156,19 +156,17 @@ def template(t, units, counts):
         kind = ""
         if regex.fullmatch(r"\p{Lu}[\p{L}\x01'-]*" + tail, w):
             kind = "<name>"
-        elif regex.fullmatch(rf"(?:[-+$€£]?[0-9]+(?:[.,:/][0-9]+)*%?|(?:{counts})(?:-(?:{counts}))?)" + tail, w.lower()):
+        elif regex.fullmatch(r"[-+$€£]?[0-9]+(?:[.,:/][0-9]+)*%?" + tail, w.lower()):
             kind = "<num>"
-        elif before == "<num>" and regex.fullmatch(rf"(?:{units})" + tail, w.lower()):
-            kind = "<unit>"
         if kind:
             m = regex.search(tail + "$", w)
             rest = m[0] if kind != "<name>" or not m[0].startswith("'") else m[0].lstrip("'")
             t_word = regex.sub(r"[.,;:!?]+$", "", kind + rest)
-            value = regex.sub(r"[.,;:!?]+$", "", w)
         else:
-            t_word, value = regex.sub(r"(?<=[\p{L}\p{N}>])[.,;:!?]+$", "", w.lower()), ""
-        out.append((t_word, value if t_word in ("<name>", "<num>", "<unit>") else ""))
-        before = kind if w[-1:] not in tail and kind else ""
+            t_word = regex.sub(r"(?<=[\p{L}\p{N}>])[.,;:!?]+$", "", w.lower())
+            t_word = "<num>" if regex.fullmatch(counts, t_word) else "<unit>" if before == "<num>" and regex.fullmatch(units, t_word) else t_word
+        out.append((t_word, regex.sub(r"[.,;:!?]+$", "", w) if t_word in ("<name>", "<num>", "<unit>") else ""))
+        before = t_word
     return out
 
 

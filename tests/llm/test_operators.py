@@ -250,7 +250,8 @@ def test_decontamination_of_edited_items(spark):
 
 
 def plainly_held(docs, items):
-    units, counts = decontaminate.UNITS.replace(" ", "|"), decontaminate.COUNTS.replace(" ", "|")
+    units, counts = (f"(?:{x.replace(' ', '|')})" for x in (decontaminate.UNITS, decontaminate.COUNTS))
+    counts = f"{counts}|(?:{'|'.join(decontaminate.TENS)})-(?:{'|'.join(decontaminate.ONES)})"
     return {(i, k, n, round(share, 9), reworded) for (i, k), (n, share, reworded) in brute.held_items(docs, items, units, counts).items()}
 
 
