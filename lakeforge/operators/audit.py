@@ -23,6 +23,11 @@ def unpadded(c: Column) -> Column:
     return F.when(c.rlike(r"^\d+$"), F.coalesce(F.nullif(F.ltrim(c, F.lit("0")), F.lit("")), F.lit("0"))).otherwise(c)
 
 
+def last_batch(rows: DataFrame) -> DataFrame:
+    """One row with the greatest batch, as a number where it is one."""
+    return rows.agg(F.max_by("batch", padded(F.col("batch").cast("string"))).alias("batch"))
+
+
 def watermarks(audit: DataFrame, process: str | None = None) -> DataFrame:
     """The high-water marks of each table: greatest date, batch and window ends of its loads, but for delete batches,
     empty windows (the text `null`) and loads that ended in an unknown state."""
@@ -46,8 +51,7 @@ def failed_tables(audit: DataFrame, identifier: str = "failed") -> DataFrame:
 
 def latest_batch_tables(audit: DataFrame) -> DataFrame:
     """Tables that the latest batch has reached."""
-    last = audit.agg(F.max("batch").alias("batch"))
-    return audit.join(F.broadcast(last), "batch", "left_semi").select("tablename").distinct()
+    return audit.join(F.broadcast(last_batch(audit)), "batch", "left_semi").select("tablename").distinct()
 
 
 def tables_to_run(tables: DataFrame, audit: DataFrame, restart: bool, level: str = "table") -> DataFrame:
@@ -60,14 +64,13 @@ def tables_to_run(tables: DataFrame, audit: DataFrame, restart: bool, level: str
 
 
 def latest_by_table(audit: DataFrame) -> DataFrame:
-    w = Window.partitionBy("tablename").orderBy(F.desc("batch"), F.desc("loadendtime"), F.desc("loadstatus"))
+    w = Window.partitionBy("tablename").orderBy(padded(F.col("batch").cast("string")).desc(), F.desc("loadendtime"), F.desc("loadstatus"))
     return audit.withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
 
 
 def delete_gate(audit: DataFrame) -> DataFrame:
     """One row blocked: how many tables of the latest batch didn't end in success; deletions run only at 0."""
-    last = audit.agg(F.max("batch").alias("batch"))
-    rows = latest_by_table(audit).join(F.broadcast(last), "batch", "left_semi")
+    rows = latest_by_table(audit).join(F.broadcast(last_batch(audit)), "batch", "left_semi")
     return rows.agg(F.count(F.when(~F.col("loadstatus").eqNullSafe("success"), 1)).alias("blocked"))
 
 

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeforge.operators.audit import last_batch, padded
+
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in `order`."""
@@ -33,8 +35,8 @@ def live_only(df: DataFrame) -> DataFrame:
 def vanished(lake: DataFrame, source_ids: DataFrame, key: str) -> DataFrame:
     """key, ingestiondt, batch of the latest lake row of each key that isn't deleted and that the source lacks.
 
-    Date and batch come from one row: the latest by (ingestiondt, batch)."""
-    last = F.max(F.struct("ingestiondt", "batch", "deleted_flag")).alias("m")
+    Date and batch come from one row: the latest by (ingestiondt, batch), batches as numbers where they are."""
+    last = F.max(F.struct("ingestiondt", padded(F.col("batch").cast("string")).alias("order"), "batch", "deleted_flag")).alias("m")
     current = lake.groupBy(key).agg(last).where("m.deleted_flag = 0").select(key, "m.ingestiondt", "m.batch")
     return current.join(source_ids.select(key).distinct(), key, "left_anti")
 
@@ -94,6 +96,6 @@ def seeded(harmonised: DataFrame, key: str, source: str, backup: DataFrame | Non
     if source == "backup":
         return backup
     if source == "last_full":
-        last = harmonised.where(F.col("load_type") == "tl").agg(F.max("batch").alias("batch"))
+        last = last_batch(harmonised.where(F.col("load_type") == "tl"))
         return harmonised.join(F.broadcast(last), "batch", "left_semi")
     return most_recent(harmonised, [key])

@@ -361,9 +361,9 @@ def kv_projection(spark, d):
 # --- missing rows, histories -----------------------------------------------------------------------------------------
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_orderkey <= 12000 EXCEPT SELECT l_orderkey FROM lineitem")
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey <= (SELECT max(l_orderkey) FROM lineitem) EXCEPT SELECT l_orderkey FROM lineitem")
 def missing_rows(spark, d):
-    return recon.missing_keys(t(spark, d, "orders"), t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"], F.col("o_orderkey") <= 12000)
+    return recon.missing_keys(t(spark, d, "orders"), t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"], F.col("o_orderkey") <= t(spark, d, "lineitem").agg(F.max("l_orderkey")).first()[0])
 
 
 @query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderkey % 9 = 0")

@@ -68,7 +68,9 @@ def policy_counts(tables: PolicyTables, as_of: Column, *, products: Sequence[str
 def policy_premiums(tables: PolicyTables, transactions: DataFrame, costs: DataFrame, charge_types: DataFrame, line: str, as_of: Column) -> DataFrame:
     """YTD_<line>_PREM and ALL_<line>_PREM: premium billed, from transactions(branchid, cost, amountbilling,
     writtendate) and costs(id, chargepattern, feename); the year's months up to the instant's one count for YTD."""
-    periods = tables.joined().where(F.col("state").isin(*PREMIUM_STATES) & (F.col("closedate") <= as_of)).select(F.col("id").alias("branchid"))
+    closed = tables.period.join(tables.job.where(F.col("closedate") <= as_of).select(F.col("id").alias("jobid")), "jobid")
+    # premiums count whether or not the policy's row and the job's type are there
+    periods = with_code(closed, "status", tables.status_types, "state").where(F.col("state").isin(*PREMIUM_STATES)).select(F.col("id").alias("branchid"))
     premium = with_code(costs.where("feename IS NULL"), "chargepattern", charge_types, "charge").where(F.col("charge").isin(*PREMIUM_CHARGES)).select(F.col("id").alias("cost"))
     rows = transactions.join(periods, "branchid").join(premium, "cost")
     written = F.col("writtendate")

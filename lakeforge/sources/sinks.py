@@ -56,16 +56,26 @@ def write_with_retry(write: Callable[[], tuple[int, int]], retries: int = 1) ->
 
 def upsert_partitions(spark: SparkSession, path: str, delta: DataFrame, key: str, partition: str, *, deleted: DataFrame | None = None) -> None:
     """Upsert into a partitioned Parquet table: only partitions that hold a touched key are read whole and written
-    again, through a copy beside the table, then replaced as partitions."""
+    again, through a copy beside the table, then replaced as partitions; those that are left without a row go."""
     from lakeforge.operators.merge import touched_partitions, upserted
 
     base = spark.read.parquet(path)
     gone = delta.select(key, partition) if deleted is None else delta.select(key, partition).unionByName(base.join(deleted.select(key), key, "left_semi").select(key, partition))
-    touched = touched_partitions(base, gone, key, partition)
+    touched = touched_partitions(base, gone, key, partition).where(F.col(partition).isNotNull())
     new = upserted(base.join(touched, partition, "left_semi"), delta, key, deleted)
     aside = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
     write_partitioned(new, aside, [partition], "overwrite")
-    write_partitioned(spark.read.schema(base.schema).parquet(aside), path, [partition], "overwrite", dynamic=True)
+    replace_partitions(spark, path, aside, partition, touched, base)
+
+
+def replace_partitions(spark: SparkSession, path: str, aside: str, partition: str, touched: DataFrame, like: DataFrame) -> None:
+    """The partitions of the copy take the place of the table's; of the touched ones, those that the copy lacks go."""
+    copy = spark.read.schema(like.schema).parquet(aside)
+    emptied = touched.select(partition).distinct().join(copy.select(partition).distinct(), partition, "left_anti").select(F.col(partition).cast("string")).collect()
+    write_partitioned(copy, path, [partition], "overwrite", dynamic=True)
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for r in emptied:
+        remove(spark, f"{path.rstrip('/')}/{names.getPartitionPathString(partition, r[0])}")
     remove(spark, aside)
 
 
@@ -170,11 +180,12 @@ def publish_lists(spark: SparkSession, path: str, new: DataFrame) -> None:
 
     fs, where = filesystem(spark, path)
     if fs.exists(where):
-        new = new.join(changed_lists(new, spark.read.schema(new.schema).parquet(path)), "typelistname", "left_semi")
+        old = spark.read.schema(new.schema).parquet(path)
+        # in both directions: a list that only lost rows has changed, too
+        changed = changed_lists(new, old).select("typelistname").union(changed_lists(old, new).select("typelistname")).distinct()
         aside = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
-        write_partitioned(new, aside, ["typelistname"], "overwrite")
-        write_partitioned(spark.read.schema(new.schema).parquet(aside), path, ["typelistname"], "overwrite", dynamic=True)
-        remove(spark, aside)
+        write_partitioned(new.join(changed, "typelistname", "left_semi"), aside, ["typelistname"], "overwrite")
+        replace_partitions(spark, path, aside, "typelistname", changed, new)
     else:
         write_partitioned(new, path, ["typelistname"], "overwrite")
 

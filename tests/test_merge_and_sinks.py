@@ -183,3 +183,30 @@ def test_connected():
     left[:] = [OSError(), OSError()]
     with pytest.raises(OSError):
         sinks.connected(connect, tries=2, sleep=waits.append)
+
+
+def test_upsert_that_empties_partitions(spark, tmp_path):
+    """A partition whose only row moves or is deleted is gone afterwards."""
+    path = f"{tmp_path}/emptied"
+    sinks.write_partitioned(spark.createDataFrame([(1, "m1"), (2, "m2"), (3, "m 3/x"), (4, "m4")], "k int, month string"), path, ["month"], "overwrite")
+    delta, deleted = spark.createDataFrame([(1, "m4")], "k int, month string"), spark.createDataFrame([(2,), (3,)], "k int")
+    sinks.upsert_partitions(spark, path, delta, "k", "month", deleted=deleted)
+    assert sorted(map(tuple, spark.read.parquet(path).select("k", "month").collect())) == [(1, "m4"), (4, "m4")]
+
+
+def test_batches_of_different_lengths(spark):
+    """Batch 10 comes after batch 9."""
+    rows = [("a", "9", "success", "t1"), ("a", "10", "failed", "t2")]
+    log = spark.createDataFrame(rows, "tablename string, batch string, loadstatus string, loadendtime string")
+    assert audit.delete_gate(log).first()["blocked"] == 1
+    assert audit.latest_by_table(log).first()["batch"] == "10"
+    lake = spark.createDataFrame([(1, "d", "9", 0), (1, "d", "10", 1), (2, "d", "9", 1), (2, "d", "10", 0)], "k int, ingestiondt string, batch string, deleted_flag int")
+    gone = merge.vanished(lake, spark.createDataFrame([], "k int"), "k").collect()
+    assert [(r.k, r.batch) for r in gone] == [(2, "10")]
+
+
+def test_published_lists_lose_removed_rows(spark, tmp_path):
+    path, kind = f"{tmp_path}/lists", "typelistname string, id int, code string"
+    sinks.publish_lists(spark, path, spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z"), ("c", 1, "w")], kind).select("id", "code", "typelistname"))
+    sinks.publish_lists(spark, path, spark.createDataFrame([("a", 1, "x"), ("b", 1, "z")], kind).select("id", "code", "typelistname"))
+    assert sorted(map(tuple, spark.read.parquet(path).select("typelistname", "id", "code").collect())) == [("a", 1, "x"), ("b", 1, "z")]
