@@ -3,14 +3,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from typing import TypeVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.operators import cdc, lookup, merge, pii, recon, schema, stamp
+from lakeforge.operators import audit, cdc, lookup, merge, pii, recon, schema, stamp
+from lakeforge.sources import sinks
 from lakeforge.spec import LookupSpec, TableSpec
 
 X = TypeVar("X")
@@ -51,6 +52,67 @@ def secured_and_masked(rows: DataFrame, load: Load) -> tuple[DataFrame, DataFram
     return pii.split(rows, load.pii)
 
 
+def audit_log(spark: SparkSession, path: str) -> DataFrame:
+    """The audit kept at a path; no rows where nothing has been written yet."""
+    fs, where = sinks.filesystem(spark, path)
+    return spark.read.schema(audit.AUDIT).parquet(path) if fs.exists(where) else spark.createDataFrame([], audit.AUDIT)
+
+
+def next_window(source: DataFrame, log: DataFrame, load: Load) -> tuple[str, str, str] | None:
+    """(batch, start, end) of a load: from the audit's watermark to the cut-off of the values after it; on a restart those
+    of the table's last load, unless that was a success. None: there is nothing to load. Only single rows are fetched."""
+    mine = log.where(F.col("tablename") == load.spec.table)
+    if load.restart:
+        last = audit.latest_by_table(mine).first()
+        return None if last is None or last.loadstatus == "success" else (last.batch, last.batchwindowstart, last.batchwindowend)
+    mark = audit.watermarks(mine).first() if load.load_type != "tl" else None
+    start = mark.batchwindowend if mark else str(cdc.EPOCH_START)
+    c = cdc.cdc_column(load.spec).cast("timestamp_ntz")
+    limits = cdc.bounds(cdc.read_window(source, load.spec, "di", end=instant(start)), c).first()
+    end = cdc.cut_off(limits.low, limits.high, load.clock, load.rule)
+    return None if end is None or str(end) <= start else (load.batch, start, str(end))
+
+
+def instant(text: str) -> Column:
+    """A window's end, as the audit keeps it, as a literal: scans get it as a filter."""
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def load_next(spark: SparkSession, source: DataFrame, refs: dict[str, DataFrame], load: Load, path: str, audit_path: str, *, write: Callable[..., tuple[int, int]] = sinks.counted_write, retries: int = 1) -> str:
+    """One load of a table from where its last one ended: audit, window, read, stamps and look-ups, write, audit again.
+
+    Rows go to partitions ingestiondt, batch; each try first removes what an earlier one left of the batch, so that neither
+    a retry nor a restart repeats rows. The audit then gets one row with the window, both counts and the status, which is
+    returned: success, failed (counts differ) or failedUnknown (an exception; the next load starts where this one did).
+    `empty`: no value lies after the watermark; nothing is written. A full load replaces the table.
+    """
+    if load.spec.cdc_kind not in ("timestamp", "coalesce", "greatest"):
+        raise ValueError(f"{load.spec.table} has no column of instants to take windows from")
+    found = next_window(source, audit_log(spark, audit_path), load)
+    if found is None:
+        return "empty"
+    batch, start, end = found
+    this = replace(load, batch=batch, use_window=True, start=instant(start), end=instant(end))
+    rows = harmonised(source, refs, this)
+    mode = sinks.save_mode(load.load_type, False)
+    counts: list[int | None] = [None, None]
+
+    def attempt() -> tuple[int, int]:
+        sinks.drop_batch(spark, path, batch)
+        counts[:] = write(rows, path, ["ingestiondt", "batch"], mode, batch=batch)
+        return counts[0], counts[1]
+
+    status = sinks.write_with_retry(attempt, retries)
+    if status == "failedUnknown":
+        counts = [None, None]
+    at = str(load.clock)
+    row = {"ingestiondt": f"{load.clock:%Y-%m-%d}", "batch": batch, "tablename": load.spec.table, "sourcecount": counts[0], "targetcount": counts[1], "loadstarttime": at, "loadendtime": at, "loadstatus": status}
+    row |= {"batchwindowstart": start, "batchwindowend": end, "loadtype": load.load_type, "batchstarttime": at, "harddeletebatch": "n"}
+    done = audit.loggable(spark.createDataFrame([row], audit.AUDIT))
+    done.coalesce(1).write.mode("append").parquet(audit_path)
+    return status
+
+
 def missing_rows(source: DataFrame, lake: DataFrame, refs: dict[str, DataFrame], load: Load) -> DataFrame:
     """Source rows whose key the lake lacks, harmonised like any load."""
     keys = recon.missing_keys(source, lake, [load.key])

@@ -251,6 +251,61 @@ def cdc_pipeline(spark, d):
     )
 
 
+# --- loads, batch after batch ----------------------------------------------------------------------------------------
+
+#: Two loads of orders: when the first one runs, the source has those before 1996; each ends 90 minutes before its last value.
+TWO_LOADS = f"""first AS (SELECT max(o_orderdate) - INTERVAL 90 MINUTE AS cut FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'),
+second AS (SELECT max(o_orderdate) - INTERVAL 90 MINUTE AS cut FROM orders),
+loaded AS (SELECT o_orderkey, o_orderdate, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS ingestiondt, CASE WHEN o_orderdate <= first.cut THEN '1001' ELSE '1002' END AS batch, {EPOCH.format(c='o_orderdate')}::VARCHAR || o_orderkey::VARCHAR AS uniqueid,
+c_name AS customer_name, n_name AS nation_name FROM first, second, orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey WHERE o_orderdate <= second.cut)"""
+LOADED_SQL = f"WITH {TWO_LOADS} SELECT o_orderkey, ingestiondt, batch, uniqueid, customer_name, nation_name FROM loaded"
+
+
+def two_loads(spark, d, second_write=None):
+    """(table, audit) after two loads of orders; the second one is written by second_write, where that is given, and then
+    restarted."""
+    path, log = sinks.scratch(spark), sinks.scratch(spark)
+    path, log = f"{path}/table", f"{log}/audit"
+    orders, refs = t(spark, d, "orders"), {n: t(spark, d, n) for n in ("customer", "nation")}
+    load = lambda batch, day, **x: ingest.Load(TableSpec("orders", cdc_col="o_orderdate"), "o_orderkey", "ci", batch, datetime(2002, 1, day), lookups=CUSTOMER_NATION, rule=cdc.CutOff(lag_minutes=90), **x)
+    ingest.load_next(spark, orders.where(F.col("o_orderdate") < at("1996-01-01 00:00:00")), refs, load("1001", 1), path, log)
+    if second_write is None:
+        ingest.load_next(spark, orders, refs, load("1002", 2), path, log)
+    else:
+        ingest.load_next(spark, orders, refs, load("1002", 2), path, log, write=second_write, retries=0)
+        ingest.load_next(spark, orders, refs, load("1003", 3, restart=True), path, log)
+    return path, log
+
+
+def loaded(spark, path):
+    rows = spark.read.parquet(path)
+    return rows.select("o_orderkey", F.col("ingestiondt").cast("string").alias("ingestiondt"), F.col("batch").cast("string").alias("batch"), "uniqueid", "customer_name", "nation_name")
+
+
+def half_written(df, path, by, mode, *, batch):
+    """A write that loses every other order."""
+    return 2 * sinks.counted_write(df.where("o_orderkey % 2 = 0"), path, by, mode, batch=batch)[0] + 1, 0
+
+
+@query(LOADED_SQL)
+def load_two_batches(spark, d):
+    return loaded(spark, two_loads(spark, d)[0])
+
+
+@query(LOADED_SQL)
+def load_restart(spark, d):
+    """The second load loses rows and fails; its restart takes the same window and batch, and repeats none."""
+    return loaded(spark, two_loads(spark, d, half_written)[0])
+
+
+@query(f"""WITH {TWO_LOADS}, ends AS (SELECT '1001' AS batch, TIMESTAMP '1900-01-01' AS start, cut FROM first UNION ALL SELECT '1002', first.cut, second.cut FROM first, second)
+SELECT batch, 'success' AS loadstatus, start AS batchwindowstart, cut AS batchwindowend, count(o_orderkey) AS sourcecount, count(o_orderkey) AS targetcount FROM ends LEFT JOIN loaded USING (batch) GROUP BY ALL""")
+def load_audit(spark, d):
+    """What the audit says of both loads: windows that meet, and counts."""
+    rows = ingest.audit_log(spark, two_loads(spark, d)[1])
+    return rows.select("batch", "loadstatus", *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("batchwindowstart", "batchwindowend")), "sourcecount", "targetcount")
+
+
 # --- current state ---------------------------------------------------------------------------------------------------
 
 

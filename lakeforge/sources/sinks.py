@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder under the one that the cluster shares (spark.checkpoint.dir); a local one only where it names none."""
+    """A new folder under the one that the cluster shares (spark.checkpoint.dir); a local one only where it names none and
+    all of the session runs on this machine."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="lakeforge-")
 
 
@@ -33,11 +36,23 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "
     writer.parquet(path)
 
 
-def counted_write(df: DataFrame, path: str, by: Sequence[str], mode: str = "append") -> tuple[int, int]:
-    """(rows sent, rows of those batches now there): the first counted during the write."""
+def counted_write(df: DataFrame, path: str, by: Sequence[str], mode: str = "append", *, batch: str | None = None) -> tuple[int, int]:
+    """(rows sent, rows of those batches now there): the first counted during the write. Where all rows are of one batch
+    that is named, only its partitions are read back and df isn't computed again."""
     seen = Observation()
     write_partitioned(df.observe(seen, F.count("*").alias("n")), path, by, mode)
-    return seen.get["n"], df.sparkSession.read.parquet(path).join(df.select("batch").distinct(), "batch", "left_semi").count()
+    there = df.sparkSession.read.schema(df.schema).parquet(path)
+    there = there.join(df.select("batch").distinct(), "batch", "left_semi") if batch is None else there.where(F.col("batch") == batch)
+    return seen.get["n"], there.count()
+
+
+def drop_batch(spark: SparkSession, path: str, batch: str) -> None:
+    """Removes a batch's partitions, wherever below the table's folder they are; a table that isn't there is left alone."""
+    fs, where = filesystem(spark, path)
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString("batch", batch)
+    for pattern in (name, f"*/{name}"):
+        for found in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(where, pattern)) or ():
+            fs.delete(found.getPath(), True)
 
 
 def write_with_retry(write: Callable[[], tuple[int, int]], retries: int = 1) -> str:

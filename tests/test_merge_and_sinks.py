@@ -210,3 +210,36 @@ def test_published_lists_lose_removed_rows(spark, tmp_path):
     sinks.publish_lists(spark, path, spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z"), ("c", 1, "w")], kind).select("id", "code", "typelistname"))
     sinks.publish_lists(spark, path, spark.createDataFrame([("a", 1, "x"), ("b", 1, "z")], kind).select("id", "code", "typelistname"))
     assert sorted(map(tuple, spark.read.parquet(path).select("typelistname", "id", "code").collect())) == [("a", 1, "x"), ("b", 1, "z")]
+
+
+def test_loads_follow_each_other(spark, tmp_path):
+    """Nothing after the watermark is empty; a failed write of unknown state is loaded again; a restart after success does nothing."""
+    from datetime import datetime
+
+    from lakeforge.plans import ingest
+    from lakeforge.spec import TableSpec
+
+    path, log = str(tmp_path / "table"), str(tmp_path / "audit")
+    source = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP_NTZ'2024-01-01 00:00:00'), (2, TIMESTAMP_NTZ'2024-02-01 00:00:00'), (3, NULL) AS x(id, at)")
+    load = lambda batch, **x: ingest.Load(TableSpec("x", cdc_col="at"), "id", "di", batch, datetime(2024, 6, 1), **x)
+
+    def broken(*_, **__):
+        raise OSError("no space")
+
+    assert ingest.load_next(spark, source, {}, load("0009"), path, log, write=broken, retries=0) == "failedUnknown"
+    assert ingest.load_next(spark, source, {}, load("0010"), path, log) == "success"
+    assert ingest.load_next(spark, source, {}, load("0011"), path, log) == "empty"
+    assert ingest.load_next(spark, source, {}, load("0012", restart=True), path, log) == "empty"
+    rows = spark.read.schema("id int, batch string").parquet(path).select("id", "batch")
+    assert sorted(map(tuple, rows.collect())) == [(1, "0010"), (2, "0010")]
+    assert sorted((r.batch, r.loadstatus, r.targetcount) for r in ingest.audit_log(spark, log).collect()) == [("0009", "failedUnknown", None), ("0010", "success", 2)]
+
+
+def test_load_needs_instants(spark, tmp_path):
+    from datetime import datetime
+
+    from lakeforge.plans import ingest
+    from lakeforge.spec import TableSpec
+
+    with pytest.raises(ValueError):
+        ingest.load_next(spark, spark.range(1), {}, ingest.Load(TableSpec("x", cdc_col="id"), "id", "di", "1", datetime(2024, 1, 1)), str(tmp_path / "t"), str(tmp_path / "a"))
