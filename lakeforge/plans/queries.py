@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -536,6 +537,13 @@ def pre_delete_gate(spark, d):
     return audit.delete_gate(audit_rows(spark, d))
 
 
+@query(f"""WITH a AS (SELECT tablename, loadendtime, loadstatus, event_id % 400 AS batch FROM ({AUDIT_SQL}))
+SELECT count(*) FILTER (loadstatus <> 'success') AS blocked FROM (SELECT *, row_number() OVER (PARTITION BY tablename ORDER BY batch DESC, loadendtime DESC, loadstatus DESC) AS n FROM a) WHERE n = 1 AND batch = (SELECT max(batch) FROM a)""")
+def pre_delete_gate_lengths(spark, d):
+    """Batches of one to three digits: 399 is the last, not 99."""
+    return audit.delete_gate(audit_rows(spark, d).withColumn("batch", (F.col("event_id") % 400).cast("string")))
+
+
 @query(f"SELECT event_id, batchwindowend FROM ({AUDIT_SQL}) WHERE batchwindowend IS NOT NULL")
 def audit_loggable(spark, d):
     return audit.loggable(audit_rows(spark, d)).select("event_id", "batchwindowend")
@@ -705,6 +713,15 @@ def sink_upsert(spark, d):
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice")
 
 
+@query(f"SELECT o_orderkey, CASE WHEN ingestiondt = '1995-04-01' THEN '1995-05-01' ELSE ingestiondt END AS ingestiondt FROM ({LAKE_SQL}) WHERE ingestiondt <> '1995-03-01'")
+def sink_upsert_emptied(spark, d):
+    """One month's rows are all deleted and another's all move: both partitions end."""
+    path, rows = lake_path(spark, d), lake_orders(spark, d)
+    moved = rows.where("ingestiondt = '1995-04-01'").withColumn("ingestiondt", F.lit("1995-05-01"))
+    sinks.upsert_partitions(spark, path, moved, "o_orderkey", "ingestiondt", deleted=rows.where("ingestiondt = '1995-03-01'"))
+    return spark.read.parquet(path).select("o_orderkey", F.col("ingestiondt").cast("string").alias("ingestiondt"))
+
+
 @query("SELECT count(*) AS sent, count(*) AS there FROM orders")
 def sink_count_check(spark, d):
     sent, there = sinks.counted_write(lake_orders(spark, d), sinks.scratch(spark), ["ingestiondt", "batch"], "overwrite")
@@ -864,13 +881,27 @@ def recon_policy_counts(spark, d):
 PREMIUM_SQL = f"""SELECT {DEC('l_extendedprice')} AS amount, l_shipdate AS written FROM lineitem JOIN ({PERIODS_SQL}) ON l_orderkey = id WHERE state IN ('Bound', 'AuditComplete') AND l_linenumber % 3 <> 0 AND l_partkey % 5 <> 0"""
 
 
-@query(f"""SELECT 'YTD_PA_PREM' AS auditentity, CAST(coalesce(sum(amount), 0) AS DOUBLE) AS value FROM ({PREMIUM_SQL}) WHERE year(written) = 1996 AND month(written) <= 6
-UNION ALL SELECT 'ALL_PA_PREM', CAST(coalesce(sum(amount), 0) AS DOUBLE) FROM ({PREMIUM_SQL})""")
-def recon_policy_premiums(spark, d):
+PREMIUMS_SQL = f"""SELECT 'YTD_PA_PREM' AS auditentity, CAST(coalesce(sum(amount), 0) AS DOUBLE) AS value FROM ({PREMIUM_SQL}) WHERE year(written) = 1996 AND month(written) <= 6
+UNION ALL SELECT 'ALL_PA_PREM', CAST(coalesce(sum(amount), 0) AS DOUBLE) FROM ({PREMIUM_SQL})"""
+
+
+def premiums(spark, d, tables):
     l = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("branchid"), F.concat_ws("-", (F.col("l_linenumber") % 3).cast("string"), (F.col("l_partkey") % 5).cast("string")).alias("cost"), F.col("l_extendedprice").alias("amountbilling"), F.col("l_shipdate").alias("writtendate"))
     costs = spark.createDataFrame([(f"{a}-{b}", a, None if b else "fee") for a in range(3) for b in range(5)], "id string, chargepattern long, feename string")
     charges = spark.createDataFrame([(0, "Tax"), (1, "Premium"), (2, "MCCA")], "id long, typecode string")
-    return recon_suites.policy_premiums(policy_tables(spark, d), l, costs, charges, "PA", at(AS_OF))
+    return recon_suites.policy_premiums(tables, l, costs, charges, "PA", at(AS_OF))
+
+
+@query(PREMIUMS_SQL)
+def recon_policy_premiums(spark, d):
+    return premiums(spark, d, policy_tables(spark, d))
+
+
+@query(PREMIUMS_SQL)
+def recon_policy_premiums_unmatched(spark, d):
+    """Half of the policies' rows and a job's type are missing; premiums count all the same."""
+    tables = policy_tables(spark, d)
+    return premiums(spark, d, replace(tables, policy=tables.policy.where("id % 2 = 0"), job_types=tables.job_types.where("typecode <> 'Audit'")))
 
 
 CLAIM_SQL = f"SELECT DISTINCT c_custkey AS id, c_name AS nbr FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderdate <= TIMESTAMP '{AS_OF}' AND o_orderkey % 9 = 8"
@@ -997,6 +1028,15 @@ def typelist_refresh(spark, d):
     return spark.read.parquet(path).select("typecode", "typelistname")
 
 
+@query(TYPES_SQL)
+def typelist_refresh_removed(spark, d):
+    """Every published list has codes that the refresh lacks; they go."""
+    path, new = sinks.scratch(spark), lookup.consolidated(type_lists(spark, d))
+    sinks.publish_lists(spark, path, new.unionByName(new.withColumn("typecode", F.concat(F.lit("gone "), F.col("typecode").cast("string")))))
+    sinks.publish_lists(spark, path, new)
+    return spark.read.parquet(path).select("typecode", "typelistname")
+
+
 @query(f"SELECT processname, batch, tablename, count(*) AS n FROM ({AUDIT_SQL}) WHERE batch <= '1200' GROUP BY 1, 2, 3")
 def audit_restored(spark, d):
     """Audit files compacted, then taken back to an earlier batch."""
