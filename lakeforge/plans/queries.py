@@ -878,6 +878,18 @@ def recon_policy_counts(spark, d):
     return recon_suites.policy_counts(policy_tables(spark, d), at(AS_OF), all_but=["BUILDING"])
 
 
+@query(f"""WITH p AS ({PERIODS_SQL}), x AS (
+SELECT 'TOTAL_INFORCE_' || productcode AS auditentity, policynumber FROM p WHERE productcode NOT IN ('BUILDING', 'MACHINERY') AND state = 'Bound' AND job <> 'Cancellation' AND TIMESTAMP '{AS_OF}' BETWEEN starts AND ends
+UNION ALL SELECT 'TOTAL_EXPIRED', policynumber FROM p WHERE state IN ('Bound', 'Quoted') AND job IN ('Submission', 'Cancellation') AND ends <= TIMESTAMP '{AS_OF}'
+UNION ALL SELECT 'TOTAL_CANCELLED', policynumber FROM p WHERE state = 'Bound' AND job = 'Cancellation')
+SELECT auditentity, CAST(count(DISTINCT policynumber) AS DOUBLE) AS value FROM x GROUP BY 1""")
+def recon_policy_counts_ended_of_all(spark, d):
+    """Expired and cancelled periods count though their policy's row is missing or its product isn't asked for."""
+    tables = policy_tables(spark, d)
+    tables = replace(tables, policy=tables.policy.where("productcode <> 'BUILDING'"))
+    return recon_suites.policy_counts(tables, at(AS_OF), all_but=["MACHINERY"], live_only=False, ended_of_all=True)
+
+
 PREMIUM_SQL = f"""SELECT {DEC('l_extendedprice')} AS amount, l_shipdate AS written FROM lineitem JOIN ({PERIODS_SQL}) ON l_orderkey = id WHERE state IN ('Bound', 'AuditComplete') AND l_linenumber % 3 <> 0 AND l_partkey % 5 <> 0"""
 
 

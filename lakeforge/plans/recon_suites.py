@@ -40,23 +40,27 @@ class PolicyTables:
     job_types: DataFrame
 
     def joined(self) -> DataFrame:
-        rows = self.period.join(self.policy.select(F.col("id").alias("policyid"), "productcode"), "policyid")
+        """Periods with their job's and status's codes, and their policy's product; has_policy is null where there is none."""
+        rows = self.period.join(self.policy.select(F.col("id").alias("policyid"), "productcode", F.lit(True).alias("has_policy")), "policyid", "left")
         rows = rows.join(self.job.select(F.col("id").alias("jobid"), "subtype", "closedate"), "jobid")
         return with_code(with_code(rows, "status", self.status_types, "state"), "subtype", self.job_types, "job_type")
 
 
-def policy_counts(tables: PolicyTables, as_of: Column, *, products: Sequence[str] = (), all_but: Sequence[str] = (), live_only: bool = True) -> DataFrame:
+def policy_counts(tables: PolicyTables, as_of: Column, *, products: Sequence[str] = (), all_but: Sequence[str] = (), live_only: bool = True, ended_of_all: bool = False) -> DataFrame:
     """TOTAL_INFORCE_<product>, TOTAL_EXPIRED and TOTAL_CANCELLED: distinct policy numbers as of an instant, of some
-    products or of all but some. With live_only, retired periods don't count."""
-    rows = tables.joined().where(F.col("closedate") <= as_of)
+    products or of all but some. With live_only, retired periods don't count. With ended_of_all, the choice of products
+    is for TOTAL_INFORCE alone: the other two count periods of any product, and of none."""
+    rows, chosen = tables.joined().where(F.col("closedate") <= as_of), F.col("has_policy")
     if products:
-        rows = rows.where(F.col("productcode").isin(*products))
+        chosen &= F.col("productcode").isin(*products)
     if all_but:
-        rows = rows.where(~F.col("productcode").isin(*all_but))
+        chosen &= ~F.col("productcode").isin(*all_but)
+    if not ended_of_all:
+        rows = rows.where(chosen)
     if live_only:
         rows = rows.where("retired = 0")
     state, job = F.col("state"), F.col("job_type")
-    in_force = (job != CANCELLATION) & (state == IN_FORCE) & as_of.between(F.col("periodstart"), F.col("periodend"))
+    in_force = chosen & (job != CANCELLATION) & (state == IN_FORCE) & as_of.between(F.col("periodstart"), F.col("periodend"))
     expired = job.isin(*EXPIRING_JOBS) & state.isin(*EXPIRING_STATES) & (F.col("periodend") <= as_of) & (F.coalesce("policynumber", F.lit("")) != "")
     cancelled = (state == IN_FORCE) & (job == CANCELLATION) & (F.col("cancellationdate") <= as_of)
     # each period counts for the entities that it fits; one aggregation for all
