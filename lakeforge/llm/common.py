@@ -209,9 +209,18 @@ def dealt_out(pieces: Iterable[dict[str, np.ndarray]], deal: int, runs: tuple[st
 
 
 def gathered(batches: Iterator[pa.RecordBatch], kinds: dict[str, str]) -> dict[str, np.ndarray]:
-    """The columns of all rows that reached this partition."""
-    cells: dict[str, list[bytes]] = {k: [] for k in kinds}
+    """The columns of all rows that reached this partition; each batch is let go once its bytes are copied."""
+    cells: dict[str, list[np.ndarray]] = {k: [np.zeros(0, np.uint8)] for k in kinds}
     for b in batches:
         for k in kinds:
-            cells[k] += b.column(k).to_pylist()
-    return {k: np.frombuffer(b"".join(cells.pop(k)), kind) for k, kind in kinds.items()}
+            cells[k].append(all_bytes(b.column(k)))
+    return {k: np.concatenate(cells.pop(k)).view(kind) for k, kind in kinds.items()}
+
+
+def all_bytes(column: pa.Array) -> np.ndarray:
+    """A copy of the bytes of all rows of a binary column, one after another; a null has none."""
+    whole = column.cast(pa.large_binary())
+    if not len(whole) or whole.buffers()[2] is None:
+        return np.zeros(0, np.uint8)
+    ends = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    return np.frombuffer(whole.buffers()[2], np.uint8)[ends[0] : ends[-1]].copy()
