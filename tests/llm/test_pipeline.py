@@ -50,3 +50,18 @@ def test_awkward_rows(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)
     assert sorted((r.doc_id or 0, r.text) for r in docs.collect()) == [(0, "words without an id"), (1, "ein satz mit worten"), (1, "ein satz mit worten")]
+
+
+def test_empty_table_long_text_and_clashing_columns(spark):
+    """An empty table stays one; a long text and columns named like the operators' own pass all stages."""
+    names = "doc_id long, text string, lang string, source string, n_chars long, n long, c long, key string, kept string, carried string, queue string"
+    long = " ".join(f"wort{i}" for i in range(60_000))
+    rows = [(1, long, "de", "x", 5, 1, 2, "k", "kept", "carried", "q"), (2, "ein satz mit worten", "de", "y", 5, None, None, None, None, None, None)]
+    for given in ([], rows):
+        docs = spark.createDataFrame(given, names)
+        columns = docs.columns
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, SF)
+            assert docs.columns == columns
+        assert sorted((r.doc_id, r.text, r.kept, r.queue) for r in docs.collect()) == sorted((r[0], r[1], r[8], r[10]) for r in given)
+        check_packing(corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect(), [(r[0], r[1]) for r in given], 1023) if given else None
