@@ -80,13 +80,11 @@ def once_per_worker(key: tuple, make: Callable[[], Any]) -> Any:
 
 
 def tidy() -> None:
-    """Gives freed memory back to the system, as workers live on between tasks; arrays of over 1 MB are from now on given
-    back when they are freed."""
+    """Gives freed memory back to the system, as workers live on between tasks; for the end of a task, not for each slice,
+    as pages that are given back are zeroed again when they are next needed."""
     pa.default_memory_pool().release_unused()
     try:
-        c = ctypes.CDLL(None)
-        c.mallopt(-3, 1 << 20)
-        c.malloc_trim(0)
+        ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # only this C library has it
         pass
 
@@ -103,7 +101,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20)
             hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right")))
             yield batch.slice(lo, hi - lo)
             lo = hi
-        tidy()
+    tidy()
 
 
 def text_bytes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -196,7 +194,6 @@ def dealt_out(pieces: Iterable[dict[str, np.ndarray]], deal: int, runs: tuple[st
             all_of = {k: np.concatenate([x[k] for x in held]) for k in held[0]}
             held.clear()
             yield dealt(all_of.pop("t"), all_of, deal, all_of.pop("key", None), {k: all_of.pop(k) for k in runs})
-            tidy()
 
     for piece in pieces:
         if len(piece["t"]):
@@ -206,6 +203,7 @@ def dealt_out(pieces: Iterable[dict[str, np.ndarray]], deal: int, runs: tuple[st
             yield from flushed()
             size = 0
     yield from flushed()
+    tidy()
 
 
 def gathered(batches: Iterator[pa.RecordBatch], kinds: dict[str, str]) -> dict[str, np.ndarray]:
