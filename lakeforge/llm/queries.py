@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.llm import decontaminate, fingerprints, language_id, line_dedup, ngram_join, packing, quality, secret_scan, substring_dedup, token_counts
+from lakeforge.llm import decontaminate, fingerprints, language_id, line_dedup, ngram_join, packing, quality, secret_scan, spelling, substring_dedup, token_counts
 from lakeforge.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,8 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(documents(spark, sf_dir))
