@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.llm import decontaminate, fingerprints, language_id, line_dedup, ngram_join, packing, quality, secret_scan, spelling, substring_dedup, token_counts
+from lakeforge.llm import decontaminate, fingerprints, language_id, line_dedup, ngram_join, packing, prefix_trie, quality, secret_scan, spelling, substring_dedup, token_counts
 from lakeforge.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,7 +87,8 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op3_ngram_jaccard_join"] = r"""
 WITH RECURSIVE listed AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w
   FROM documents),
 sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
@@ -111,7 +112,8 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op6_substring_dedup"] = r"""
-WITH listed AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+WITH listed AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents),
 windows AS (
   SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM listed WHERE len(w) >= 13)),
@@ -144,3 +146,8 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(documents(spark, sf_dir))
+
+
+@query
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("node")
