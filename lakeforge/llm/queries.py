@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.llm import decontaminate, fingerprints, language_id, line_dedup, ngram_join, packing, prefix_trie, quality, secret_scan, spelling, substring_dedup, token_counts
+from lakeforge.llm import decontaminate, fingerprints, html_extraction, language_id, line_dedup, ngram_join, packing, prefix_trie, quality, secret_scan, spelling, substring_dedup, token_counts
 from lakeforge.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,10 +19,10 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, dealt to all cores where their files have fewer splits than there are cores; a scan of no column
-    tells."""
-    docs, cores = table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism
+def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """The documents (or pages), dealt to all cores where their files have fewer splits than there are cores; a scan of no
+    column tells."""
+    docs, cores = table(spark, sf_dir, name), spark.sparkContext.defaultParallelism
     splits = (docs.select(F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0] or 0) + 1
     return docs.repartition(cores) if splits < cores else docs
 
@@ -151,3 +151,8 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("node")
+
+
+@query
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(documents(spark, sf_dir, "pages"))
