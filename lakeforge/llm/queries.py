@@ -87,8 +87,7 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op3_ngram_jaccard_join"] = r"""
 WITH RECURSIVE listed AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
-]+') AS w
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
   FROM documents),
 sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
@@ -112,8 +111,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op6_substring_dedup"] = r"""
-WITH listed AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+') AS w FROM documents),
+WITH listed AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 windows AS (
   SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM listed WHERE len(w) >= 13)),
@@ -148,11 +146,73 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(documents(spark, sf_dir))
 
 
+def sql_crc32(text: str) -> str:
+    """DuckDB's expression of the crc32 of a string's UTF-8 bytes, half a byte a step."""
+    steps = []
+    for k in range(16):
+        for _ in range(4):
+            k = k >> 1 ^ (0xEDB88320 if k & 1 else 0)
+        steps.append(k)
+    halves = f"list_transform(range(0, len(hex({text}))), lambda i: CAST(position(substr(hex({text}), xor(i, 1) + 1, 1) IN '0123456789ABCDEF') - 1 AS BIGINT))"
+    ones = "CAST(4294967295 AS BIGINT)"
+    return f"xor({ones}, list_reduce({halves}, lambda c, b: xor(c >> 4, {steps}[(xor(c, b) & 15) + 1]), {ones}))"
+
+
+ORACLES["op11_spelling_variants"] = rf"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS d,
+         unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{00C0}}-\x{{00FF}}]{{6,}}')) AS r
+  FROM documents),
+hashed AS (SELECT r, n, {sql_crc32("d || r")} AS h FROM (SELECT d, r, count(*) AS n FROM runs GROUP BY d, r)),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 199 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word AS x, b.word AS y, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT l.word, w.word, w.n FROM less l JOIN words w ON l.rest = w.word
+  UNION SELECT w.word, l.word, l.n FROM less l JOIN words w ON l.rest = w.word),
+best AS (SELECT x, count(*) AS n_near, max(n) AS most, min(y) FILTER (n = top) AS y FROM (SELECT *, max(n) OVER (PARTITION BY x) AS top FROM near) GROUP BY x),
+formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * n THEN y END AS form, CASE WHEN most >= 5 * n THEN most END AS form_n FROM words LEFT JOIN best ON x = word),
+followed AS (
+  SELECT word, coalesce(form, word) AS far, 1 AS steps FROM formed
+  UNION ALL SELECT f.word, g.form, steps + 1 FROM followed f JOIN formed g ON f.far = g.word WHERE g.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n
+FROM formed JOIN (SELECT word, arg_max(far, steps) AS root FROM followed GROUP BY word) USING (word)
+"""
+
+
 @query
 def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("node")
 
 
+ORACLES["op12_conversation_prefix_trie"] = rf"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS k, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS what
+  FROM conversations WHERE conv_id IS NOT NULL),
+listed AS (SELECT conv_id, list(what ORDER BY k) AS own, {sql_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM turns GROUP BY conv_id),
+built AS (
+  SELECT c.conv_id, list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) AS seq
+  FROM listed c LEFT JOIN listed b ON b.conv_id = c.conv_id - c.conv_id % 100),
+members AS (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM built),
+nodes AS (
+  SELECT seq[1:d] AS path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(seq) = d) AS ends
+  FROM members GROUP BY seq[1:d], d),
+kids AS (SELECT path[1:d - 1] AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY path[1:d - 1]),
+told AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN d > 0 THEN (n_convs - 1) * length(n.path[d].text) ELSE 0 END AS own
+  FROM nodes n LEFT JOIN kids k ON n.path = k.path),
+sums AS (
+  SELECT path[1:k] AS path, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(own) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM told) GROUP BY path[1:k])
+SELECT t.conv_id, t.d AS depth, up.conv_id AS parent_conv_id, t.n_convs, t.n_children, n_leaves, saved_tokens, sha256(coalesce(t.ends, '')) AS ends_sha256
+FROM told t JOIN sums s ON t.path = s.path LEFT JOIN nodes up ON t.d > 0 AND up.path = t.path[1:t.d - 1]
+"""
+
+
 @query
 def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(documents(spark, sf_dir, "pages"))

@@ -518,6 +518,6 @@ def test_shared_runs_share_a_fingerprint():
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_empty_tables(spark, tmp_path, name):
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "pages", "conversations"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert queries.QUERIES[name](spark, str(tmp_path)).count() == 0
