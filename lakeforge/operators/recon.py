@@ -84,6 +84,18 @@ def reconciled(source: DataFrame, lake: DataFrame, system: str, extract_date: st
     return both.select(F.lit(extract_date).alias("extractdate"), "auditentity", F.lit(start).alias("auditfrom"), F.lit(end).alias("auditthru"), "src_value", F.lit(system).alias("source_system_cd"), "lake_value", status.alias("recon_status"))
 
 
+def reconciled_each(source: DataFrame, lake: DataFrame, system: str, extract_date: str, *, outer: bool = True) -> DataFrame:
+    """reconciled() of metrics that bring their own times: auditfrom and auditthru are the source's, or else the lake's, as
+    are the status of policies (polstatus, null where there is none) and the load cycle, where they have one."""
+    own = [c for c in ("etl_load_cycle_id",) if c in source.columns]
+    text = lambda df, c: F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
+    told = lambda df, name: df.select(*own, "auditentity", F.struct(text(df, "polstatus").alias("polstatus"), text(df, "auditfrom").alias("auditfrom"), text(df, "auditthru").alias("auditthru"), F.col("value").alias("value")).alias(name))
+    both = told(source, "s").join(told(lake, "t"), [*own, "auditentity"], "full_outer" if outer else "inner")
+    first = lambda c: F.coalesce(f"s.{c}", f"t.{c}").alias(c)
+    status = F.when(F.col("s").isNull() | F.col("t").isNull(), "missing").when(F.col("s.value") == F.col("t.value"), "success").otherwise("failed")
+    return both.select(*own, F.lit(extract_date).alias("extractdate"), first("polstatus"), "auditentity", first("auditfrom"), first("auditthru"), F.col("s.value").alias("src_value"), F.lit(system).alias("source_system_cd"), F.col("t.value").alias("lake_value"), status.alias("recon_status"))
+
+
 def missing_keys(source: DataFrame, target: DataFrame, columns: Sequence[str], up_to: Column | None = None) -> DataFrame:
     """Distinct source keys that the target lacks; with a CDC column among them, stale rows count as missing."""
     rows = source if up_to is None else source.where(up_to)

@@ -1,43 +1,21 @@
 """Queries over the driver's tables: each applies a library operator, beside SQL for the same rows."""
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeforge.functions import xml_flatten
 from lakeforge.operators import audit, cdc, lookup, merge, pii, recon, reserve, schema, stamp
-from lakeforge.plans import ingest, recon_suites
+from lakeforge.plans import billing_queries, ingest, recon_suites  # noqa: F401
+from lakeforge.plans.base import AS_OF, ORACLES, QUERIES, at, query, t  # noqa: F401
 from lakeforge.sources import files, sinks
+from lakeforge.sources.versioned import VersionedTable
 from lakeforge.spec import LookupSpec, TableSpec, lookup_specs, table_specs
 from lakeforge.streaming import audit_stream
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def at(text: str):
-    """A literal instant without time zone."""
-    return F.expr(f"TIMESTAMP_NTZ'{text}'")
-
-
 LOW, HIGH, CLOCK = "1994-01-01 00:00:00", "1996-06-30 23:59:59.999", datetime(1998, 1, 1)
 ORDERS = TableSpec("orders", cdc_col="o_orderdate", hard_delete_flag="id")
 CUSTOMER_NATION = (
@@ -376,11 +354,11 @@ def upsert_with_deletes(spark, d):
     return merge.upserted(base, delta, "o_orderkey", gone)
 
 
-@query("""SELECT DISTINCT ingestiondt FROM (SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS ingestiondt FROM orders WHERE o_orderkey % 2000 = 7
-UNION ALL SELECT '2030-01-01' FROM orders WHERE o_orderkey % 2000 = 7)""")
+@query("""SELECT DISTINCT ingestiondt FROM (SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS ingestiondt FROM orders WHERE o_orderkey % 5 = 2
+UNION ALL SELECT '2030-01-01' FROM orders WHERE o_orderkey % 5 = 2)""")
 def upsert_touched_partitions(spark, d):
     base = t(spark, d, "orders").select("o_orderkey", stamp.month_of(F.col("o_orderdate")).alias("ingestiondt"))
-    return merge.touched_partitions(base, base.where("o_orderkey % 2000 = 7").withColumn("ingestiondt", F.lit("2030-01-01")), "o_orderkey", "ingestiondt")
+    return merge.touched_partitions(base, base.where("o_orderkey % 5 = 2").withColumn("ingestiondt", F.lit("2030-01-01")), "o_orderkey", "ingestiondt")
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, batch, l_quantity FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY batch DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC) AS n
@@ -572,7 +550,6 @@ def stream_audit_parity(spark, d):
 
 # --- reconciliation --------------------------------------------------------------------------------------------------
 
-AS_OF = "1996-06-14 23:59:59.999"
 DEC = lambda c: f"CAST({c} AS DECIMAL(20,2))"
 ONE = lambda entity, value, rest: f"SELECT '{entity}' AS auditentity, CAST({value} AS DOUBLE) AS value FROM {rest}"
 DISTINCT_SQL = ONE("ORDERS_OPEN", "count(DISTINCT o_custkey)", f"orders WHERE o_orderdate <= TIMESTAMP '{AS_OF}' AND o_orderstatus = 'O'")
@@ -705,11 +682,11 @@ def sink_dynamic_overwrite(spark, d):
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice")
 
 
-@query(f"SELECT o_orderkey, CASE WHEN o_orderkey % 2000 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM ({LAKE_SQL}) WHERE o_orderkey % 2000 <> 8")
+@query(f"SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 2 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM ({LAKE_SQL}) WHERE o_orderkey % 5 <> 3")
 def sink_upsert(spark, d):
     path, rows = lake_path(spark, d), lake_orders(spark, d)
-    delta = rows.where("o_orderkey % 2000 = 7").withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    sinks.upsert_partitions(spark, path, delta, "o_orderkey", "ingestiondt", deleted=rows.where("o_orderkey % 2000 = 8"))
+    delta = rows.where("o_orderkey % 5 = 2").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    sinks.upsert_partitions(spark, path, delta, "o_orderkey", "ingestiondt", deleted=rows.where("o_orderkey % 5 = 3"))
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice")
 
 
@@ -722,6 +699,18 @@ def sink_upsert_emptied(spark, d):
     return spark.read.parquet(path).select("o_orderkey", F.col("ingestiondt").cast("string").alias("ingestiondt"))
 
 
+@query(f"""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 2 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, ingestiondt FROM ({LAKE_SQL}) WHERE o_orderkey % 5 <> 3
+UNION ALL SELECT o_orderkey + 10000000, o_totalprice, ingestiondt FROM ({LAKE_SQL}) WHERE o_orderkey % 5 = 4""")
+def sink_upsert_files(spark, d):
+    """Changed, deleted and new keys in a table with versions; the month before the last version is still there to read."""
+    rows = lake_orders(spark, d)
+    made = VersionedTable(spark, sinks.scratch(spark), "o_orderkey", ("ingestiondt",))
+    made.overwrite(rows)
+    delta = rows.where("o_orderkey % 5 = 2").withColumn("o_totalprice", F.col("o_totalprice") + 1).unionByName(rows.where("o_orderkey % 5 = 4").withColumn("o_orderkey", F.col("o_orderkey") + 10_000_000))
+    made.upsert(delta, rows.where("o_orderkey % 5 = 3"))
+    return made.read().select("o_orderkey", "o_totalprice", F.col("ingestiondt").cast("string").alias("ingestiondt"))
+
+
 @query("SELECT count(*) AS sent, count(*) AS there FROM orders")
 def sink_count_check(spark, d):
     sent, there = sinks.counted_write(lake_orders(spark, d), sinks.scratch(spark), ["ingestiondt", "batch"], "overwrite")
@@ -931,27 +920,6 @@ def recon_claims(spark, d):
     return recon_suites.claim_metrics(claim, trans, item, at(AS_OF))
 
 
-@query(" UNION ALL ".join([
-    ONE("TOTAL_BILL_INV_ITM_CNT", "count(DISTINCT l_orderkey)", f"lineitem WHERE l_shipdate <= TIMESTAMP '{AS_OF}'"), ONE("TOTAL_BILL_INV_ITM_AMT", f"coalesce(sum({DEC('l_extendedprice')}), 0)", f"lineitem WHERE l_shipdate <= TIMESTAMP '{AS_OF}'"),
-    ONE("TOTAL_BILL_WO_CNT", "count(DISTINCT o_orderkey)", f"orders WHERE o_orderdate <= TIMESTAMP '{AS_OF}'"), ONE("TOTAL_REVERSED_AMT", f"coalesce(sum({DEC("o_totalprice * 2")}), 0)", f"orders WHERE o_orderdate <= TIMESTAMP '{AS_OF}'"), SUM_SQL.replace("ORDERS_TOTAL", "TOTAL_WO_AMT"),
-    SUM_SQL.replace("ORDERS_TOTAL", "TOTAL_DISB_AMT"),
-]))
-def recon_billing_totals(spark, d):
-    o = t(spark, d, "orders").select(F.col("o_orderkey").alias("publicid"), F.col("o_totalprice").alias("amount"), (F.col("o_totalprice") * 2).alias("reversedamount"), F.col("o_orderdate").alias("createtime"))
-    l = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("publicid"), F.col("l_extendedprice").alias("amount"), F.col("l_shipdate").alias("createtime"))
-    return recon_suites.billing_totals({"invoiceitem": l, "writeoff": o, "disbursement": o}, at(AS_OF))
-
-
-PERIOD = lambda p, kind, k, since: ONE(f"{p}_BILL_{kind}_TRANS_AMT", f"coalesce(sum({DEC('o_totalprice')}), 0)", f"orders WHERE o_orderdate <= TIMESTAMP '{AS_OF}' AND o_orderdate >= TIMESTAMP '{since}' AND o_orderkey % 8 = {k}")
-
-
-@query(" UNION ALL ".join(PERIOD(p, kind, k, since) for k, kind in enumerate(recon_suites.BILLING_PERIODS) for p, since in (("MTD", "1996-06-01"), ("YTD", "1996-01-01"))))
-def recon_billing_periods(spark, d):
-    o = t(spark, d, "orders")
-    contexts = {kind: o.where(F.col("o_orderkey") % 8 == k).select(F.col("o_orderkey").alias("transactionid")) for k, kind in enumerate(recon_suites.BILLING_PERIODS)}
-    return recon_suites.billing_periods(contexts, o.select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount"), F.col("o_orderdate").alias("transactiondate")), at(AS_OF))
-
-
 # --- whole documents -------------------------------------------------------------------------------------------------
 
 

@@ -1,4 +1,4 @@
-"""The reconciliation metrics of policy, claim and billing systems, as suites over their tables.
+"""The reconciliation metrics of policy and claim systems, as suites over their tables.
 
 Each suite returns auditentity, value and can be given for source and lake alike; recon.reconciled() compares them.
 Tables are joined once for all metrics that share them, and all metrics of a join come from one scan of it.
@@ -95,49 +95,3 @@ def claim_metrics(claim: DataFrame, transaction: DataFrame, line_item: DataFrame
     losses = line_item.where(F.col("createtime") < as_of).join(when, "transactionid").where(F.col("lossdate") < as_of)
     sums = recon.metrics(losses, [Metric(f"{kind}_LOSSAMT", how, "transactionamount", "lossdate") for kind, how in (("MTD", "mtd"), ("YTD", "ytd"), ("ALL", "sum"))], as_of)
     return counts.unionByName(sums)
-
-
-@dataclass(frozen=True)
-class BillingTotal:
-    """TOTAL_<name>_CNT and sums of a billing table: amounts are (entity, column); at is the table's own time."""
-
-    table: str
-    count: str | None
-    amounts: tuple[tuple[str, str], ...]
-    where: str = "true"
-    at: str = "createtime"
-
-
-#: The totals of a billing system.
-BILLING_TOTALS = (
-    BillingTotal("invoiceitem", "TOTAL_BILL_INV_ITM_CNT", (("TOTAL_BILL_INV_ITM_AMT", "amount"),)),
-    BillingTotal("charge", "TOTAL_BILL_CHRG_CNT", (("TOTAL_BILL_CHRG_AMT", "amount"),)),
-    BillingTotal("basedistitem", "TOTAL_BILL_DIST_ITM_CNT", (("TOTAL_GROSS_APPLY_AMT", "grossamounttoapply"), ("TOTAL_COMM_APPLY_AMT", "commissionamounttoapply"))),
-    BillingTotal("basedist", "TOTAL_BILL_DIST_CNT", (("TOTAL_BILL_DIST_WO_AMT", "writeoffamount"),)),
-    BillingTotal("writeoff", "TOTAL_BILL_WO_CNT", (("TOTAL_REVERSED_AMT", "reversedamount"), ("TOTAL_WO_AMT", "amount"))),
-    BillingTotal("negativewriteoff", "TOTAL_BILL_NWO_CNT", (("TOTAL_NWO_AMT", "amount"),)),
-    BillingTotal("disbursement", None, (("TOTAL_DISB_AMT", "amount"),)),
-    BillingTotal("fundstransfer", None, (("TOTAL_FUND_TRANFR_AMT", "amount"),)),
-    BillingTotal("nonreceivabledistitem", "TOTAL_BILL_NONRECV_DIST_ITM_CNT", (("TOTAL_GROSS_NONRECV_APPLY_AMT", "grossamounttoapply"), ("TOTAL_COMM_NONRECV_APPLY_AMT", "commissionamounttoapply"))),
-)
-#: The kinds of transactions with a month's and a year's amount, each by its context table.
-BILLING_PERIODS = ("CHRG", "PROD", "ACCT", "DBMR", "SUSPYMT", "TRANSFR", "NONRECV", "CREDIT")
-
-
-def billing_totals(tables: dict[str, DataFrame], as_of: Column, totals: Sequence[BillingTotal] = BILLING_TOTALS) -> DataFrame:
-    """The totals of those tables that are given, each table scanned once; publicid tells distinct rows."""
-    found = []
-    for x in totals:
-        if x.table in tables:
-            wanted = [Metric(x.count, "distinct", "publicid", x.at, x.where)] if x.count else []
-            found.append(recon.metrics(tables[x.table], [*wanted, *(Metric(e, "sum", c, x.at, x.where) for e, c in x.amounts)], as_of))
-    return recon.together(found)
-
-
-def billing_periods(contexts: dict[str, DataFrame], transaction: DataFrame, as_of: Column) -> DataFrame:
-    """MTD_BILL_<kind>_TRANS_AMT and YTD_BILL_<kind>_TRANS_AMT of context tables(transactionid), by kind, joined to
-    transaction(id, amount, transactiondate). All kinds share one join and one scan of the transactions."""
-    links = recon.together([df.select(F.lit(kind).alias("kind"), F.col("transactionid").alias("id")) for kind, df in sorted(contexts.items())])
-    rows = links.join(transaction.select("id", "amount", "transactiondate"), "id")
-    pairs = [Metric(f"{p.upper()}_BILL_{kind}_TRANS_AMT", p, "amount", "transactiondate", f"kind = '{kind}'") for kind in sorted(contexts) for p in ("mtd", "ytd")]
-    return recon.metrics(rows, pairs, as_of)

@@ -71,29 +71,42 @@ def write_with_retry(write: Callable[[], tuple[int, int]], retries: int = 1) ->
 
 def upsert_partitions(spark: SparkSession, path: str, delta: DataFrame, key: str, partition: str, *, deleted: DataFrame | None = None) -> None:
     """Upsert into a partitioned Parquet table: only partitions that hold a touched key are read whole and written
-    again, through a copy beside the table, then replaced as partitions; those that are left without a row go."""
+    again, beside the table, and then moved into it; those that are left without a row go. The keys are looked for in a scan
+    of key and partition alone; the partitions' names are all that reaches the driver. Each partition is replaced at once,
+    the table isn't: where all of it must change together, use versioned.VersionedTable."""
     from lakeforge.operators.merge import touched_partitions, upserted
 
     base = spark.read.parquet(path)
     gone = delta.select(key, partition) if deleted is None else delta.select(key, partition).unionByName(base.join(deleted.select(key), key, "left_semi").select(key, partition))
-    touched = touched_partitions(base, gone, key, partition).where(F.col(partition).isNotNull())
-    new = upserted(base.join(touched, partition, "left_semi"), delta, key, deleted)
+    touched = [r[0] for r in touched_partitions(base.select(key, partition), gone, key, partition).collect()]
+    name = F.col(partition)
+    held = name.isin([x for x in touched if x is not None]) | name.isNull() if None in touched else name.isin(touched)
     aside = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
-    write_partitioned(new, aside, [partition], "overwrite")
-    replace_partitions(spark, path, aside, partition, touched, base)
-
-
-def replace_partitions(spark: SparkSession, path: str, aside: str, partition: str, touched: DataFrame, like: DataFrame) -> None:
-    """The partitions of the copy take the place of the table's; of the touched ones, those that the copy lacks go."""
-    copy = spark.read.schema(like.schema).parquet(aside)
-    emptied = touched.select(partition).distinct().join(copy.select(partition).distinct(), partition, "left_anti").select(F.col(partition).cast("string")).collect()
-    write_partitioned(copy, path, [partition], "overwrite", dynamic=True)
-    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    for r in emptied:
-        remove(spark, f"{path.rstrip('/')}/{names.getPartitionPathString(partition, r[0])}")
+    new = upserted(base.where(held), delta, key, deleted)
+    write_partitioned(new.repartition(partition, F.pmod(F.xxhash64(key), F.lit(8))), aside, [partition], "overwrite")
+    move_partitions(spark, path, aside, partition, touched)
+
+
+def move_partitions(spark: SparkSession, path: str, aside: str, partition: str, touched: Iterable) -> None:
+    """The copy's partitions take the place of the table's, by renames; of the touched ones, those that it lacks go."""
+    fs, there = filesystem(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    names = {folder(partition, None if x is None else str(x)) for x in touched}
+    new = {s.getPath().getName() for s in fs.listStatus(hadoop(aside)) if s.isDirectory()}
+    for name in sorted(names | new):
+        to = hadoop(there, name)
+        fs.delete(to, True)
+        if name in new and not fs.rename(hadoop(hadoop(aside), name), to):
+            raise OSError(f"can't move {name} into {path}")
     remove(spark, aside)
 
 
+def append_recon(metrics: DataFrame, path: str) -> None:
+    """Compared metrics, added to those of earlier runs by system (source_system_cd), in one file for each."""
+    write_partitioned(metrics.repartition("source_system_cd"), path, ["source_system_cd"], "append")
+
+
 def filesystem(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
@@ -200,7 +213,7 @@ def publish_lists(spark: SparkSession, path: str, new: DataFrame) -> None:
         changed = changed_lists(new, old).select("typelistname").union(changed_lists(old, new).select("typelistname")).distinct()
         aside = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
         write_partitioned(new.join(changed, "typelistname", "left_semi"), aside, ["typelistname"], "overwrite")
-        replace_partitions(spark, path, aside, "typelistname", changed, new)
+        move_partitions(spark, path, aside, "typelistname", [r[0] for r in changed.collect()])
     else:
         write_partitioned(new, path, ["typelistname"], "overwrite")
 
