@@ -400,6 +400,20 @@ def missing_rows(spark, d):
     return recon.missing_keys(t(spark, d, "orders"), t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"], F.col("o_orderkey") <= t(spark, d, "lineitem").agg(F.max("l_orderkey")).first()[0])
 
 
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey <= (SELECT max(l_orderkey) FROM lineitem) EXCEPT SELECT l_orderkey FROM lineitem")
+def missing_rows_by_checksum(spark, d):
+    """missing_rows, by ranges whose checksums differ; the lake has each key once, as source and lake mostly agree."""
+    lake = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    return recon.missing_by_checksum(t(spark, d, "orders"), lake, ["o_orderkey"], F.col("o_orderkey") <= lake.agg(F.max("o_orderkey")).first()[0])
+
+
+@query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderkey % 997 = 0")
+def missing_stale_rows_by_checksum(spark, d):
+    orders = t(spark, d, "orders")
+    lake = orders.withColumn("o_orderdate", F.when(F.col("o_orderkey") % 997 == 0, F.col("o_orderdate") - F.expr("INTERVAL 1 DAY")).otherwise(F.col("o_orderdate")))
+    return recon.missing_by_checksum(orders, lake, ["o_orderkey", "o_orderdate"], leaf=100)
+
+
 @query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderkey % 9 = 0")
 def missing_stale_rows(spark, d):
     orders = t(spark, d, "orders")
