@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeforge.spec import TableSpec
 
@@ -56,8 +57,23 @@ def deletes_only(df: DataFrame, operation: str = "__$operation") -> DataFrame:
     return df.where(F.col(f"`{operation}`") == 1)
 
 
+def literal(when: datetime, kind: T.DataType) -> Column:
+    """An instant as a literal of a column's type, so that a scan gets a comparison with it as a filter."""
+    text = F.lit(when.isoformat(sep=" ", timespec="microseconds"))
+    return text.cast("timestamp_ntz") if isinstance(kind, T.TimestampNTZType) else F.lit(when).cast(kind)
+
+
+def kind_of(df: DataFrame, c: Column) -> T.DataType:
+    return df.select(c.alias("c")).schema["c"].dataType
+
+
 def bounds(df: DataFrame, c: Column) -> DataFrame:
-    """One row low, high of the CDC expression; sentinels don't count."""
+    """One row low, high of the CDC expression; sentinels don't count. Of a plain column of instants they are left out by a
+    filter that the scan gets."""
+    kind = kind_of(df, c)
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+        rows = df.where(c < literal(datetime(9999, 1, 1), kind))
+        return rows.agg(F.min(c).alias("low"), F.max(c).alias("high"))
     return df.agg(F.min(without_sentinel(c)).alias("low"), F.max(without_sentinel(c)).alias("high"))
 
 
@@ -98,9 +114,11 @@ def cut_off_column(low: Column, high: Column, clock: datetime, rule: CutOff = Cu
 
 
 def up_to(df: DataFrame, c: Column, limits: DataFrame, clock: datetime, rule: CutOff = CutOff()) -> DataFrame:
-    """Rows up to the cut-off of limits(low, high), a table of one row."""
-    end = limits.select(cut_off_column(F.col("low"), F.col("high"), clock, rule).alias("__end"))
-    return df.join(F.broadcast(end), c <= F.col("__end")).drop("__end")
+    """Rows up to the cut-off of limits(low, high), a table of one row. It is fetched first: as a literal, the cut-off is a
+    filter of the scan, beside the window's start, so that row groups outside aren't read."""
+    ends = limits.first()
+    end = cut_off(ends["low"], ends["high"], clock, rule)
+    return df.where(F.lit(False)) if end is None else df.where(c <= literal(end, kind_of(df, c)))
 
 
 def source_clock(replication: DataFrame, column: str, lag_minutes: int) -> DataFrame:

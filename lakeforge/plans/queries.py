@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeforge.functions import xml_flatten
 from lakeforge.operators import audit, cdc, lookup, merge, pii, recon, reserve, schema, stamp
-from lakeforge.plans import billing_queries, ingest, recon_suites  # noqa: F401
+from lakeforge.plans import billing_queries, ingest, recon_suites, stream_queries  # noqa: F401
 from lakeforge.plans.base import AS_OF, ORACLES, QUERIES, at, query, t  # noqa: F401
 from lakeforge.sources import files, sinks
 from lakeforge.sources.versioned import VersionedTable
@@ -498,6 +498,11 @@ def audit_watermark(spark, d):
     return audit.watermarks(audit_rows(spark, d), "p1")
 
 
+@query(ORACLES["audit_watermark"])
+def stream_watermarks(spark, d):
+    return stream_queries.stream_watermarks_of(spark, audit_rows(spark, d).where("processname = 'p1'").drop("event_id"))
+
+
 @query(f"SELECT DISTINCT tablename FROM ({AUDIT_SQL}) WHERE loadstatus = 'failed' AND ingestiondt = '2024-01-09'")
 def audit_failed_tables(spark, d):
     return audit.failed_tables(audit_rows(spark, d))

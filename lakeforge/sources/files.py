@@ -11,6 +11,15 @@ def parquet_with_lineage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("source_file", F.col("_metadata.file_path"))
 
 
+def footer_bounds(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """One row low, high of a column of whole numbers or dates, from the files' footers alone: no row is read. It belongs to
+    a session of its own, in which Parquet is asked for that; the caller's settings stay."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).agg(F.min(column).alias("low"), F.max(column).alias("high"))
+
+
 def tsv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Tab-delimited rows without a header; malformed ones are dropped."""
     return spark.read.csv(path, schema=schema, sep="\t", header=False, mode="DROPMALFORMED")
