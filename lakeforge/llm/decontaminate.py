@@ -14,26 +14,35 @@ from pyspark.sql import functions as F
 from lakeforge.llm.common import cut, let
 
 #: Words that are units where a number comes before them.
-UNITS = "mm cm m km in ft mi mg g kg t oz lb ml l s sec second seconds min minute minutes h hour hours day days week weeks month months year years usd eur dollar dollars euro euros cent cents percent mph kmh kwh w kw v hz mb gb tb"
+UNITS = "mm cm m km in ft mi mg g kg t oz lb ml l s sec second seconds min minute minutes h hour hours day days week weeks month months year years usd eur dollar dollars euro euros cent cents percent mph kmh km/h m/s am pm kwh w kw v hz mb gb tb"
 #: Numbers in words; two of them with a hyphen are one, too.
 COUNTS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million"
 TENS, ONES = COUNTS.split()[20:28], COUNTS.split()[1:10]
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
+END = rf"(?=[.,;:!?)\"']*(?:{BLANK}|$))"
+CAPITALISED = rf"(?:^|{BLANK})(?:\p{{Lu}}{WORD}*{BLANK}+){{2}}\p{{Lu}}"  # three such words in a row
+
+
+def readings(text: Column) -> Column:
+    """The text, and where words in a row are capitalised, as in titles and capitals, its letters in lower case, too."""
+    return F.when(text.rlike(CAPITALISED), F.array(text, F.lower(text))).otherwise(F.array(text))
 
 
 def with_whole_names(text: Column) -> Column:
-    """The text with \\x01 for the blank between two capitalised words, so that a name of several words is one word."""
-    return F.regexp_replace(text, rf"\x20(?=\p{{Lu}}[\p{{L}}'-])(?<=(?:^|{BLANK})\p{{Lu}}[\p{{L}}'-]{{1,30}}\x20)", "\x01")
+    """The text with a blank between a number and a unit that follows it at once, and with \\x01 for the blank between two
+    capitalised words, so that a name of several words is one word."""
+    apart = F.regexp_replace(text, rf"\d(?=(?i:{'|'.join(UNITS.split())}){END})", "$0 ")
+    return F.regexp_replace(apart, rf"\x20(?=\p{{Lu}}[\p{{L}}'-])(?<=(?:^|{BLANK})\p{{Lu}}[\p{{L}}'-]{{1,30}}\x20)", "\x01")
 
 
 def canonical(text: Column) -> Column:
     """The words of a text with whole names in lower case without marks after them, names and numbers of digits replaced;
     one word stays one word. Patterns begin with the character they look for, as few places have it."""
-    end = rf"(?=[.,;:!?)\"']*(?:{BLANK}|$))"
-    out = F.regexp_replace(text, rf"\p{{Lu}}(?<!{WORD}.)[\p{{L}}\x01'-]*{end}", NAME)
-    out = F.regexp_replace(F.lower(out), rf"(?:\d|[-+$€£](?=\d))(?<!{WORD}.)\d*(?:[.,:/]\d+)*%?{end}", NUMBER)
+    unit = "|".join(f"(?<={u[0]}){u[1:]}" for u in UNITS.upper().split())  # after a number, these aren't names
+    out = F.regexp_replace(text, rf"\p{{Lu}}(?<!{WORD}.)(?!(?<=\d\x20.)(?:{unit}){END})[\p{{L}}\x01'-]*{END}", NAME)
+    out = F.regexp_replace(F.lower(out), rf"(?:\d|[-+$€£](?=\d))(?<!{WORD}.)\d*(?:[.,:/]\d+)*%?{END}", NUMBER)
     return F.regexp_replace(out, rf"[.,;:!?](?<=[\p{{L}}\p{{N}}>].)[.,;:!?]*(?={BLANK}|$)", "")
 
 
@@ -123,7 +132,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = 8, liter
     words came in or went, at offsets that differ by less than the item's length. Windows with fewer than `literal`
     words that aren't placeholders match by their values too; an item with fewer words is one window. reworded says that
     some value differs. A value of the item must stand for one value of the document; two of the item's values may stand
-    for one, as numbers may meet by chance. A capitalised word is a name wherever it stands, also at a sentence's start.
+    for one, as numbers may meet by chance. A capitalised word is a name wherever it stands, also at a sentence's start; where
+    three or more are in a row (titles, capitals) text and item are compared in lower case, too, in which nothing is a name.
+    A unit may follow its number at once.
 
     Null or empty texts hold and match nothing, nor do rows with a null id; rows that repeat give one pair; other columns
     are ignored; empty tables give no pairs. Texts are read whole, however long. Of alignments that hold an item, the one
@@ -133,34 +144,35 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = 8, liter
     those. Item windows (hashes, places and values of `width` words each) and the documents' ids are broadcast where there
     are at most broadcast_rows, else both sides are shuffled.
     """
-    items = with_values(benchmark.where("item_id is not null and text is not null").select("item_id", "text")).where(F.size("t") > 0).drop("text")
+    items = benchmark.where("item_id is not null and text is not null").select("item_id", F.col("text").rlike(CAPITALISED).alias("titled"), F.posexplode(F.array("text", F.lower("text"))).alias("item_reading", "text"))
+    items = with_values(items).where(F.size("t") > 0).drop("text")
     items = items.withColumn("size", F.least(F.size("t"), F.lit(width)))
     lengths = [r["size"] for r in items.select("size").distinct().collect()]  # width of them at most
-    known = None
+    own_item, known = ["item_id", "item_reading", "titled"], None
     for n in lengths:
-        own = items.where(F.col("size") == n).withColumn("x", F.explode(windows(n, literal))).select("item_id", "size", "x.*")
+        own = items.where(F.col("size") == n).withColumn("x", F.explode(windows(n, literal))).select(*own_item, "size", "x.*")
         known = own if known is None else known.union(own)
     if known is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_windows long, coverage double, reworded boolean")
-    total = known.groupBy("item_id").agg(F.count("*").alias("total"))
-    known = known.join(total, "item_id").select("h", "size", "item_id", F.col("at").alias("item_at"), F.col("v").alias("item_v"), "total")
+    total = known.groupBy("item_id", "item_reading").agg(F.count("*").alias("total"))
+    known = known.join(total, ["item_id", "item_reading"]).select("h", "size", *own_item, F.col("at").alias("item_at"), F.col("v").alias("item_v"), "total")
     if known.count() <= broadcast_rows:
         known = F.broadcast(known)
-    docs = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode_outer(readings(F.col("text"))).alias("reading", "text"))
     rows = with_values(suspects(docs, items, lengths, broadcast_rows)).drop("text")
     if len(lengths) == 1:
-        found = rows.select("doc_id", F.explode_outer(windows(lengths[0], literal)).alias("x")).select("doc_id", F.lit(lengths[0]).alias("size"), "x.*")
+        found = rows.select("doc_id", "reading", F.explode_outer(windows(lengths[0], literal)).alias("x")).select("doc_id", "reading", F.lit(lengths[0]).alias("size"), "x.*")
     else:
-        found = rows.select("doc_id", F.explode_outer(F.concat(*(sized_windows(n, literal) for n in lengths))).alias("x")).select("doc_id", "x.*")
+        found = rows.select("doc_id", "reading", F.explode_outer(F.concat(*(sized_windows(n, literal) for n in lengths))).alias("x")).select("doc_id", "reading", "x.*")
     pairs = F.arrays_zip(F.split(F.coalesce("item_v", F.lit("")), " ").alias("a"), F.split(F.coalesce("v", F.lit("")), " ").alias("b"))
     hit = F.struct("item_at", (-F.col("at")).alias("back"), F.filter(pairs, lambda x: F.coalesce(x["a"], F.lit("")) != "").alias("p"))
-    hits = found.join(known, ["h", "size"]).select("doc_id", "item_id", "total", (F.col("at") - F.col("item_at")).alias("shift"), (F.col("total") + F.col("size")).alias("span"), hit.alias("hit"))
+    hits = found.join(known, ["h", "size"]).where("reading = item_reading OR titled").select("doc_id", "reading", "item_id", "item_reading", "total", (F.col("at") - F.col("item_at")).alias("shift"), (F.col("total") + F.col("size")).alias("span"), hit.alias("hit"))
 
     # alignments: each offset, and offsets in ranges of twice the item's length that overlap by half; the latter hold an
     # item with words put in or left out, the former whole copies that lie side by side with other values
     near = F.floor(F.col("shift") / F.col("span"))
     ways = F.array(*(F.struct(F.lit(one).alias("one"), x.cast("long").alias("way")) for one, x in ((True, F.col("shift")), (False, near), (False, near - 1))))
-    held = hits.withColumn("x", F.explode(ways)).groupBy("doc_id", "item_id", "x").agg(F.collect_set("hit").alias("hits"), F.max("total").alias("total"))
+    held = hits.withColumn("x", F.explode(ways)).groupBy("doc_id", "reading", "item_id", "item_reading", "x").agg(F.collect_set("hit").alias("hits"), F.max("total").alias("total"))
     held = held.where(F.size(F.array_distinct("hits.item_at")) >= F.col("total") * coverage)
     held = held.withColumn("hits", consistent(F.col("hits"))).where(F.size("hits") >= F.col("total") * coverage)
     # the longest run of windows in the order of both: last places of runs of 1, 2, ... windows, the least possible each

@@ -142,6 +142,7 @@ END = rf"""(?=[.,;:!?)"']*(?:{BLANKS}|$))"""
 
 def template(t, units, counts):
     """Template words and, where one stands for a value, the value (else "")."""
+    t = regex.sub(rf"[0-9](?=(?i:{units}){END})", lambda m: m[0] + " ", t)
     own, at, spelt = WORD.findall(t), 0, []
     name = regex.compile(r"\p{Lu}[\p{L}'-]+")
     while at < len(own):  # names of several words, a single blank between them
@@ -152,9 +153,10 @@ def template(t, units, counts):
         at = last + 1
     out, before = [], ""
     tail = r"""[.,;:!?)"']*"""
-    for w in spelt:
+    for k, w in enumerate(spelt):
         kind = ""
-        if regex.fullmatch(r"\p{Lu}[\p{L}\x01'-]*" + tail, w):
+        counted = k > 0 and regex.search(r"[0-9]$", spelt[k - 1]) and f"{spelt[k - 1]} {w}" in t and regex.fullmatch(f"(?:{units.upper()})" + tail, w)
+        if not counted and regex.fullmatch(r"\p{Lu}[\p{L}\x01'-]*" + tail, w):
             kind = "<name>"
         elif regex.fullmatch(r"[-+$€£]?[0-9]+(?:[.,:/][0-9]+)*%?" + tail, w.lower()):
             kind = "<num>"
@@ -180,13 +182,15 @@ def held_items(docs, items, units, counts, width=8, literal=4, coverage=0.5):
             yield at, (tuple(w for w, _ in part), values if low else None), values
 
     out = {}
-    of = [(k, template(t, units, counts)) for k, t in items if k is not None and t and WORD.search(t)]
-    for i, text in docs:
-        if i is None or not text:
-            continue
+    titled = regex.compile(rf"(?:^|{BLANKS})(?:\p{{Lu}}[^\x20\x09-\x0D]*{BLANKS}+){{2}}\p{{Lu}}")
+    of = [(k, n, bool(titled.search(t)), template(x, units, counts)) for k, t in items if k is not None and t and WORD.search(t) for n, x in enumerate((t, t.lower()))]
+    readings = [(i, n, x) for i, text in docs if i is not None and text for n, x in enumerate([text, text.lower()] if titled.search(text) else [text])]
+    for i, reading, text in readings:
         mine = template(text, units, counts)
         by_size = {}
-        for k, t in of:
+        for k, item_reading, caps, t in of:
+            if reading != item_reading and not caps:
+                continue
             size = min(len(t), width)
             if size not in by_size:
                 by_size[size] = defaultdict(list)

@@ -271,6 +271,22 @@ def test_decontamination_of_reparameterised_items(spark):
     assert {(1, 1), (2, 1), (3, 1)} <= {x[:2] for x in out}
 
 
+def test_decontamination_of_attached_units_and_capitals(spark):
+    """Units that follow numbers at once, with other values; verbatim copies in capitals and as titles, and such items."""
+    text = "A train leaves the station at 5pm and travels 80km north before it turns back, and at 9pm it is there again."
+    other = text.replace("5pm", "6pm").replace("80km", "120km").replace("9pm", "11pm")
+    spaced = text.replace("5pm", "6 PM").replace("80km", "120 km").replace("9pm", "11 PM")
+    titled = "How Long Does Anna Need To Paint Four Walls Of Her House In Lyon"
+    docs = [(1, text), (2, other), (3, "so it goes " * 9 + text.upper() + " the end"), (4, text.title()), (5, "x " + spaced), (6, other.upper()), (7, "it is said that " + titled.lower()), (8, titled), (9, titled.upper())]
+    docs += [(10, "A Train Leaves Every Town At 5pm And Some Other Words Follow Here That No Item Has"), (11, text.replace("80km", "80xkm").replace("leaves", "left").replace("turns", "turned").replace("again", "now").replace("north", "south"))]
+    items = [(1, text), (2, titled), (3, "WHO WROTE HAMLET?")]
+    docs += [(12, "nobody asked who wrote hamlet? at all"), (13, "Who Wrote Hamlet?")]
+    out = found_pairs(decontaminate.contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")))
+    assert out == plainly_held(docs, items)
+    assert {x[:2] for x in out} == {(k, 1) for k in range(1, 7)} | {(k, 2) for k in (7, 8, 9)} | {(12, 3), (13, 3)}
+    assert {x[0]: x[4] for x in out} == {k: k in (2, 5, 6) for k in (*range(1, 10), 12, 13)}
+
+
 def test_decontamination_by_plain_loops(spark, small):
     items = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
     r = random.Random(12)
