@@ -1,12 +1,16 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-Words are runs without white space, except that letters of scripts that are written without blanks stand alone and longer
-runs are cut every LONGEST characters. Every run of k words has a rolling hash: the words' hashes, each rotated by one
-bit more than the one after it, put together by exclusive or. Of each `window` runs in a row the least hash is kept, the
+Words are runs without white space, except that letters of scripts that are written without blanks stand alone, as do all
+characters of runs of over LONGEST characters (minified code, base64, long names), so that no cut depends on where a run
+starts. Every run of k words has a cyclic polynomial hash: the words' hashes, each rotated by one bit more than the one
+after it, put together by exclusive or. It is built from the hashes of shorter runs, of 4 from two of 2 and of 5 from one
+of 4 and a word, so each takes log2(k) steps and not k. Of each `window` runs in a row the least hash is kept, the
 rightmost of equal ones, with its place. Two texts that share k + window - 1 words in a row share a fingerprint.
 """
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,15 +25,26 @@ PLACE_BITS = 30  # an array has fewer than 2^31 / 2 words, so a place fits
 def words(text: Column) -> Column:
     """The text's words; a plain split unless some part needs more."""
     alone = "".join(rf"\p{{Is{x}}}" for x in UNSPACED.split())
-    more = rf"[{alone}]|[^\x20\x09-\x0D]{{{LONGEST}}}"
-    spaced = F.when(text.rlike(more), F.regexp_replace(text, rf"([{alone}])|([^\x20\x09-\x0D{alone}]{{1,{LONGEST}}})", "$1$2 ")).otherwise(text)
-    return F.array_remove(F.split(spaced, r"[\x20\x09-\x0D]+", -1), "")
+    spaced = F.when(text.rlike(f"[{alone}]"), F.regexp_replace(text, f"([{alone}])", " $1 ")).otherwise(text)
+    plain = lambda x: F.array_remove(F.split(x, r"[\x20\x09-\x0D]+", -1), "")
+    apart = lambda x: F.flatten(F.transform(plain(x), lambda w: F.when(F.length(w) > LONGEST, F.array_remove(F.split(w, ""), "")).otherwise(F.array(w))))
+    return F.when(text.rlike(rf"[^\x20\x09-\x0D]{{{LONGEST + 1}}}"), apart(spaced)).otherwise(plain(spaced))
 
 
 def rotated(x: Column, bits: int) -> Column:
     return F.shiftleft(x, bits).bitwiseOR(F.shiftrightunsigned(x, 64 - bits)) if bits else x
 
 
+def runs_of(k: int, hashed: Column) -> Column:
+    """The hashes of all runs of k words, from those of runs of half as many, or of one word less and the last word."""
+    if k == 1:
+        return hashed
+    half = k // 2 if k % 2 == 0 else k - 1
+    count = lambda x: F.greatest(F.size(x) - (k - half), F.lit(0))
+    other = lambda x: F.slice(x if k % 2 == 0 else hashed, half + 1, count(x))
+    return let(runs_of(half, hashed), lambda x: F.zip_with(F.slice(x, F.lit(1), count(x)), other(x), lambda y, z: rotated(y, k - half).bitwiseXOR(z)))
+
+
 def with_winnowed(df: DataFrame, text: str, out: str, k: int, window: int) -> DataFrame:
     """Adds array<struct<h: long, at: int>> `out`: the runs that winnowing keeps of column `text`, in order, with the
     place of their first words from 0; empty without words.
@@ -38,16 +53,8 @@ def with_winnowed(df: DataFrame, text: str, out: str, k: int, window: int) -> Da
     texts are of any length that a column holds. Fewer than k words are one run, fewer runs than `window` one window."""
     hashed, runs, kept = f"{out}__hashed", f"{out}__runs", f"{out}__kept"
     n = F.size(hashed)
-    word = lambda i, j: F.element_at(hashed, (i + j).cast("int"))
-
-    def rolling(i: Column) -> Column:
-        x = rotated(word(i, F.lit(0)), k - 1)
-        for j in range(1, k):
-            x = x.bitwiseXOR(rotated(word(i, F.lit(j)), k - 1 - j))
-        return x
-
     short = F.aggregate(hashed, F.lit(0).cast("long"), lambda x, w: rotated(x, 1).bitwiseXOR(w))
-    all_runs = F.when(n >= k, F.transform(F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))), rolling)).when(n > 0, F.array(short)).otherwise(F.array().cast("array<long>"))
+    all_runs = F.when(n >= k, runs_of(k, F.col(hashed))).when(n > 0, F.array(short)).otherwise(F.array().cast("array<long>"))
     last = (1 << PLACE_BITS) - 1
     packed = F.transform(runs, lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 1 + PLACE_BITS), PLACE_BITS).bitwiseOR(F.lit(last) - i))
     df = df.withColumn(hashed, F.transform(words(F.col(text)), lambda w: F.xxhash64(w))).withColumn(runs, all_runs)
@@ -78,16 +85,17 @@ def neighbours(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text) dealt to ranges of doc_id, each row with its range (`bucket`) and `ghost`: a copy that the
     range above gets as its last row's next document (the whole order's first row is the last one's).
 
-    Each range ends with a doc_id that exists, from approximate percentiles, so only those rows are copied. There are as
-    many ranges as shuffle partitions, and more where the texts' bytes ask for them."""
+    Each range ends with a doc_id that exists, the greatest of a range that Spark sampled, so only those rows are copied.
+    There are as many ranges as shuffle partitions, and more where the texts' bytes ask for them; their ends (8 bytes each)
+    reach the driver and are two literals of the plan."""
     n = parts(docs, text_size(docs)[1])
-    at = [k / n for k in range(1, n + 1)]
     known = docs.where("doc_id is not null")
-    ends = sorted(set(known.agg(F.percentile_approx("doc_id", at, min(100 * n, 1_000_000)).alias("b")).first()["b"] or []))
+    sampled = known.select("doc_id").repartitionByRange(n, "doc_id").groupBy(F.spark_partition_id()).agg(F.max("doc_id").alias("b"))
+    ends = sorted({r["b"] for r in sampled.collect()})
     # two levels of bounds, so that a row is compared with about 2 * sqrt(n) of them
     step = max(1, round(len(ends) ** 0.5))
-    fine = F.array(*(F.array(*map(F.lit, ends[i : i + step])) for i in range(0, len(ends), step)))
-    coarse = F.array(*(F.lit(x) for x in ends[step - 1 :: step][: (len(ends) - 1) // step]))
+    fine = F.from_json(F.lit(json.dumps([ends[i : i + step] for i in range(0, len(ends), step)])), "array<array<long>>")
+    coarse = F.from_json(F.lit(json.dumps(ends[step - 1 :: step][: (len(ends) - 1) // step])), "array<long>")
     below = lambda bounds: F.size(F.filter(bounds, lambda b: b < F.col("doc_id")))
     if not ends:
         return known.withColumns({"bucket": F.lit(0), "ghost": F.lit(False)})

@@ -92,10 +92,11 @@ ALONE = "\u4e00-\u9fff\u3040-\u30ff\u0e00-\u0e7f"  # of the scripts written with
 
 
 def pieces(t):
-    """Words; where a text has a letter that stands alone or a longer run, those are cut."""
-    if re.search(f"[{ALONE}]|[^\\x20\\x09-\\x0D]{{32}}", t):
-        return re.findall(f"[{ALONE}]|[^\\x20\\x09-\\x0D{ALONE}]{{1,32}}", t)
-    return WORD.findall(t)
+    """Words; letters that stand alone and all characters of longer runs are words each."""
+    out = []
+    for w in re.findall(f"[{ALONE}]|[^\\x20\\x09-\\x0D{ALONE}]+", t):
+        out += list(w) if len(w) > 32 else [w]
+    return out
 
 
 def winnow(t, k=5, window=8):
@@ -115,7 +116,7 @@ def winnow(t, k=5, window=8):
     for j in range(max(len(g) - window + 1, 1)):
         part = [x >> 31 for x in g[j : j + window]]
         i = j + max(q for q, v in enumerate(part) if v == min(part))
-        if (g[i], i) not in out:
+        if not out or out[-1][1] != i:  # places only grow
             out.append((g[i], i))
     return out
 

@@ -524,6 +524,18 @@ def test_fingerprints(spark, docs, rows, small):
     assert fingerprints.fingerprint(docs).count() == len(rows)
 
 
+def test_fingerprints_query(spark, tmp_path):
+    """The whole query; and long runs without blanks, which one character in front changes hardly at all."""
+    r = random.Random(8)
+    runs = ["".join(r.choices(letters, k=8000)) for letters in ("01", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", "é😀日x")]
+    rows = [(10 * k + j, (front + run, run)[j]) for k, run in enumerate(runs) for j, front in enumerate(("7", ""))] + [(900, "x" * 8000), (899, "y" + "x" * 8000), (5000, None), (5001, "a b")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op10_document_fingerprints(spark, str(tmp_path)).withColumns({c: F.round(c, 9) for c in ("near_edited", "near_next")})
+    assert got(out, *NAMES10) == brute.multiset(brute.fingerprints(rows))
+    near = {x.doc_id: x.near_next for x in out.collect()}
+    assert all(near[10 * k + 1] > 0.9 for k in range(1, 4)) and near[1] > 0.9 and near[900] >= 0.5
+
+
 def test_shared_runs_share_a_fingerprint():
     r = random.Random(4)
     for _ in range(50):
