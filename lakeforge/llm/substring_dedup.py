@@ -16,9 +16,10 @@ What can't repeat is let go at once; the rest is streamed through suffix automat
   are added. Passages of an anchor that is frequent, but not in the reference, are dealt by longer grams.
 
 Dealt passages are spelt in 7-word grams, 40 bits of hash each, so that a window of 13 words is 7 letters in a row, one
-of them its anchor; they are shorter than words that way. Passages that are the same throughout are streamed once, in a
-slice of documents and in a shard. Spans go back to their documents. Beyond the map's size more passages are dealt,
-results stay the same.
+of them its anchor; they are shorter than words that way. Of passages that are the same throughout one is streamed, in a
+slice of documents and in a shard: once before its document's words are added, which answers for that document, and, where
+larger documents have it, once after, which answers for all of those. So that they are equal saves work; what goes is what
+an automaton matched. Spans go back to their documents. Beyond the map's size more passages are dealt, results stay the same.
 """
 from __future__ import annotations
 
@@ -127,7 +128,7 @@ class Automaton:
 class Reference:
     """Automata of the broadcast shards, and the frequent anchors."""
 
-    def __init__(self, anchors: np.ndarray, segments: list[tuple[int, list[bytes]]], width: int, shard: int = 1 << 14):
+    def __init__(self, anchors: np.ndarray, segments: list[tuple[int, list[bytes]]], width: int, automaton: type[Automaton], shard: int = 1 << 14):
         self.anchors, self.width, self.automata = np.sort(anchors), width, []
         held: list[tuple[int, list[int]]] = []
         size = 0
@@ -136,10 +137,10 @@ class Reference:
                 held.append((doc, np.frombuffer(words, np.uint64).tolist()))
                 size += len(held[-1][1])
             if size >= shard:
-                self.automata.append(Automaton(held, width))
+                self.automata.append(automaton(held, width))
                 held, size = [], 0
         if held:
-            self.automata.append(Automaton(held, width))
+            self.automata.append(automaton(held, width))
 
     def frequent(self, least: np.ndarray) -> np.ndarray:
         """Whether each window's anchor is among the frequent ones."""
@@ -273,9 +274,10 @@ def edges_of(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(edge)
 
 
-def passages(docs: DataFrame, deal: int, width: int, anchor: int, side: int, found: dict[int, bytes], reference: tuple) -> DataFrame:
+def passages(docs: DataFrame, deal: int, width: int, anchor: int, side: int, found: dict[int, bytes], reference: tuple, automaton: type[Automaton]) -> DataFrame:
     """Rows of dealt passages: t (what they are dealt by), d (doc_id), r (the row's text), s (first word's place), n (grams),
-    lo and hi (the grams). n below 0: -n grams that the reference, or a smaller document of the same slice, has."""
+    lo and hi (the grams). n below 0: -n grams that automata of the reference, or of smaller documents of the same slice, have
+    matched; those are dealt by document."""
     shared = docs.sparkSession.sparkContext.broadcast((found, reference))
     tag, longer = ("anchors", shared._jbroadcast.id()), (width + anchor + 1) // 2
 
@@ -284,7 +286,7 @@ def passages(docs: DataFrame, deal: int, width: int, anchor: int, side: int, fou
         out = np.zeros((deal, -(-side // 8)), np.uint8)
         for p, x in held.items():
             out[p] = np.frombuffer(zlib.decompress(x), np.uint8)
-        return out, Reference(*ref, width)
+        return out, Reference(*ref, width, automaton)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
         held, ref = once_per_worker(tag, made)
@@ -319,14 +321,28 @@ def passages(docs: DataFrame, deal: int, width: int, anchor: int, side: int, fou
             start, length = rest[begin], windows_in + width - anchor
             order = np.lexsort((ids[doc[start]], same))
             lead = np.concatenate(([True], same[order][1:] != same[order][:-1]))
-            smallest = np.empty(len(start), np.int64)
-            smallest[order] = ids[doc[start]][order][lead][np.cumsum(lead) - 1]
-            later = ids[doc[start]] > smallest
-            taken = np.where(later, 0, length)
-            ends = np.cumsum(taken)
-            places = np.arange(ends[-1]) + np.repeat(at[start] - (ends - taken), taken)
-            codes = grams[places] >> np.uint64(24)
-            yield {"t": key[start], "n": np.where(later, -length, length).astype("<i4"), "lo": codes.astype("<u4"), "hi": (codes >> np.uint64(32)).astype("u1")} | row(start)
+            leader = np.empty(len(start), np.int64)
+            leader[order] = order[lead][np.cumsum(lead) - 1]
+            later = ids[doc[start]] > ids[doc[start[leader]]]
+
+            def codes_of(which: np.ndarray) -> np.ndarray:
+                taken = length[which]
+                ends = np.cumsum(taken)
+                return grams[np.arange(ends[-1] if len(ends) else 0) + np.repeat(at[start[which]] - (ends - taken), taken)] >> np.uint64(24)
+
+            again = np.unique(leader[later])
+            again = again[np.argsort(ids[doc[start[again]]], kind="stable")]
+            told: dict[int, list[tuple[int, int]]] = {}
+            for k, a, b, after in streamed(ids[doc[start[again]]], length[again], codes_of(again), width - anchor + 1, np.ones(len(again), bool), automaton):
+                if after:
+                    told.setdefault(int(again[k]), []).append((a, b))
+            which = np.flatnonzero(later)
+            matched = np.array([(k, a, b) for k, of in zip(which.tolist(), leader[which].tolist()) for a, b in told.get(of, ())], np.int64).reshape(-1, 3).T
+            holder = row(start[matched[0]])
+            yield {"t": mix(holder["d"].view(np.uint64)), "n": (matched[1] - matched[2]).astype("<i4")} | holder | {"s": (holder["s"] + matched[1]).astype("<u4")} | none
+            asked = np.flatnonzero(~later)
+            codes = codes_of(asked)
+            yield {"t": key[start[asked]], "n": length[asked].astype("<i4"), "lo": codes.astype("<u4"), "hi": (codes >> np.uint64(32)).astype("u1")} | row(start[asked])
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return dealt_out(pieces(batches), deal, ("lo", "hi"))
@@ -334,43 +350,57 @@ def passages(docs: DataFrame, deal: int, width: int, anchor: int, side: int, fou
     return docs.mapInArrow(spread, "p int, t binary, n binary, d binary, r binary, s binary, lo binary, hi binary")
 
 
-def streamed(docs: np.ndarray, size: np.ndarray, codes: np.ndarray, width: int) -> list[tuple[int, int, int]]:
-    """(passage, start in it, end) of the maximal spans whose windows of `width` letters smaller documents have, of
-    passages in order of their documents; size: letters of each, which lie one after another in codes."""
-    automaton, out, new = Automaton([], width), [], []
+def maximal(matched: list[int], width: int) -> list[tuple[int, int]]:
+    """The maximal spans that windows of `width` letters cover, of matching statistics."""
+    out: list[tuple[int, int]] = []
+    for place, length in enumerate(matched):
+        if length >= width:
+            first = place - width + 1
+            if out and first <= out[-1][1]:
+                out[-1] = (out[-1][0], place + 1)
+            else:
+                out.append((first, place + 1))
+    return out
+
+
+def streamed(docs: np.ndarray, size: np.ndarray, codes: np.ndarray, width: int, again: np.ndarray, make: type[Automaton]) -> list[tuple[int, int, int, bool]]:
+    """(passage, start in it, end, after) of the maximal spans whose windows of `width` letters smaller documents have, of
+    passages in order of their documents; size: letters of each, which lie one after another in codes. after: those that
+    documents up to its own have, for passages that are asked for `again`, on behalf of larger documents with the same."""
+    automaton, out, new, waiting = make([], width), [], [], []
     ends, before = np.cumsum(size).tolist(), None
-    for k, (doc, n, end) in enumerate(zip(docs.tolist(), size.tolist(), ends)):
-        if doc != before:  # what a document adds counts for larger ones
-            for x in new:
-                automaton.add(x)
-            new, before = [], doc
+
+    def added() -> None:
+        """What a document adds counts for larger ones."""
+        for x in new:
+            automaton.add(x)
+        for k, words in waiting:
+            out.extend((k, a, b, True) for a, b in maximal(automaton.matched(words), width))
+
+    for k, (doc, n, end, more) in enumerate(zip(docs.tolist(), size.tolist(), ends, again.tolist())):
+        if doc != before:
+            added()
+            new, waiting, before = [], [], doc
         words = codes[end - n : end].tolist()
+        lengths = automaton.matched(words)
+        out.extend((k, a, b, False) for a, b in maximal(lengths, width))
         fresh = None  # where a run of new windows began
-        span = None
-        for place, length in enumerate(automaton.matched(words)):
-            if place < width - 1:
-                continue
-            first = place - width + 1
-            if length >= width:
-                if span and first <= span[1]:
-                    span = (span[0], place + 1)
-                else:
-                    if span:
-                        out.append((k, *span))
-                    span = (first, place + 1)
+        for place in range(width - 1, n):
+            if lengths[place] >= width:
                 if fresh is not None:
-                    new.append(words[fresh : place])
+                    new.append(words[fresh:place])
                     fresh = None
             elif fresh is None:
-                fresh = first
-        if span:
-            out.append((k, *span))
+                fresh = place - width + 1
         if fresh is not None:
             new.append(words[fresh:])
+        if more:
+            waiting.append((k, words))
+    added()
     return out
 
 
-def spans(dealt_rows: DataFrame, deal: int, width: int, anchor: int, shard_words: int) -> DataFrame:
+def spans(dealt_rows: DataFrame, deal: int, width: int, anchor: int, shard_words: int, automaton: type[Automaton]) -> DataFrame:
     """doc_id, r, spans (bytes: first place and end of each) of the words that go, from passages()."""
 
     def found(x: dict[str, np.ndarray]) -> Iterator[dict[str, np.ndarray]]:
@@ -390,25 +420,25 @@ def spans(dealt_rows: DataFrame, deal: int, width: int, anchor: int, shard_words
         lead = np.ones(len(asked), bool)
         lead[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
         leader = np.flatnonzero(lead)[np.cumsum(lead) - 1] if len(asked) else np.zeros(0, np.int64)
-        later = asked[d > d[leader]]
-        yield answer(later, x["s"][later], x["s"][later] + size[later])
+        # the last one has the largest document: does any larger one than the leader's have it?
+        last = np.concatenate((np.flatnonzero(lead)[1:], [len(asked)])) - 1 if len(asked) else np.zeros(0, np.int64)
+        more = dict(zip(asked[lead].tolist(), (d[last] > d[lead]).tolist()))
         # shards: anchors one after another, until their passages have so many words
         one = asked[lead]
         group = np.cumsum(size[one]) // shard_words
         key = x["t"][one]
         starts = np.concatenate(([True], key[1:] != key[:-1])) if len(one) else np.zeros(0, bool)
         group = group[np.flatnonzero(starts)[np.cumsum(starts) - 1]] if len(one) else group
-        spans_of: dict[int, list[tuple[int, int]]] = {}
+        spans_of: dict[tuple[int, bool], list[tuple[int, int]]] = {}
         for part in np.split(one, np.flatnonzero(np.diff(group)) + 1) if len(one) else ():
             part = part[np.argsort(x["d"][part], kind="stable")]
             own = size[part]
             ends = np.cumsum(own)
             words = codes[np.arange(ends[-1]) + np.repeat(begin[part] - (ends - own), own)]
-            for k, a, b in streamed(x["d"][part], own, words, width - anchor + 1):
-                spans_of.setdefault(int(part[k]), []).append((a, b))
-        # equal passages of the leader's own document get what the leader gets
-        own = np.flatnonzero(d == d[leader]) if len(asked) else np.zeros(0, np.int64)
-        got = [(k, a, b) for k, of in zip(asked[own].tolist(), asked[leader[own]].tolist()) for a, b in spans_of.get(of, ())]
+            for k, a, b, after in streamed(x["d"][part], own, words, width - anchor + 1, np.array([more[int(k)] for k in part]), automaton):
+                spans_of.setdefault((int(part[k]), after), []).append((a, b))
+        # all that have a passage get what its one stream through the automaton told
+        got = [(k, a, b) for k, of, after in zip(asked.tolist(), asked[leader].tolist(), (d > d[leader]).tolist()) for a, b in spans_of.get((of, after), ())]
         k, a, b = np.array(got, np.int64).reshape(-1, 3).T
         yield answer(k, x["s"][k] + a, x["s"][k] + b)
 
@@ -429,7 +459,7 @@ def spans(dealt_rows: DataFrame, deal: int, width: int, anchor: int, shard_words
     return met.select("p", "d", "r", "a", "b").repartitionById(deal, "p").mapInArrow(by_document, "doc_id long, r long, spans binary")
 
 
-def remove_repeats(docs: DataFrame, *, width: int = 13, bits: int | None = None, frequent: int = 8, anchors: int = 2048, reference_words: int = 1 << 15, shard_words: int = SHARD_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, width: int = 13, bits: int | None = None, frequent: int = 8, anchors: int = 2048, reference_words: int = 1 << 15, shard_words: int = SHARD_WORDS, automaton: type[Automaton] = Automaton) -> DataFrame:
     """doc_id, n_words, n_removed, kept (text) for every row of docs(doc_id, text, ...).
 
     Words are runs without white space, unchanged. A word goes if a window of `width` consecutive words covers it
@@ -441,7 +471,8 @@ def remove_repeats(docs: DataFrame, *, width: int = 13, bits: int | None = None,
 
     bits: size of the map of repeated anchors; by default 512 for each row, from 2^24 to 2^29 (64 MB). frequent,
     anchors, reference_words: how many documents an anchor of the broadcast reference has at least, and how many anchors
-    and words the reference has at most. shard_words: words of passages that one automaton is made for, about.
+    and words the reference has at most. shard_words: words of passages that one automaton is made for, about. automaton:
+    what is made for each shard; it alone decides what goes.
     """
     anchor = width // 2 + 1
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("r"))
@@ -452,7 +483,7 @@ def remove_repeats(docs: DataFrame, *, width: int = 13, bits: int | None = None,
         bits = 1 << min(29, max(24, int(512 * max(n, 1)).bit_length()))
     side, found, hot = repeated_anchors(known, deal, width, anchor, bits, frequent, anchors)
     segments = reference_segments(known, width, anchor, hot, reference_words) if len(hot) else []
-    repeats = spans(passages(known, deal, width, anchor, side, found, (hot, segments)), deal, width, anchor, shard_words)
+    repeats = spans(passages(known, deal, width, anchor, side, found, (hot, segments), automaton), deal, width, anchor, shard_words, automaton)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

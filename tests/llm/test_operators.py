@@ -310,6 +310,42 @@ def test_substring_dedup(docs, rows, how):
     assert got(out, "doc_id", "n_words", "n_removed", "sha") == brute.multiset(brute.repeats(rows))
 
 
+def test_substrings_go_by_the_automata_alone(docs, rows):
+    """Without the automata's answers nothing goes, however often a passage is repeated; each of the two ways decides."""
+
+    class Deaf(substring_dedup.Automaton):
+        def matched(self, words):
+            return [0] * len(words)
+
+        def least(self, words):
+            return [self.NONE] * max(len(words) - self.width + 1, 0)
+
+    assert sum(r.n_removed for r in substring_dedup.remove_repeats(docs).collect()) > 300
+    for how in ({}, {"frequent": 2}, {"reference_words": 0}):
+        out = substring_dedup.remove_repeats(docs, automaton=Deaf, **how).collect()
+        assert len(out) == len(rows) and all(r.n_removed == 0 for r in out)
+
+
+def test_streamed_passages():
+    """Spans of smaller documents, and of those up to the own one, against plain search."""
+    r = random.Random(7)
+    for _ in range(60):
+        docs = np.array(sorted(r.randrange(6) for _ in range(r.randrange(1, 8))))
+        texts = [[r.randrange(3) for _ in range(r.randrange(4, 20))] for _ in docs]
+        again = np.array([r.random() < 0.5 for _ in docs])
+        out = substring_dedup.streamed(docs, np.array([len(x) for x in texts]), np.array([w for x in texts for w in x], np.uint64), 4, again, substring_dedup.Automaton)
+
+        def covered(k, upto):
+            held = {tuple(x[i : i + 4]) for d, x in zip(docs, texts) if d < docs[k] or upto and d == docs[k] for i in range(len(x) - 3)}
+            return {p for i in range(len(texts[k]) - 3) if tuple(texts[k][i : i + 4]) in held for p in range(i, i + 4)}
+
+        for k in range(len(docs)):
+            for after in (False, True):
+                spans = [(a, b) for j, a, b, x in out if j == k and x == after]
+                want = covered(k, after) if again[k] or not after else set()
+                assert {p for a, b in spans for p in range(a, b)} == want and len(spans) == len(set(spans))
+
+
 def test_substring_query(spark, small):
     assert got(queries.op6_substring_dedup(spark, SF), "doc_id", "n_words", "n_removed", "kept_sha256") == brute.multiset(brute.repeats(small))
 
