@@ -6,6 +6,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeforge.functions.xml_groups import groups_at_any_depth
+from lakeforge.operators.durable import durable
+
 NOTIFICATION = """claim string, transaction_id string, recipients string,
   control struct<_stamp:string,_type:string>,
   contacts struct<contact:array<struct<_name:string,methods:struct<phone:array<struct<_number:string,_type:string>>,email:array<struct<_address:string>>>>>>"""
@@ -54,19 +57,36 @@ def estimate_tables(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def lineage(nodes: DataFrame, keys: Sequence[str] = (), *, most: int = 64, separator: str = " || ") -> DataFrame:
-    """keys, id, lineage, depth of a forest nodes(keys..., id, parent, name): names from the root down. Each round joins
-    the nodes one level below those of the last round, until there is none; a tree deeper than `most` raises."""
+def lineage(nodes: DataFrame, keys: Sequence[str] = (), *, separator: str = " || ") -> DataFrame:
+    """keys, id, lineage, depth of a forest nodes(keys..., id, parent, name): names from the root down, at any depth.
+
+    Each round doubles how far a node looks up, so a tree of depth d takes log2(d) rounds. First with ids alone, which tells
+    the nodes that reach a root from those under a parent that isn't there or in a circle, which are left out; then with
+    names."""
     own = [*keys, "id"]
-    level = nodes.where(F.col("parent").isNull() | (F.col("parent") == "")).select(*own, F.col("name").alias("lineage"), F.lit(1).alias("depth"))
-    out = level
-    for _ in range(most):
-        up = level.select(*keys, F.col("id").alias("parent"), "lineage", "depth")
-        level = nodes.join(up, [*keys, "parent"]).select(*own, F.concat("lineage", F.lit(separator), "name").alias("lineage"), (F.col("depth") + 1).alias("depth"))
-        if level.isEmpty():
-            return out
-        out = out.unionByName(level)
-    raise ValueError(f"deeper than {most} levels")
+    above = F.when(F.col("parent") != "", F.col("parent")).alias("up")
+    at = durable(nodes.select(*own, above, F.lit(1).cast("long").alias("depth")))
+    most, far = nodes.count(), 1
+    while not at.where("up IS NOT NULL").isEmpty() and far <= 2 * most:
+        at, far = durable(higher(at, keys, {"depth": F.col("depth") + F.col("far_depth")})), 2 * far
+    at = at.where("up IS NULL").select(*own, "depth")
+    deepest = at.agg(F.max("depth")).first()[0] or 1
+    rows = nodes.join(at, own, "left_semi").select(*own, above, F.col("name").alias("lineage"))
+    for _ in range((deepest - 1).bit_length()):
+        rows = durable(higher(rows, keys, {"lineage": F.when(F.col("far_lineage").isNull(), F.col("lineage")).otherwise(F.concat("far_lineage", F.lit(separator), "lineage"))}))
+    return rows.select(*own, "lineage").join(at, own).select(*own, "lineage", F.col("depth").cast("int").alias("depth"))
+
+
+def higher(at: DataFrame, keys: Sequence[str], put: dict[str, Column]) -> DataFrame:
+    """at(keys..., id, up, ...) with what `up` has put together with each row's own, and that row's `up` in place of its;
+    rows at a root (up is null) stay, those whose `up` isn't there go."""
+    own = [c for c in at.columns if c not in keys]
+    there = at.select(*keys, *(F.col(c).alias(f"far_{c}") for c in own))
+    match = F.col("a.up") == F.col("b.far_id")
+    for k in keys:
+        match &= F.col(f"a.{k}") == F.col(f"b.{k}")
+    met = at.where("up IS NOT NULL").alias("a").join(there.alias("b"), match).select(*(F.col(f"a.{c}").alias(c) for c in at.columns), *(F.col(f"b.far_{c}").alias(f"far_{c}") for c in own))
+    return met.withColumns(put | {"up": F.col("far_up")}).select(at.columns).unionByName(at.where("up IS NULL"))
 
 
 def items_with_lineage(tables: dict[str, DataFrame]) -> DataFrame:
@@ -101,10 +121,12 @@ def nested(fields: str, levels: int) -> str:
 
 
 def rough_draft_schema(levels: int = 8) -> str:
+    """With levels 0, of the documents without their groups, which groups_at_any_depth() reads."""
+    grouped = f""",
+  groups struct<group:{nested(GROUP_FIELDS, levels)}>, recap struct<group:{nested(RECAP_FIELDS, levels)}>""" if levels else ""
     return f"""claim string, transaction_id string, created string, {CONTACTS},
   coversheet struct<addresses:struct<address:array<{ADDRESS}>>,phones:struct<phone:array<{PHONE}>>>,
-  coverages struct<coverage:array<struct<_id:string,_name:string,_type:string,_deductible:string>>>,
-  groups struct<group:{nested(GROUP_FIELDS, levels)}>, recap struct<group:{nested(RECAP_FIELDS, levels)}>"""
+  coverages struct<coverage:array<struct<_id:string,_name:string,_type:string,_deductible:string>>>{grouped}"""
 
 
 def walked(df: DataFrame, path: str, fields: Sequence[str], keys: dict[str, str], *, levels: int = 8, separator: str = " || ") -> DataFrame:
@@ -151,12 +173,19 @@ def carrier_estimate_tables(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def rough_draft_tables(df: DataFrame, levels: int = 8) -> dict[str, DataFrame]:
-    """The flat tables of rough drafts; line items, rooms and totals carry the lineage of their group."""
+def rough_draft_tables(df: DataFrame, levels: int = 8, raw: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The flat tables of rough drafts; line items, rooms and totals carry the lineage of their group. With raw(value,
+    source_file), the documents' texts, groups are read from these at any depth; else from df, `levels` deep at most."""
     keys = {"claim": "claim", "transaction_id": "transaction_id"}
     place = {"kind": "_type", "street": "_street", "city": "_city", "state": "_state", "postal": "_postal"}
-    groups = walked(df, "groups.group", ["items", "room", "totals"], keys, levels=levels)
-    recap = walked(df, "recap.group", ["_items", "_subtotal", "coverages"], keys, levels=levels)
+    if raw is None:
+        groups = walked(df, "groups.group", ["items", "room", "totals"], keys, levels=levels)
+        recap = walked(df, "recap.group", ["_items", "_subtotal", "coverages"], keys, levels=levels)
+    else:
+        groups = groups_at_any_depth(raw, "groups.group", GROUP_FIELDS, list(keys))
+        recap = groups_at_any_depth(raw, "recap.group", RECAP_FIELDS, list(keys))
+    dimensions = ("acv", "rcv", "tax", "total")
+    by_claim = header(groups.where("totals IS NOT NULL AND depth = 1"), {n: n for n in keys} | {n: f"totals._{n}" for n in dimensions})
     own = {n: n for n in keys} | {"lineage": "lineage", "depth": "depth"}
     return contact_tables(df, keys) | {
         "header": header(df, keys | {"created": "created"}),
@@ -166,6 +195,7 @@ def rough_draft_tables(df: DataFrame, levels: int = 8) -> dict[str, DataFrame]:
         "item": children(groups, "items.item", {"line": "_line", "text": "_text", "quantity": "_quantity", "total": "_total"}, own),
         "room": header(groups.where("room IS NOT NULL"), own | {"walls": "room._walls", "ceiling": "room._ceiling", "floor": "room._floor", "perimeter": "room._perimeter"}),
         "totals": header(groups.where("totals IS NOT NULL"), own | {"acv": "totals._acv", "rcv": "totals._rcv", "tax": "totals._tax", "total": "totals._total"}),
+        "dimension_totals": by_claim.groupBy("source_file", *keys).agg(*(F.sum(F.expr(f"try_cast(nullif({n}, '') AS decimal(20,2))")).alias(n) for n in dimensions)),
         "recap": children(recap.withColumns({"__i": F.col("_items"), "__s": F.col("_subtotal")}), "coverages.coverage", {"coverage": "_name", "amount": "_amount"}, own | {"items": "__i", "subtotal": "__s"}, blank=True),
     }
 

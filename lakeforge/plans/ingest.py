@@ -60,13 +60,16 @@ def audit_log(spark: SparkSession, path: str) -> DataFrame:
 
 def next_window(source: DataFrame, log: DataFrame, load: Load) -> tuple[str, str, str] | None:
     """(batch, start, end) of a load: from the audit's watermark to the cut-off of the values after it; on a restart those
-    of the table's last load, unless that was a success. None: there is nothing to load. Only single rows are fetched."""
+    of the table's last load, unless that was a success. A load after one that lost rows (failed) starts where that one did.
+    None: there is nothing to load. Only single rows are fetched."""
     mine = log.where(F.col("tablename") == load.spec.table)
+    last = audit.latest_by_table(mine).first()
     if load.restart:
-        last = audit.latest_by_table(mine).first()
         return None if last is None or last.loadstatus == "success" else (last.batch, last.batchwindowstart, last.batchwindowend)
     mark = audit.watermarks(mine).first() if load.load_type != "tl" else None
     start = mark.batchwindowend if mark else str(cdc.EPOCH_START)
+    if mark and last.loadstatus == "failed":
+        start = last.batchwindowstart
     c = cdc.cdc_column(load.spec).cast("timestamp_ntz")
     limits = cdc.bounds(cdc.read_window(source, load.spec, "di", end=instant(start)), c).first()
     end = cdc.cut_off(limits.low, limits.high, load.clock, load.rule)
@@ -82,13 +85,18 @@ def load_next(spark: SparkSession, source: DataFrame, refs: dict[str, DataFrame]
     """One load of a table from where its last one ended: audit, window, read, stamps and look-ups, write, audit again.
 
     Rows go to partitions ingestiondt, batch; each try first removes what an earlier one left of the batch, so that neither
-    a retry nor a restart repeats rows. The audit then gets one row with the window, both counts and the status, which is
+    a retry nor a restart repeats rows; so does a load after one that ended as failed with that one's rows, which it loads
+    again. The audit then gets one row with the window, both counts and the status, which is
     returned: success, failed (counts differ) or failedUnknown (an exception; the next load starts where this one did).
-    `empty`: no value lies after the watermark; nothing is written. A full load replaces the table.
+    `empty`: no value lies after the watermark; nothing is written. A full load is written beside the table and takes its
+    place only if all rows are there.
     """
     if load.spec.cdc_kind not in ("timestamp", "coalesce", "greatest"):
         raise ValueError(f"{load.spec.table} has no column of instants to take windows from")
-    found = next_window(source, audit_log(spark, audit_path), load)
+    log = audit_log(spark, audit_path)
+    last = audit.latest_by_table(log.where(F.col("tablename") == load.spec.table)).first()
+    lost = last.batch if last and last.loadstatus == "failed" and not load.restart else None
+    found = next_window(source, log, load)
     if found is None:
         return "empty"
     batch, start, end = found
@@ -97,12 +105,21 @@ def load_next(spark: SparkSession, source: DataFrame, refs: dict[str, DataFrame]
     mode = sinks.save_mode(load.load_type, False)
     counts: list[int | None] = [None, None]
 
+    whole = mode == "overwrite"
+    to = f"{path.rstrip('/')}__new" if whole else path
+
     def attempt() -> tuple[int, int]:
-        sinks.drop_batch(spark, path, batch)
-        counts[:] = write(rows, path, ["ingestiondt", "batch"], mode, batch=batch)
+        for old in {batch, lost} - {None}:
+            sinks.drop_batch(spark, to, old)
+        counts[:] = write(rows, to, ["ingestiondt", "batch"], mode, batch=batch)
         return counts[0], counts[1]
 
     status = sinks.write_with_retry(attempt, retries)
+    if whole and status == "success":
+        sinks.promote(spark, to, path, f"{path.rstrip('/')}__old")
+        sinks.remove(spark, f"{path.rstrip('/')}__old")
+    elif whole:
+        sinks.remove(spark, to)
     if status == "failedUnknown":
         counts = [None, None]
     at = str(load.clock)

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.functions import xml_flatten
+from lakeforge.functions import xml_flatten, xml_groups
 from lakeforge.operators import audit, cdc, lookup, merge, pii, recon, reserve, schema, stamp
 from lakeforge.plans import billing_queries, ingest, recon_suites, stream_queries  # noqa: F401
 from lakeforge.plans.base import AS_OF, ORACLES, QUERIES, at, query, t  # noqa: F401
@@ -763,13 +763,15 @@ def unseen_files(spark, d):
 @query("""WITH RECURSIVE nodes AS (SELECT 'r' || r_regionkey AS id, NULL AS parent, r_name AS name FROM region UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, n_name FROM nation
 UNION ALL SELECT 's' || s_suppkey, 'n' || s_nationkey, s_name FROM supplier),
 walk AS (SELECT id, name AS lineage, 1 AS depth FROM nodes WHERE parent IS NULL UNION ALL SELECT n.id, w.lineage || ' || ' || n.name, w.depth + 1 FROM nodes n JOIN walk w ON n.parent = w.id)
-SELECT id, lineage, depth FROM walk""")
+SELECT id, lineage, depth FROM walk UNION ALL SELECT 'c' || k, array_to_string(list_transform(range(1, k + 1), lambda i: 'name ' || i), ' || '), CAST(k AS INTEGER) FROM (SELECT unnest(range(1, 101)) AS k)""")
 def xml_lineage(spark, d):
+    """The forest of regions, and a chain of 100 nodes beside it."""
     key = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
     r = t(spark, d, "region").select(key("r", "r_regionkey").alias("id"), F.lit(None).cast("string").alias("parent"), F.col("r_name").alias("name"))
     n = t(spark, d, "nation").select(key("n", "n_nationkey"), key("r", "n_regionkey"), "n_name")
     s = t(spark, d, "supplier").select(key("s", "s_suppkey"), key("n", "s_nationkey"), "s_name")
-    return xml_flatten.lineage(r.union(n).union(s))
+    chain = spark.range(1, 101).select(key("c", "id"), F.when(F.col("id") > 1, F.concat(F.lit("c"), (F.col("id") - 1).cast("string"))), F.concat(F.lit("name "), F.col("id").cast("string")))
+    return xml_flatten.lineage(r.union(n).union(s).union(chain))
 
 
 def notification_files(spark, d) -> str:
@@ -952,7 +954,8 @@ def rough_drafts(spark, d) -> dict[str, DataFrame]:
     groups = F.concat(F.format_string('<groups><group name="%s"><totals total="9"/><group name="%s">', "r_name", "n_name"), rooms, F.lit("</group></group></groups>"))
     recap = F.format_string('<recap><group name="%s" subtotal="5"><group name="%s" subtotal="4"><coverages><coverage name="c" amount="3"/></coverages></group></group></recap></draft>', "r_name", "n_name")
     n.select(F.concat(head, groups, recap).alias("value")).write.mode("overwrite").text(path)
-    return xml_flatten.rough_draft_tables(files.xml_lines(spark, path, xml_flatten.rough_draft_schema(4)), 4)
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
+    return xml_flatten.rough_draft_tables(files.xml_lines(spark, path, xml_flatten.rough_draft_schema(0)), raw=raw)
 
 
 PLACES_SQL = "FROM nation JOIN region ON n_regionkey = r_regionkey"
@@ -973,6 +976,23 @@ def xml_rough_draft_totals(spark, d):
     return rough_drafts(spark, d)["totals"].select("claim", "lineage", "total")
 
 
+@query("SELECT n_nationkey::VARCHAR AS claim, CAST(9 AS DOUBLE) AS total FROM nation")
+def xml_rough_draft_dimension_totals(spark, d):
+    return rough_drafts(spark, d)["dimension_totals"].select("claim", F.col("total").cast("double").alias("total"))
+
+
+@query("SELECT c_custkey::VARCHAR AS claim, array_to_string(list_transform(range(1, k + 1), lambda i: 'g' || i), ' || ') AS lineage, CAST(k AS INTEGER) AS depth, CASE WHEN k % 2 = 0 THEN c_custkey::VARCHAR END AS walls FROM (SELECT c_custkey, unnest(range(1, c_custkey % 100 + 2)) AS k FROM customer WHERE c_custkey % 50 <> 1)")
+def xml_deep_groups(spark, d):
+    """A chain of 1 to 100 groups, one in another, for each customer; every fiftieth document is broken off."""
+    path, key = sinks.scratch(spark), F.col("c_custkey").cast("string")
+    group = lambda i: F.concat(F.lit('<group name="g'), i.cast("string"), F.lit('">'), F.when(i % 2 == 0, F.concat(F.lit('<room walls="'), key, F.lit('"/>'))).otherwise(""))
+    deep = (F.col("c_custkey") % 100 + 1).cast("int")
+    doc = F.concat(F.lit("<draft><claim>"), key, F.lit("</claim><groups>"), F.array_join(F.transform(F.sequence(F.lit(1), deep), group), ""), F.repeat(F.lit("</group>"), deep), F.lit("</groups></draft>"))
+    t(spark, d, "customer").select(F.when(F.col("c_custkey") % 50 == 1, F.substring(doc, 1, 45)).otherwise(doc).alias("value")).write.text(path)
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
+    return xml_groups.groups_at_any_depth(raw, "groups.group", xml_flatten.GROUP_FIELDS, ["claim"]).select("claim", "lineage", "depth", F.col("room._walls").alias("walls"))
+
+
 @query(f"SELECT n_nationkey::VARCHAR AS claim, r_name AS lineage, '5' AS subtotal, '' AS coverage, '' AS amount {PLACES_SQL} UNION ALL SELECT n_nationkey::VARCHAR, r_name || ' || ' || n_name, '4', 'c', '3' {PLACES_SQL}")
 def xml_rough_draft_recap(spark, d):
     return rough_drafts(spark, d)["recap"].select("claim", "lineage", "subtotal", "coverage", "amount")
