@@ -28,6 +28,11 @@ def last_batch(rows: DataFrame) -> DataFrame:
     return rows.agg(F.max_by("batch", padded(F.col("batch").cast("string"))).alias("batch"))
 
 
+def last_batch_like(audit: DataFrame, pattern: str) -> DataFrame:
+    """One row with the greatest batch of the tables whose name is like a pattern: names may tell full loads (`%t`)."""
+    return last_batch(audit.where(F.col("tablename").like(pattern)))
+
+
 def watermarks(audit: DataFrame, process: str | None = None) -> DataFrame:
     """The high-water marks of each table: greatest date, batch and window ends of its loads, but for delete batches,
     empty windows (the text `null`) and loads that ended in an unknown state."""

@@ -91,11 +91,12 @@ def kv_items(df: DataFrame, keys: Sequence[str], sort_key: str | None = None, na
     return latest(out, [name], [F.desc(sort_key), *(F.desc(c) for c in sorted(df.columns) if c != sort_key)]) if sort_key else out
 
 
-def seeded(harmonised: DataFrame, key: str, source: str, backup: DataFrame | None = None) -> DataFrame:
-    """First staging contents: `backup`, the last full load's batch (`last_full`), or the most recent row of each key."""
+def seeded(harmonised: DataFrame, key: str, source: str, backup: DataFrame | None = None, full: DataFrame | None = None) -> DataFrame:
+    """First staging contents: `backup`, the last full load's batch (`last_full`), or the most recent row of each key. Rows
+    that don't tell their load type need the batch of the last full load beside them: full(batch), as of last_batch_like()."""
     if source == "backup":
         return backup
     if source == "last_full":
-        last = last_batch(harmonised.where(F.col("load_type") == "tl"))
+        last = last_batch(harmonised.where(F.col("load_type") == "tl")) if full is None else full.select("batch")
         return harmonised.join(F.broadcast(last), "batch", "left_semi")
     return most_recent(harmonised, [key])

@@ -54,6 +54,16 @@ class Metric:
     where: str = "true"
 
 
+def greatest_case(df: DataFrame, keys: Sequence[str], cases: Sequence[tuple[Column, Column]], otherwise: Column | None = None, name: str = "value") -> DataFrame:
+    """key, name: by the first of the keys that isn't null, the greatest of what each row's first case that holds gives
+    (`otherwise` where none does; without it, such rows give nothing). A derived table to join by key, one row for each."""
+    value = F.when(*cases[0])
+    for case in cases[1:]:
+        value = value.when(*case)
+    value = value if otherwise is None else value.otherwise(otherwise)
+    return df.groupBy(F.coalesce(*keys).alias("key")).agg(F.max(value).alias(name))
+
+
 def metrics(df: DataFrame, specs: Sequence[Metric], as_of: Column, scale: int = 2) -> DataFrame:
     """auditentity, value of all metrics of a table, in one scan.
 

@@ -102,7 +102,8 @@ def distributions(tables: Mapping[str, DataFrame], windows: Sequence[Window]) ->
     was processed by then. An item belongs to its active distribution, else to the one that it reverses; of the items that
     were made or changed within the window the latest processing counts, the time made where that is within the window."""
     made, changed = (lambda w, c=c: (F.col(c) > instant(w.start)) & (F.col(c) <= instant(w.end)) for c in ("createtime", "updatetime"))
-    each = [F.max(F.when(made(w) | changed(w), F.when(made(w), F.col("createtime")).otherwise(F.col("updatetime")))).alias(f"processed{j}") for j, w in enumerate(windows)]
+    # a window's processing time: the greatest of the time made, if within it, else of the time changed, if that is
+    each = [F.max(F.when(made(w), F.col("createtime")).when(changed(w), F.col("updatetime"))).alias(f"processed{j}") for j, w in enumerate(windows)]
     relevant = reduce(lambda a, b: a | b, (made(w) | changed(w) for w in windows))
     processed = tables["basedistitem"].where(relevant).groupBy(F.coalesce("activedistid", "reverseddistid").alias("distid")).agg(*each)
     spec = JoinSpec("dist", "basedist", (Edge("item", "processed", "distid", "dist.id", "left", needed=True),))

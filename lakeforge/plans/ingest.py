@@ -48,6 +48,16 @@ def harmonised(source: DataFrame, refs: dict[str, DataFrame], load: Load, change
     return lookup.lookup_chain(rows, refs, list(load.lookups))
 
 
+def masked_from_secured(spark: SparkSession, secured: str, path: str, load: Load, by: Sequence[str] = ("ingestiondt", "batch")) -> tuple[int, int]:
+    """The batch's masked copy, made of what its secured table at `secured` holds and not of the source once more, so that
+    both copies are of the same rows; returns the counts of the masked write (rows sent, rows there)."""
+    rows = spark.read.parquet(secured).where(F.col("batch") == load.batch)
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    rows = pii.masked(rows.withColumns({c: F.col(c).cast("string") for c in by if kinds[c].simpleString() != "string"}), load.pii)
+    sinks.drop_batch(spark, path, load.batch)
+    return sinks.counted_write(rows, path, list(by), "append", batch=load.batch)
+
+
 def secured_and_masked(rows: DataFrame, load: Load) -> tuple[DataFrame, DataFrame]:
     return pii.split(rows, load.pii)
 
@@ -130,9 +140,11 @@ def load_next(spark: SparkSession, source: DataFrame, refs: dict[str, DataFrame]
     return status
 
 
-def missing_rows(source: DataFrame, lake: DataFrame, refs: dict[str, DataFrame], load: Load) -> DataFrame:
-    """Source rows whose key the lake lacks, harmonised like any load."""
-    keys = recon.missing_keys(source, lake, [load.key])
+def missing_rows(source: DataFrame, lake: DataFrame, refs: dict[str, DataFrame], load: Load, *, by_checksum: bool = False) -> DataFrame:
+    """Source rows whose key the lake lacks, of those that the table's spec looks at (missing_where), harmonised like any
+    load. by_checksum: for sides that are mostly alike, see recon.missing_by_checksum()."""
+    source = source.where(load.spec.missing_where) if load.spec.missing_where else source
+    keys = (recon.missing_by_checksum if by_checksum else recon.missing_keys)(source, lake, [load.key])
     found = recon.reloaded(source, keys, load.key).withColumn("__cdc", cdc.cdc_column(load.spec))
     return lookup.lookup_chain(stamp.with_month_and_uid(stamp.with_batch(found, "", load.batch), "__cdc", load.key).drop("__cdc"), refs, list(load.lookups))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeforge.functions import xml_flatten, xml_groups
 from lakeforge.operators import audit, cdc, lookup, merge, pii, recon, reserve, schema, stamp
+from lakeforge.operators.joined import Edge, JoinSpec, joined
 from lakeforge.plans import billing_queries, ingest, recon_suites, stream_queries  # noqa: F401
 from lakeforge.plans.base import AS_OF, ORACLES, QUERIES, at, query, t  # noqa: F401
 from lakeforge.sources import files, sinks
@@ -210,6 +211,19 @@ def pii_split(spark, d):
     return a.join(masked.agg(F.countDistinct("c_name").cast("int").alias("masked_names")))
 
 
+@query("SELECT c_custkey, '' AS c_name, c_mktsegment, '2' AS batch, (SELECT count(*) FROM customer WHERE c_custkey % 2 = 0) AS sent FROM customer WHERE c_custkey % 2 = 0")
+def masked_from_secured(spark, d):
+    """The second batch's masked copy, from the secured table; a first run of the batch left rows that go."""
+    base = sinks.scratch(spark)
+    rows = t(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", F.lit("2024-01-01").alias("ingestiondt"), F.when(F.col("c_custkey") % 2 == 0, "2").otherwise("1").alias("batch"))
+    sinks.write_partitioned(rows, f"{base}/secured", ["ingestiondt", "batch"])
+    sinks.write_partitioned(pii.masked(rows.where("batch = '2'").limit(5), ["c_name"]), f"{base}/masked", ["ingestiondt", "batch"])
+    load = ingest.Load(TableSpec("customer"), "c_custkey", "di", "2", CLOCK, pii=("c_name",))
+    sent, there = ingest.masked_from_secured(spark, f"{base}/secured", f"{base}/masked", load)
+    out = spark.read.schema("c_custkey long, c_name string, c_mktsegment string, ingestiondt string, batch string").parquet(f"{base}/masked")
+    return out.select("c_custkey", F.coalesce("c_name", F.lit("")).alias("c_name"), "c_mktsegment", "batch", F.lit(min(sent, there)).cast("long").alias("sent"))
+
+
 @query("SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN c_name END AS secret_decrypted FROM customer")
 def decrypt_case(spark, d):
     key = "0123456789abcdef"
@@ -407,6 +421,14 @@ def missing_rows_by_checksum(spark, d):
     return recon.missing_by_checksum(t(spark, d, "orders"), lake, ["o_orderkey"], F.col("o_orderkey") <= lake.agg(F.max("o_orderkey")).first()[0])
 
 
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber <= 2)")
+def missing_live_rows(spark, d):
+    """Missing rows of a table whose spec looks at live rows alone."""
+    load = ingest.Load(replace(ORDERS, missing_where="o_orderstatus <> 'P'"), "o_orderkey", "di", "1", CLOCK)
+    lake = t(spark, d, "lineitem").where("l_linenumber <= 2").select(F.col("l_orderkey").alias("o_orderkey"))
+    return ingest.missing_rows(t(spark, d, "orders"), lake, {}, load, by_checksum=True).select("o_orderkey", "o_totalprice")
+
+
 @query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderkey % 997 = 0")
 def missing_stale_rows_by_checksum(spark, d):
     orders = t(spark, d, "orders")
@@ -498,6 +520,11 @@ def audit_watermark(spark, d):
     return audit.watermarks(audit_rows(spark, d), "p1")
 
 
+@query(f"SELECT cast(max(cast(batch AS BIGINT)) AS VARCHAR) AS batch FROM ({AUDIT_SQL}) WHERE tablename LIKE '%7'")
+def audit_last_batch_like(spark, d):
+    return audit.last_batch_like(audit_rows(spark, d), "%7")
+
+
 @query(ORACLES["audit_watermark"])
 def stream_watermarks(spark, d):
     return stream_queries.stream_watermarks_of(spark, audit_rows(spark, d).where("processname = 'p1'").drop("event_id"))
@@ -646,8 +673,8 @@ def recon_status(spark, d):
 @query(f"""SELECT n_name AS nation, CAST(sum({DEC('l_extendedprice')}) AS DOUBLE) AS value, count(DISTINCT o_orderkey) AS orders FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0 LEFT JOIN nation ON c_nationkey = n_nationkey WHERE o_orderdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '{AS_OF}' AND l_returnflag IN ('A', 'R') AND l_linestatus <> 'X' GROUP BY 1""")
 def recon_star(spark, d):
-    rows = t(spark, d, "lineitem").join(t(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    rows = rows.join(t(spark, d, "customer"), (F.col("o_custkey") == F.col("c_custkey")) & (F.col("c_acctbal") > 0), "left").join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    star = JoinSpec("l", "lineitem", (Edge("o", "orders", "o_orderkey", "l.l_orderkey", needed=True), Edge("c", "customer", "c_custkey", "o.o_custkey", "left", where="c_acctbal > 0", needed=True), Edge("n", "nation", "n_nationkey", "c.c_nationkey", "left", needed=True)))
+    rows = joined(star, {x: t(spark, d, x) for x in star.tables()})
     rows = rows.where(F.col("o_orderdate").between(at("1995-01-01 00:00:00"), at(AS_OF)) & F.col("l_returnflag").isin("A", "R") & (F.col("l_linestatus") != "X"))
     return rows.groupBy(F.col("n_name").alias("nation")).agg(F.sum(F.col("l_extendedprice").cast("decimal(20,2)")).cast("double").alias("value"), F.countDistinct("o_orderkey").alias("orders"))
 
@@ -661,8 +688,8 @@ def recon_constant_join(spark, d):
 
 @query("""SELECT o_orderkey, shipped FROM orders LEFT JOIN (SELECT coalesce(l_orderkey, -1) AS k, max(CASE WHEN l_returnflag = 'R' THEN l_shipdate ELSE NULL END) AS shipped FROM lineitem GROUP BY 1) ON o_orderkey = k""")
 def recon_case_max(spark, d):
-    last = t(spark, d, "lineitem").groupBy(F.coalesce("l_orderkey", F.lit(-1)).alias("k")).agg(F.max(F.when(F.col("l_returnflag") == "R", F.col("l_shipdate"))).alias("shipped"))
-    return t(spark, d, "orders").join(last, F.col("o_orderkey") == F.col("k"), "left").select("o_orderkey", "shipped")
+    last = recon.greatest_case(t(spark, d, "lineitem"), ["l_orderkey"], [(F.col("l_returnflag") == "R", F.col("l_shipdate"))], name="shipped")
+    return t(spark, d, "orders").join(last, F.col("o_orderkey") == F.col("key"), "left").select("o_orderkey", "shipped")
 
 
 # --- schemas, sinks, XML, reserves -----------------------------------------------------------------------------------

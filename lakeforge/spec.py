@@ -19,6 +19,7 @@ class TableSpec:
     partition_by: str = ""
     num_partitions: int | None = None
     decrypt_cols: tuple[str, ...] = ()
+    missing_where: str = ""  # SQL: which source rows can be missing at all (live ones, say); empty for all
 
     @property
     def cdc_kind(self) -> str:
@@ -81,7 +82,7 @@ class JobConfig:
 HEADERS = {
     "table": "table", "tablename": "table", "sendtolake": "send_to_lake", "pii": "has_pii", "haspii": "has_pii", "cdccol": "cdc_col", "cdccolumn": "cdc_col",
     "lookupcolref": "lookup_ref", "lookupref": "lookup_ref", "harddeleteflag": "hard_delete_flag", "partitionby": "partition_by", "numpartitions": "num_partitions",
-    "decrypt": "decrypt_cols", "decryptcol": "decrypt_cols", "decryptcols": "decrypt_cols",
+    "decrypt": "decrypt_cols", "decryptcol": "decrypt_cols", "decryptcols": "decrypt_cols", "missingwhere": "missing_where", "missingfilter": "missing_where",
 }
 
 
