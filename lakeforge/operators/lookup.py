@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 from lakeforge.spec import LookupSpec
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marked for broadcast where it has at most `rows` rows; else left to a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def sized(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Marked for broadcast where it has at most `rows` rows and `size` bytes, as texts and 16 for each value; else left to a
+    shuffled join. It is computed for that, as far as one row beyond the limit."""
+    each = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
+    seen = df.limit(rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(each), F.lit(0)).alias("size")).first()
+    return F.broadcast(df) if seen["n"] <= rows and seen["size"] <= size else df
 
 
 def dimension(ref: DataFrame, spec: LookupSpec, number: int = 0) -> DataFrame:

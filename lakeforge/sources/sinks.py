@@ -37,12 +37,12 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "
 
 
 def counted_write(df: DataFrame, path: str, by: Sequence[str], mode: str = "append", *, batch: str | None = None) -> tuple[int, int]:
-    """(rows sent, rows of those batches now there): the first counted during the write. Where all rows are of one batch
-    that is named, only its partitions are read back and df isn't computed again."""
+    """(rows sent, rows of those batches now there): the first, and which batches there are, seen during the write, so df is
+    computed once. Only those batches' partitions are read back; their names are all that reaches the driver."""
     seen = Observation()
-    write_partitioned(df.observe(seen, F.count("*").alias("n")), path, by, mode)
-    there = df.sparkSession.read.schema(df.schema).parquet(path)
-    there = there.join(df.select("batch").distinct(), "batch", "left_semi") if batch is None else there.where(F.col("batch") == batch)
+    own = F.collect_set("batch") if batch is None else F.array(F.first(F.lit(batch)))
+    write_partitioned(df.observe(seen, F.count("*").alias("n"), own.alias("batches")), path, by, mode)
+    there = df.sparkSession.read.schema(df.schema).parquet(path).where(F.col("batch").isin(list(seen.get["batches"])))
     return seen.get["n"], there.count()
 
 

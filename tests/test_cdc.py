@@ -67,3 +67,11 @@ def test_schema_drift_ignores_case(spark):
     d = schema.drift(old, new)
     assert (d.added, d.removed, d.retyped) == (("d",), ("c",), (("a", "int", "bigint"),))
     assert schema.alter_statements("t", d, new) == ["ALTER TABLE t ADD COLUMNS (`d` string)"]
+
+
+def test_dimensions_are_broadcast_by_rows_and_bytes(spark):
+    from lakeforge.operators.lookup import sized
+
+    df = spark.createDataFrame([(k, "x" * 100) for k in range(50)], "id long, text string")
+    hinted = lambda x: "ResolvedHint (strategy=broadcast)" in x._jdf.queryExecution().analyzed().toString()
+    assert hinted(sized(df, 50)) and not hinted(sized(df, 49)) and not hinted(sized(df, 50, 5000)) and hinted(sized(df.limit(0), 0, 0))
