@@ -77,6 +77,21 @@ def bounds(df: DataFrame, c: Column) -> DataFrame:
     return df.agg(F.min(without_sentinel(c)).alias("low"), F.max(without_sentinel(c)).alias("high"))
 
 
+def load_bounds(spec: TableSpec, load_type: str, source: DataFrame, lake: DataFrame) -> DataFrame:
+    """One row lower, upper that a load of a table starts from. A full load reads the source by ranges of its partition column,
+    whose ends these are; an incremental one goes on from the greatest value that the lake has, lower being null: of
+    several CDC columns the greatest of their maxima, those without a value apart. Each maximum is one that a scan's
+    statistics or a source can answer, as no row's values are compared with each other."""
+    if load_type == "tl" and spec.cdc_kind != "greatest":
+        if not spec.partition_by:
+            raise ValueError(f"{spec.table} has no column to read a full load by")
+        return source.agg(F.min(spec.partition_by).alias("lower"), F.max(spec.partition_by).alias("upper"))
+    text = spec.cdc_col[len("coalesce(") : -1] if spec.cdc_kind == "coalesce" else spec.cdc_col
+    found = [F.max(x.strip()) for x in text.split(",")]
+    upper = F.greatest(*found) if len(found) > 1 else found[0]
+    return lake.agg(upper.alias("upper")).select(F.lit(None).cast("string").alias("lower"), "upper")
+
+
 @dataclass(frozen=True)
 class CutOff:
     """Rules for the upper end of a load."""

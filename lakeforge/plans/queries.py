@@ -86,6 +86,29 @@ def cdc_greatest_bounds(spark, d):
     return cdc.bounds(rows, cdc.cdc_column(TableSpec("lineitem", cdc_col="l_shipdate, changed")))
 
 
+@query("SELECT min(o_orderkey) AS lower, max(o_orderkey) AS upper FROM orders")
+def cdc_bounds_full(spark, d):
+    """The ends of a full load's ranges, whatever the CDC columns."""
+    spec = TableSpec("orders", cdc_col="coalesce(changed, o_orderdate)", partition_by="o_orderkey")
+    return cdc.load_bounds(spec, "tl", t(spark, d, "orders"), t(spark, d, "lineitem"))
+
+
+@query(f"""WITH lake AS (SELECT l_shipdate, CASE WHEN l_linenumber = 2 THEN l_shipdate + INTERVAL '9' DAY END AS changed, CAST(NULL AS TIMESTAMP) AS never FROM lineitem WHERE l_shipdate < TIMESTAMP '{HIGH}')
+SELECT 'coalesce' AS kind, greatest(max(changed), max(l_shipdate)) AS upper FROM lake UNION ALL SELECT 'greatest', greatest(max(l_shipdate), max(never), max(changed)) FROM lake
+UNION ALL SELECT 'timestamp', max(l_shipdate) FROM lake UNION ALL SELECT 'tl of several', greatest(max(l_shipdate), max(changed)) FROM lake""")
+def cdc_bounds_lake(spark, d):
+    """Where an incremental load goes on, by kind of CDC column."""
+    lake = t(spark, d, "lineitem").where(F.col("l_shipdate") < at(HIGH)).withColumns({"changed": F.when(F.col("l_linenumber") == 2, F.col("l_shipdate") + F.expr("INTERVAL '9' DAY")), "never": F.lit(None).cast("timestamp_ntz")})
+    kinds = (("coalesce", "coalesce(changed, l_shipdate)", "di"), ("greatest", "l_shipdate, never, changed", "di"), ("timestamp", "l_shipdate", "di"), ("tl of several", "l_shipdate,changed", "tl"))
+    return recon.together([cdc.load_bounds(TableSpec("lineitem", cdc_col=c), load, t(spark, d, "orders"), lake).select(F.lit(kind).alias("kind"), "upper") for kind, c, load in kinds])
+
+
+@query("SELECT c_custkey AS custkey, c_name AS customername, c_mktsegment AS segmentid FROM customer")
+def project_plain_names(spark, d):
+    """A reference list's columns without dots and spaces in their names."""
+    return stamp.plain_names(t(spark, d, "customer").select(F.col("c_custkey").alias("cust key"), F.col("c_name").alias("customer.name"), F.col("c_mktsegment").alias(" segment. id")))
+
+
 @query("SELECT max(ts) + INTERVAL 15 MINUTE AS clock FROM events")
 def source_clock(spark, d):
     return cdc.source_clock(t(spark, d, "events"), "ts", 15)
