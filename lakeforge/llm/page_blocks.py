@@ -127,7 +127,7 @@ class Blocks:
 
     def text(self, text: str) -> None:
         if self.stack[-1][0] not in SILENT:
-            self.pieces.append(text)
+            self.pieces.append(unescape(text) if "&" in text else text)  # no reference goes on behind a tag
             self.linked += len(text) if self.link else 0
 
     def push(self, tag: str, names: list[str]) -> None:
@@ -175,7 +175,7 @@ class Blocks:
             self.flush()
 
     def flush(self) -> None:
-        text = " ".join(unescape("".join(self.pieces)).split()) if self.pieces else ""
+        text = " ".join("".join(self.pieces).split()) if self.pieces else ""
         linked = self.linked
         self.pieces, self.linked = [], 0
         if not text:

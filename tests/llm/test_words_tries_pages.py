@@ -200,13 +200,14 @@ WRITTEN = """<html><head><title>A title</title></head><body><header><a href=/>Si
 
 def test_written_pages(spark):
     rows = [(1, "u", WRITTEN), (2, None, None), (3, "u", ""), (None, "u", "<p>Only this."), (None, "u", "<p>Only this."), (4, "u", "no markup at all"), (5, "u", "<nav><a href=x>menu</a></nav>"),
-            (6, "u", "<article><p>" + "word " * 50_000 + "</article>"), (7, "u", "<" * 1000 + "<a b='<p>" + "<div>" * 5000), (8, "u", "<article>a<script>'</p>'</script> b<!-- c --><style>d</style> e</article>")]
+            (6, "u", "<article><p>" + "word " * 50_000 + "</article>"), (7, "u", "<" * 1000 + "<a b='<p>" + "<div>" * 5000), (8, "u", "<article>a<script>'</p>'</script> b<!-- c --><style>d</style> e</article>"), (9, "u", "<article><p>a &am<b>p; b</b> &lt;i&gt; &#233;&eacute;&copy c &nosuch; &#x1F600;")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS text", "1 AS n_chars")
     out = [(r.page_id, r.url, r.text, r.n_chars) for r in html_extraction.extract(df.repartition(2)).collect()]
     assert all(n == len(t) for _, _, t, n in out) and len(out) == len(rows)
     by = {i: t for i, _, t, _ in out if i is not None}
     assert by[1] == "A title First & foremost, a text with <marks>. Second text. An item Another item Quoted words."
     assert (by[2], by[3], by[4], by[5], by[8]) == ("", "", "no markup at all", "", "a b e") and by[6] == ("word " * 50_000).strip()
+    assert by[9] == "a &amp; b <i> éé© c &nosuch; 😀"
     assert [t for i, _, t, _ in out if i is None] == ["Only this."] * 2
 
 
