@@ -152,17 +152,17 @@ def digests(ends: DataFrame) -> DataFrame:
 
 
 def rolled_up(nodes: DataFrame) -> DataFrame:
-    """nodes with n_children and, over their subtrees, n_leaves and saved."""
+    """nodes with n_children and, over their subtrees, n_leaves and saved. Between rounds only the sums and the ancestors that
+    are still to be asked are kept."""
     deepest = nodes.agg(F.max("depth")).first()[0] or 0
-    parent = F.element_at("up", 1)
-    children = nodes.where("depth > 0").groupBy(parent.alias("node")).agg(F.count("*").alias("n_children"))
-    at = nodes.join(children, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0)))
-    at = at.withColumn("n_leaves", (F.col("n_children") == 0).cast("long")).withColumn("saved", (F.col("n_convs") - 1) * F.col("size"))
-    for k in range(int(deepest).bit_length()):
-        below = at.where(F.size("up") > k).groupBy(F.element_at("up", k + 1).alias("node")).agg(F.sum("n_leaves").alias("l"), F.sum("saved").alias("s"))
-        at = at.join(below, "node", "left").withColumns({"n_leaves": F.col("n_leaves") + F.coalesce("l", F.lit(0)), "saved": F.col("saved") + F.coalesce("s", F.lit(0))}).drop("l", "s")
-        at = cut(at)
-    return at
+    children = nodes.where("depth > 0").groupBy(F.element_at("up", 1).alias("node")).agg(F.count("*").alias("n_children"))
+    nodes = nodes.join(children, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0)))
+    at = nodes.select("node", "up", (F.col("n_children") == 0).cast("long").alias("n_leaves"), ((F.col("n_convs") - 1) * F.col("size")).alias("saved"))
+    for _ in range(int(deepest).bit_length()):
+        below = at.where(F.size("up") > 0).groupBy(F.element_at("up", 1).alias("node")).agg(F.sum("n_leaves").alias("l"), F.sum("saved").alias("s"))
+        with_below = {"n_leaves": F.col("n_leaves") + F.coalesce("l", F.lit(0)), "saved": F.col("saved") + F.coalesce("s", F.lit(0)), "up": F.slice("up", F.lit(2), F.size("up"))}
+        at = cut(at.join(below, "node", "left").withColumns(with_below).drop("l", "s"))
+    return nodes.join(at.drop("up"), "node")
 
 
 def prefix_trie(conversations: DataFrame, *, group: int = 100, spread: int = 6, fan: int = FAN) -> DataFrame:
