@@ -27,6 +27,18 @@ def drift_rows(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.sparkSession.createDataFrame(rows, "name string, change string, old_type string, new_type string")
 
 
+def drift_report(old: DataFrame, new: T.StructType) -> DataFrame:
+    """drift_rows() with how many of old's rows each change is about: values that go with a removed column, values that a
+    new type can't hold, rows that get a null for an added one. All from one scan of old."""
+    d = drift(old.schema, new)
+    lost = lambda n, kind: F.count(F.when(F.col(n).isNotNull() & F.expr(f"try_cast(`{n}` AS {kind}) IS NULL"), 1))
+    found = [(n, "added", None, None, F.count("*")) for n in d.added] + [(n, "removed", None, None, F.count(n)) for n in d.removed] + [(n, "retyped", x, y, lost(n, y)) for n, x, y in d.retyped]
+    cells = [F.struct(*(F.lit(x).cast("string").alias(c) for x, c in zip(row[:4], ("name", "change", "old_type", "new_type"))), row[4].alias("n_rows")) for row in found]
+    if not cells:
+        return old.sparkSession.createDataFrame([], "name string, change string, old_type string, new_type string, n_rows long")
+    return old.agg(F.array(*cells).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+
+
 def evolved(df: DataFrame, target: T.StructType) -> DataFrame:
     """df with the target's columns and types: nulls for what it lacks or what can't be cast, without what it has more."""
     own = {c.lower(): c for c in df.columns}

@@ -718,11 +718,14 @@ def recon_case_max(spark, d):
 # --- schemas, sinks, XML, reserves -----------------------------------------------------------------------------------
 
 
-@query("""SELECT * FROM (VALUES ('c_mail', 'added', NULL, NULL), ('c_nationkey', 'removed', NULL, NULL), ('c_acctbal', 'retyped', 'double', 'string')) v(name, change, old_type, new_type)""")
+@query("""SELECT 'c_mail' AS name, 'added' AS change, CAST(NULL AS VARCHAR) AS old_type, CAST(NULL AS VARCHAR) AS new_type, count(*) AS n_rows FROM customer
+UNION ALL SELECT 'c_nationkey', 'removed', NULL, NULL, count(c_nationkey) FROM customer UNION ALL SELECT 'c_acctbal', 'retyped', 'double', 'string', 0
+UNION ALL SELECT 'c_mktsegment', 'retyped', 'string', 'int', count(c_mktsegment) FROM customer""")
 def schema_drift(spark, d):
+    """What changes, and for how many rows that loses or lacks a value."""
     old = t(spark, d, "customer")
-    new = old.drop("c_nationkey").withColumns({"C_ACCTBAL": F.col("c_acctbal").cast("string"), "c_mail": F.lit("")}).withColumnRenamed("c_name", "C_NAME")
-    return schema.drift_rows(old, new)
+    new = old.drop("c_nationkey").withColumns({"C_ACCTBAL": F.col("c_acctbal").cast("string"), "c_mail": F.lit(""), "c_mktsegment": F.lit(1)}).withColumnRenamed("c_name", "C_NAME")
+    return schema.drift_report(old, new.schema)
 
 
 @query("SELECT c_custkey, c_name, c_acctbal, CAST(NULL AS VARCHAR) AS c_mail FROM customer")
@@ -901,10 +904,16 @@ def reserve_run_statistics(spark, d):
     return reserve.run_statistics("r1", t(spark, d, "orders"), t(spark, d, "customer"))
 
 
-@query("SELECT * FROM (VALUES ('orders', 'coalesce'), ('nation', 'none'), ('events', 'greatest')) v(name, kind)")
+SPECS = "TableName|SendToLake|CDCCol|LookUpColRef|Rows|Note\nORDERS|Y|coalesce(changed,o_orderdate)|y|12|x\nNATION|Y||typelist|3|\nLINEITEM|Y|l_shipdate,changed|n||\nPART|N|x|n||"
+
+
+@query(f"""SELECT 'orders' AS name, 'coalesce' AS kind, count(*) AS n FROM orders WHERE coalesce(CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL '90' DAY END, o_orderdate) > TIMESTAMP '{HIGH}'
+UNION ALL SELECT 'nation', 'none', count(*) FROM nation UNION ALL SELECT 'lineitem', 'greatest', count(*) FROM lineitem WHERE greatest(l_shipdate, l_shipdate + INTERVAL '30' DAY) > TIMESTAMP '{HIGH}'""")
 def table_spec_kinds(spark, d):
-    text = "TableName|SendToLake|CDCCol|LookUpColRef|Rows|Note\nORDERS|Y|coalesce(a,b)|y|12|x\nNATION|Y||typelist|3|\nEVENTS|Y|a,b|n||\nPART|N|x|n||"
-    return spark.createDataFrame([(s.table, s.cdc_kind) for s in table_specs(text)], "name string, kind string")
+    """How many rows an incremental load takes of each table that a spec's text sends to the lake, by kind of its CDC column."""
+    given = {"orders": t(spark, d, "orders").withColumn("changed", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderdate") + F.expr("INTERVAL '90' DAY"))), "lineitem": t(spark, d, "lineitem").withColumn("changed", F.col("l_shipdate") + F.expr("INTERVAL '30' DAY"))}
+    loads = [(s, cdc.read_window(given.get(s.table, t(spark, d, s.table)), s, "di", end=at(HIGH))) for s in table_specs(SPECS)]
+    return recon.together([rows.agg(F.count("*").alias("n")).select(F.lit(s.table).alias("name"), F.lit(s.cdc_kind).alias("kind"), "n") for s, rows in loads])
 
 
 # --- suites of metrics -----------------------------------------------------------------------------------------------
