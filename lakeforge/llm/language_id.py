@@ -66,7 +66,8 @@ def has_letter(text: str | None) -> bool:
 
 def learn_prototypes(learn: DataFrame, *, size: int, seed: int) -> tuple[list[str], np.ndarray]:
     """Languages (sorted) and their prototypes from learn(text, lang), over all its rows: each task sums the vectors
-    of each language it met, the sums are added, and one row for each language comes to the driver."""
+    of each language it met, the sums are added, and `size` numbers for each language come to the driver and go to each task:
+    8 KB a language at 1024, so that some thousands of languages are what this is for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = once_per_worker(("letters", size, seed), lambda: letter_vectors(size, seed))

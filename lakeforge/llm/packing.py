@@ -195,7 +195,8 @@ def pack(docs: DataFrame, tokenizer: bytes, *, window: int = 1024, mixture: int
     piece has the end id alone. Each source has a queue of its own, however many there are, and documents with a null
     source share one; beyond max_queues a warning tells that CPU grows with their number. targets(source -> share; ""
     is the null source's) raise where no document has the source. Null doc_ids are kept; rows that repeat are packed as often;
-    other columns are ignored; an empty table gives no pieces. A long text fills as many sequences as it needs.
+    other columns are ignored; an empty table gives no pieces. A long text fills as many sequences as it needs. Of tokens
+    due at once, those of the source that is first by name (the null source before all) go first.
     """
     spark = docs.sparkSession
     most = max([*json.loads(tokenizer)["model"]["vocab"].values(), end_id])
