@@ -13,11 +13,11 @@ def shuffled(spark, run):
     tracker = spark.sparkContext._jsc.sc().statusStore()
     none = spark.sparkContext._gateway.jvm.java.util.ArrayList()
     quantiles = spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
-    total = lambda: sum(s.shuffleWriteRecords() for s in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(tracker.stageList(none, False, False, quantiles, none)))
-    before = total()
+    stages = lambda: {s.stageId(): s.shuffleWriteRecords() for s in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(tracker.stageList(none, False, False, quantiles, none))}
+    last = max(stages(), default=-1)  # the store forgets its oldest stages, so only new ones are added up
     out = run()
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
-    return out, total() - before
+    return out, sum(n for k, n in stages().items() if k > last)
 
 
 def rows_of(df):
