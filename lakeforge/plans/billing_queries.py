@@ -65,7 +65,7 @@ WINDOW = Window(1, datetime(1996, 1, 1), datetime.fromisoformat(AS_OF))
 #: Load cycles: the days on which a few of the customers' numbers fall; one of another system and one before any row.
 CYCLES = {
     "cycle": ("nation", {
-        "load_cycle_id": "n_nationkey + 100", "pv_startdate": "TIMESTAMP '1992-06-30 12:00:00' + n_nationkey * INTERVAL '300' DAY", "pv_enddate": "TIMESTAMP '1993-04-26 12:00:00' + n_nationkey * INTERVAL '300' DAY",
+        "load_cycle_id": "CAST(n_nationkey + 100 AS BIGINT)", "pv_startdate": "TIMESTAMP '1992-06-30 12:00:00' + n_nationkey * INTERVAL '300' DAY", "pv_enddate": "TIMESTAMP '1993-04-26 12:00:00' + n_nationkey * INTERVAL '300' DAY",
         "source_system_code": "CASE WHEN n_nationkey = 3 THEN 'OTHER' ELSE 'BILL' END", "cycle_type_code": "'STAGE'"}, "n_nationkey < 6")
 }
 DAY = "'%Y-%m-%d %H:%M:%S'"
