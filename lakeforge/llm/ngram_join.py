@@ -10,7 +10,7 @@ pairs; so no link is lost and what is written grows with the nodes.
 
 Which groups a query meets at all follows from prefix filtering: two sets of Jaccard `percent` share one of each
 other's n - ceil(n * percent / 100) + 1 first shingles in any common order. The order puts shingles last that many
-documents have; it comes from a sketch of fixed size, which affects speed only.
+documents have; it comes from a sketch of fixed size, less what most of its cells hold by chance, which affects speed only.
 
 Arrays of shingles are dealt to partitions by hash, many in one row, and matched there with numpy. Sets have 64-bit
 hashes as members; a node is known by a 64-bit hash of its set.
@@ -69,7 +69,8 @@ def node_keys(token: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def frequency_levels(docs: DataFrame, width: int) -> np.ndarray:
-    """For each cell of the sketch, twice the binary logarithm of the number of documents' shingles in it."""
+    """For each cell of the sketch, twice the binary logarithm of the number of documents' shingles in it beyond the median
+    cell's, which is what rare shingles that share a cell add up to: in a large table that is a lot, but all cells have it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(SKETCH, np.int32)
@@ -86,7 +87,7 @@ def frequency_levels(docs: DataFrame, width: int) -> np.ndarray:
             for i, x in zip(batch.column("part").to_pylist(), batch.column("cells").to_pylist()):
                 held[i] = held.get(i, 0) + np.frombuffer(zlib.decompress(x), "<u2").astype(np.int64)
         for i, x in held.items():
-            yield pa.record_batch([pa.array([i], pa.int32()), pa.array([np.floor(2 * np.log2(x + 1.0)).astype(np.uint8).tobytes()], pa.binary())], ["part", "cells"])
+            yield pa.record_batch([pa.array([i], pa.int32()), pa.array([np.floor(2 * np.log2(np.maximum(x - np.median(x), 0) + 1)).astype(np.uint8).tobytes()], pa.binary())], ["part", "cells"])
 
     dealt = docs.select("text").mapInArrow(count, "part int, cells binary").repartitionById(min(SKETCH // CELLS, parts(docs)), "part")
     out = np.zeros((SKETCH // CELLS, CELLS), np.uint8)
@@ -119,10 +120,11 @@ def shared_prefixes(nodes: DataFrame, levels: np.ndarray, percent: int, deal: in
     the nodes that meet there through a chain of like sizes.
 
     Nodes of a shingle that about hot_docs documents or more have don't meet in one task: they are dealt by shingle and
-    node, all of them are kept, and their leader is the least node with the shingle, from partial minima."""
+    node, and their leader is the least node with the shingle, from partial minima; those that no other node has go."""
     met = cut(met_by_shingle(nodes, levels, percent, deal, hot_docs))
     hot = met.where("leader IS NULL").drop("leader")
-    return met.where("leader IS NOT NULL").unionByName(hot.join(hot.groupBy("t").agg(F.min("c").alias("leader")), "t"))
+    shared = hot.groupBy("t").agg(F.min("c").alias("leader"), F.max("c").alias("last")).where("leader < last").drop("last")
+    return met.where("leader IS NOT NULL").unionByName(cut(hot.join(shared, "t")))
 
 
 def met_by_shingle(nodes: DataFrame, levels: np.ndarray, percent: int, deal: int, hot_docs: int) -> DataFrame:
@@ -396,7 +398,7 @@ def jaccard_components(docs: DataFrame, *, width: int = 5, percent: int = 80, ho
     deal = parts(docs, text_size(docs)[1])
     levels = frequency_levels(docs, width)
     nodes = cut(nodes_and_prefixes(docs, levels, width, percent))
-    meetings = cut(shared_prefixes(nodes, levels, percent, deal, hot_docs))
+    meetings = shared_prefixes(nodes, levels, percent, deal, hot_docs)
 
     # groups: by the leader that a node meets most often, and by size to a tenth
     best = meetings.groupBy("c", "n", "leader").count().groupBy("c", "n").agg(F.max_by("leader", F.struct("count", "leader")).alias("leader"))

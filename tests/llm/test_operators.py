@@ -1,6 +1,7 @@
 """Each operator against a plain version, on the smallest tables and on rows made to be awkward."""
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeforge.llm import decontaminate, fingerprints, language_id, line_dedup, ngram_join, packing, quality, queries, secret_scan, substring_dedup, token_counts
-from lakeforge.llm.common import mix, without, word_hashes, word_spans
+from lakeforge.llm.common import cut, mix, without, word_hashes, word_spans
 from tests.llm import brute
 from tests.oracle import connect, spark_rows, sql_rows
 
@@ -159,6 +160,37 @@ def test_hot_shingles_are_dealt_to_several_tasks(spark):
     assert 3 * largest(64) < largest(1 << 30)
 
 
+def test_a_full_sketch_makes_no_shingle_hot(spark, monkeypatch):
+    """Cells as full of rare shingles as a large table's: those that no two documents share don't meet, and the ones that
+    most documents have come last still."""
+    monkeypatch.setattr(ngram_join, "SKETCH", 64)
+    monkeypatch.setattr(ngram_join, "CELLS", 64)
+    r = random.Random(4)
+    texts = [" ".join(f"w{r.random()}" for _ in range(300)) for _ in range(150)]
+    rows = [(k, x) for k, x in enumerate(texts)] + [(1000, texts[3] + " tail"), (1001, texts[7])]
+    docs = frame(spark, rows).select("doc_id", "text")
+    levels = ngram_join.frequency_levels(docs, 5)
+    nodes = ngram_join.nodes_and_prefixes(docs, levels, 5, 80)
+    met = ngram_join.shared_prefixes(nodes, levels, 80, 8, 256)
+    assert 0 < met.count() <= 2 * 61 and met.select("c").distinct().count() == 2
+    assert got(ngram_join.jaccard_components(frame(spark, rows)), *NAMES3) == brute.multiset(brute.jaccard(rows))
+
+
+def test_checkpoints_leave_no_shuffle_files(spark):
+    """What a step shuffled goes when its checkpoint is written; the session's setting stays."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, df = spark.conf.get(name), spark.range(50_000).repartition(7, "id").groupBy((F.col("id") % 1009).alias("k")).count()
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: sum(str(f.getName()).startswith("shuffle_") for f in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles()))
+    files = shuffles()
+    first = cut(df)
+    for _ in range(50):
+        if shuffles() <= files:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= files and first.count() == cut(df).count() == df.count() == 1009 and spark.conf.get(name) == before
+
+
 def test_hot_nodes(spark):
     """Nodes of many copies are dealt to several partitions and keep all their rows."""
     rows = [(k, "the same words in every one of these" if k % 3 else f"others {k % 4}") for k in range(60)] + [(None, "x"), (70, None)]
