@@ -2,33 +2,44 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
+from typing import Any
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def value_of(e: ElementTree.Element | None, kind: T.DataType):
-    """An element as a value of a type: attributes are fields that begin with _, an array takes all children of its name."""
-    if e is None:
-        return None
+def reader(kind: T.DataType) -> Callable[[ElementTree.Element], Any]:
+    """What makes an element a value of a type: attributes are fields that begin with _, an array takes all children of its
+    name, another field the first. The type is read once and each child looked at once; fields without a value are left out."""
     if not isinstance(kind, T.StructType):
-        return (e.text or "").strip()
-    out = {}
-    for f in kind.fields:
-        if f.name.startswith("_"):
-            out[f.name] = e.get(f.name[1:])
-        elif isinstance(f.dataType, T.ArrayType):
-            out[f.name] = [value_of(x, f.dataType.elementType) for x in e.findall(f.name)]
-        else:
-            out[f.name] = value_of(e.find(f.name), f.dataType)
-    return out
+        return lambda e: (e.text or "").strip()
+    attributes = [(f.name, f.name[1:]) for f in kind.fields if f.name.startswith("_")]
+    below = {f.name: f.dataType for f in kind.fields if not f.name.startswith("_")}
+    several = [c for c, x in below.items() if isinstance(x, T.ArrayType)]
+    readers = {c: reader(x.elementType if c in several else x) for c, x in below.items()}
 
+    def read(e: ElementTree.Element) -> dict:
+        out: dict[str, Any] = {c: [] for c in several}
+        for c, name in attributes:
+            if (value := e.get(name)) is not None:
+                out[c] = value
+        for x in e:
+            if x.tag in readers:
+                if x.tag in several:
+                    out[x.tag].append(readers[x.tag](x))
+                elif x.tag not in out:
+                    out[x.tag] = readers[x.tag](x)
+        return out
 
-def groups(text: str, path: Sequence[str], keys: Sequence[str], kind: T.StructType, separator: str) -> Iterator[tuple]:
+    return read
+
+
+def groups(text: str, path: Sequence[str], keys: Sequence[str], read: Callable[[ElementTree.Element], dict], separator: str) -> Iterator[tuple]:
     """(keys..., lineage, depth, fields as JSON) of all groups below path, parents before children, by a stack of its own
     and not by recursion; none of a text that isn't XML."""
     try:
@@ -40,7 +51,8 @@ def groups(text: str, path: Sequence[str], keys: Sequence[str], kind: T.StructTy
     while stack:
         e, above, depth = stack.pop()
         lineage = above + (separator if depth > 1 else "") + e.get("name", "")
-        yield *own, lineage, depth, json.dumps(value_of(e, kind))
+        fields = read(e)
+        yield *own, lineage, depth, json.dumps(fields) if fields else "{}"
         stack += [(x, lineage, depth + 1) for x in reversed(e.findall(path[-1]))]
 
 
@@ -52,13 +64,14 @@ def groups_at_any_depth(raw: DataFrame, path: str, fields: str, keys: Sequence[s
     kind, names = T.StructType.fromDDL(fields), list(keys)
     columns = ["source_file", *names, "lineage", "depth", "found"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = reader(kind)
         for b in batches:
-            for source, text in zip(b["source_file"], b["value"]):
-                rows = [(source, *g) for g in groups(text or "", path.split("."), names, kind, separator)]
-                for lo in range(0, len(rows), 5000):
-                    yield pd.DataFrame(rows[lo : lo + 5000], columns=columns)
+            each = zip(b.column("source_file").to_pylist(), b.column("value"))
+            found = ((source, *g) for source, text in each for g in groups(text.as_py() or "", path.split("."), names, read, separator))
+            while rows := list(islice(found, 5000)):
+                yield pa.record_batch([pa.array(x, pa.int32() if c == "depth" else pa.string()) for c, x in zip(columns, zip(*rows))], columns)
 
     schema = ", ".join(f"{c} {'int' if c == 'depth' else 'string'}" for c in columns)
-    found = raw.select("source_file", "value").mapInPandas(run, schema)
+    found = raw.select("source_file", "value").mapInArrow(run, schema)
     return found.withColumn("found", F.from_json("found", kind)).select(*columns[:-1], "found.*")

@@ -1,8 +1,11 @@
 """Trees of any depth, broken documents, loads that lost rows, tables that say which rows can be missing."""
+import json
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lakeforge.functions import xml_groups
 from lakeforge.functions.xml_flatten import GROUP_FIELDS, lineage, rough_draft_schema, rough_draft_tables
 from lakeforge.functions.xml_groups import groups_at_any_depth
 from lakeforge.operators import merge
@@ -36,6 +39,20 @@ def test_one_deep_or_broken_document_fails_no_other(spark):
     assert (float(sums.total), sums.tax) == (4.5, None)
 
 
+def test_a_group_costs_what_it_holds(spark):
+    """Fields that a group lacks are neither looked for nor written; the first of repeated single children counts, an empty
+    one is there, and documents without groups come between others."""
+    kind = T.StructType.fromDDL(GROUP_FIELDS)
+    text = '<draft><claim>1</claim><groups><group name="a"><group name="b"><room/></group></group><group name="c"><room walls="1"/><room walls="2" floor=""/><items/></group></groups></draft>'
+    found = [(g[1], json.loads(g[3])) for g in xml_groups.groups(text, ["groups", "group"], ["claim"], xml_groups.reader(kind), "/")]
+    assert found == [("a", {}), ("a/b", {"room": {}}), ("c", {"room": {"_walls": "1"}, "items": {"item": []}})]
+    raw = spark.createDataFrame([(text, "f1"), ("<draft/>", "f2"), (None, "f3"), (text, "f4")], "value string, source_file string")
+    out = groups_at_any_depth(raw, "groups.group", GROUP_FIELDS, ["claim"], separator="/").collect()
+    shown = lambda r: (r.source_file, r.lineage, r.depth, r.room and tuple(r.room), r["items"] and r["items"]["item"], r.totals)
+    want = [("a", 1, None, None, None), ("a/b", 2, (None,) * 4, None, None), ("c", 1, ("1", None, None, None), [], None)]
+    assert sorted(map(shown, out), key=lambda r: r[:2]) == [(f, *w) for f in ("f1", "f4") for w in want]
+
+
 T0 = datetime(2024, 1, 1)
 
 
