@@ -27,8 +27,9 @@ def year_start(w: Window) -> datetime:
 
 
 def total(times: Sequence[str], count: str | None, *amounts: tuple[str, str]) -> tuple[Measure, ...]:
-    sums = (Measure(entity, "sum", column, until(*times)) for entity, column in amounts)
-    return (*([Measure(count, "distinct", "publicid", until(*times))] if count else []), *sums)
+    when = until(*times)
+    sums = (Measure(entity, "sum", column, when) for entity, column in amounts)
+    return (*([Measure(count, "distinct", "publicid", when)] if count else []), *sums)
 
 
 #: Which times of a table decide, what is counted and what is summed.
@@ -44,45 +45,47 @@ TOTALS = {
     "nonreceivabledistitem": total(CHANGED, "TOTAL_BILL_NONRECV_DIST_ITM_CNT", ("TOTAL_GROSS_NONRECV_APPLY_AMT", "grossamounttoapply"), ("TOTAL_COMM_NONRECV_APPLY_AMT", "commissionamounttoapply")),
 }
 
+def context(table: str, *edges: Edge) -> JoinSpec:
+    """Transactions with the rows of their context, of which a metric needs only how many there are."""
+    return JoinSpec("trans", "transaction", (Edge("cix", table, "transactionid", "trans.id"), *edges))
+
+
 #: What a transaction's context is joined to.
-TRANSACTION = Edge("trans", "transaction", "id", "cix.transactionid", needed=True)
 POLICY = (Edge("pol", "policy", "id", "polper.policyid", "left", where="pcpublicid IS NOT NULL"), Edge("a", "account", "id", "pol.accountid", "left"))
 CONTEXTS = {
-    "CHRG": JoinSpec("cix", "chargeinstancecontext", (
-        TRANSACTION,
-        Edge("chrg", "charge", "id", "cix.chargeid", needed=True),
+    "CHRG": context("chargeinstancecontext", Edge("chrg", "charge", "id", "cix.chargeid", below=(
         Edge("tac", "taccountcontainer", "id", "chrg.taccountcontainerid", needed=True),
         Edge("tc", "taccountcontainertype", "id", "tac.subtype", needed=True),
         Edge("polper", "policyperiod", "hiddentaccountcontainerid", "chrg.taccountcontainerid", "left", given="tc.typecode = 'PolTAcctContainer'"),
         *POLICY,
-        Edge("ta", "account", "hiddentaccountcontainerid", "chrg.taccountcontainerid", "left", given="tc.typecode = 'AcctTAcctContainer'"))),
-    "PROD": JoinSpec("cix", "producercontext", (
-        TRANSACTION,
+        Edge("ta", "account", "hiddentaccountcontainerid", "chrg.taccountcontainerid", "left", given="tc.typecode = 'AcctTAcctContainer'")))),
+    "PROD": context(
+        "producercontext",
         Edge("comm", "chargecommission", "id", "cix.chargecommissionid", "left"),
         Edge("chrg", "charge", "id", "comm.chargeid", "left"),
         Edge("polper", "policyperiod", "hiddentaccountcontainerid", "chrg.taccountcontainerid", "left"),
-        *POLICY)),
-    "ACCT": JoinSpec("cix", "accountcontext", (TRANSACTION, Edge("acc", "account", "id", "cix.accountid"))),
-    "DBMR": JoinSpec("cix", "dbmoneyrcvdcontext", (
+        *POLICY),
+    "ACCT": context("accountcontext", Edge("acc", "account", "id", "cix.accountid")),
+    "DBMR": context(
+        "dbmoneyrcvdcontext",
         Edge("acc", "account", "id", "cix.accountid"),
         Edge("bsmr", "basemoneyreceived", "id", "cix.directbillmoneyrcvdid", "left"),
-        Edge("polper", "policyperiod", "id", "bsmr.policyperiodid", "left"),
-        TRANSACTION)),
-    "SUSPYMT": JoinSpec("cix", "susppymtcontext", (
+        Edge("polper", "policyperiod", "id", "bsmr.policyperiodid", "left")),
+    "SUSPYMT": context(
+        "susppymtcontext",
         Edge("spmt", "suspensepayment", "id", "cix.suspensepaymentid"),
         Edge("polper", "policyperiod", "id", "spmt.policyperiodappliedtoid", "left"),
-        *POLICY,
-        TRANSACTION)),
-    "TRANSFR": JoinSpec("cix", "transfertxcontext", (
+        *POLICY),
+    "TRANSFR": context(
+        "transfertxcontext",
         Edge("sa", "account", "id", "cix.sourceaccountid", "left"),
-        Edge("ta", "account", "id", "cix.targetaccountid", "left"),
-        TRANSACTION)),
-    "NONRECV": JoinSpec("cix", "nonreceivableitemctx", (
+        Edge("ta", "account", "id", "cix.targetaccountid", "left")),
+    "NONRECV": context(
+        "nonreceivableitemctx",
         Edge("bndi", "nonreceivabledistitem", "id", "cix.basenonreceivabledistitemid"),
         Edge("acc", "account", "id", "cix.accountwithsuspenseid", "left"),
-        Edge("polper", "policyperiod", "id", "bndi.matchingpolicyid", "left"),
-        TRANSACTION)),
-    "CREDIT": JoinSpec("cix", "creditcontext", (Edge("acc", "account", "id", "cix.accountid"), TRANSACTION)),
+        Edge("polper", "policyperiod", "id", "bndi.matchingpolicyid", "left")),
+    "CREDIT": context("creditcontext", Edge("acc", "account", "id", "cix.accountid")),
 }
 
 
@@ -104,8 +107,8 @@ def distributions(tables: Mapping[str, DataFrame], windows: Sequence[Window]) ->
     made, changed = (lambda w, c=c: (F.col(c) > instant(w.start)) & (F.col(c) <= instant(w.end)) for c in ("createtime", "updatetime"))
     # a window's processing time: the greatest of the time made, if within it, else of the time changed, if that is
     each = [F.max(F.when(made(w), F.col("createtime")).when(changed(w), F.col("updatetime"))).alias(f"processed{j}") for j, w in enumerate(windows)]
-    relevant = reduce(lambda a, b: a | b, (made(w) | changed(w) for w in windows))
-    processed = tables["basedistitem"].where(relevant).groupBy(F.coalesce("activedistid", "reverseddistid").alias("distid")).agg(*each)
+    span = Window(0, min(w.start for w in windows), max(w.end for w in windows))  # a row that no window has gives nulls
+    processed = tables["basedistitem"].where(made(span) | changed(span)).groupBy(F.coalesce("activedistid", "reverseddistid").alias("distid")).agg(*each)
     spec = JoinSpec("dist", "basedist", (Edge("item", "processed", "distid", "dist.id", "left", needed=True),))
     rows = joined(spec, {**tables, "processed": processed})
     place = {w: j for j, w in enumerate(windows)}

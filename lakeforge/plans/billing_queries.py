@@ -146,7 +146,7 @@ def recon_billing_periods(spark, d):
 @query(f"""WITH {shaped_sql(SHAPES | CYCLES)}, cycles AS (SELECT load_cycle_id, pv_startdate, pv_enddate FROM cycle WHERE source_system_code = 'BILL' AND cycle_type_code = 'STAGE')
 {totals_sql('each')} UNION ALL {distributions_sql('each')} UNION ALL {periods_sql(FROM, 'each')}""")
 def recon_billing_load_cycle(spark, d):
-    """The whole suite for each of the system's load cycles, from one scan of each table."""
+    """The whole suite for each of the system's load cycles at once."""
     cycles = billing.load_cycles(shaped(spark, d, CYCLES)["cycle"], "BILL", "STAGE")
     return billing.by_load_cycle(shaped(spark, d, SHAPES), cycles)
 

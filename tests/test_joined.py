@@ -48,6 +48,40 @@ def test_folded_tables_count_like_joins(spark, tables, how, below):
     assert rows.count() <= 100  # nothing fans out
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_tables_below_an_edge_are_counted_with_it(spark, tables, how):
+    inner = (Edge("b", "b", "id", "a.b", needed=True), Edge("h", "hot", "id", "b.x", "left", given="a.live"))
+    rows = joined(JoinSpec("f", "fact", (Edge("a", "a", "id", "f.a", how, below=inner),)), tables)
+    pairs = tables["a"].select(F.col("id").alias("aid"), "b", "live").join(tables["b"].select(F.col("id").alias("bid"), F.col("x").alias("bx")), F.expr("bid = b"))
+    pairs = pairs.join(tables["hot"].select(F.col("id").alias("hid")), F.expr("hid = bx AND live"), "left").select("aid")
+    want = tables["fact"].join(pairs, F.expr("aid = a"), how)
+    assert rows.count() <= 100 and rows.agg(F.sum("weight")).first()[0] == want.count() > 100
+    assert total(rows, F.col("weight")) == total(want)
+    assert JoinSpec("f", "fact", (Edge("a", "a", "id", "f.a", below=inner),)).tables() == {"fact", "a", "b", "hot"}
+    with pytest.raises(ValueError):
+        Edge("a", "a", "id", "f.a", needed=True, below=inner)
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_many_windows_are_bits_and_sums_go_without_keys(spark, weighted):
+    """Conditions beyond one long; a counted value's rows hold a set of conditions and no sums."""
+    start, data = datetime(2020, 1, 1), [(k, k % 37 if k % 5 else None, k / 8 if k % 7 else None, k % 3) for k in range(400)]
+    rows = spark.createDataFrame(data, "at long, a long, amount double, weight long")
+    rows = rows if weighted else rows.drop("weight")
+    windows = [Window(k, start, start) for k in range(40)]
+    until, within, never = (lambda w: F.col("at") <= w.id * 9), (lambda w: F.col("at").between(w.id * 9, w.id * 10)), lambda w: F.col("at") > 1000 + w.id
+    out = measured(rows, (Measure("N", "distinct", "a", until), Measure("S", "sum", "amount", until), Measure("M", "sum", "amount", within), Measure("Z", "sum", "amount", never), Measure("D", "distinct", "a", within)), windows)
+    keyed = [x for x in plan(out).splitlines() if "Aggregate [key#" in x]
+    assert keyed and not any("sum(" in x for x in keyed)
+    got = {(r.window, r.auditentity): (r.value, r.n_rows) for r in out.collect()}
+    for k in range(40):
+        for names, rows_in in (("NS", [x for x in data if x[0] <= k * 9]), ("DM", [x for x in data if k * 9 <= x[0] <= k * 10]), ("_Z", [])):
+            of = lambda x: x[3] if weighted else 1
+            n, money = sum(map(of, rows_in)), [round(x[2] * 100 + 1e-6) * of(x) for x in rows_in if x[2] is not None]
+            assert got[k, names[1]] == (sum(money) / 100 if money else None, n)
+            assert names[0] == "_" or got[k, names[0]] == (len({x[1] for x in rows_in} - {None}), n)
+
+
 def test_refused_specs(tables):
     for edges in ((Edge("a", "a", "id", "x.a"),), (Edge("a", "a", "id", "f.a"), Edge("a", "b", "id", "f.b"))):
         with pytest.raises(ValueError):
