@@ -42,7 +42,7 @@ def canonical(text: Column) -> Column:
     one word stays one word. Patterns begin with the character they look for, as few places have it."""
     unit = "|".join(f"(?<={u[0]}){u[1:]}" for u in UNITS.upper().split())  # after a number, these aren't names
     out = F.regexp_replace(text, rf"\p{{Lu}}(?<!{WORD}.)(?!(?<=\d\x20.)(?:{unit}){END})[\p{{L}}\x01'-]*{END}", NAME)
-    out = F.regexp_replace(F.lower(out), rf"(?:\d|[-+$€£](?=\d))(?<!{WORD}.)\d*(?:[.,:/]\d+)*%?{END}", NUMBER)
+    out = F.regexp_replace(F.lower(out), rf"[\d$€£+-](?<!{WORD}.)(?:(?<=\d)|(?=\d))\d*(?:[.,:/]\d+)*%?{END}", NUMBER)
     return F.regexp_replace(out, rf"[.,;:!?](?<=[\p{{L}}\p{{N}}>].)[.,;:!?]*(?={BLANK}|$)", "")
 
 
@@ -70,20 +70,15 @@ def starts(width: int) -> Column:
     return F.when(F.size("t") >= width, F.sequence(F.lit(1), F.size("t") - width + 1)).otherwise(F.array().cast("array<int>"))
 
 
-def grams(n: int, hashed: Column) -> Column:
-    """The hashes of all windows of n words, from the words' hashes: of two halves, or of n - 1 words and the last one."""
-    if n == 1:
-        return hashed
-    half = n // 2 if n % 2 == 0 else n - 1
-    count = lambda x: F.greatest(F.size(x) - (n - half), F.lit(0))
-    other = lambda x: F.slice(x if n % 2 == 0 else hashed, half + 1, count(x))
-    return let(grams(half, hashed), lambda x: F.zip_with(F.slice(x, F.lit(1), count(x)), other(x), lambda y, z: F.xxhash64(y, z)))
+def blocks(length: int, step: int) -> Column:
+    """The hashes of the runs of `length` template words that start at every `step`-th word."""
+    at = F.when(F.size("t") >= length, F.sequence(F.lit(1), F.size("t") - length + 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda i: F.xxhash64(F.slice("t", i, length)))
 
 
-def with_grams(df: DataFrame, lengths: list[int]) -> DataFrame:
-    """Adds g, the hashes of all windows of template words of the given lengths."""
-    each = lambda words: F.concat(*(F.transform(grams(n, words), lambda x: F.xxhash64(x)) if n == 1 else grams(n, words) for n in lengths))
-    return df.withColumn("g", let(F.transform("t", lambda x: F.xxhash64(x)), each))
+def block_of(n: int) -> tuple[int, int]:
+    """(length, step) of blocks of which any n words in a row hold a whole one: length + step = n + 1."""
+    return n // 2 + 1, n - n // 2
 
 
 def windows(width: int, literal: int) -> Column:
@@ -99,19 +94,22 @@ def sized_windows(width: int, literal: int) -> Column:
 
 
 def suspects(docs: DataFrame, items: DataFrame, lengths: list[int], broadcast_rows: int) -> DataFrame:
-    """The rows of docs(doc_id, text) whose doc_id has a window of an item's template, whatever its values.
+    """The rows of docs(doc_id, text) whose doc_id may have a window of an item's template, whatever its values: those with a
+    block of one. Of a document only blocks at every few words are hashed; as any window holds such a block whole and
+    items give theirs from every word on, none is missed. What else has a block is judged in vain.
 
     explode_outer(), as Spark lets explode() be preceded by a filter on its array's size, which would make the array twice
     and its parts once for each of their uses; a null hash meets nothing."""
     known = None
     for n in lengths:
-        own = with_grams(items.where(F.col("size") == n), [n]).select(F.explode_outer("g").alias("h"))
+        own = items.where(F.col("size") == n).select(F.explode_outer(blocks(block_of(n)[0], 1)).alias("h"))
         known = own if known is None else known.union(own)
     known = known.distinct()
     if known.count() <= broadcast_rows:
         known = F.broadcast(known)
-    rows = with_grams(with_template(docs.withColumn("text", with_whole_names(F.col("text")))).select("doc_id", "t"), lengths)
-    found = rows.select("doc_id", F.explode_outer("g").alias("h")).join(known, "h", "left_semi")
+    rows = with_template(docs.withColumn("text", with_whole_names(F.col("text")))).select("doc_id", "t")
+    kinds = sorted({block_of(n) for n in lengths})
+    found = rows.select("doc_id", F.explode_outer(F.concat(*(blocks(*x) for x in kinds)) if len(kinds) > 1 else blocks(*kinds[0])).alias("h")).join(known, "h", "left_semi")
     ids = cut(found.select("doc_id").distinct())
     return docs.join(F.broadcast(ids) if ids.count() <= broadcast_rows else ids, "doc_id", "left_semi")
 
@@ -140,7 +138,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = 8, liter
     are ignored; empty tables give no pairs. Texts are read whole, however long. Of alignments that hold an item, the one
     with most windows tells n_windows and coverage; reworded is false if any of them is.
 
-    A first pass finds the documents that have a window of an item's template; values, offsets and order are judged for
+    A first pass finds the documents that have a block of a window of an item's template; values, offsets and order are judged for
     those. Item windows (hashes, places and values of `width` words each) and the documents' ids are broadcast where there
     are at most broadcast_rows, else both sides are shuffled.
     """

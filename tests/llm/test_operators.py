@@ -319,6 +319,22 @@ def test_decontamination_of_attached_units_and_capitals(spark):
     assert {x[0]: x[4] for x in out} == {k: k in (2, 5, 6) for k in (*range(1, 10), 12, 13)}
 
 
+def test_decontamination_hashes_blocks_of_which_each_window_holds_one(spark):
+    """A window at any place of a document, for items of any size; of long documents few blocks are hashed."""
+    for n in range(1, 30):
+        length, step = decontaminate.block_of(n)
+        assert all(any(q % step == 0 and q + length <= p + n for q in range(p, p + n)) for p in range(3 * n))
+    long = spark.createDataFrame([([f"w{k}" for k in range(803)],)], "t array<string>")
+    assert long.select(F.size(decontaminate.blocks(*decontaminate.block_of(8)))).first()[0] == 200
+    word = lambda k: "".join(chr(97 + int(c)) for c in str(k)) + "x"
+    items = [(n, " ".join(word(100 * n + k) for k in range(n))) for n in range(1, 11)]
+    docs = [(100 * n + lead, " ".join([*("so it goes on".split() * 5)[:lead], text, "end"])) for n, text in items for lead in range(11)]
+    docs += [(5000 + n, text.rsplit(" ", 1)[0] + " cut") for n, text in items if 1 < n < 9]  # one word short of a window
+    out = decontaminate.contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert found_pairs(out) == plainly_held(docs, items)
+    assert {x[:2] for x in found_pairs(out)} == {(100 * n + lead, n) for n in range(1, 11) for lead in range(11)}
+
+
 def test_decontamination_by_plain_loops(spark, small):
     items = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
     r = random.Random(12)
